@@ -11,7 +11,7 @@ from precis.operators.groups import first_rows
 from precis.operators.vocabulary import Tokenizer, count_tokens
 
 # Shares sum to one, so at most this many words can have a share of one in that many or more.
-COMMON_WORDS = 20_000
+COMMON_WORDS = 1_000_000
 MIN_TOKENS = 50
 MAX_TOKENS = 128
 
