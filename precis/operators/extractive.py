@@ -76,22 +76,23 @@ def summarize_extractive(
     one is cut where it would pass `max_tokens`. `order` orders the rows of one key, whose texts then make up one
     document: a group is summarized without its texts being put together.
     """
-    row = [] if order is None else [order]
-    one = df.select(key, *row, text)
-    scored = score_sentences(split_sentences(one, [key, *row], text), stats, [key, *row], tokenize)
+    row = [] if order is None else ["_order"]
+    names = {key: "_key", text: "_text"} if order is None else {key: "_key", order: "_order", text: "_text"}
+    one = df.select(*[F.col(name).alias(new) for name, new in names.items()])
+    scored = score_sentences(split_sentences(one, ["_key", *row], "_text"), stats, ["_key", *row], tokenize)
     score: Column = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(F.lit(0.0))
     ranked = scored.withColumn("score", score).withColumn("cost", word_count(F.col("sentence")))
     by = [F.desc("score"), *[F.asc(c) for c in row], F.asc("pos")]
     # Each sentence costs at least one word, so no more than `min_tokens` of them are taken.
-    best = first_rows(ranked, [key], by, min_tokens)
-    before = Window.partitionBy(key).orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    best = first_rows(ranked, ["_key"], by, min_tokens)
+    before = Window.partitionBy("_key").orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     taken = (
         best.withColumn("before", F.coalesce(F.sum("cost").over(before), F.lit(0)))
         .filter((F.col("before") < min_tokens) & (F.col("before") < max_tokens))
         .withColumn("kept", first_words(F.col("sentence"), (F.lit(max_tokens) - F.col("before")).cast("int")))
     )
     return (
-        taken.groupBy(key)
+        taken.groupBy("_key")
         .agg(F.array_sort(F.collect_list(F.struct(*row, "pos", "kept"))).alias("picked"))
-        .select(key, F.concat_ws(" ", F.col("picked.kept")).alias("summary"))
+        .select(F.col("_key").alias(key), F.concat_ws(" ", F.col("picked.kept")).alias("summary"))
     )

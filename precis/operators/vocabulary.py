@@ -58,6 +58,11 @@ def _look_up(rows: DataFrame, vocab: DataFrame, on: str, vocab_size: int) -> Dat
     return rows.join(common, on, "inner").unionByName(left.join(rare, on, "left")).unionByName(blank)
 
 
+def _placed(side: int, name: str) -> Callable[[Column, Column], Column]:
+    """For `transform`: an element with the number of its array and its place in it."""
+    return lambda item, at: F.struct(F.lit(side).alias("side"), at.cast("int").alias("at"), item.alias(name))
+
+
 def encode(
     df: DataFrame,
     vocab: DataFrame,
@@ -74,23 +79,24 @@ def encode(
     sides = [
         F.transform(
             F.slice(tokenize(F.coalesce(F.col(text), F.lit(""))), 1, length - 1),
-            lambda token, at, side=side: F.struct(
-                F.lit(side).alias("side"), at.cast("int").alias("at"), token.alias("token")
-            ),
+            _placed(side, "token"),
         )
         for side, (text, length) in enumerate(cols.values())
     ]
-    tokens = df.select(key, F.inline_outer(F.concat(*sides)))
+    tokens = df.select(F.col(key).alias("_key"), F.inline_outer(F.concat(*sides)))
     found = _look_up(tokens, vocab, "token", vocab_size).withColumn(
         "id", F.when(F.col("token").isNotNull(), F.coalesce("id", F.lit(UNKNOWN_ID)))
     )
-    lists = found.groupBy(key).agg(
+    lists = found.groupBy("_key").agg(
         *[
             F.array_sort(F.collect_list(F.when(F.col("side") == side, F.struct("at", "id")))).alias(name)
             for side, name in enumerate(cols)
         ]
     )
-    return lists.select(key, *[F.concat(F.col(f"{name}.id"), F.array(F.lit(END_ID))).alias(name) for name in cols])
+    return lists.select(
+        F.col("_key").alias(key),
+        *[F.concat(F.col(f"{name}.id"), F.array(F.lit(END_ID))).alias(name) for name in cols],
+    )
 
 
 def encode_pairs(
@@ -138,18 +144,20 @@ def decode(
         F.filter(
             F.transform(
                 unmask_labels(F.coalesce(F.col(name), F.array().cast("array<int>")), PAD_ID),
-                lambda i, at, side=side: F.struct(F.lit(side).alias("side"), at.cast("int").alias("at"), i.alias("id")),
+                _placed(side, "id"),
             ),
             lambda entry: entry["id"] >= FIRST_TOKEN_ID,
         )
         for side, name in enumerate(cols)
     ]
-    ids = df.select(key, F.inline_outer(F.concat(*sides)))
+    ids = df.select(F.col(key).alias("_key"), F.inline_outer(F.concat(*sides)))
     found = _look_up(ids, vocab, "id", vocab_size)
-    lists = found.groupBy(key).agg(
+    lists = found.groupBy("_key").agg(
         *[
             F.array_sort(F.collect_list(F.when(F.col("side") == side, F.struct("at", "token")))).alias(name)
             for side, name in enumerate(cols)
         ]
     )
-    return lists.select(key, *[F.concat_ws(" ", F.col(f"{name}.token")).alias(name) for name in cols])
+    return lists.select(
+        F.col("_key").alias(key), *[F.concat_ws(" ", F.col(f"{name}.token")).alias(name) for name in cols]
+    )
