@@ -19,26 +19,22 @@ MAX_TOKENS = 128
 def fit_word_stats(train: DataFrame, text: str, tokenize: Tokenizer = word_tokens) -> DataFrame:
     """`(token, count, p)`: how often each word occurs in the training texts, and its share of all words."""
     counts = count_tokens(train, text, tokenize)
-    total = counts.agg(F.sum("count").alias("total"))
-    # One row against all: a broadcast of a single number.
-    return counts.crossJoin(F.broadcast(total)).select("token", "count", (F.col("count") / F.col("total")).alias("p"))
-
-
-def split_sentences(df: DataFrame, key: list[str], text: str) -> DataFrame:
-    """`key`, position and sentence, one row per sentence."""
-    return df.select(*key, F.posexplode(sentences(F.col(text))).alias("pos", "sentence"))
+    total = counts.agg(F.sum("count")).scalar()
+    return counts.select("token", "count", (F.col("count") / total).alias("p"))
 
 
 def score_sentences(
-    found: DataFrame, stats: DataFrame, key: list[str], tokenize: Tokenizer = word_tokens
+    df: DataFrame, stats: DataFrame, key: list[str], text: str, tokenize: Tokenizer = word_tokens
 ) -> DataFrame:
-    """Sentences with `weight`, the sum of their words' training counts, and `tokens`, how many words that is over.
+    """`key`, position and sentence, with `weight`, the sum of its words' training counts, and `tokens`, their number.
 
-    Counts are whole numbers, so sums do not depend on the order rows arrive in. The common words, bounded in number
-    because shares sum to one, are looked up by broadcast and summed where the sentence lies. The rare rest, a small
-    part of any text, is joined by a shuffle on the word.
+    `key` names each row. Counts are whole numbers, so sums do not depend on the order rows arrive in. The common
+    words, bounded in number because shares sum to one, are looked up by broadcast; the rare rest, a small part of any
+    text, is joined by a shuffle on the word. The texts are laid out by `key` once, and everything of a row then stays
+    where the row is.
     """
     one = [*key, "pos", "sentence"]
+    found = df.repartition(*key).select(*key, F.posexplode(sentences(F.col(text))).alias("pos", "sentence"))
     is_common = F.col("p") >= 1.0 / COMMON_WORDS
     common = F.broadcast(stats.filter(is_common).select("token", "count"))
     rare = stats.filter(~is_common).select("token", "count")
@@ -52,6 +48,7 @@ def score_sentences(
         .groupBy(*one, "token")
         .agg(F.count("*").alias("times"))
         .join(rare, "token")
+        .repartition(*key)
         .groupBy(*one)
         .agg(F.sum(F.col("count") * F.col("times")).alias("weight"), F.lit(0).cast("bigint").alias("tokens"))
     )
@@ -79,15 +76,16 @@ def summarize_extractive(
     row = [] if order is None else ["_order"]
     names = {key: "_key", text: "_text"} if order is None else {key: "_key", order: "_order", text: "_text"}
     one = df.select(*[F.col(name).alias(new) for name, new in names.items()])
-    scored = score_sentences(split_sentences(one, ["_key", *row], "_text"), stats, ["_key", *row], tokenize)
+    scored = score_sentences(one, stats, ["_key", *row], "_text", tokenize)
     score: Column = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(F.lit(0.0))
     ranked = scored.withColumn("score", score).withColumn("cost", word_count(F.col("sentence")))
     by = [F.desc("score"), *[F.asc(c) for c in row], F.asc("pos")]
-    # Each sentence costs at least one word, so no more than `min_tokens` of them are taken.
-    best = first_rows(ranked, ["_key"], by, min_tokens)
+    if row:
+        # Each sentence costs at least one word, so no more than `min_tokens` of them are taken.
+        ranked = first_rows(ranked, ["_key"], by, min_tokens)
     before = Window.partitionBy("_key").orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     taken = (
-        best.withColumn("before", F.coalesce(F.sum("cost").over(before), F.lit(0)))
+        ranked.withColumn("before", F.coalesce(F.sum("cost").over(before), F.lit(0)))
         .filter((F.col("before") < min_tokens) & (F.col("before") < max_tokens))
         .withColumn("kept", first_words(F.col("sentence"), (F.lit(max_tokens) - F.col("before")).cast("int")))
     )

@@ -34,21 +34,34 @@ def large_groups(df: DataFrame, key: str, text: str, max_part_chars: int = MAX_P
     )
 
 
+def lay_out(
+    df: DataFrame, key: str, text: str, order: str, max_part_chars: int = MAX_PART_CHARS
+) -> DataFrame:
+    """`(key, part, total, at, text)`: each row with its part, and the group's row count where the group is large."""
+    large = large_groups(df, key, text, max_part_chars)
+    large = large.select(F.col(key).alias("_key"), F.col("n").alias("total"), "parts")
+    part = F.when(F.col("parts").isNull(), F.lit(0)).otherwise(key_hash(F.col("at")) % F.col("parts")).cast("int")
+    return (
+        df.select(key, F.col(order).alias("at"), F.col(text).alias("text"))
+        .join(F.broadcast(large), F.col(key).eqNullSafe(F.col("_key")), "left")
+        .select(key, part.alias("part"), "total", "at", "text")
+    )
+
+
+def texts_in_order(at: str = "at", text: str = "text") -> Column:
+    """Aggregate: the non-null texts as structs, sorted by `at`."""
+    entry = F.struct(F.col(at).alias("at"), F.col(text).alias("text"))
+    return F.array_sort(F.collect_list(F.when(F.col(text).isNotNull(), entry)))
+
+
 def collect_texts(
     df: DataFrame, key: str, text: str, order: str, max_part_chars: int = MAX_PART_CHARS
 ) -> DataFrame:
     """`(key, part, n, texts)`: the group's rows counted, its non-null texts listed by `order`; null is a group too."""
-    large = large_groups(df, key, text, max_part_chars)
-    large = large.select(F.col(key).alias("_key"), F.col("n").alias("_n"), "parts")
-    parted = df.select(key, order, text).join(F.broadcast(large), F.col(key).eqNullSafe(F.col("_key")), "left")
-    part = F.when(F.col("parts").isNull(), F.lit(0)).otherwise(key_hash(F.col(order)) % F.col("parts")).cast("int")
-    entry = F.when(F.col(text).isNotNull(), F.struct(F.col(order).alias("at"), F.col(text).alias("text")))
     return (
-        parted.groupBy(key, part.alias("part"))
-        .agg(
-            F.coalesce(F.max("_n"), F.count("*")).alias("n"),
-            F.array_sort(F.collect_list(entry)).alias("entries"),
-        )
+        lay_out(df, key, text, order, max_part_chars)
+        .groupBy(key, "part")
+        .agg(F.coalesce(F.max("total"), F.count("*")).alias("n"), texts_in_order().alias("entries"))
         .select(key, "part", "n", F.col("entries.text").alias("texts"))
     )
 
@@ -110,20 +123,21 @@ def model_input_by_group(
     is passed over and any other costs at least one, so the first `max_tokens` texts are enough, and no task holds
     more of a group.
     """
-    rows = df.select(key, order, text)
-    counts = count_rows(rows, key).filter(F.col("n") >= min_n).select(F.col(key).alias("_key"), "n")
-    before = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    cost = F.size(F.filter(words(F.col(text)), lambda word: F.length(word) > 0))
-    filled = rows.withColumn("_cost", cost).filter(F.col("_cost") > 0)
+    rows = df.select(F.col(key).alias("_key"), F.col(order).alias("at"), F.col(text).alias("text"))
+    before = Window.partitionBy("_key").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    cost = F.size(F.filter(words(F.col("text")), lambda word: F.length(word) > 0))
+    filled = rows.withColumn("cost", cost).filter(F.col("cost") > 0)
     taken = (
-        first_rows(filled, [key], [F.col(order)], max_tokens)
-        .withColumn("_before", F.coalesce(F.sum("_cost").over(before), F.lit(0)))
-        .filter(F.col("_before") < max_tokens)
-    )
-    joined = taken.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), F.col(text).alias("text")))).alias("entries")
+        first_rows(filled, ["_key"], [F.col("at")], max_tokens)
+        .withColumn("before", F.coalesce(F.sum("cost").over(before), F.lit(0)))
+        .filter(F.col("before") < max_tokens)
+        .select("_key", "at", "text")
     )
-    texts = joined.select(F.col(key).alias("_text_key"), concat_texts(F.col("entries.text"), sep).alias("reviews"))
-    return counts.join(texts, F.col("_key").eqNullSafe(F.col("_text_key")), "left").select(
-        F.col("_key").alias(key), "n", F.coalesce("reviews", F.lit("")).alias("reviews")
+    # Counts and texts meet in one grouping: a join would treat null keys apart.
+    return (
+        taken.unionByName(rows.groupBy("_key").agg(F.count("*").alias("n")), allowMissingColumns=True)
+        .groupBy("_key")
+        .agg(F.max("n").alias("n"), texts_in_order().alias("entries"))
+        .filter(F.col("n") >= min_n)
+        .select(F.col("_key").alias(key), "n", concat_texts(F.col("entries.text"), sep).alias("reviews"))
     )

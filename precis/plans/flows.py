@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 from precis.operators.cleaning import clean_reviews
 from precis.operators.evaluation import evaluate_texts
 from precis.operators.extractive import MAX_TOKENS, MIN_TOKENS, fit_word_stats, summarize_extractive
-from precis.operators.groups import MAX_PART_CHARS, large_groups, model_input_by_group, review_by_group
+from precis.operators.groups import (
+    MAX_PART_CHARS,
+    concat_texts,
+    large_groups,
+    lay_out,
+    model_input_by_group,
+    texts_in_order,
+)
 from precis.operators.models import Model, summarize
 from precis.operators.rows import (
     drop_incomplete_pairs,
@@ -113,21 +120,31 @@ def summaries_by_group(
 ) -> DataFrame:
     """`(key, part, n, reviews, summary)`: each group's texts and one summary of them all.
 
-    The summary is made from the single sentences, never from the joined text. It then goes to each part of its
-    group, by the key and part number that the texts are already laid out by, so the texts are not moved again.
+    The summary is made from the single sentences, never from the joined text. It then goes to each part of its group
+    as one more row of the grouping that puts the texts together, so the texts are moved once.
     """
-    groups = review_by_group(reviews, key, text, order, min_n, max_part_chars=max_part_chars)
-    large = large_groups(reviews, key, text, max_part_chars)
-    large = F.broadcast(large.select(F.col(key).alias("_large"), "parts"))
     summaries = summarize_extractive(
         reviews, stats, key, text, order, min_tokens=min_tokens, max_tokens=max_tokens
     )
+    large = large_groups(reviews, key, text, max_part_chars).select(F.col(key).alias("_key"), "parts")
     last = F.coalesce(F.col("parts"), F.lit(1)) - 1
-    placed = summaries.join(large, F.col(key).eqNullSafe(F.col("_large")), "left").select(
-        F.col(key).alias("_key"), F.explode(F.sequence(F.lit(0), last)).alias("_part"), "summary"
+    placed = summaries.join(F.broadcast(large), F.col(key).eqNullSafe(F.col("_key")), "left").select(
+        key, F.explode(F.sequence(F.lit(0), last)).alias("part"), "summary"
+    )
+    texts = lay_out(reviews, key, text, order, max_part_chars).withColumn("is_text", F.lit(1))
+    rows = F.count("is_text")
+    return (
+        texts.unionByName(placed, allowMissingColumns=True)
+        .groupBy(key, "part")
+        .agg(
+            F.coalesce(F.max("total"), rows).alias("n"),
+            rows.alias("rows"),
+            texts_in_order().alias("entries"),
+            F.max("summary").alias("summary"),
+        )
+        .filter((F.col("n") >= min_n) & (F.col("rows") > 0))
+        .select(key, "part", "n", concat_texts(F.col("entries.text")).alias("reviews"), "summary")
     )
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("part") == F.col("_part"))
-    return groups.join(placed, same, "left").select(key, "part", "n", "reviews", "summary")
 
 
 def model_summaries_by_group(
