@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from math import isqrt
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -84,13 +85,15 @@ def _places(tokens: list[str]) -> dict[str, int]:
     return places
 
 
-def _open_places(places: dict[str, int], length: int, tokens: list[str]) -> Iterator[int]:
+def _open_places(
+    places: dict[str, int], length: int, tokens: list[str], start: int | None = None
+) -> Iterator[int]:
     """After each of `tokens`, the places of the other side that a longest common subsequence leaves open.
 
     A whole row of the usual table in one number (Crochemore et al. 2001).
     """
     everywhere = (1 << length) - 1
-    still_open = everywhere
+    still_open = everywhere if start is None else start
     for token in tokens:
         hit = still_open & places.get(token, 0)
         still_open = ((still_open + hit) | (still_open - hit)) & everywhere
@@ -105,26 +108,45 @@ def lcs_length(left: list[str], right: list[str]) -> int:
     return len(right) - still_open.bit_count()
 
 
+def _open_places_backwards(places: dict[str, int], length: int, tokens: list[str]) -> Iterator[int]:
+    """The rows of `_open_places` from the last to the one before any token.
+
+    Every so many rows are kept and those between worked out again, so that memory grows with the root of the length.
+    """
+    step = isqrt(len(tokens)) + 1
+    marks = [(1 << length) - 1]
+    for n, still_open in enumerate(_open_places(places, length, tokens), 1):
+        if n % step == 0:
+            marks.append(still_open)
+    for n in range(len(marks) - 1, -1, -1):
+        block = [marks[n]]
+        block.extend(_open_places(places, length, tokens[n * step : (n + 1) * step - 1], marks[n]))
+        yield from reversed(block)
+
+
 def lcs_places(reference: list[str], places: dict[str, int], prediction: list[str]) -> int:
     """The reference places that one longest common subsequence covers, as bits.
 
     Walked back from the end: equal tokens are taken, else the reference steps back unless only stepping back in the
     prediction keeps the length.
     """
-    rows = [(1 << len(reference)) - 1, *_open_places(places, len(reference), prediction)]
+    rows = _open_places_backwards(places, len(reference), prediction)
+    here, before = next(rows), next(rows, 0)
 
-    def length(i: int, j: int) -> int:
-        return i - (rows[j] & ((1 << i) - 1)).bit_count()
+    def length(i: int, row: int) -> int:
+        return i - (row & ((1 << i) - 1)).bit_count()
 
     covered, i, j = 0, len(reference), len(prediction)
     while i > 0 and j > 0:
-        if reference[i - 1] == prediction[j - 1]:
+        taken = reference[i - 1] == prediction[j - 1]
+        back = not taken and length(i, before) > length(i - 1, here)
+        if taken:
             covered |= 1 << (i - 1)
-            i, j = i - 1, j - 1
-        elif length(i, j - 1) > length(i - 1, j):
-            j -= 1
-        else:
+        if taken or not back:
             i -= 1
+        if taken or back:
+            j -= 1
+            here, before = before, next(rows, 0)
     return covered
 
 
