@@ -54,6 +54,9 @@ def truncate_at_sentence(col: Column, max_tokens: int) -> Column:
 
     The fragments are the sentences and the breaks between them, in turn; each costs its number of words. What is
     kept is a prefix of the text, so the fold sums up one length instead of building strings.
+
+    A run that holds `max_tokens` spaces costs more than that, so nothing after that space is kept and no fragment
+    after it needs a look; the fragment the space is in costs too much as far as the space already.
     """
     # A sentence and its break cost at least one each, so later sentences are never reached.
     reach = max_tokens // 2 + 2
@@ -90,7 +93,13 @@ def truncate_at_sentence(col: Column, max_tokens: int) -> Column:
         )
         return strip(F.substring(text, F.lit(1), kept))
 
-    return let(col, lambda text: let(F.split(text, SENTENCE_BREAK, reach), lambda pieces: cut(text, pieces)))
+    def within_reach(text: Column) -> Column:
+        return F.substring(text, F.lit(1), F.length(F.substring_index(text, " ", max_tokens)) + 1)
+
+    return let(
+        let(col, within_reach),
+        lambda text: let(F.split(text, SENTENCE_BREAK, reach), lambda pieces: cut(text, pieces)),
+    )
 
 
 def clean_text(col: Column, max_tokens: int) -> Column:

@@ -91,6 +91,6 @@ def summarize_extractive(
     )
     return (
         taken.groupBy("_key")
-        .agg(F.array_sort(F.collect_list(F.struct(*row, "pos", "kept"))).alias("picked"))
+        .agg(F.sort_array(F.collect_list(F.struct(*row, "pos", "kept"))).alias("picked"))
         .select(F.col("_key").alias(key), F.concat_ws(" ", F.col("picked.kept")).alias("summary"))
     )

@@ -51,7 +51,7 @@ def lay_out(
 def texts_in_order(at: str = "at", text: str = "text") -> Column:
     """Aggregate: the non-null texts as structs, sorted by `at`."""
     entry = F.struct(F.col(at).alias("at"), F.col(text).alias("text"))
-    return F.array_sort(F.collect_list(F.when(F.col(text).isNotNull(), entry)))
+    return F.sort_array(F.collect_list(F.when(F.col(text).isNotNull(), entry)))
 
 
 def collect_texts(

@@ -89,7 +89,7 @@ def encode(
     )
     lists = found.groupBy("_key").agg(
         *[
-            F.array_sort(F.collect_list(F.when(F.col("side") == side, F.struct("at", "id")))).alias(name)
+            F.sort_array(F.collect_list(F.when(F.col("side") == side, F.struct("at", "id")))).alias(name)
             for side, name in enumerate(cols)
         ]
     )
@@ -154,7 +154,7 @@ def decode(
     found = _look_up(ids, vocab, "id", vocab_size)
     lists = found.groupBy("_key").agg(
         *[
-            F.array_sort(F.collect_list(F.when(F.col("side") == side, F.struct("at", "token")))).alias(name)
+            F.sort_array(F.collect_list(F.when(F.col("side") == side, F.struct("at", "token")))).alias(name)
             for side, name in enumerate(cols)
         ]
     )
