@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType
 
 from precis.functions.tokens import (
     END_ID,
@@ -19,7 +22,7 @@ from precis.functions.tokens import (
 )
 
 Tokenizer = Callable[[Column], Column]
-# A vocabulary of this many tokens, some tens of megabytes, is the largest one that is broadcast.
+# A vocabulary of this many tokens, some tens of megabytes, is the largest one that is sent to the executors.
 BROADCAST_TOKENS = 1_000_000
 VOCAB_SIZE = 32_000
 MAX_SOURCE_LENGTH = 1024
@@ -39,16 +42,43 @@ def build_vocab(df: DataFrame, text: str, size: int = VOCAB_SIZE, tokenize: Toke
     return top.select("token", (rank + (FIRST_TOKEN_ID - 1)).cast("int").alias("id"), "count")
 
 
-def _look_up(rows: DataFrame, vocab: DataFrame, on: str, vocab_size: int) -> DataFrame:
-    """`rows` with the vocabulary's other column, null where there is none.
+def _bounded(vocab: DataFrame, vocab_size: int) -> DataFrame:
+    """Ids are distinct, so keeping those below a limit proves a limit on the rows."""
+    return vocab.select("token", "id").filter(F.col("id") < FIRST_TOKEN_ID + vocab_size)
 
-    Ids are distinct, so keeping those below a limit proves a limit on the rows: the common tokens, below
-    `BROADCAST_TOKENS`, are always broadcast. A larger vocabulary has its rare tokens joined by a shuffle; a token that
-    is frequent here yet rare or missing in the vocabulary is left to adaptive skew handling.
+
+def _array_lookup(
+    vocab: DataFrame, vocab_size: int, source: str, target: str, element: DataType, missing: int | None
+) -> Callable[[Column], Column]:
+    """A column function from arrays of one vocabulary column to arrays of the other.
+
+    The vocabulary, no more than `vocab_size` rows, goes to each executor once. A batch's arrays are looked up as one
+    flat list and cut up again where they were, so rows stay where they are: no token becomes a row of its own.
     """
-    vocab = vocab.select("token", "id").filter(F.col("id") < FIRST_TOKEN_ID + vocab_size)
-    if vocab_size <= BROADCAST_TOKENS:
-        return rows.join(F.broadcast(vocab), on, "left")
+    known = _bounded(vocab, vocab_size).toArrow().combine_chunks()
+    packed = vocab.sparkSession.sparkContext.broadcast(
+        (known.column(source).combine_chunks(), known.column(target).combine_chunks())
+    )
+
+    @F.arrow_udf(ArrayType(element))
+    def look_up(arrays: pa.Array) -> pa.Array:
+        keys, values = packed.value
+        found = values.take(pc.index_in(arrays.flatten(), value_set=keys))
+        if missing is not None:
+            found = found.fill_null(missing)
+        starts = pc.subtract(arrays.offsets, arrays.offsets[0])
+        return pa.ListArray.from_arrays(starts, found)
+
+    return look_up
+
+
+def _joined_lookup(rows: DataFrame, vocab: DataFrame, on: str, vocab_size: int) -> DataFrame:
+    """`rows` with the vocabulary's other column, null where there is none, for a vocabulary too large to send whole.
+
+    The common tokens, below `BROADCAST_TOKENS`, are broadcast and the rare ones joined by a shuffle; a token that is
+    frequent here yet rare or missing in the vocabulary is left to adaptive skew handling.
+    """
+    vocab = _bounded(vocab, vocab_size)
     limit = FIRST_TOKEN_ID + BROADCAST_TOKENS
     common = F.broadcast(vocab.filter(F.col("id") < limit))
     rare = vocab.filter(F.col("id") >= limit)
@@ -58,6 +88,20 @@ def _look_up(rows: DataFrame, vocab: DataFrame, on: str, vocab_size: int) -> Dat
     return rows.join(common, on, "inner").unionByName(left.join(rare, on, "left")).unionByName(blank)
 
 
+def _lists_by_join(
+    df: DataFrame, vocab: DataFrame, key: str, arrays: dict[str, Column], source: str, target: str, vocab_size: int
+) -> DataFrame:
+    """`_key` and each array with its elements looked up, null where unknown: one lookup and one grouping for all."""
+    places = [F.transform(array, _placed(side, source)) for side, array in enumerate(arrays.values())]
+    rows = df.select(F.col(key).alias("_key"), F.inline_outer(F.concat(*places)))
+    found = _joined_lookup(rows, vocab, source, vocab_size)
+    lists = [
+        F.sort_array(F.collect_list(F.when(F.col("side") == side, F.struct("at", target)))).alias(name)
+        for side, name in enumerate(arrays)
+    ]
+    return found.groupBy("_key").agg(*lists).select("_key", *[F.col(f"{n}.{target}").alias(n) for n in arrays])
+
+
 def _placed(side: int, name: str) -> Callable[[Column, Column], Column]:
     """For `transform`: an element with the number of its array and its place in it."""
     return lambda item, at: F.struct(F.lit(side).alias("side"), at.cast("int").alias("at"), item.alias(name))
@@ -73,30 +117,24 @@ def encode(
 ) -> DataFrame:
     """`key` and an id array per entry of `cols`, which maps the new name to (text column, longest length).
 
-    Each array ends in the end id and has no more than its length, that id included. `key` must name each row. All
-    columns go through one lookup and one grouping; a row's tokens are cut to length before they become rows.
+    Each array ends in the end id and has no more than its length, that id included. `key` must name each row. Only
+    the first `vocab_size` ids are used.
     """
-    sides = [
-        F.transform(
-            F.slice(tokenize(F.coalesce(F.col(text), F.lit(""))), 1, length - 1),
-            _placed(side, "token"),
-        )
-        for side, (text, length) in enumerate(cols.values())
-    ]
-    tokens = df.select(F.col(key).alias("_key"), F.inline_outer(F.concat(*sides)))
-    found = _look_up(tokens, vocab, "token", vocab_size).withColumn(
-        "id", F.when(F.col("token").isNotNull(), F.coalesce("id", F.lit(UNKNOWN_ID)))
-    )
-    lists = found.groupBy("_key").agg(
-        *[
-            F.sort_array(F.collect_list(F.when(F.col("side") == side, F.struct("at", "id")))).alias(name)
-            for side, name in enumerate(cols)
-        ]
-    )
-    return lists.select(
-        F.col("_key").alias(key),
-        *[F.concat(F.col(f"{name}.id"), F.array(F.lit(END_ID))).alias(name) for name in cols],
-    )
+    arrays = {
+        name: F.slice(tokenize(F.coalesce(F.col(text), F.lit(""))), 1, length - 1)
+        for name, (text, length) in cols.items()
+    }
+    if vocab_size <= BROADCAST_TOKENS:
+        to_ids = _array_lookup(vocab, vocab_size, "token", "id", IntegerType(), UNKNOWN_ID)
+        lists = df.select(F.col(key).alias("_key"), *[to_ids(array).alias(name) for name, array in arrays.items()])
+    else:
+        lists = _lists_by_join(df, vocab, key, arrays, "token", "id", vocab_size)
+
+    def ids(name: str) -> Column:
+        known = F.transform(F.col(name), lambda i: F.coalesce(i, F.lit(UNKNOWN_ID)))
+        return F.concat(F.col(name) if vocab_size <= BROADCAST_TOKENS else known, F.array(F.lit(END_ID)))
+
+    return lists.select(F.col("_key").alias(key), *[ids(name).alias(name) for name in cols])
 
 
 def encode_pairs(
@@ -140,24 +178,16 @@ def decode(
     df: DataFrame, vocab: DataFrame, key: str, cols: list[str], vocab_size: int = VOCAB_SIZE
 ) -> DataFrame:
     """`key` and the text of each id array: special ids dropped, tokens joined by a space."""
-    sides = [
-        F.filter(
-            F.transform(
-                unmask_labels(F.coalesce(F.col(name), F.array().cast("array<int>")), PAD_ID),
-                _placed(side, "id"),
-            ),
-            lambda entry: entry["id"] >= FIRST_TOKEN_ID,
+    arrays = {
+        name: F.filter(
+            unmask_labels(F.coalesce(F.col(name), F.array().cast("array<int>")), PAD_ID),
+            lambda i: i >= FIRST_TOKEN_ID,
         )
-        for side, name in enumerate(cols)
-    ]
-    ids = df.select(F.col(key).alias("_key"), F.inline_outer(F.concat(*sides)))
-    found = _look_up(ids, vocab, "id", vocab_size)
-    lists = found.groupBy("_key").agg(
-        *[
-            F.sort_array(F.collect_list(F.when(F.col("side") == side, F.struct("at", "token")))).alias(name)
-            for side, name in enumerate(cols)
-        ]
-    )
-    return lists.select(
-        F.col("_key").alias(key), *[F.concat_ws(" ", F.col(f"{name}.token")).alias(name) for name in cols]
-    )
+        for name in cols
+    }
+    if vocab_size <= BROADCAST_TOKENS:
+        to_tokens = _array_lookup(vocab, vocab_size, "id", "token", StringType(), None)
+        lists = df.select(F.col(key).alias("_key"), *[to_tokens(array).alias(name) for name, array in arrays.items()])
+    else:
+        lists = _lists_by_join(df, vocab, key, arrays, "id", "token", vocab_size)
+    return lists.select(F.col("_key").alias(key), *[F.concat_ws(" ", F.col(name)).alias(name) for name in cols])

@@ -100,6 +100,22 @@ def rouge_n(n: int) -> str:
                  FROM pairs LEFT JOIN sums USING (conv_id, turn))"""
 
 
+ROUGE_L = f"""
+      WITH RECURSIVE pairs AS ({ANSWERS}),
+      tokens AS (SELECT conv_id, turn, {TOKENS.format("prediction")} AS a, {TOKENS.format("reference")} AS b FROM pairs),
+      steps AS (SELECT conv_id, turn, 0 AS i, list_resize([]::INTEGER[], (len(b) + 1)::BIGINT, 0) AS r FROM tokens
+                UNION ALL
+                SELECT conv_id, turn, i, list_transform(range(1, len(c) + 1), lambda j: list_max(c[1:j])) FROM (
+                  SELECT s.conv_id, s.turn, s.i + 1 AS i, list_transform(range(0, len(b) + 1), lambda j:
+                    CASE WHEN j = 0 THEN 0 WHEN b[j] = a[s.i + 1] THEN r[j] + 1 ELSE r[j + 1] END) AS c
+                  FROM steps s JOIN tokens t ON t.conv_id = s.conv_id AND t.turn = s.turn WHERE s.i < len(a))),
+      lengths AS (SELECT t.conv_id, t.turn, r[len(b) + 1]::DOUBLE AS h, len(a)::DOUBLE AS p, len(b)::DOUBLE AS r
+                  FROM tokens t JOIN steps s ON s.conv_id = t.conv_id AND s.turn = t.turn AND s.i = len(a))
+      SELECT conv_id, turn, CASE WHEN p > 0 AND r > 0 THEN h / p ELSE 0 END AS precision,
+      CASE WHEN p > 0 AND r > 0 THEN h / r ELSE 0 END AS recall,
+      CASE WHEN p > 0 AND r > 0 THEN 2 * h / (p + r) ELSE 0 END AS f1 FROM lengths"""
+
+
 def word_stats(source: str) -> str:
     return f"""
       stats AS (SELECT token, count(*) AS count FROM (SELECT unnest({TOKENS.format("text")}) AS token FROM {source})
@@ -230,6 +246,7 @@ ORACLE: dict[str, str] = {
     "newline_sentences": f"SELECT doc_id, {LINES.format('text')} AS text FROM documents",
     "rouge_1": f"{rouge_n(1)} SELECT * FROM scored",
     "rouge_2": f"{rouge_n(2)} SELECT * FROM scored",
+    "rouge_l": ROUGE_L,
     "fit_word_stats": f"""WITH {word_stats("documents")}
         SELECT token, count, count / (SELECT sum(count)::BIGINT FROM stats) AS p FROM stats""",
     "summarize": f"SELECT doc_id, {lead('text')} AS summary FROM documents",

@@ -248,20 +248,24 @@ def _vocab(docs: DataFrame, size: int = 2000) -> DataFrame:
     return vocabulary.build_vocab(docs, "text", size)
 
 
+def _saved_vocab(docs: DataFrame) -> DataFrame:
+    return stored(_vocab(docs), "vocab")
+
+
 def build_vocab(spark: SparkSession, sf: str) -> DataFrame:
     return _vocab(documents(spark, sf))
 
 
 def encode(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
-    ids = vocabulary.encode(docs, _vocab(docs), "doc_id", {"input_ids": ("text", 1024)}, 2000)
+    ids = vocabulary.encode(docs, _saved_vocab(docs), "doc_id", {"input_ids": ("text", 1024)}, 2000)
     return ids.select("doc_id", flat(F.col("input_ids")).alias("input_ids"))
 
 
 def encode_pairs(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
     pairs = docs.select("doc_id", "text", txt.first_words(F.col("text"), 9).alias("summary"))
-    ids = vocabulary.encode_pairs(pairs, _vocab(docs), "doc_id", 64, 8, pad_to_max_length=True, vocab_size=2000)
+    ids = vocabulary.encode_pairs(pairs, _saved_vocab(docs), "doc_id", 64, 8, pad_to_max_length=True, vocab_size=2000)
     return ids.select("doc_id", flat(F.col("input_ids")).alias("input_ids"), flat(F.col("labels")).alias("labels"))
 
 
@@ -288,7 +292,7 @@ def _few_words() -> Column:
 def pad_batches(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
     pairs = docs.select("doc_id", "text", txt.first_words(F.col("text"), 9).alias("summary"))
-    ids = vocabulary.encode_pairs(pairs, _vocab(docs), "doc_id", 64, 8, vocab_size=2000)
+    ids = vocabulary.encode_pairs(pairs, _saved_vocab(docs), "doc_id", 64, 8, vocab_size=2000)
     padded = batches.pad_batches(ids, "doc_id", 8, multiple_of=8, buckets=4)
     return padded.select(
         "doc_id", "bucket", "batch", flat(F.col("input_ids")).alias("input_ids"), flat(F.col("labels")).alias("labels")
@@ -297,7 +301,7 @@ def pad_batches(spark: SparkSession, sf: str) -> DataFrame:
 
 def decode(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
-    vocab = _vocab(docs)
+    vocab = _saved_vocab(docs)
     ids = vocabulary.encode(docs, vocab, "doc_id", {"input_ids": ("text", 64)}, 2000)
     padded = ids.select("doc_id", tok.mask_labels(tok.pad_to_length(F.col("input_ids"), 64)).alias("input_ids"))
     return vocabulary.decode(padded, vocab, "doc_id", ["input_ids"], 2000).withColumnRenamed("input_ids", "text")
@@ -334,7 +338,7 @@ def rouge_lsum(spark: SparkSession, sf: str) -> DataFrame:
 def evaluate(spark: SparkSession, sf: str) -> DataFrame:
     """Answers scored from ids: encoded, padded, masked, decoded, scored, averaged per kind of conversation."""
     pairs = answers(spark, sf).withColumn("id", F.concat_ws("-", "conv_id", "turn"))
-    vocab = vocabulary.build_vocab(table(spark, sf, "conversations"), "text", 2000)
+    vocab = _saved_vocab(table(spark, sf, "conversations"))
     sides = {"prediction_ids": ("prediction", 128), "labels": ("reference", 128)}
     ids = vocabulary.encode(pairs, vocab, "id", sides, 2000)
     split = F.when(F.substring_index("id", "-", -1) == "1", "first").otherwise("later")
@@ -403,8 +407,8 @@ def prepare_reviews(spark: SparkSession, sf: str) -> DataFrame:
 def summarize_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as a stream of files through the model; the result is the sink's table."""
     out = scratch_folder(spark, "stream")
-    schema = spark.read.parquet(f"{sf}/documents.parquet").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
+    path = f"{sf}/document[s].parquet"  # a pattern: a stream takes a single file by no other path
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
     query = streaming.summarize_stream(
         stream.select("doc_id", "text"), "text", lead_words, f"{out}/sink", f"{out}/checkpoint", available_now=True
     )
