@@ -13,27 +13,24 @@ from math import isqrt
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from precis.functions.text import let, newline_sentences
 from precis.functions.tokens import ngrams, word_tokens
 from precis.operators.vocabulary import Tokenizer
 
 
-def precision_recall_f1(hits: Column, predicted: Column, expected: Column) -> Column:
-    """The three scores from whole numbers: F1 is 2 * hits / (predicted + expected)."""
+def precision_recall_f1(n: Column) -> Column:
+    """The three scores from a struct of whole numbers: `hits`, `predicted`, `expected`; F1 is 2 hits / (p + e)."""
 
-    def scores(n: Column) -> Column:
-        def share(of: Column, total: Column) -> Column:
-            return F.when((n["predicted"] > 0) & (n["expected"] > 0), of / total).otherwise(F.lit(0.0))
+    def share(of: Column, total: Column) -> Column:
+        return F.when((n["predicted"] > 0) & (n["expected"] > 0), of / total).otherwise(F.lit(0.0))
 
-        return F.struct(
-            share(n["hits"], n["predicted"]).alias("precision"),
-            share(n["hits"], n["expected"]).alias("recall"),
-            share(2 * n["hits"], n["predicted"] + n["expected"]).alias("f1"),
-        )
-
-    return let(F.struct(hits.alias("hits"), predicted.alias("predicted"), expected.alias("expected")), scores)
+    return F.struct(
+        share(n["hits"], n["predicted"]).alias("precision"),
+        share(n["hits"], n["expected"]).alias("recall"),
+        share(2 * n["hits"], n["predicted"] + n["expected"]).alias("f1"),
+    )
 
 
 def number_repeats(items: Column) -> Column:
@@ -66,15 +63,18 @@ def overlap(left: Column, right: Column) -> Column:
     return F.size(F.array_intersect(number_repeats(left), number_repeats(right)))
 
 
-def rouge_n(prediction: Column, reference: Column, n: int, tokenize: Tokenizer = word_tokens) -> Column:
-    """Shared n-grams."""
-    return let(
-        ngrams(tokenize(F.coalesce(prediction, F.lit(""))), n),
-        lambda predicted: let(
-            ngrams(tokenize(F.coalesce(reference, F.lit(""))), n),
-            lambda expected: precision_recall_f1(overlap(predicted, expected), F.size(predicted), F.size(expected)),
-        ),
-    )
+def ngram_scores(predicted: Column, expected: Column, n: int) -> Column:
+    """Shared n-grams of two token arrays."""
+
+    def count(sides: Column) -> Column:
+        return F.struct(
+            overlap(sides["predicted"], sides["expected"]).alias("hits"),
+            F.size(sides["predicted"]).alias("predicted"),
+            F.size(sides["expected"]).alias("expected"),
+        )
+
+    sides = F.struct(ngrams(predicted, n).alias("predicted"), ngrams(expected, n).alias("expected"))
+    return let(let(sides, count), precision_recall_f1)
 
 
 def _places(tokens: list[str]) -> dict[str, int]:
@@ -165,40 +165,64 @@ def union_lcs_hits(predicted: list[list[str]], expected: list[list[str]]) -> int
     return sum(min(times, available[token]) for token, times in covered.items())
 
 
-@F.pandas_udf(IntegerType())
-def _lcs(predicted: pd.Series, expected: pd.Series) -> pd.Series:
-    return pd.Series([lcs_length(list(p), list(e)) for p, e in zip(predicted, expected, strict=True)], dtype="int32")
+SCORES = StructType([StructField(name, DoubleType()) for name in ("precision", "recall", "f1")])
 
 
-@F.pandas_udf(IntegerType())
-def _union_lcs(predicted: pd.Series, expected: pd.Series) -> pd.Series:
-    return pd.Series(
-        [
-            union_lcs_hits([list(s) for s in p], [list(s) for s in e])
-            for p, e in zip(predicted, expected, strict=True)
-        ],
-        dtype="int32",
+def _shares(hits: list[int], predicted: list[int], expected: list[int]) -> pd.DataFrame:
+    """The three scores per row; zero where a side is empty."""
+    n = pd.DataFrame({"hits": hits, "predicted": predicted, "expected": expected}, dtype="float64")
+    both = (n["predicted"] > 0) & (n["expected"] > 0)
+    return pd.DataFrame(
+        {
+            "precision": (n["hits"] / n["predicted"]).where(both, 0.0),
+            "recall": (n["hits"] / n["expected"]).where(both, 0.0),
+            "f1": (2 * n["hits"] / (n["predicted"] + n["expected"])).where(both, 0.0),
+        }
     )
 
 
-def _sentence_tokens(text: Column, tokenize: Tokenizer) -> Column:
-    lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
-    return F.filter(F.transform(lines, tokenize), lambda tokens: F.size(tokens) > 0)
+@F.pandas_udf(SCORES)
+def lcs_scores(predicted: pd.Series, expected: pd.Series) -> pd.DataFrame:
+    """Longest common subsequence of two token arrays."""
+    pairs = [(list(p), list(e)) for p, e in zip(predicted, expected, strict=True)]
+    return _shares([lcs_length(p, e) for p, e in pairs], [len(p) for p, _ in pairs], [len(e) for _, e in pairs])
+
+
+@F.pandas_udf(SCORES)
+def union_lcs_scores(predicted: pd.Series, expected: pd.Series) -> pd.DataFrame:
+    """Union of the longest common subsequences per reference sentence, of two arrays of token arrays."""
+    pairs = [([list(s) for s in p], [list(s) for s in e]) for p, e in zip(predicted, expected, strict=True)]
+    return _shares(
+        [union_lcs_hits(p, e) for p, e in pairs],
+        [sum(map(len, p)) for p, _ in pairs],
+        [sum(map(len, e)) for _, e in pairs],
+    )
+
+
+def tokens_of(text: Column, tokenize: Tokenizer = word_tokens) -> Column:
+    """Tokens of a text; none of null."""
+    return tokenize(F.coalesce(text, F.lit("")))
+
+
+def tokens_per_line(text: Column, tokenize: Tokenizer = word_tokens) -> Column:
+    """Token arrays of a text's lines, those without a token left out."""
+    lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), tokenize)
+    return F.filter(lines, lambda tokens: F.size(tokens) > 0)
+
+
+def rouge_n(prediction: Column, reference: Column, n: int, tokenize: Tokenizer = word_tokens) -> Column:
+    """Shared n-grams of two texts."""
+    return ngram_scores(tokens_of(prediction, tokenize), tokens_of(reference, tokenize), n)
 
 
 def rouge_l(prediction: Column, reference: Column, tokenize: Tokenizer = word_tokens) -> Column:
     """Longest common subsequence of the whole texts."""
-    predicted = tokenize(F.coalesce(prediction, F.lit("")))
-    expected = tokenize(F.coalesce(reference, F.lit("")))
-    return precision_recall_f1(_lcs(predicted, expected), F.size(predicted), F.size(expected))
+    return lcs_scores(tokens_of(prediction, tokenize), tokens_of(reference, tokenize))
 
 
 def rouge_lsum(prediction: Column, reference: Column, tokenize: Tokenizer = word_tokens) -> Column:
     """Union of the longest common subsequences per reference sentence; sentences stand on lines of their own."""
-    predicted, expected = _sentence_tokens(prediction, tokenize), _sentence_tokens(reference, tokenize)
-    return precision_recall_f1(
-        _union_lcs(predicted, expected), F.size(F.flatten(predicted)), F.size(F.flatten(expected))
-    )
+    return union_lcs_scores(tokens_per_line(prediction, tokenize), tokens_per_line(reference, tokenize))
 
 
 def score_texts(
@@ -206,17 +230,20 @@ def score_texts(
 ) -> DataFrame:
     """`rouge1`, `rouge2`, `rougeL` and `rougeLsum` (F1) added to each row.
 
-    `sentences` puts each sentence on its own line first, which the last score needs.
+    `sentences` puts each sentence on its own line first, which the last score needs. Each text is cut into tokens
+    once for all four.
     """
-    sides = {"_prediction": prediction, "_reference": reference}
-    for name, col in sides.items():
-        text = F.coalesce(F.col(col), F.lit(""))
-        df = df.withColumn(name, newline_sentences(text) if sentences else text)
-    p, r = F.col("_prediction"), F.col("_reference")
+    kept = df.columns
+    for side, col in (("predicted", prediction), ("expected", reference)):
+        text = newline_sentences(F.col(col)) if sentences else F.col(col)
+        df = df.withColumn(f"_{side}_lines", tokens_per_line(text, tokenize))
+    for side in ("predicted", "expected"):
+        df = df.withColumn(f"_{side}", F.flatten(f"_{side}_lines"))
+    predicted, expected = F.col("_predicted"), F.col("_expected")
     return df.select(
-        *[c for c in df.columns if c not in sides],
-        rouge_n(p, r, 1, tokenize)["f1"].alias("rouge1"),
-        rouge_n(p, r, 2, tokenize)["f1"].alias("rouge2"),
-        rouge_l(p, r, tokenize)["f1"].alias("rougeL"),
-        rouge_lsum(p, r, tokenize)["f1"].alias("rougeLsum"),
+        *kept,
+        ngram_scores(predicted, expected, 1)["f1"].alias("rouge1"),
+        ngram_scores(predicted, expected, 2)["f1"].alias("rouge2"),
+        lcs_scores(predicted, expected)["f1"].alias("rougeL"),
+        union_lcs_scores("_predicted_lines", "_expected_lines")["f1"].alias("rougeLsum"),
     )

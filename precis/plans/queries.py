@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from precis.functions import stemming
 from precis.functions import text as txt
 from precis.functions import tokens as tok
 from precis.operators import batches, cleaning, evaluation, extractive, groups, models, rouge, rows, sampling, vocabulary
@@ -326,6 +327,11 @@ def rouge_2(spark: SparkSession, sf: str) -> DataFrame:
     return _scores(answers(spark, sf), rouge.rouge_n(F.col("prediction"), F.col("reference"), 2))
 
 
+def rouge_1_stemmed(spark: SparkSession, sf: str) -> DataFrame:
+    sides = F.col("prediction"), F.col("reference")
+    return _scores(answers(spark, sf), rouge.rouge_n(*sides, 1, stemming.stemmed_tokens))
+
+
 def rouge_l(spark: SparkSession, sf: str) -> DataFrame:
     return _scores(answers(spark, sf), rouge.rouge_l(F.col("prediction"), F.col("reference")))
 
@@ -470,6 +476,7 @@ QUERIES: dict[str, Query] = {
         newline_sentences,
         rouge_1,
         rouge_2,
+        rouge_1_stemmed,
         rouge_l,
         rouge_lsum,
         evaluate,

@@ -57,6 +57,27 @@ def test_lcs_against_brute_force():
         assert best == 0 or picked in set(combinations(b, best))
 
 
+def test_ties_step_back_in_the_reference():
+    """Against the table of lengths, walked back by the stated rule."""
+    rng = random.Random(8)
+    for _ in range(400):
+        ref, pred = ([rng.choice("abcd") for _ in range(rng.randint(0, 20))] for _ in range(2))
+        best = [[0] * (len(pred) + 1) for _ in range(len(ref) + 1)]
+        for i, r in enumerate(ref):
+            for j, p in enumerate(pred):
+                best[i + 1][j + 1] = best[i][j] + 1 if r == p else max(best[i][j + 1], best[i + 1][j])
+        want, i, j = 0, len(ref), len(pred)
+        while i and j:
+            if ref[i - 1] == pred[j - 1]:
+                i, j = i - 1, j - 1
+                want |= 1 << i
+            elif best[i][j - 1] > best[i - 1][j]:
+                j -= 1
+            else:
+                i -= 1
+        assert rouge.lcs_places(ref, rouge._places(ref), pred) == want
+
+
 def test_union_of_subsequences():
     """Lin's example: of w1..w5 the two predictions cover w1 w2 and w1 w3 w5, four words together."""
     expected = [["w1", "w2", "w3", "w4", "w5"]]
