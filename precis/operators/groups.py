@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from precis.functions.text import words
 from precis.operators.sampling import key_hash
 
-MAX_PART_CHARS = 64 * 1024 * 1024
+MAX_PART_CHARS = 32 * 1024 * 1024
 # A group is cut down by this many tasks before one task sees it.
 SALTS = 256
 
@@ -22,7 +22,7 @@ SALTS = 256
 def large_groups(df: DataFrame, key: str, text: str, max_part_chars: int = MAX_PART_CHARS) -> DataFrame:
     """`(key, n, parts)` of the groups that need more than one part.
 
-    At most one row per `max_part_chars` characters of input (1.6 million for 100 TB), which is what makes it fit
+    At most one row per `max_part_chars` characters of input (3 million small rows for 100 TB), which is what makes it fit
     for a broadcast. The sums are combined before the shuffle, so a hot group costs one row per input task.
     """
     chars = F.sum(F.coalesce(F.length(text), F.lit(0)) + F.lit(1))
@@ -126,7 +126,7 @@ def model_input_by_group(
     rows = df.select(F.col(key).alias("_key"), F.col(order).alias("at"), F.col(text).alias("text"))
     before = Window.partitionBy("_key").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     cost = F.size(F.filter(words(F.col("text")), lambda word: F.length(word) > 0))
-    filled = rows.withColumn("cost", cost).filter(F.col("cost") > 0)
+    filled = rows.filter(F.trim("text") != "").withColumn("cost", cost)
     taken = (
         first_rows(filled, ["_key"], [F.col("at")], max_tokens)
         .withColumn("before", F.coalesce(F.sum("cost").over(before), F.lit(0)))

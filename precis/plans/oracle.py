@@ -213,7 +213,7 @@ ORACLE: dict[str, str] = {
     "count_rows": "SELECT source, count(*) AS n FROM documents GROUP BY source",
     "min_group_size": "SELECT conv_id, count(*) AS n FROM conversations GROUP BY conv_id HAVING count(*) >= 4",
     "concat_texts": "SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS text FROM conversations GROUP BY conv_id",
-    "review_by_group": f"WITH {parts('documents', 64 * 1024 * 1024)} SELECT source, part, n, reviews FROM parted",
+    "review_by_group": f"WITH {parts('documents', 32 * 1024 * 1024)} SELECT source, part, n, reviews FROM parted",
     "review_by_group_in_parts": f"WITH {parts('documents', 20_000)} SELECT source, part, n, reviews FROM parted",
     "model_input_by_group": f"""{MODEL_INPUT}
         SELECT source, n, coalesce(reviews, '') AS reviews FROM groups LEFT JOIN taken USING (source)""",
@@ -252,7 +252,7 @@ ORACLE: dict[str, str] = {
     "summarize": f"SELECT doc_id, {lead('text')} AS summary FROM documents",
     "summarize_extractive": f"""WITH {word_stats("documents")}, {summaries("documents", "doc_id", "0", "best")}
         SELECT k AS doc_id, summary FROM best""",
-    "summarize_groups": summarized_groups(64 * 1024 * 1024),
+    "summarize_groups": summarized_groups(32 * 1024 * 1024),
     "summarize_groups_in_parts": summarized_groups(5_000),
     "summarize_groups_by_model": f"""{MODEL_INPUT}
         SELECT source, n, {lead("coalesce(reviews, '')")} AS summary FROM groups LEFT JOIN taken USING (source)""",

@@ -14,8 +14,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Rows hold long texts and arrays: smaller batches keep an Arrow batch in tens of megabytes.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    # One hash map entry per text, token or sentence: sorting after the default 128 entries costs more than it saves.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
+    # First rows of a group are cut before the shuffle up to this many; the default is less than a model's input.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "4096",
 }
 
 
