@@ -83,37 +83,42 @@ def joined(col: str) -> str:
     return f"array_to_string({col}, ',')"
 
 
-def rouge_n(n: int) -> str:
+PAIR_TOKENS = f"""
+      pairs AS ({ANSWERS}),
+      tokens AS (SELECT conv_id, turn, {TOKENS.format("prediction")} AS a, {TOKENS.format("reference")} AS b FROM pairs)"""
+SHARES = """CASE WHEN p > 0 AND r > 0 THEN h / p ELSE 0 END AS precision,
+      CASE WHEN p > 0 AND r > 0 THEN h / r ELSE 0 END AS recall,
+      CASE WHEN p > 0 AND r > 0 THEN 2 * h / (p + r) ELSE 0 END AS f1"""
+
+
+def gram_scores(n: int, name: str) -> str:
+    """CTEs up to `name`(conv_id, turn, precision, recall, f1), after `tokens`."""
     gram = " || ' ' || ".join(f"t[i + {k}]" for k in range(n))
     return f"""
-      WITH pairs AS ({ANSWERS}),
-      sides AS (SELECT conv_id, turn, 0 AS side, {TOKENS.format("prediction")} AS t FROM pairs
-                UNION ALL SELECT conv_id, turn, 1, {TOKENS.format("reference")} FROM pairs),
-      places AS (SELECT conv_id, turn, side, t, unnest(range(1, len(t) - {n} + 2)) AS i FROM sides),
-      grams AS (SELECT conv_id, turn, {gram} AS g, count(*) FILTER (WHERE side = 0) AS p,
-                count(*) FILTER (WHERE side = 1) AS r FROM places GROUP BY ALL),
-      sums AS (SELECT conv_id, turn, sum(least(p, r))::DOUBLE AS h, sum(p)::DOUBLE AS p, sum(r)::DOUBLE AS r
-               FROM grams GROUP BY ALL),
-      scored AS (SELECT conv_id, turn, CASE WHEN p > 0 AND r > 0 THEN h / p ELSE 0 END AS precision,
-                 CASE WHEN p > 0 AND r > 0 THEN h / r ELSE 0 END AS recall,
-                 CASE WHEN p > 0 AND r > 0 THEN 2 * h / (p + r) ELSE 0 END AS f1
-                 FROM pairs LEFT JOIN sums USING (conv_id, turn))"""
-
-
-ROUGE_L = f"""
-      WITH RECURSIVE pairs AS ({ANSWERS}),
-      tokens AS (SELECT conv_id, turn, {TOKENS.format("prediction")} AS a, {TOKENS.format("reference")} AS b FROM pairs),
+      {name}_i AS (SELECT conv_id, turn, 0 AS side, a AS t, unnest(range(1, len(a) - {n} + 2)) AS i FROM tokens
+                   UNION ALL SELECT conv_id, turn, 1, b, unnest(range(1, len(b) - {n} + 2)) FROM tokens),
+      {name}_g AS (SELECT conv_id, turn, {gram} AS g, count(*) FILTER (WHERE side = 0) AS p,
+                   count(*) FILTER (WHERE side = 1) AS r FROM {name}_i GROUP BY ALL),
+      {name}_s AS (SELECT conv_id, turn, sum(least(p, r))::DOUBLE AS h, sum(p)::DOUBLE AS p, sum(r)::DOUBLE AS r
+                   FROM {name}_g GROUP BY ALL),
+      {name} AS (SELECT conv_id, turn, {SHARES} FROM tokens LEFT JOIN {name}_s USING (conv_id, turn))"""
+
+
+# The table of lengths row by row: with candidates c, the new row is the running maximum of c.
+LCS_SCORES = f"""
       steps AS (SELECT conv_id, turn, 0 AS i, list_resize([]::INTEGER[], (len(b) + 1)::BIGINT, 0) AS r FROM tokens
                 UNION ALL
                 SELECT conv_id, turn, i, list_transform(range(1, len(c) + 1), lambda j: list_max(c[1:j])) FROM (
                   SELECT s.conv_id, s.turn, s.i + 1 AS i, list_transform(range(0, len(b) + 1), lambda j:
                     CASE WHEN j = 0 THEN 0 WHEN b[j] = a[s.i + 1] THEN r[j] + 1 ELSE r[j + 1] END) AS c
                   FROM steps s JOIN tokens t ON t.conv_id = s.conv_id AND t.turn = s.turn WHERE s.i < len(a))),
-      lengths AS (SELECT t.conv_id, t.turn, r[len(b) + 1]::DOUBLE AS h, len(a)::DOUBLE AS p, len(b)::DOUBLE AS r
-                  FROM tokens t JOIN steps s ON s.conv_id = t.conv_id AND s.turn = t.turn AND s.i = len(a))
-      SELECT conv_id, turn, CASE WHEN p > 0 AND r > 0 THEN h / p ELSE 0 END AS precision,
-      CASE WHEN p > 0 AND r > 0 THEN h / r ELSE 0 END AS recall,
-      CASE WHEN p > 0 AND r > 0 THEN 2 * h / (p + r) ELSE 0 END AS f1 FROM lengths"""
+      lengths AS (SELECT t.conv_id, t.turn, s.r[len(b) + 1]::DOUBLE AS h, len(a)::DOUBLE AS p, len(b)::DOUBLE AS r
+                  FROM tokens t JOIN steps s ON s.conv_id = t.conv_id AND s.turn = t.turn AND s.i = len(a)),
+      lcs AS (SELECT conv_id, turn, {SHARES} FROM lengths)"""
+
+
+def rouge_n(n: int) -> str:
+    return f"WITH {PAIR_TOKENS}, {gram_scores(n, 'scored')}"
 
 
 def word_stats(source: str) -> str:
@@ -246,7 +251,24 @@ ORACLE: dict[str, str] = {
     "newline_sentences": f"SELECT doc_id, {LINES.format('text')} AS text FROM documents",
     "rouge_1": f"{rouge_n(1)} SELECT * FROM scored",
     "rouge_2": f"{rouge_n(2)} SELECT * FROM scored",
-    "rouge_l": ROUGE_L,
+    "rouge_l": f"WITH RECURSIVE {PAIR_TOKENS}, {LCS_SCORES} SELECT * FROM lcs",
+    # Decoded texts have no sentence ends, so the score per sentence is the score of the whole.
+    "evaluate": f"""WITH RECURSIVE pairs AS ({ANSWERS}), {vocab("conversations", 2000)},
+        sides AS (SELECT conv_id, turn, 0 AS side, {TOKENS.format("prediction")}[1:127] AS t FROM pairs
+                  UNION ALL SELECT conv_id, turn, 1, {TOKENS.format("reference")}[1:127] FROM pairs),
+        places AS (SELECT conv_id, turn, side, unnest(t) AS token, generate_subscripts(t, 1) AS i FROM sides),
+        known AS (SELECT conv_id, turn, side, list(token ORDER BY i) AS t FROM places JOIN vocab USING (token)
+                  GROUP BY ALL),
+        tokens AS (SELECT p.conv_id, p.turn, coalesce(x.t, []) AS a, coalesce(y.t, []) AS b, len(s.t) + 1 AS n FROM pairs p
+                   JOIN sides s ON s.conv_id = p.conv_id AND s.turn = p.turn AND s.side = 0
+                   LEFT JOIN known x ON x.conv_id = p.conv_id AND x.turn = p.turn AND x.side = 0
+                   LEFT JOIN known y ON y.conv_id = p.conv_id AND y.turn = p.turn AND y.side = 1),
+        {gram_scores(1, "one")}, {gram_scores(2, "two")}, {LCS_SCORES}
+        SELECT CASE WHEN turn = 1 THEN 'first' ELSE 'later' END AS split, round(avg(one.f1) * 100, 4) AS rouge1,
+        round(avg(two.f1) * 100, 4) AS rouge2, round(avg(lcs.f1) * 100, 4) AS "rougeL",
+        round(avg(lcs.f1) * 100, 4) AS "rougeLsum", avg(n) AS gen_len, count(*) AS samples
+        FROM tokens JOIN one USING (conv_id, turn) JOIN two USING (conv_id, turn) JOIN lcs USING (conv_id, turn)
+        GROUP BY ALL""",
     "fit_word_stats": f"""WITH {word_stats("documents")}
         SELECT token, count, count / (SELECT sum(count)::BIGINT FROM stats) AS p FROM stats""",
     "summarize": f"SELECT doc_id, {lead('text')} AS summary FROM documents",
