@@ -24,7 +24,7 @@ from precis.operators.rows import (
     resolve_columns,
     to_pairs,
 )
-from precis.operators.sampling import random_split, sample_rows
+from precis.operators.sampling import hash_sample, hash_split, random_split, sample_rows
 from precis.sources.pairs import write_metrics, write_pairs_csv, write_predictions
 from precis.sources.reviews import load_cleaned, read_reviews, save_cleaned
 
@@ -38,17 +38,27 @@ def prepare_reviews(
     seed: int = 42,
     quote: str | None = '"',
     partitions: int | None = None,
+    key: str | None = None,
 ) -> dict[str, str]:
     """Raw reviews to a cleaned table and CSV pairs per split; gives the paths.
 
     The cleaned table is stored before it is split: the split then reads the same rows each time, and no text is
-    cleaned twice.
+    cleaned twice. With a row `key`, rows are sampled and split by its hash, which repeats however the files are laid
+    out and writes both splits in one pass; without one, by Spark's generator in a pass and a sort per split.
     """
+    more = [] if key is None else [key]
+    reviews = project_reviews(read_reviews(spark, raw, quote=quote, partitions=partitions), *more)
+    sample = sample_rows(reviews, fraction, seed) if key is None else hash_sample(reviews, key, fraction, seed)
+    save_cleaned(clean_reviews(sample), f"{out}/cleaned")
+    cleaned = load_cleaned(spark, f"{out}/cleaned")
+    if key is not None:
+        # Another seed: the sample has already used up the low hashes of this one.
+        split = hash_split(cleaned, key, train, seed + 1)
+        names = {"split": "split", "review_body": "text", "review_headline": "summary"}
+        write_pairs_csv(split.select(*[F.col(old).alias(new) for old, new in names.items()]), f"{out}/pairs")
+        return {"cleaned": f"{out}/cleaned"} | {s: f"{out}/pairs/split={s}" for s in ("train", "validation")}
     paths = {name: f"{out}/{name}" for name in ("cleaned", "train", "validation")}
-    reviews = project_reviews(read_reviews(spark, raw, quote=quote, partitions=partitions))
-    save_cleaned(clean_reviews(sample_rows(reviews, fraction, seed)), paths["cleaned"])
-    pairs = to_pairs(load_cleaned(spark, paths["cleaned"]))
-    for name, part in zip(("train", "validation"), random_split(pairs, train, seed), strict=True):
+    for name, part in zip(("train", "validation"), random_split(to_pairs(cleaned), train, seed), strict=True):
         write_pairs_csv(part, paths[name])
     return paths
 

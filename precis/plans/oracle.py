@@ -51,13 +51,21 @@ def cleaned(source: str, key: str, col: str, budget: int, name: str) -> str:
 
 CLEAN_DOCUMENTS = f"""{cleaned("SELECT doc_id, text FROM documents", "doc_id", "text", 100, "clean")},
       docs AS (SELECT doc_id, source, c.text FROM documents JOIN clean c ON c.k = doc_id WHERE length(c.text) > 0)"""
-CLEAN_PAGES = f"""WITH {cleaned(PAGES, "page_id", "review_headline", 20, "h")},
-      {cleaned(PAGES, "page_id", "review_body", 100, "b")},
+
+
+def clean_pages(pages: str) -> str:
+    return f"""WITH {cleaned(pages, "page_id", "review_headline", 20, "h")},
+      {cleaned(pages, "page_id", "review_body", 100, "b")},
       reviews AS (SELECT page_id, product_id, h.text AS review_headline, b.text AS review_body
-                  FROM ({PAGES}) JOIN h ON h.k = page_id JOIN b ON b.k = page_id
+                  FROM ({pages}) JOIN h ON h.k = page_id JOIN b ON b.k = page_id
                   WHERE length(h.text) > 0 AND length(b.text) > 0)"""
 
 
+CLEAN_PAGES = clean_pages(PAGES)
+# Tabs and line breaks cannot stand in a field of a tab-separated file.
+RAW_PAGES = clean_pages(PAGES.replace("html AS", "regexp_replace(html, '[\\t\\r\\n]+', ' ', 'g') AS"))
+
+
 def vocab(source: str, size: int) -> str:
     return f"""
       counted AS (SELECT token, count(*) AS count FROM (SELECT unnest({TOKENS.format("text")}) AS token FROM {source})
@@ -282,9 +290,11 @@ ORACLE: dict[str, str] = {
         train AS (SELECT * FROM split WHERE split = 'train'), test AS (SELECT * FROM split WHERE split = 'test'),
         {word_stats("train")}, {summaries("test", "doc_id", "0", "best")}
         SELECT trim(summary) AS value FROM best""",
-    "prepare_reviews": f"""{CLEAN_PAGES.replace("html AS review_body", "regexp_replace(html, '[" + chr(92) + "t"
-        + chr(92) + "r" + chr(92) + "n]+', ' ', 'g') AS review_body")}
-        SELECT review_body AS text, review_headline AS summary FROM reviews""",
+    "prepare_reviews": f"{RAW_PAGES} SELECT review_body AS text, review_headline AS summary FROM reviews",
+    "prepare_reviews_by_key": f"""{RAW_PAGES}
+        SELECT CASE WHEN {HASH.format("page_id").replace("42:", "43:")} < 0.8 * 4294967296 THEN 'train'
+        ELSE 'validation' END AS split, review_body AS text, review_headline AS summary FROM reviews
+        WHERE {HASH.format("page_id")} < 0.5 * 4294967296""",
     "summarize_stream": f"SELECT doc_id, {lead('text')} AS summary FROM documents",
     "map_batches": """SELECT doc_id, len(string_split(text, ' '))::BIGINT AS words FROM documents
         WHERE length(text) >= 500""",

@@ -397,19 +397,33 @@ def predict(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.text(paths["predictions"]).select("value")
 
 
+def _raw_reviews(spark: SparkSession, sf: str, path: str) -> str:
+    """The page reviews as gzipped tab-separated files."""
+    plain = F.regexp_replace("review_body", "[\t\r\n]+", " ").alias("review_body")
+    raw = page_reviews(spark, sf).select("page_id", "product_id", "review_headline", plain)
+    options = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    raw.write.options(sep="\t", header=True, quote="", compression="gzip", **options).csv(path)
+    return path
+
+
 def prepare_reviews(spark: SparkSession, sf: str) -> DataFrame:
     """The whole first flow on all rows; the result is both CSV folders put together."""
     out = scratch_folder(spark, "prepare")
-    plain = F.regexp_replace("review_body", "[\t\r\n]+", " ").alias("review_body")
-    raw = page_reviews(spark, sf).select("product_id", "review_headline", plain)
-    options = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    raw.write.options(sep="\t", header=True, quote="", compression="gzip", **options).csv(f"{out}/raw")
-    paths = flows.prepare_reviews(spark, f"{out}/raw", out, fraction=1.0, quote="")
+    paths = flows.prepare_reviews(spark, _raw_reviews(spark, sf, f"{out}/raw"), out, fraction=1.0, quote="")
     folders = {"train": "csv", "validation": "csv"}
     both = pair_files.read_pairs(spark, paths["train"], paths["validation"], formats=folders)
     return both.select("text", "summary")
 
 
+def prepare_reviews_by_key(spark: SparkSession, sf: str) -> DataFrame:
+    """The same on half the rows, sampled and split by the page's id."""
+    out = scratch_folder(spark, "prepare")
+    raw = _raw_reviews(spark, sf, f"{out}/raw")
+    paths = flows.prepare_reviews(spark, raw, out, fraction=0.5, quote="", key="page_id")
+    folders = {"train": "csv", "validation": "csv"}
+    return pair_files.read_pairs(spark, paths["train"], paths["validation"], formats=folders)
+
+
 def summarize_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as a stream of files through the model; the result is the sink's table."""
     out = scratch_folder(spark, "stream")
@@ -488,6 +502,7 @@ QUERIES: dict[str, Query] = {
         summarize_groups_by_model,
         predict,
         prepare_reviews,
+        prepare_reviews_by_key,
         summarize_stream,
         map_batches,
     )

@@ -90,6 +90,19 @@ def test_prepare_reviews(spark, tmp_path):
     assert both.select("text", "summary").exceptAll(cleaned.select("review_body", "review_headline")).count() == 0
 
 
+def test_prepare_reviews_by_key(spark, tmp_path):
+    """A sample by hash is split by another hash: both splits are there in their shares."""
+    raw = tmp_path / "raw.tsv"
+    lines = [f"r{i}\tp\thead {i}\tbody {i}\n" for i in range(2000)]
+    raw.write_text("review_id\tproduct_id\treview_headline\treview_body\n" + "".join(lines))
+    paths = flows.prepare_reviews(spark, str(raw), str(tmp_path / "out"), fraction=0.5, key="review_id")
+    formats = {"train": "csv", "validation": "csv"}
+    both = pairs.read_pairs(spark, paths["train"], paths["validation"], formats=formats)
+    counts = dict(map(tuple, both.groupBy("split").count().collect()))
+    assert 900 < sum(counts.values()) < 1100
+    assert 0.75 < counts["train"] / sum(counts.values()) < 0.85
+
+
 def test_stream_gives_each_text_once_over_restarts(spark, tmp_path):
     source, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
 
