@@ -23,13 +23,13 @@ def large_groups(df: DataFrame, key: str, text: str, max_part_chars: int = MAX_P
     """`(key, n, parts)` of the groups that need more than one part.
 
     At most one row per `max_part_chars` characters of input (3 million small rows for 100 TB), which is what makes it fit
-    for a broadcast. The sums are combined before the shuffle, so a hot group costs one row per input task.
+    for a broadcast. A single row cannot be divided. The sums are combined before the shuffle, so a hot group costs one row per input task.
     """
     chars = F.sum(F.coalesce(F.length(text), F.lit(0)) + F.lit(1))
     return (
         df.groupBy(key)
         .agg(F.count("*").alias("n"), chars.alias("chars"))
-        .filter(F.col("chars") > max_part_chars)
+        .filter((F.col("chars") > max_part_chars) & (F.col("n") > 1))
         .select(key, "n", F.ceil(F.col("chars") / max_part_chars).cast("int").alias("parts"))
     )
 

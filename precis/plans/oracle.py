@@ -156,7 +156,7 @@ def parts(source: str, limit: int) -> str:
     """CTEs up to `parted`(source, part, n, reviews)."""
     return f"""
       sized AS (SELECT source, count(*) AS n, sum(length(text) + 1) AS chars FROM {source} GROUP BY source),
-      parted AS (SELECT source, CASE WHEN chars > {limit}
+      parted AS (SELECT source, CASE WHEN chars > {limit} AND n > 1
                         THEN ({HASH.format("doc_id")} % ceil(chars / {limit})::BIGINT)::INTEGER ELSE 0 END AS part,
                  n, string_agg(text, ' ' ORDER BY doc_id) AS reviews
                  FROM {source} JOIN sized USING (source) WHERE n >= 10 GROUP BY ALL)"""

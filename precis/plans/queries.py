@@ -18,13 +18,14 @@ from precis.sources import reviews as review_files
 from precis.streaming import summaries as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
-KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "labels": "doc_id", "benchmark": "item_id"}
+# What names a row of each table.
+KEYS = {"documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id", "turn"]}
 # Joins the pieces of arrays for output; occurs in no text.
 UNIT = "\x1f"
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf}/{name}.parquet"), KEYS[name])
+    return spread(spark.read.parquet(f"{sf}/{name}.parquet"), *KEYS[name])
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:

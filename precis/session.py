@@ -45,14 +45,14 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame, *key: str) -> DataFrame:
     """A scan of fewer splits than cores (gzip, one row group) laid out over all of them; others as they are.
 
-    The number of splits grows with the data, so a large table is never shuffled here. By a hash of `key` rather than
-    round-robin, so that a task that is run again gives the same rows.
+    The number of splits grows with the data, so a large table is never shuffled here. Rows go by a hash of the columns
+    that name them rather than round-robin, so that a task that is run again gives the same rows.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
