@@ -20,10 +20,10 @@ SALTS = 256
 
 
 def large_groups(df: DataFrame, key: str, text: str, max_part_chars: int = MAX_PART_CHARS) -> DataFrame:
-    """`(key, n, parts)` of the groups that need more than one part.
+    """`(key, n, parts)` of the groups that need more than one part; a single row cannot be divided.
 
-    At most one row per `max_part_chars` characters of input (3 million small rows for 100 TB), which is what makes it fit
-    for a broadcast. A single row cannot be divided. The sums are combined before the shuffle, so a hot group costs one row per input task.
+    At most one row per `max_part_chars` characters of input (3 million small rows for 100 TB), which is what makes it
+    fit for a broadcast. The sums are combined before the shuffle, so a hot group costs one row per input task.
     """
     chars = F.sum(F.coalesce(F.length(text), F.lit(0)) + F.lit(1))
     return (

@@ -125,6 +125,48 @@ LCS_SCORES = f"""
       lcs AS (SELECT conv_id, turn, {SHARES} FROM lengths)"""
 
 
+def sentence_tokens(col: str, number: str, name: str) -> str:
+    """One row per sentence of `col` that has a token: its number and tokens."""
+    lists = f"list_transform(string_split({LINES.format(col)}, chr(10)), lambda x: {TOKENS.format('x')})"
+    return f"""SELECT conv_id, turn, generate_subscripts(l, 1) AS {number}, unnest(l) AS {name}
+        FROM (SELECT conv_id, turn, list_filter({lists}, lambda x: len(x) > 0) AS l FROM pairs)"""
+
+
+# Each reference sentence r against each predicted one p: the table of lengths by rows, then the walk back through it.
+ROUGE_LSUM = f"""WITH RECURSIVE pairs AS ({ANSWERS}),
+      ps AS ({sentence_tokens("prediction", "pk", "p")}),
+      rs AS ({sentence_tokens("reference", "rk", "r")}),
+      duos AS (SELECT conv_id, turn, rk, pk, r, p FROM rs JOIN ps USING (conv_id, turn)),
+      steps AS (SELECT conv_id, turn, rk, pk, 0 AS i, list_resize([]::INTEGER[], (len(p) + 1)::BIGINT, 0) AS t FROM duos
+                UNION ALL
+                SELECT conv_id, turn, rk, pk, i, list_transform(range(1, len(c) + 1), lambda j: list_max(c[1:j])) FROM (
+                  SELECT conv_id, turn, rk, pk, s.i + 1 AS i, list_transform(range(0, len(p) + 1), lambda j:
+                    CASE WHEN j = 0 THEN 0 WHEN p[j] = r[s.i + 1] THEN t[j] + 1 ELSE t[j + 1] END) AS c
+                  FROM steps s JOIN duos USING (conv_id, turn, rk, pk) WHERE s.i < len(r))),
+      walk AS (SELECT conv_id, turn, rk, pk, len(r)::INTEGER AS i, len(p)::INTEGER AS j, NULL::INTEGER AS hit FROM duos
+               UNION ALL
+               SELECT conv_id, turn, rk, pk, CASE WHEN taken OR NOT back THEN i - 1 ELSE i END,
+                 CASE WHEN taken OR back THEN j - 1 ELSE j END, CASE WHEN taken THEN i END FROM (
+                 SELECT w.conv_id, w.turn, w.rk, w.pk, w.i, w.j, r[w.i] = p[w.j] AS taken, here.t[w.j] > above.t[w.j + 1] AS back
+                 FROM walk w JOIN duos USING (conv_id, turn, rk, pk)
+                 JOIN steps here ON here.conv_id = w.conv_id AND here.turn = w.turn AND here.rk = w.rk
+                   AND here.pk = w.pk AND here.i = w.i
+                 JOIN steps above ON above.conv_id = w.conv_id AND above.turn = w.turn AND above.rk = w.rk
+                   AND above.pk = w.pk AND above.i = w.i - 1
+                 WHERE w.i > 0 AND w.j > 0)),
+      covered AS (SELECT conv_id, turn, r[hit] AS token, count(*) AS n FROM
+                  (SELECT DISTINCT conv_id, turn, rk, hit FROM walk WHERE hit IS NOT NULL)
+                  JOIN rs USING (conv_id, turn, rk) GROUP BY ALL),
+      available AS (SELECT conv_id, turn, token, count(*) AS m FROM
+                    (SELECT conv_id, turn, unnest(p) AS token FROM ps) GROUP BY ALL),
+      hits AS (SELECT conv_id, turn, sum(least(n, m))::DOUBLE AS h
+               FROM covered JOIN available USING (conv_id, turn, token) GROUP BY ALL),
+      sizes AS (SELECT conv_id, turn, len({TOKENS.format("prediction")})::DOUBLE AS p,
+                len({TOKENS.format("reference")})::DOUBLE AS r FROM pairs),
+      summed AS (SELECT conv_id, turn, coalesce(h, 0) AS h, p, r FROM sizes LEFT JOIN hits USING (conv_id, turn))
+      SELECT conv_id, turn, {SHARES} FROM summed"""
+
+
 def rouge_n(n: int) -> str:
     return f"WITH {PAIR_TOKENS}, {gram_scores(n, 'scored')}"
 
@@ -260,6 +302,7 @@ ORACLE: dict[str, str] = {
     "rouge_1": f"{rouge_n(1)} SELECT * FROM scored",
     "rouge_2": f"{rouge_n(2)} SELECT * FROM scored",
     "rouge_l": f"WITH RECURSIVE {PAIR_TOKENS}, {LCS_SCORES} SELECT * FROM lcs",
+    "rouge_lsum": ROUGE_LSUM,
     # Decoded texts have no sentence ends, so the score per sentence is the score of the whole.
     "evaluate": f"""WITH RECURSIVE pairs AS ({ANSWERS}), {vocab("conversations", 2000)},
         sides AS (SELECT conv_id, turn, 0 AS side, {TOKENS.format("prediction")}[1:127] AS t FROM pairs
