@@ -37,14 +37,14 @@ def large_groups(df: DataFrame, key: str, text: str, max_part_chars: int = MAX_P
 def lay_out(
     df: DataFrame, key: str, text: str, order: str, max_part_chars: int = MAX_PART_CHARS
 ) -> DataFrame:
-    """`(key, part, total, at, text)`: each row with its part, and the group's row count where the group is large."""
+    """`(group, part, total, at, text)`: each row with its part, and the group's row count where the group is large."""
     large = large_groups(df, key, text, max_part_chars)
     large = large.select(F.col(key).alias("_key"), F.col("n").alias("total"), "parts")
     part = F.when(F.col("parts").isNull(), F.lit(0)).otherwise(key_hash(F.col("at")) % F.col("parts")).cast("int")
     return (
-        df.select(key, F.col(order).alias("at"), F.col(text).alias("text"))
-        .join(F.broadcast(large), F.col(key).eqNullSafe(F.col("_key")), "left")
-        .select(key, part.alias("part"), "total", "at", "text")
+        df.select(F.col(key).alias("group"), F.col(order).alias("at"), F.col(text).alias("text"))
+        .join(F.broadcast(large), F.col("group").eqNullSafe(F.col("_key")), "left")
+        .select("group", part.alias("part"), "total", "at", "text")
     )
 
 
@@ -60,9 +60,9 @@ def collect_texts(
     """`(key, part, n, texts)`: the group's rows counted, its non-null texts listed by `order`; null is a group too."""
     return (
         lay_out(df, key, text, order, max_part_chars)
-        .groupBy(key, "part")
+        .groupBy("group", "part")
         .agg(F.coalesce(F.max("total"), F.count("*")).alias("n"), texts_in_order().alias("entries"))
-        .select(key, "part", "n", F.col("entries.text").alias("texts"))
+        .select(F.col("group").alias(key), "part", "n", F.col("entries.text").alias("texts"))
     )
 
 

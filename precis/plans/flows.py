@@ -139,13 +139,13 @@ def summaries_by_group(
     large = large_groups(reviews, key, text, max_part_chars).select(F.col(key).alias("_key"), "parts")
     last = F.coalesce(F.col("parts"), F.lit(1)) - 1
     placed = summaries.join(F.broadcast(large), F.col(key).eqNullSafe(F.col("_key")), "left").select(
-        key, F.explode(F.sequence(F.lit(0), last)).alias("part"), "summary"
+        F.col(key).alias("group"), F.explode(F.sequence(F.lit(0), last)).alias("part"), "summary"
     )
     texts = lay_out(reviews, key, text, order, max_part_chars).withColumn("is_text", F.lit(1))
     rows = F.count("is_text")
     return (
         texts.unionByName(placed, allowMissingColumns=True)
-        .groupBy(key, "part")
+        .groupBy("group", "part")
         .agg(
             F.coalesce(F.max("total"), rows).alias("n"),
             rows.alias("rows"),
@@ -153,7 +153,9 @@ def summaries_by_group(
             F.max("summary").alias("summary"),
         )
         .filter((F.col("n") >= min_n) & (F.col("rows") > 0))
-        .select(key, "part", "n", concat_texts(F.col("entries.text")).alias("reviews"), "summary")
+        .select(
+            F.col("group").alias(key), "part", "n", concat_texts(F.col("entries.text")).alias("reviews"), "summary"
+        )
     )
 
 

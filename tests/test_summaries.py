@@ -102,3 +102,16 @@ def test_train_evaluate_predict(spark, tmp_path):
     assert math.isclose(metrics["test"].rouge1, 57.1429)
     lines = [r.value for r in spark.read.text(paths["predictions"]).collect()]
     assert lines == [f"Common words here. Odd{i} thing{i}." for i in (9, 10, 11)]
+
+
+def test_from_raw_files_to_group_summaries(spark, tmp_path):
+    """The flows one after the other, on columns with awkward names."""
+    lines = [f"{i}\t{'hot' if i % 3 else 'p' + str(i % 4)}\tHead {i}\tGood <b>lens</b> {i}. Rest.\n" for i in range(120)]
+    (tmp_path / "raw.tsv").write_text("at\tproduct_id\treview_headline\treview_body\n" + "".join(lines))
+    paths = flows.prepare_reviews(spark, str(tmp_path / "raw.tsv"), str(tmp_path / "out"), fraction=1.0, key="at")
+    reviews = spark.read.parquet(paths["cleaned"]).withColumnRenamed("product_id", "part")
+    stats = extractive.fit_word_stats(reviews, "review_body")
+    groups = flows.summaries_by_group(reviews.withColumnRenamed("part", "product"), stats, "product", "review_body", "at")
+    rows = groups.collect()
+    assert {r["product"]: r.n for r in rows} == {"hot": 80, "p0": 10, "p1": 10, "p2": 10, "p3": 10}
+    assert all(r.summary and "<" not in r.reviews for r in rows)
