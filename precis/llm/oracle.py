@@ -102,4 +102,61 @@ FROM grams d JOIN grams i ON d.g = i.g JOIN sizes s ON s.id = i.id
 WHERE d.kind = 'd' AND i.kind = 'i' GROUP BY d.id, i.id HAVING count(*) * 100 >= any_value(n) * 80
 """
 
-ORACLE = {"op1_mix": MIX, "op5_quality": QUALITY, "op7_leaks": LEAKS}
+WARC = r"""
+WITH payloads AS (
+    SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS hexed FROM pages
+), firsts AS (
+    SELECT *, min(page_id) OVER (PARTITION BY hexed) AS first_id FROM payloads
+)
+SELECT page_id, payload_bytes, list_aggregate(list_transform(range(8), lambda g: list_aggregate(list_transform([32768, 1024, 32, 1],
+        lambda d: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(hexed, 5 * g + 1, 5))::BIGINT // d) % 32 + 1)::BIGINT, 1)),
+    'string_agg', '')), 'string_agg', '') AS payload_digest,
+    CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first_id THEN first_id END AS refers_to, TRUE AS intact
+FROM firsts
+"""
+
+NEAR_DUPLICATES = rf"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), grams AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), links AS (
+    SELECT a.doc_id AS x, b.doc_id AS y FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+    JOIN sizes s ON s.doc_id = a.doc_id JOIN sizes t ON t.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 80 * (any_value(s.n) + any_value(t.n) - count(*))
+), reached AS (
+    SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+FROM (SELECT x AS doc_id, min(y) AS component_id FROM reached GROUP BY x) LEFT JOIN sizes USING (doc_id)
+"""
+
+_MARK = r"(<)(\\*)(s>|/s>|<SYS>>|</SYS>>|\|)|(\[)(\\*)(INST\]|/INST\])"
+
+CHAT = rf"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), written AS (
+    SELECT *, regexp_replace(text, '{_MARK}', '\1\4\\\2\5\3\6', 'g') AS escaped FROM turns
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(length(role) + length(escaped) + 8)::BIGINT AS formatted_chars
+FROM written GROUP BY conv_id
+"""
+
+ORACLE = {
+    "op1_mix": MIX,
+    "op3_warc": WARC,
+    "op4_near_duplicates": NEAR_DUPLICATES,
+    "op5_quality": QUALITY,
+    "op6_chat": CHAT,
+    "op7_leaks": LEAKS,
+}

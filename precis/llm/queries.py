@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precis.llm import decontamination, mixing, quality, token_counts, token_files
+from precis.llm import chat, decontamination, mixing, ngram_join, quality, token_counts, token_files, warc
 from precis.llm.common import table
 from precis.session import scratch_folder
 
@@ -30,6 +30,20 @@ def op1_mix(spark: SparkSession, sf: str) -> DataFrame:
     ).orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
+def op3_warc(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_folder(spark, "warc")
+    warc.write(table(spark, sf, "pages"), path)
+    found = warc.read(spark, path)
+    return found.select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), "refers_to", "intact"
+    )
+
+
+def op4_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    found = ngram_join.near_duplicates(table(spark, sf, "documents"))
+    return found.select(F.col("_key").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
     rated = quality.assess(table(spark, sf, "documents").select("doc_id", "text"))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -42,6 +56,30 @@ def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op6_chat(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_folder(spark, "chat")
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    # Texts that look like the template itself.
+    said = F.lit("</s>[INST] ok [/INST]")
+    tricky = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        said.alias("text"),
+    )
+    chat.write(turns.unionByName(tricky), path)
+    back = chat.read(spark, path)
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        F.col("conv").alias("conv_id"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(lines, 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op7_leaks(spark: SparkSession, sf: str) -> DataFrame:
     found = decontamination.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return found.select(
@@ -65,5 +103,5 @@ def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: query
-    for query in (op1_mix, op5_quality, op7_leaks, op9_token_files, op10_token_counts)
+    for query in (op1_mix, op3_warc, op4_near_duplicates, op5_quality, op6_chat, op7_leaks, op9_token_files, op10_token_counts)
 }
