@@ -102,6 +102,29 @@ FROM grams d JOIN grams i ON d.g = i.g JOIN sizes s ON s.id = i.id
 WHERE d.kind = 'd' AND i.kind = 'i' GROUP BY d.id, i.id HAVING count(*) * 100 >= any_value(n) * 80
 """
 
+LINE_DEDUP = r"""
+WITH lines AS (
+    SELECT doc_id, i - 1 AS line, list_sort(list_distinct(regexp_extract_all(
+        translate(ls[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'))) AS w
+    FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM
+        (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))
+), sets AS (
+    SELECT row_number() OVER (ORDER BY doc_id, line) AS id, w, doc_id, line FROM
+        (SELECT w, (min([doc_id, line]))[1] AS doc_id, (min([doc_id, line]))[2] AS line FROM lines WHERE len(w) > 0 GROUP BY w)
+), words AS (
+    SELECT id, len(w) AS n, unnest(w) AS word FROM sets
+), late AS (
+    SELECT DISTINCT y.id FROM words x JOIN words y ON x.word = y.word AND x.id < y.id AND least(x.n, y.n) * 100 >= greatest(x.n, y.n) * 80
+    GROUP BY x.id, y.id HAVING count(*) * 100 >= (any_value(x.n) + any_value(y.n) - count(*)) * 80
+), gone AS (
+    SELECT l.doc_id, l.line FROM lines l JOIN sets s ON l.w = s.w LEFT JOIN late ON late.id = s.id
+    WHERE late.id IS NOT NULL OR l.doc_id <> s.doc_id OR l.line <> s.line
+)
+SELECT doc_id, len(string_split(coalesce(any_value(text), ''), chr(10)))::BIGINT AS n_lines, count(line) AS n_removed,
+    coalesce(string_agg(line::VARCHAR, ',' ORDER BY line), '') AS removed_lines
+FROM documents LEFT JOIN gone USING (doc_id) GROUP BY doc_id
+"""
+
 WARC = r"""
 WITH payloads AS (
     SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS hexed FROM pages
@@ -154,6 +177,7 @@ FROM written GROUP BY conv_id
 
 ORACLE = {
     "op1_mix": MIX,
+    "op2_line_dedup": LINE_DEDUP,
     "op3_warc": WARC,
     "op4_near_duplicates": NEAR_DUPLICATES,
     "op5_quality": QUALITY,

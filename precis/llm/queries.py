@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precis.llm import chat, decontamination, mixing, ngram_join, quality, token_counts, token_files, warc
-from precis.llm.common import table
+from precis.llm import chat, decontamination, line_dedup, mixing, ngram_join, quality, token_counts, token_files, warc
+from precis.llm.common import saved, table
 from precis.session import scratch_folder
 
 
@@ -30,6 +30,16 @@ def op1_mix(spark: SparkSession, sf: str) -> DataFrame:
     ).orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
+def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    lost = saved(line_dedup.removed_by_document(docs), "lines-lost")
+    lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n"))
+    every = docs.select("doc_id", lines.cast("long").alias("n_lines"), *ngram_join.row_names("doc_id", "text"))
+    both = every.join(lost, ["_row", "_row2"], "left")
+    removed = F.coalesce("removed", F.array().cast("array<bigint>"))
+    return both.select("doc_id", "n_lines", F.size(removed).cast("long").alias("n_removed"), F.array_join(removed.cast("array<string>"), ",").alias("removed_lines"))
+
+
 def op3_warc(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_folder(spark, "warc")
     warc.write(table(spark, sf, "pages"), path)
@@ -103,5 +113,5 @@ def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: query
-    for query in (op1_mix, op3_warc, op4_near_duplicates, op5_quality, op6_chat, op7_leaks, op9_token_files, op10_token_counts)
+    for query in (op1_mix, op2_line_dedup, op3_warc, op4_near_duplicates, op5_quality, op6_chat, op7_leaks, op9_token_files, op10_token_counts)
 }
