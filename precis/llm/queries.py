@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precis.llm import chat, decontamination, line_dedup, mixing, ngram_join, quality, token_counts, token_files, warc
+from precis.llm import chat, decontamination, language, line_dedup, mixing, ngram_join, quality, token_counts, token_files, warc
 from precis.llm.common import saved, table
 from precis.session import scratch_folder
 
@@ -100,6 +100,12 @@ def op7_leaks(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    found = language.predict(docs, language.fit(docs))
+    return found.withColumnRenamed("_key", "doc_id")
+
+
 def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_folder(spark, "token-ids")
     token_files.write(table(spark, sf, "documents"), path, tokenizer_path())
@@ -113,5 +119,16 @@ def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: query
-    for query in (op1_mix, op2_line_dedup, op3_warc, op4_near_duplicates, op5_quality, op6_chat, op7_leaks, op9_token_files, op10_token_counts)
+    for query in (
+        op1_mix,
+        op2_line_dedup,
+        op3_warc,
+        op4_near_duplicates,
+        op5_quality,
+        op6_chat,
+        op7_leaks,
+        op8_language,
+        op9_token_files,
+        op10_token_counts,
+    )
 }
