@@ -1,12 +1,13 @@
 """An adaptive range coder for blocks of token ids, run over many blocks at once with numpy.
 
 A block is coded on its own: its tables start empty, so any block can be read without the others. For each id the
-coder first states where it comes from: the id that followed the last two ids before (order 2), the id that followed
-the last one (order 1), or neither. The chance of each comes from two adaptive tables whose counts are added: one for
-how well both predictions have done so far, one for what the last two ids turned out to be. An id that was not
-predicted is coded by the block's own frequencies of the ids' upper bytes (order 0) and its lower byte.
+coder first says whether it is the one that followed the last two ids before (order 2), then whether it is the one
+that followed the last id (order 1). The chance of a yes is mixed from two adaptive tables: one for how well both
+predictions have done after these ids so far, one for what the last three answers were. An id that was not predicted
+is coded by the block's own frequencies of the ids' upper bytes (order 0) and its lower byte.
 
-All blocks of a batch take their n-th id in the same step; no block sees another's tables.
+All blocks of a batch take their n-th id in the same step; no block sees another's tables. All arithmetic is on whole
+numbers, or on products of 53-bit floats, which every machine rounds alike.
 """
 
 from __future__ import annotations
@@ -15,13 +16,14 @@ import numpy as np
 
 BLOCK = 2048
 _SLOTS = 1024
-_HIT2, _HIT1, _NEW = 0, 1, 2
 _TOP, _BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
-_MASK = np.uint64(_BOTTOM - np.uint64(1))
+_MASK = np.uint64((1 << 32) - 1)
 _S16, _S48 = np.uint64(16), np.uint64(48)
+_CHANCE_BITS = 12
+_S12 = np.uint64(_CHANCE_BITS)
 _TOTAL_BITS = 14
+_S22 = np.uint64(_TOTAL_BITS + 8)
 _REBUILD = 64
-_LIMIT = 480
 _ONE = np.uint64(1)
 
 
@@ -29,70 +31,62 @@ class _Model:
     """What the encoder and the decoder both know of each block after every id."""
 
     def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
+        lane = np.arange(lanes)
+        self.slots, self.contexts, self.pasts = lane * _SLOTS, lane * 32, lane * 64
+        self.upper_base, self.cum_base = lane * 256, lane * 257
         self.by1 = np.zeros(lanes * _SLOTS, np.int32)  # id << 2 | trust
         self.by2 = np.zeros(lanes * _SLOTS, np.int32)
-        # Contexts: trust of both predictions and whether they agree; the last two outcomes.
-        self.trust = np.ones((lanes * 32, 3), np.int32)
-        self.past = np.ones((lanes * 9, 3), np.int32)
+        half = 1 << _CHANCE_BITS - 1
+        # Chances of a yes for order 2 and order 1: by trust and agreement of the predictions, by the past answers.
+        self.trust = [np.full(lanes * 32, half, np.int32) for _ in range(2)]
+        self.past = [np.full(lanes * 64, half, np.int32) for _ in range(2)]
         self.upper = np.ones((lanes, 256), np.int32)
-        self.cum = np.empty((lanes, 257), np.int64)
+        self.cum = np.zeros((lanes, 257), np.int32)
         self.last = np.zeros(lanes, np.int32)
-        self.hash2 = np.zeros(lanes, np.int64)
-        self.outcome = np.full(lanes, 8)
+        self.at2 = self.slots
+        self.answers = np.zeros(lanes, np.int64)
         self.step = 0
 
     def predict(self) -> None:
         if self.step % _REBUILD == 0 or self.step in (8, 24):
-            sums = np.cumsum(self.upper, axis=1, dtype=np.int64)
-            self.cum[:, 0] = 0
+            sums = np.cumsum(self.upper, axis=1, dtype=np.int32)
             # Every upper byte keeps at least one part of the total.
-            self.cum[:, 1:] = sums * ((1 << _TOTAL_BITS) - 256) // sums[:, -1:] + np.arange(1, 257)
+            scale = ((1 << _TOTAL_BITS) - 256) / sums[:, -1:].astype(np.float64)
+            self.cum[:, 1:] = (sums * scale).astype(np.int32)
+            self.cum[:, -1] = (1 << _TOTAL_BITS) - 256
+            self.cum[:, 1:] += np.arange(1, 257, dtype=np.int32)
         self.step += 1
-        base = self.lane * _SLOTS
-        self.at1 = base + (self.last.astype(np.int64) * 40503 >> 3 & _SLOTS - 1)
-        self.at2 = base + self.hash2
-        self.entry1, self.entry2 = self.by1[self.at1], self.by2[self.at2]
+        self.at1 = self.slots + (self.last * 40503 >> 3 & _SLOTS - 1)
+        self.entry1, self.entry2 = self.by1.take(self.at1), self.by2.take(self.at2)
         self.guess1, self.guess2 = self.entry1 >> 2, self.entry2 >> 2
-        same = self.guess1 == self.guess2
-        self.ctx = self.lane * 32 + ((self.entry1 & 3) * 8 + (self.entry2 & 3) * 2 + same)
-        self.ctx_past = self.lane * 9 + self.outcome
-        counts = self.trust[self.ctx] + self.past[self.ctx_past]
-        self.f0, self.f1 = counts[:, 0], counts[:, 1]
-        self.f01 = self.f0 + self.f1
-        self.total = self.f01 + counts[:, 2]
-
-    def update(self, ids: np.ndarray, kind: np.ndarray) -> None:
-        for table, at in ((self.trust, self.ctx), (self.past, self.ctx_past)):
-            flat = table.reshape(-1)
-            flat[at * 3 + kind] += 24
-            if self.step % 16 == 0:  # old counts fade
-                np.right_shift(table, 1, out=table, where=table.sum(axis=1, keepdims=True) > _LIMIT // 2)
-                np.maximum(table, 1, out=table)
-        new = kind == _NEW
-        # Only ids that were not predicted train order 0; a block has at most 2^16 ids or so, counts stay small.
-        self.upper[self.lane[new], ids[new] >> 8] += 24
-        for table, at, entry, guess in ((self.by1, self.at1, self.entry1, self.guess1), (self.by2, self.at2, self.entry2, self.guess2)):
-            trust = entry & 3
-            right = guess == ids
+        self.trust1, self.trust2 = self.entry1 & 3, self.entry2 & 3
+        self.ctx = self.contexts + (self.trust1 * 8 + self.trust2 * 2 + (self.guess1 == self.guess2))
+        self.ctx_past = self.pasts + self.answers
+        self.own = [(t.take(self.ctx), p.take(self.ctx_past)) for t, p in zip(self.trust, self.past, strict=True)]
+        # The mean of the two, never quite no or yes.
+        self.chances = [np.clip(a + b >> 1, 32, (1 << _CHANCE_BITS) - 32).astype(np.uint64) for a, b in self.own]
+
+    def update(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, new: np.ndarray, upper: np.ndarray) -> None:
+        """`new` are the blocks whose id was not predicted, `upper` these ids' upper bytes."""
+        for order, yes in enumerate((hit2, hit1)):
+            goal = yes.astype(np.int32) << _CHANCE_BITS
+            a, b = self.own[order]
+            first, second = a + (goal - a >> 4), b + (goal - b >> 4)
+            if order:  # the second question wasn't asked after a yes
+                first, second = np.where(hit2, a, first), np.where(hit2, b, second)
+            self.trust[order][self.ctx] = first
+            self.past[order][self.ctx_past] = second
+        self.upper.reshape(-1)[self.upper_base.take(new) + upper] += 24
+        fresh = ids << 2
+        for table, at, entry, trust, right in (
+            (self.by1, self.at1, self.entry1, self.trust1, self.guess1 == ids),
+            (self.by2, self.at2, self.entry2, self.trust2, hit2),
+        ):
             kept = np.where(right, entry + (trust < 3), entry - 1)
-            table[at] = np.where(right | (trust > 0), kept, ids << 2)
-        self.hash2 = (self.last.astype(np.int64) * 668_265_263 + ids.astype(np.int64) * 374_761_393) >> 11 & _SLOTS - 1
+            table[at] = np.where(right | (trust > 0), kept, fresh)
+        self.at2 = self.slots + ((self.last * 9973 ^ ids * 40503) >> 4 & _SLOTS - 1)
         self.last = ids
-        self.outcome = (self.outcome % 3) * 3 + kind
-
-
-def _cut_total(total: np.ndarray) -> None:
-    if total.max() >= 1 << 12:
-        raise AssertionError("class counts have outgrown the coder's precision")
-
-
-class _Words:
-    """Code words per block, written or read one at a time."""
-
-    def __init__(self, lanes: int, length: int):
-        self.data = np.zeros((lanes, length), np.uint16)
-        self.at = np.zeros(lanes, np.int64)
+        self.answers = (self.answers << 2 & 63) + (hit2 * 2 + hit1)
 
 
 def encode_blocks(ids: np.ndarray) -> list[bytes]:
@@ -100,110 +94,126 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
     lanes, length = ids.shape
     model = _Model(lanes)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    out = _Words(lanes, 3 * length + 8)
+    room = 4 * length + 8
+    out, begin = np.zeros(lanes * room, np.uint16), np.arange(lanes) * room
+    at = begin.copy()
+
+    def put(rows: np.ndarray, value: np.ndarray) -> None:
+        here = at.take(rows)
+        out[here] = value >> _S48
+        at[rows] = here + 1
+
     columns = np.ascontiguousarray(ids.T.astype(np.int32))
     with np.errstate(over="ignore"):
         for x in columns:
             model.predict()
-            hit2, hit1 = model.guess2 == x, model.guess1 == x
-            kind = np.where(hit2, _HIT2, np.where(hit1, _HIT1, _NEW))
-            start = np.where(hit2, 0, np.where(hit1, model.f0, model.f01))
-            size = np.where(hit2, model.f0, np.where(hit1, model.f1, model.total - model.f01))
-            part = span // model.total.astype(np.uint64)
-            low += part * start.astype(np.uint64)
-            span = part * size.astype(np.uint64)
-            new = np.flatnonzero(kind == _NEW)
-            if len(new):
-                upper = x[new] >> 8
-                a = model.cum[new, upper].astype(np.uint64)
-                b = model.cum[new, upper + 1].astype(np.uint64)
-                unit = span[new] >> np.uint64(_TOTAL_BITS + 8)
-                low[new] += unit * ((a << np.uint64(8)) + (x[new] & 255).astype(np.uint64) * (b - a))
-                span[new] = unit * (b - a)
-            model.update(x, kind)
-            low, span = _shift(low, span, lambda rows, value: _put(out, rows, value >> _S48))
+            hit2 = model.guess2 == x
+            hit1 = (model.guess1 == x) & ~hit2
+            part = (span >> _S12) * model.chances[0]
+            low = np.where(hit2, low, low + part)
+            span = np.where(hit2, part, span - part)
+            part = (span >> _S12) * model.chances[1]
+            no = ~(hit2 | hit1)
+            low = np.where(no, low + part, low)
+            span = np.where(hit1, part, np.where(no, span - part, span))
+            new = np.flatnonzero(no)
+            ids_new = x.take(new)
+            upper = ids_new >> 8
+            cells = model.cum_base.take(new) + upper
+            a = model.cum.reshape(-1).take(cells)
+            wide = model.cum.reshape(-1).take(cells + 1) - a
+            unit = span.take(new) >> _S22
+            low[new] += unit * ((a << 8) + (ids_new & 255) * wide).astype(np.uint64)
+            span[new] = unit * wide.astype(np.uint64)
+            model.update(x, hit2, hit1, new, upper)
+            _shift(low, span, put)
+        every = np.arange(lanes)
         for _ in range(4):
-            _put(out, model.lane, low >> _S48)
+            put(every, low)
             low <<= _S16
-    return [out.data[i, : out.at[i]].tobytes() for i in range(lanes)]
+    return [out[b:e].tobytes() for b, e in zip(begin, at, strict=True)]
 
 
 def decode_blocks(blocks: list[bytes], length: int) -> np.ndarray:
     """The ids of blocks of one length."""
     lanes = len(blocks)
     model = _Model(lanes)
-    sizes = np.array([len(b) // 2 for b in blocks])
-    words = _Words(lanes, int(sizes.max(initial=0)) + 8)
+    # Beyond its end a block reads as zeros.
+    room = max((len(b) // 2 for b in blocks), default=0) + 8
+    words = np.zeros((lanes, room), np.uint16)
     for i, b in enumerate(blocks):
-        words.data[i, : sizes[i]] = np.frombuffer(b, np.uint16)
+        words[i, : len(b) // 2] = np.frombuffer(b, np.uint16)
+    words, at = words.reshape(-1), np.arange(lanes) * room
+    last = at + room - 1
     low, span, code = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64), np.zeros(lanes, np.uint64)
-    for _ in range(4):
-        code = code << _S16 | _get(words, model.lane)
-    ids = np.empty((length, lanes), np.int32)
 
+    def pull(rows: np.ndarray, _) -> None:
+        here = at.take(rows)
+        code[rows] = code.take(rows) << _S16 | words.take(here)
+        at[rows] = np.minimum(here + 1, last.take(rows))
+
+    every = np.arange(lanes)
+    ids = np.empty((length, lanes), np.int32)
     with np.errstate(over="ignore"):
+        for _ in range(4):
+            pull(every, None)
         for step in range(length):
             model.predict()
-            part = span // model.total.astype(np.uint64)
-            value = np.minimum((code - low) // part, (model.total - 1).astype(np.uint64)).astype(np.int32)
-            kind = np.where(value < model.f0, _HIT2, np.where(value < model.f01, _HIT1, _NEW))
-            start = np.where(kind == _HIT2, 0, np.where(kind == _HIT1, model.f0, model.f01))
-            size = np.where(kind == _HIT2, model.f0, np.where(kind == _HIT1, model.f1, model.total - model.f01))
-            low += part * start.astype(np.uint64)
-            span = part * size.astype(np.uint64)
-            x = np.where(kind == _HIT2, model.guess2, model.guess1)
-            new = np.flatnonzero(kind == _NEW)
-            if len(new):
-                unit = span[new] >> np.uint64(_TOTAL_BITS + 8)
-                value = np.minimum((code[new] - low[new]) // unit, np.uint64((1 << _TOTAL_BITS + 8) - 1)).astype(np.int64)
-                upper = _find(model.cum, new, value >> 8)
-                a = model.cum[new, upper]
-                wide = model.cum[new, upper + 1] - a
-                lower = (value - (a << 8)) // wide
-                x[new] = (upper << 8 | lower).astype(np.int32)
-                low[new] += unit * ((a << 8) + lower * wide).astype(np.uint64)
-                span[new] = unit * wide.astype(np.uint64)
+            part = (span >> _S12) * model.chances[0]
+            ahead = code - low
+            hit2 = ahead < part
+            low = np.where(hit2, low, low + part)
+            span = np.where(hit2, part, span - part)
+            part = (span >> _S12) * model.chances[1]
+            yes = code - low < part
+            hit1 = yes & ~hit2
+            no = ~(hit2 | yes)
+            low = np.where(no, low + part, low)
+            span = np.where(hit1, part, np.where(no, span - part, span))
+            x = np.where(hit2, model.guess2, model.guess1)
+            new = np.flatnonzero(no)
+            unit = span.take(new) >> _S22
+            value = np.minimum((code.take(new) - low.take(new)) // unit, np.uint64((1 << _TOTAL_BITS + 8) - 1)).astype(np.int32)
+            base = model.cum_base.take(new)
+            cells = _find(model.cum.reshape(-1), base, value >> 8)
+            upper = (cells - base).astype(np.int32)
+            a = model.cum.reshape(-1).take(cells)
+            wide = model.cum.reshape(-1).take(cells + 1) - a
+            # A damaged block may lead anywhere; its checksum will tell.
+            lower = np.minimum((value - (a << 8)) // np.maximum(wide, 1), 255)
+            x[new] = upper << 8 | lower
+            low[new] += unit * ((a << 8) + lower * wide).astype(np.uint64)
+            span[new] = unit * wide.astype(np.uint64)
             ids[step] = x
-            model.update(x, kind)
-
-            def pull(rows, _):
-                code[rows] = code[rows] << _S16 | _get(words, rows)
-
-            low, span = _shift(low, span, pull)
+            model.update(x, hit2, hit1, new, upper)
+            _shift(low, span, pull)
     return ids.T
 
 
-def _find(cum: np.ndarray, rows: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """The upper byte whose part of the row holds the value, by halving."""
-    at = np.zeros(len(rows), np.int64)
+def _find(cum: np.ndarray, base: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Where the upper byte's part that holds the value begins in the row, by halving."""
+    at = base
     for step in (128, 64, 32, 16, 8, 4, 2, 1):
-        at += np.where(cum[rows, at + step] <= value, step, 0)
+        at = at + step * (cum.take(at + step) <= value)
     return at
 
 
-def _shift(low: np.ndarray, span: np.ndarray, move) -> tuple[np.ndarray, np.ndarray]:
+def _shift(low: np.ndarray, span: np.ndarray, move) -> None:
     """Moves out settled code words, for the blocks that have some; without carries."""
+    rows = None
     while True:
-        settled = (low ^ (low + span)) < _TOP
-        short = ~settled & (span < _BOTTOM)
-        rows = np.flatnonzero(settled | short)
-        if not len(rows):
-            return low, span
-        cut = np.flatnonzero(short)
+        lows, spans = (low, span) if rows is None else (low.take(rows), span.take(rows))
+        settled = (lows ^ (lows + spans)) < _TOP
+        short = spans < _BOTTOM
+        due = np.flatnonzero(settled | short)
+        if not len(due):
+            return
+        cut = due[~settled.take(due)]
+        rows = due if rows is None else rows.take(due)
+        lows, spans = lows.take(due), spans.take(due)
         if len(cut):
-            span[cut] = (~low[cut] + _ONE) & _MASK
-        move(rows, low[rows])
-        low[rows] <<= _S16
-        span[rows] <<= _S16
-
-
-def _put(out: _Words, rows: np.ndarray, value: np.ndarray) -> None:
-    out.data[rows, out.at[rows]] = value.astype(np.uint16)
-    out.at[rows] += 1
-
-
-def _get(words: _Words, rows: np.ndarray) -> np.ndarray:
-    # Beyond its end a block reads as zeros.
-    at = np.minimum(words.at[rows], words.data.shape[1] - 1)
-    words.at[rows] += 1
-    return words.data[rows, at].astype(np.uint64)
+            straddles = ~settled.take(due)
+            spans = np.where(straddles, (~lows + _ONE) & _MASK, spans)
+        move(rows, lows)
+        low[rows] = lows << _S16
+        span[rows] = spans << _S16

@@ -28,6 +28,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame) -> Column:
+    """All columns of a row as one, so that no name of theirs meets one of ours."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_r")
+
+
+def unpacked(docs: DataFrame, **instead: Column) -> list[Column]:
+    """The columns of `docs` out of the packed one, some of them given anew."""
+    return [instead.get(c, F.col("_r").getField(c)).alias(c) for c in docs.columns]
+
+
 def words_of(text: Column) -> Column:
     """The words of a text, runs of anything but ASCII white space; none for null."""
     return let(

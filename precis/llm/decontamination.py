@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from precis.functions.text import let
-from precis.llm.common import saved
+from precis.llm.common import packed, saved, unpacked
 
 SHINGLE = 5
 PERCENT = 80
@@ -94,5 +94,6 @@ def search(
 def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """The documents that hold no item, with their own columns; null and short texts stay."""
     leaks = saved(search(docs, items, key, text, **settings).select(F.col("_key").alias("_k"), F.col("_text").alias("_t")).distinct(), "leaks")
-    own = docs.withColumn("_h", F.xxhash64(F.col(f"`{text}`")))
-    return own.join(leaks, own[key].eqNullSafe(leaks["_k"]) & (own["_h"] == leaks["_t"]), "left_anti").select(*(own[c] for c in docs.columns))
+    own = docs.select(packed(docs), F.col(f"`{key}`").alias("_own"), F.xxhash64(F.col(f"`{text}`")).alias("_h"))
+    same = own["_own"].eqNullSafe(leaks["_k"]) & (own["_h"] == leaks["_t"])
+    return own.join(leaks, same, "left_anti").select(*unpacked(docs))

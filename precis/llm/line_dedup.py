@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from precis.llm.common import mix, saved, with_totals_before, word_hashes
+from precis.llm.common import mix, packed, saved, unpacked, with_totals_before, word_hashes
 from precis.llm.ngram_join import row_names
 
 PERCENT = 80
@@ -199,8 +199,9 @@ def removed_by_document(docs: DataFrame, key: str = "doc_id", text: str = "text"
 def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The documents with their own columns and the removed lines cut from the text; null texts stay null."""
     lost = saved(removed_by_document(docs, key, text, percent), "line-lost")
-    own = docs.select("*", *row_names(key, text)).join(lost, ["_row", "_row2"], "left")
-    every = F.split(F.col(f"`{text}`"), "\n")
-    kept = F.filter(F.transform(every, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: ~F.array_contains("removed", s["i"].cast("long")))
-    left = F.when(F.col("removed").isNull(), F.col(f"`{text}`")).otherwise(F.array_join(F.transform(kept, lambda s: s["x"]), "\n"))
-    return own.select(*(left.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns))
+    own = docs.select(packed(docs), *row_names(key, text)).join(lost, ["_row", "_row2"], "left")
+    body = F.col("_r").getField(text)
+    every = F.transform(F.split(body, "\n"), lambda x, i: F.struct(i.cast("long").alias("i"), x.alias("x")))
+    kept = F.filter(every, lambda s: ~F.array_contains("removed", s["i"]))
+    left = F.when(F.col("removed").isNull(), body).otherwise(F.array_join(F.transform(kept, lambda s: s["x"]), "\n"))
+    return own.select(*unpacked(docs, **{text: left}))

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from precis.llm.common import saved, with_totals_before, word_count
+from precis.llm.common import packed, saved, unpacked, with_totals_before, word_count
 
 
 @dataclass(frozen=True)
@@ -158,11 +158,14 @@ def mix(
     planned = plan(docs, key, source, text, **settings).select(
         "_key", "_hash", F.col("_source").alias("_src"), F.explode("_positions").alias("_at")
     )
-    own = docs.withColumn("_h", F.xxhash64(F.col(f"`{text}`")))
-    same = (
-        own[key].eqNullSafe(planned["_key"]) & (own["_h"] == planned["_hash"]) & own[source].eqNullSafe(planned["_src"])
+    own = docs.select(
+        packed(docs),
+        F.col(f"`{key}`").alias("_own"),
+        F.col(f"`{source}`").alias("_from"),
+        F.xxhash64(F.col(f"`{text}`")).alias("_h"),
     )
-    placed = own.join(planned, same)
-    laid = placed.repartitionByRange("_at", "_key").sortWithinPartitions("_at", "_key")
-    out = [F.col("_at").alias(position)] if position else []
-    return laid.select(*(own[c] for c in docs.columns if c != position), *out)
+    same = own["_own"].eqNullSafe(planned["_key"]) & (own["_h"] == planned["_hash"]) & own["_from"].eqNullSafe(planned["_src"])
+    laid = own.join(planned, same).repartitionByRange("_at", "_key").sortWithinPartitions("_at", "_key")
+    if not position:
+        return laid.select(*unpacked(docs))
+    return laid.select(*(c for c, name in zip(unpacked(docs), docs.columns, strict=True) if name != position), F.col("_at").alias(position))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from precis.llm.common import SPACES, mix, saved, shingle_sets
+from precis.llm.common import SPACES, mix, packed, saved, shingle_sets, unpacked
 from precis.llm.components import components
 
 SHINGLE = 5
@@ -226,8 +226,8 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **setting
     found = near_duplicates(docs, key, text, **settings).filter("n > 0")
     first = F.min(F.struct(F.col("_key").isNull(), "_key", "_row", "_row2")).alias("best")
     kept = saved(found.groupBy("group").agg(first).select("best._row", "best._row2"), "ngram-kept")
-    own = docs.select("*", *row_names(key, text))
+    own = docs.select(packed(docs), *row_names(key, text))
     # Equal rows have one name: one of them stays. Both steps go by the name, so texts are moved once.
     unique = own.join(kept, ["_row", "_row2"], "left_semi").dropDuplicates(["_row", "_row2"])
-    wordless = own.filter(F.trim(F.coalesce(F.col(f"`{text}`"), F.lit("")), F.lit(SPACES)) == "")
-    return unique.unionByName(wordless).select(*(F.col(f"`{c}`") for c in docs.columns))
+    wordless = own.filter(F.trim(F.coalesce(F.col("_r").getField(text), F.lit("")), F.lit(SPACES)) == "")
+    return unique.unionByName(wordless).select(*unpacked(docs))
