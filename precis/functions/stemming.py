@@ -1,6 +1,6 @@
 """English word stems as a column expression (Porter 1980, with the later changes in common use).
 
-For ROUGE with stemming: pass `stemmed_tokens` wherever a tokenizer is taken.
+The metrics of `operators.evaluation` use it; pass `stemmed_tokens` wherever a tokenizer is taken.
 """
 
 from __future__ import annotations

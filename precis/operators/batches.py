@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from precis.functions.tokens import IGNORE_ID, PAD_ID, pad_to_length
 from precis.operators.sampling import key_hash
 
+BUCKETS = 1024
+
 
 def pad_batches(
     df: DataFrame,
@@ -15,18 +17,17 @@ def pad_batches(
     batch_size: int = 8,
     label_pad: int = IGNORE_ID,
     multiple_of: int | None = None,
-    buckets: int | None = None,
+    buckets: int = BUCKETS,
     seed: int = 42,
 ) -> DataFrame:
     """`(key, bucket, batch, input_ids, labels)`, each array as long as the longest of its batch.
 
     Rows go to `buckets` by a hash of their key and are numbered by key inside each, so that no task orders the whole
-    table; only the last batch of a bucket can be short. By default there is one bucket per shuffle partition.
+    table; only the last batch of a bucket can be short. A bucket is numbered in one task, on keys and lengths alone:
+    give more of them for a larger table. Rows of one key are ordered by their ids.
     `multiple_of` rounds lengths up (8 suits half precision).
     """
-    if buckets is None:
-        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    in_bucket = Window.partitionBy("bucket").orderBy(key)
+    in_bucket = Window.partitionBy("bucket").orderBy(key, "input_ids", "labels")
     batched = (
         df.select(key, "input_ids", "labels")
         .withColumn("bucket", (key_hash(F.col(key), seed) % buckets).cast("int"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from precis.functions.tokens import generated_length, word_tokens
+from precis.functions.stemming import stemmed_tokens
+from precis.functions.tokens import word_tokens
 from precis.operators.rouge import score_texts
-from precis.operators.vocabulary import VOCAB_SIZE, Tokenizer, decode
+from precis.operators.vocabulary import Tokenizer, decode
 
 SCORES = ("rouge1", "rouge2", "rougeL", "rougeLsum")
 
@@ -29,14 +30,14 @@ def evaluate_texts(
     prediction: str,
     reference: str,
     split: str = "split",
-    tokenize: Tokenizer = word_tokens,
+    tokenize: Tokenizer = stemmed_tokens,
 ) -> DataFrame:
-    """Metrics of predicted texts; the length of a prediction is its number of tokens."""
+    """Metrics of predicted texts, on word stems; the length of a prediction is its number of words."""
     one = df.select(
         split,
         F.col(prediction).alias("prediction"),
         F.col(reference).alias("reference"),
-        F.size(tokenize(F.coalesce(F.col(prediction), F.lit("")))).alias("length"),
+        F.size(word_tokens(F.coalesce(F.col(prediction), F.lit("")))).alias("length"),
     )
     return mean_metrics(score_texts(one, "prediction", "reference", tokenize), list(SCORES), "length", split)
 
@@ -44,15 +45,13 @@ def evaluate_texts(
 def evaluate_ids(
     df: DataFrame,
     vocab: DataFrame,
-    key: str,
     prediction: str = "prediction_ids",
     labels: str = "labels",
     split: str = "split",
-    vocab_size: int = VOCAB_SIZE,
-    tokenize: Tokenizer = word_tokens,
+    tokenize: Tokenizer = stemmed_tokens,
 ) -> DataFrame:
-    """Metrics of predicted ids: decoded, set in sentences, scored, averaged. `key` must name each row."""
-    texts = decode(df, vocab, key, [prediction, labels], vocab_size)
-    lengths = df.select(key, split, generated_length(F.col(prediction)).alias("length"))
+    """Metrics of predicted ids: decoded, set in sentences, scored on word stems, averaged. Every row counts once."""
+    own = df.select(split, prediction, labels)
+    texts = decode(own, vocab, [prediction, labels], {prediction: "_length"})
     scored = score_texts(texts, prediction, labels, tokenize)
-    return mean_metrics(scored.join(lengths, key), list(SCORES), "length", split)
+    return mean_metrics(scored, list(SCORES), "_length", split)

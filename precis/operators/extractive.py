@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from precis.functions.text import first_words, sentences, word_count
+from precis.functions.text import first_words, let, sentences, word_count
 from precis.functions.tokens import word_tokens
 from precis.operators.groups import first_rows
-from precis.operators.vocabulary import Tokenizer, count_tokens
+from precis.operators.vocabulary import Tokenizer, count_tokens, looked_up
 
-# Shares sum to one, so at most this many words can have a share of one in that many or more.
-COMMON_WORDS = 1_000_000
 MIN_TOKENS = 50
 MAX_TOKENS = 128
 
@@ -23,38 +21,63 @@ def fit_word_stats(train: DataFrame, text: str, tokenize: Tokenizer = word_token
     return counts.select("token", "count", (F.col("count") / total).alias("p"))
 
 
-def score_sentences(
-    df: DataFrame, stats: DataFrame, key: list[str], text: str, tokenize: Tokenizer = word_tokens
+def score_sentences(df: DataFrame, stats: DataFrame, text: str, into: str, tokenize: Tokenizer = word_tokens) -> DataFrame:
+    """`df` with an array `into` of its sentences: `pos`, `sentence`, `score` and `cost`, its number of words.
+
+    A score is the mean training count of the sentence's words. Words are looked up as rows without text and come
+    back to their row as one array, so texts are moved once and no sentence is a key. Every row stays, whatever its
+    columns hold; null and blank texts have no sentences.
+    """
+    text_or_none = F.coalesce(F.col(text), F.lit(""))
+    words = F.flatten(F.transform(sentences(text_or_none), tokenize))
+    found = looked_up(df, stats, {"_counts": words}, "token", "count")
+
+    def scored(lines: Column) -> Column:
+        def of(sizes: Column) -> Column:
+            def one(line: Column, pos: Column) -> Column:
+                size = F.get(sizes, pos)
+                before = F.aggregate(F.slice(sizes, F.lit(1), pos), F.lit(0), lambda total, n: total + n)
+                own = F.slice("_counts", before + 1, size)
+                weight = F.aggregate(own, F.lit(0).cast("bigint"), lambda total, n: total + F.coalesce(n, F.lit(0)))
+                score = F.when(size > 0, weight / size).otherwise(F.lit(0.0))
+                return F.struct(pos.alias("pos"), line.alias("sentence"), score.alias("score"), word_count(line).alias("cost"))
+
+            return F.transform(lines, one)
+
+        return let(F.transform(lines, lambda line: F.size(tokenize(line))), of)
+
+    return found.withColumn(into, let(sentences(text_or_none), scored)).drop("_counts")
+
+
+def add_summaries(
+    df: DataFrame,
+    stats: DataFrame,
+    text: str,
+    into: str = "summary",
+    min_tokens: int = MIN_TOKENS,
+    max_tokens: int = MAX_TOKENS,
+    tokenize: Tokenizer = word_tokens,
 ) -> DataFrame:
-    """`key`, position and sentence, with `weight`, the sum of its words' training counts, and `tokens`, their number.
+    """`df` with a summary of each row's text: its best sentences in their order; empty for null and blank texts.
 
-    `key` names each row. Counts are whole numbers, so sums do not depend on the order rows arrive in. The common
-    words, bounded in number because shares sum to one, are looked up by broadcast; the rare rest, a small part of any
-    text, is joined by a shuffle on the word. The texts are laid out by `key` once, and everything of a row then stays
-    where the row is.
+    Sentences are taken by score, ties by position, until `min_tokens` words are reached; the last one is cut where it
+    would pass `max_tokens`.
     """
-    one = [*key, "pos", "sentence"]
-    found = df.repartition(*key).select(*key, F.posexplode(sentences(F.col(text))).alias("pos", "sentence"))
-    is_common = F.col("p") >= 1.0 / COMMON_WORDS
-    common = F.broadcast(stats.filter(is_common).select("token", "count"))
-    rare = stats.filter(~is_common).select("token", "count")
-    tokens = found.select(*one, F.explode_outer(tokenize(F.col("sentence"))).alias("token"))
-    near = tokens.join(common, "token", "left").groupBy(*one).agg(
-        F.sum("count").alias("weight"), F.count("token").alias("tokens")
-    )
-    far = (
-        tokens.filter(F.col("token").isNotNull())
-        .join(common, "token", "left_anti")
-        .groupBy(*one, "token")
-        .agg(F.count("*").alias("times"))
-        .join(rare, "token")
-        .repartition(*key)
-        .groupBy(*one)
-        .agg(F.sum(F.col("count") * F.col("times")).alias("weight"), F.lit(0).cast("bigint").alias("tokens"))
-    )
-    return near.unionByName(far).groupBy(*one).agg(
-        F.coalesce(F.sum("weight"), F.lit(0)).alias("weight"), F.sum("tokens").alias("tokens")
-    )
+    none = F.array().cast("array<struct<pos:int,left:int>>")
+    start = F.struct(F.lit(0).alias("before"), none.alias("picked"))
+
+    def more(state: Column, x: Column) -> Column:
+        left = F.struct(x["pos"].alias("pos"), (F.lit(max_tokens) - state["before"]).alias("left"))
+        longer = F.struct((state["before"] + x["cost"]).alias("before"), F.concat(state["picked"], F.array(left)).alias("picked"))
+        return F.when(state["before"] < min(min_tokens, max_tokens), longer).otherwise(state)
+
+    def best(lines: Column) -> Column:
+        ranked = F.sort_array(F.transform(lines, lambda x: F.struct((-x["score"]).alias("s"), x["pos"].alias("pos"), x["cost"].alias("cost"))))
+        picked = F.sort_array(F.aggregate(ranked, start, more)["picked"])
+        return F.concat_ws(" ", F.transform(picked, lambda p: first_words(F.get(lines, p["pos"])["sentence"], p["left"])))
+
+    scored = score_sentences(df, stats, text, "_lines", tokenize)
+    return scored.withColumn(into, let(F.col("_lines"), best)).drop("_lines")
 
 
 def summarize_extractive(
@@ -67,22 +90,21 @@ def summarize_extractive(
     max_tokens: int = MAX_TOKENS,
     tokenize: Tokenizer = word_tokens,
 ) -> DataFrame:
-    """`(key, summary)`: the sentences whose words are the most common in training, in the order of the text.
+    """`(key, summary)`: one row per row of `df`, see `add_summaries`; with `order` one row per key.
 
-    Sentences are taken by mean share of their words, ties by position, until `min_tokens` words are reached; the last
-    one is cut where it would pass `max_tokens`. `order` orders the rows of one key, whose texts then make up one
-    document: a group is summarized without its texts being put together.
+    `order` orders the rows of one key, whose texts then make up one document: a group is summarized without its texts
+    being put together. Texts of equal order are told apart by a hash. A key without any sentence has no row.
     """
-    row = [] if order is None else ["_order"]
-    names = {key: "_key", text: "_text"} if order is None else {key: "_key", order: "_order", text: "_text"}
-    one = df.select(*[F.col(name).alias(new) for name, new in names.items()])
-    scored = score_sentences(one, stats, ["_key", *row], "_text", tokenize)
-    score: Column = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(F.lit(0.0))
-    ranked = scored.withColumn("score", score).withColumn("cost", word_count(F.col("sentence")))
-    by = [F.desc("score"), *[F.asc(c) for c in row], F.asc("pos")]
-    if row:
-        # Each sentence costs at least one word, so no more than `min_tokens` of them are taken.
-        ranked = first_rows(ranked, ["_key"], by, min_tokens)
+    if order is None:
+        one = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+        made = add_summaries(one, stats, "_text", "summary", min_tokens, max_tokens, tokenize)
+        return made.select(F.col("_key").alias(key), "summary")
+    one = df.select(F.col(key).alias("_key"), F.col(order).alias("_order"), F.xxhash64(text).alias("_tie"), F.col(text).alias("_text"))
+    scored = score_sentences(one, stats, "_text", "_lines", tokenize)
+    ranked = scored.select("_key", "_order", "_tie", F.inline("_lines"))
+    by = [F.desc("score"), F.asc("_order"), F.asc("_tie"), F.asc("pos")]
+    # Each sentence costs at least one word, so no more than `min_tokens` of them are taken.
+    ranked = first_rows(ranked, ["_key"], by, min_tokens)
     before = Window.partitionBy("_key").orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     taken = (
         ranked.withColumn("before", F.coalesce(F.sum("cost").over(before), F.lit(0)))
@@ -91,6 +113,6 @@ def summarize_extractive(
     )
     return (
         taken.groupBy("_key")
-        .agg(F.sort_array(F.collect_list(F.struct(*row, "pos", "kept"))).alias("picked"))
+        .agg(F.sort_array(F.collect_list(F.struct("_order", "_tie", "pos", "kept"))).alias("picked"))
         .select(F.col("_key").alias(key), F.concat_ws(" ", F.col("picked.kept")).alias("summary"))
     )

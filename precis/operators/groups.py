@@ -1,9 +1,9 @@
 """Texts collected per group.
 
 A group may hold a third of all rows, and its joined text may be longer than a row can be. Such a group comes out as
-several rows, numbered by `part`, of about `max_part_chars` characters each; together they hold every text of the group.
-A group of usual size is one row with part 0. Which part a text goes to follows from a hash of its order column, so that
-column should differ from row to row (a row id).
+several rows, numbered by `part`: consecutive runs of its texts in order, of about `max_part_chars` characters each, so
+that the parts put one after the other are the group's text at any limit. A group of usual size is one row with part 0.
+Texts are in order of a column, nulls first, equal ones by the text itself.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from precis.functions.text import words
-from precis.operators.sampling import key_hash
+from precis.operators.running import with_totals_before
+from precis.session import stored
 
 MAX_PART_CHARS = 32 * 1024 * 1024
 # A group is cut down by this many tasks before one task sees it.
@@ -20,32 +21,38 @@ SALTS = 256
 
 
 def large_groups(df: DataFrame, key: str, text: str, max_part_chars: int = MAX_PART_CHARS) -> DataFrame:
-    """`(key, n, parts)` of the groups that need more than one part; a single row cannot be divided.
+    """`(key, n)` of the groups that need more than one part; a single row cannot be divided.
 
-    At most one row per `max_part_chars` characters of input (3 million small rows for 100 TB), which is what makes it
-    fit for a broadcast. The sums are combined before the shuffle, so a hot group costs one row per input task.
+    The sums are combined before the shuffle, so a hot group costs one row per input task.
     """
-    chars = F.sum(F.coalesce(F.length(text), F.lit(0)) + F.lit(1))
-    return (
-        df.groupBy(key)
-        .agg(F.count("*").alias("n"), chars.alias("chars"))
-        .filter((F.col("chars") > max_part_chars) & (F.col("n") > 1))
-        .select(key, "n", F.ceil(F.col("chars") / max_part_chars).cast("int").alias("parts"))
-    )
+    sizes = df.groupBy(key).agg(F.count("*").alias("n"), F.sum(_chars(F.col(text))).alias("chars"))
+    return sizes.filter((F.col("chars") > max_part_chars) & (F.col("n") > 1)).select(key, "n")
+
+
+def _chars(text: Column) -> Column:
+    return F.coalesce(F.length(text), F.lit(0)) + F.lit(1)
 
 
 def lay_out(
     df: DataFrame, key: str, text: str, order: str, max_part_chars: int = MAX_PART_CHARS
 ) -> DataFrame:
-    """`(group, part, total, at, text)`: each row with its part, and the group's row count where the group is large."""
-    large = large_groups(df, key, text, max_part_chars)
-    large = large.select(F.col(key).alias("_key"), F.col("n").alias("total"), "parts")
-    part = F.when(F.col("parts").isNull(), F.lit(0)).otherwise(key_hash(F.col("at")) % F.col("parts")).cast("int")
-    return (
-        df.select(F.col(key).alias("group"), F.col(order).alias("at"), F.col(text).alias("text"))
-        .join(F.broadcast(large), F.col("group").eqNullSafe(F.col("_key")), "left")
-        .select("group", part.alias("part"), "total", "at", "text")
-    )
+    """`(group, part, total, at, text)`: each row with its part, and the group's row count where the group is large.
+
+    Rows of large groups are sorted over all tasks and summed up by ranges of the order, so a hot group is spread like
+    any other rows; a row's part follows from the characters before it in its group. Which groups are large is a
+    table of its own that the planner sends or shuffles by its size.
+    """
+    large = large_groups(df, key, text, max_part_chars).select(F.col(key).alias("_key"), F.col("n").alias("total"))
+    large = stored(large, "large-groups")
+    rows = df.select(F.col(key).alias("group"), F.col(order).alias("at"), F.col(text).alias("text"))
+    same = F.col("group").eqNullSafe(F.col("_key"))
+    usual = rows.join(large, same, "left_anti").select("group", F.lit(0).alias("part"), F.lit(None).cast("bigint").alias("total"), "at", "text")
+    big = rows.join(large, same).drop("_key").withColumn("chars", _chars(F.col("text")).cast("bigint"))
+    by = [F.col("group").asc_nulls_first(), F.col("at").asc_nulls_first(), F.col("text").asc_nulls_first()]
+    summed = with_totals_before(big, by, {"before": "chars"}, "large-group-rows")
+    firsts = summed.groupBy("group").agg(F.min("before").alias("first")).withColumnRenamed("group", "_key")
+    part = F.floor((F.col("before") - F.col("first")) / max_part_chars).cast("int")
+    return usual.unionByName(summed.join(firsts, same).select("group", part.alias("part"), "total", "at", "text"))
 
 
 def texts_in_order(at: str = "at", text: str = "text") -> Column:

@@ -9,8 +9,8 @@ HASH_RANGE = 2**32
 
 
 def key_hash(key: Column, seed: int = 42) -> Column:
-    """A number from 0 to 2^32 - 1 that depends on the key's text and the seed alone."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
+    """A number from 0 to 2^32 - 1 that depends on the key's text and the seed alone; a null key hashes as a mark."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("\0null"))))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 

@@ -4,17 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType
 
 from precis.functions.tokens import (
     END_ID,
     FIRST_TOKEN_ID,
     PAD_ID,
     UNKNOWN_ID,
+    generated_length,
     mask_labels,
     pad_to_length,
     unmask_labels,
@@ -22,8 +20,6 @@ from precis.functions.tokens import (
 )
 
 Tokenizer = Callable[[Column], Column]
-# A vocabulary of this many tokens, some tens of megabytes, is the largest one that is sent to the executors.
-BROADCAST_TOKENS = 1_000_000
 VOCAB_SIZE = 32_000
 MAX_SOURCE_LENGTH = 1024
 MAX_TARGET_LENGTH = 128
@@ -35,71 +31,49 @@ def count_tokens(df: DataFrame, text: str, tokenize: Tokenizer = word_tokens) ->
 
 
 def build_vocab(df: DataFrame, text: str, size: int = VOCAB_SIZE, tokenize: Tokenizer = word_tokens) -> DataFrame:
-    """`(token, id, count)` of the `size` most frequent tokens, ties in token order; ids follow the special ones."""
-    top = count_tokens(df, text, tokenize).orderBy(F.desc("count"), "token").limit(size)
-    # The window has no partitions, over at most `size` rows.
-    rank = F.row_number().over(Window.orderBy(F.desc("count"), "token"))
-    return top.select("token", (rank + (FIRST_TOKEN_ID - 1)).cast("int").alias("id"), "count")
+    """`(token, id, count)` of the `size` most frequent tokens, ties in token order; ids follow the special ones.
 
-
-def _bounded(vocab: DataFrame, vocab_size: int) -> DataFrame:
-    """Ids are distinct, so keeping those below a limit proves a limit on the rows."""
-    return vocab.select("token", "id").filter(F.col("id") < FIRST_TOKEN_ID + vocab_size)
-
-
-def _array_lookup(
-    vocab: DataFrame, vocab_size: int, source: str, target: str, element: DataType, missing: int | None
-) -> Callable[[Column], Column]:
-    """A column function from arrays of one vocabulary column to arrays of the other.
-
-    The vocabulary, no more than `vocab_size` rows, goes to each executor once. A batch's arrays are looked up as one
-    flat list and cut up again where they were, so rows stay where they are: no token becomes a row of its own.
+    How many tokens occur how often says first which count the last of them has: that table has one row per count,
+    few even in a large corpus. Only tokens of that count or more are ranked then.
     """
-    known = _bounded(vocab, vocab_size).toArrow().combine_chunks()
-    packed = vocab.sparkSession.sparkContext.broadcast(
-        (known.column(source).combine_chunks(), known.column(target).combine_chunks())
-    )
-
-    @F.arrow_udf(ArrayType(element))
-    def look_up(arrays: pa.Array) -> pa.Array:
-        keys, values = packed.value
-        found = values.take(pc.index_in(arrays.flatten(), value_set=keys))
-        if missing is not None:
-            found = found.fill_null(missing)
-        starts = pc.subtract(arrays.offsets, arrays.offsets[0])
-        return pa.ListArray.from_arrays(starts, found)
-
-    return look_up
-
-
-def _joined_lookup(rows: DataFrame, vocab: DataFrame, on: str, vocab_size: int) -> DataFrame:
-    """`rows` with the vocabulary's other column, null where there is none, for a vocabulary too large to send whole.
-
-    The common tokens, below `BROADCAST_TOKENS`, are broadcast and the rare ones joined by a shuffle; a token that is
-    frequent here yet rare or missing in the vocabulary is left to adaptive skew handling.
+    counts = count_tokens(df, text, tokenize)
+    ties = counts.groupBy("count").agg(F.count("*").alias("tokens"))
+    # Rows are distinct counts; tokens above a count are those of all larger ones.
+    above = F.sum("tokens").over(Window.orderBy(F.desc("count")).rowsBetween(Window.unboundedPreceding, -1))
+    needed = ties.withColumn("above", F.coalesce(above, F.lit(0))).filter(F.col("above") < size).select("count", "above")
+    # A token's place is after all of larger counts, then by name among its equals.
+    place = F.row_number().over(Window.partitionBy("count").orderBy("token")) + F.col("above")
+    ranked = counts.join(needed, "count").withColumn("place", place).filter(F.col("place") <= size)
+    return ranked.select("token", (F.col("place") + (FIRST_TOKEN_ID - 1)).cast("int").alias("id"), "count")
+
+
+def looked_up(df: DataFrame, vocab: DataFrame, arrays: dict[str, Column], source: str, target: str) -> DataFrame:
+    """`df` with a column per array: its elements looked up in the vocabulary, null where unknown, in order.
+
+    Each element is a row of one join with the vocabulary, which the planner broadcasts if it is small and otherwise
+    shuffles, splitting elements that are frequent. Rows are told apart by a number given where they are read, so
+    keys may repeat or be null; the first row of each carries its other columns, so nothing is joined back.
     """
-    vocab = _bounded(vocab, vocab_size)
-    limit = FIRST_TOKEN_ID + BROADCAST_TOKENS
-    common = F.broadcast(vocab.filter(F.col("id") < limit))
-    rare = vocab.filter(F.col("id") >= limit)
-    # Rows without a token would all meet in one task of the shuffle; they go round it.
-    blank = rows.filter(F.col(on).isNull()).join(common, on, "left")
-    left = rows.filter(F.col(on).isNotNull()).join(common, on, "left_anti")
-    return rows.join(common, on, "inner").unionByName(left.join(rare, on, "left")).unionByName(blank)
-
-
-def _lists_by_join(
-    df: DataFrame, vocab: DataFrame, key: str, arrays: dict[str, Column], source: str, target: str, vocab_size: int
-) -> DataFrame:
-    """`_key` and each array with its elements looked up, null where unknown: one lookup and one grouping for all."""
-    places = [F.transform(array, _placed(side, source)) for side, array in enumerate(arrays.values())]
-    rows = df.select(F.col(key).alias("_key"), F.inline_outer(F.concat(*places)))
-    found = _joined_lookup(rows, vocab, source, vocab_size)
+    names = [f"`{c}`" for c in df.columns]
+    given = df.select(F.struct(*names).alias("_rest"), *[array.alias(f"_{i}") for i, array in enumerate(arrays.values())])
+    given = given.withColumn("_id", F.monotonically_increasing_id())
+    head = F.array(F.struct(F.lit(-1).alias("side"), F.lit(0).alias("at"), F.lit(None).alias(source)))
+    # A null array has no elements; its row stays.
+    places = [F.coalesce(F.transform(F.col(f"_{side}"), _placed(side, source)), F.array()) for side in range(len(arrays))]
+    rows = given.select("_id", "_rest", F.inline(F.concat(head, *places)))
+    rows = rows.withColumn("_rest", F.when(F.col("side") == -1, F.col("_rest")))
+    # Elements without a match, heads among them, must not meet in one task of a shuffled join.
+    apart = F.when(F.col("side") >= 0, F.col(source))
+    known = vocab.select(F.col(source).alias("_known"), F.col(target).alias("_found"))
+    found = rows.withColumn("_element", apart).join(known, F.col("_element") == F.col("_known"), "left")
     lists = [
-        F.sort_array(F.collect_list(F.when(F.col("side") == side, F.struct("at", target)))).alias(name)
-        for side, name in enumerate(arrays)
+        F.sort_array(F.collect_list(F.when(F.col("side") == side, F.struct("at", F.col("_found").alias("found"))))).alias(f"_{side}")
+        for side in range(len(arrays))
     ]
-    return found.groupBy("_key").agg(*lists).select("_key", *[F.col(f"{n}.{target}").alias(n) for n in arrays])
+    whole = found.groupBy("_id").agg(F.first("_rest", ignorenulls=True).alias("_rest"), *lists)
+    made = {name: F.col(f"_{side}.found").alias(name) for side, name in enumerate(arrays)}
+    kept = [F.col("_rest").getField(c).alias(c) for c in df.columns if c not in made]
+    return whole.select(*kept, *made.values())
 
 
 def _placed(side: int, name: str) -> Callable[[Column, Column], Column]:
@@ -110,74 +84,60 @@ def _placed(side: int, name: str) -> Callable[[Column, Column], Column]:
 def encode(
     df: DataFrame,
     vocab: DataFrame,
-    key: str,
     cols: dict[str, tuple[str, int]],
-    vocab_size: int = VOCAB_SIZE,
     tokenize: Tokenizer = word_tokens,
 ) -> DataFrame:
-    """`key` and an id array per entry of `cols`, which maps the new name to (text column, longest length).
+    """`df` with an id array per entry of `cols`, which maps the new name to (text column, longest length).
 
-    Each array ends in the end id and has no more than its length, that id included. `key` must name each row. Only
-    the first `vocab_size` ids are used.
+    Each array ends in the end id and has no more than its length, that id included. A column of a new name is
+    replaced. Tokens that the vocabulary lacks are unknown; nulls are empty texts.
     """
     arrays = {
         name: F.slice(tokenize(F.coalesce(F.col(text), F.lit(""))), 1, length - 1)
         for name, (text, length) in cols.items()
     }
-    if vocab_size <= BROADCAST_TOKENS:
-        to_ids = _array_lookup(vocab, vocab_size, "token", "id", IntegerType(), UNKNOWN_ID)
-        lists = df.select(F.col(key).alias("_key"), *[to_ids(array).alias(name) for name, array in arrays.items()])
-    else:
-        lists = _lists_by_join(df, vocab, key, arrays, "token", "id", vocab_size)
-
-    def ids(name: str) -> Column:
+    found = looked_up(df, vocab, arrays, "token", "id")
+    for name in cols:
         known = F.transform(F.col(name), lambda i: F.coalesce(i, F.lit(UNKNOWN_ID)))
-        return F.concat(F.col(name) if vocab_size <= BROADCAST_TOKENS else known, F.array(F.lit(END_ID)))
-
-    return lists.select(F.col("_key").alias(key), *[ids(name).alias(name) for name in cols])
+        found = found.withColumn(name, F.concat(known, F.array(F.lit(END_ID))))
+    return found
 
 
 def encode_pairs(
     df: DataFrame,
     vocab: DataFrame,
-    key: str,
     max_source_length: int = MAX_SOURCE_LENGTH,
     max_target_length: int = MAX_TARGET_LENGTH,
     val_max_target_length: int | None = None,
     validation: bool = False,
     pad_to_max_length: bool = False,
     ignore_pad_token_for_loss: bool = True,
-    vocab_size: int = VOCAB_SIZE,
     tokenize: Tokenizer = word_tokens,
 ) -> DataFrame:
-    """`(key, input_ids, labels)` of `(text, summary)` pairs, padded and masked as asked.
+    """`(text, summary)` pairs with `input_ids` and `labels`, padded and masked as asked; other columns stay.
 
     Evaluation and prediction rows take the validation limit for their targets, which is the target limit when unset.
     """
     target = max_target_length
     if validation and val_max_target_length is not None:
         target = val_max_target_length
-    encoded = encode(
-        df,
-        vocab,
-        key,
-        {"input_ids": ("text", max_source_length), "labels": ("summary", target)},
-        vocab_size,
-        tokenize,
-    )
+    encoded = encode(df, vocab, {"input_ids": ("text", max_source_length), "labels": ("summary", target)}, tokenize)
     if not pad_to_max_length:
         return encoded
     inputs = pad_to_length(F.col("input_ids"), max_source_length)
     labels = pad_to_length(F.col("labels"), target)
     if ignore_pad_token_for_loss:
         labels = mask_labels(labels)
-    return encoded.select(key, inputs.alias("input_ids"), labels.alias("labels"))
+    return encoded.withColumn("input_ids", inputs).withColumn("labels", labels)
 
 
-def decode(
-    df: DataFrame, vocab: DataFrame, key: str, cols: list[str], vocab_size: int = VOCAB_SIZE
-) -> DataFrame:
-    """`key` and the text of each id array: special ids dropped, tokens joined by a space."""
+def decode(df: DataFrame, vocab: DataFrame, cols: list[str], lengths: dict[str, str] | None = None) -> DataFrame:
+    """`df` with the text of each id array in its place: special ids dropped, tokens joined by a space.
+
+    `lengths` maps id columns to new columns with their number of ids that are neither padding nor skipped.
+    """
+    for name, length in (lengths or {}).items():
+        df = df.withColumn(length, generated_length(F.col(name)))
     arrays = {
         name: F.filter(
             unmask_labels(F.coalesce(F.col(name), F.array().cast("array<int>")), PAD_ID),
@@ -185,9 +145,7 @@ def decode(
         )
         for name in cols
     }
-    if vocab_size <= BROADCAST_TOKENS:
-        to_tokens = _array_lookup(vocab, vocab_size, "id", "token", StringType(), None)
-        lists = df.select(F.col(key).alias("_key"), *[to_tokens(array).alias(name) for name, array in arrays.items()])
-    else:
-        lists = _lists_by_join(df, vocab, key, arrays, "id", "token", vocab_size)
-    return lists.select(F.col("_key").alias(key), *[F.concat_ws(" ", F.col(name)).alias(name) for name in cols])
+    found = looked_up(df, vocab, arrays, "id", "token")
+    for name in cols:
+        found = found.withColumn(name, F.concat_ws(" ", F.col(name)))
+    return found

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from precis.functions.text import WHITESPACE
-
+# Fixed values, as in the cleaner: Unicode white space and the four ASCII separators; sentence ends; markup.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 BREAK = f"[?!.][{WHITESPACE}]+"
 MARK = r"&[#0-9]+;|<[^>]+>|\[\[[^\]]+\]\]|[\r\n]+"
 TOKENS = "regexp_extract_all(lower({0}), '[a-z0-9]+')"
@@ -198,10 +201,11 @@ def parts(source: str, limit: int) -> str:
     """CTEs up to `parted`(source, part, n, reviews)."""
     return f"""
       sized AS (SELECT source, count(*) AS n, sum(length(text) + 1) AS chars FROM {source} GROUP BY source),
-      parted AS (SELECT source, CASE WHEN chars > {limit} AND n > 1
-                        THEN ({HASH.format("doc_id")} % ceil(chars / {limit})::BIGINT)::INTEGER ELSE 0 END AS part,
+      places AS (SELECT source, doc_id, text, coalesce(sum(length(text) + 1) OVER (PARTITION BY source ORDER BY doc_id
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS chars_before FROM {source}),
+      parted AS (SELECT source, CASE WHEN chars > {limit} AND n > 1 THEN (chars_before // {limit})::INTEGER ELSE 0 END AS part,
                  n, string_agg(text, ' ' ORDER BY doc_id) AS reviews
-                 FROM {source} JOIN sized USING (source) WHERE n >= 10 GROUP BY ALL)"""
+                 FROM places JOIN sized USING (source) WHERE n >= 10 GROUP BY ALL)"""
 
 
 def summarized_groups(limit: int) -> str:
@@ -210,14 +214,17 @@ def summarized_groups(limit: int) -> str:
       SELECT source, part, n, reviews, summary FROM parted JOIN best ON k = source"""
 
 
-def lead(col: str) -> str:
-    return f"array_to_string(string_split('summarize: ' || {col}, ' ')[1:12], ' ')"
+def longest(col: str) -> str:
+    """Number of words and the longest one, the last by code point among equals."""
+    words = f"list_filter(string_split('summarize: ' || {col}, ' '), lambda x: x <> '')"
+    return f"len({words}) || ' ' || (list_max(list_transform({words}, lambda x: {{'n': length(x), 'w': x}}))).w"
 
 
 PLAIN = "regexp_replace(text, '[\\t\\r\\n]+', ' ', 'g')"
-FEW = f"list_transform({TOKENS.format('text')}[1:20], lambda x: length(x)::INTEGER)"
-PADDED_FEW = padded(FEW, "30", 0)
-FIRST_NINE = "SELECT doc_id, text, array_to_string(string_split(text, ' ')[1:9], ' ') AS summary FROM documents"
+TALK = f"SELECT conv_id * 1000 + turn AS id, prediction AS text, reference AS summary FROM ({ANSWERS})"
+ENCODED = f"""WITH {vocab("documents", 2000)}, {ids("SELECT * FROM documents", "doc_id", "text", 1024, "e")}"""
+TALK_IDS = f"""talk AS ({TALK}), {vocab("talk", 2000)}, {ids("SELECT * FROM talk", "id", "text", 64, "e")},
+        {ids("SELECT * FROM talk", "id", "summary", 32, "l")}"""
 MODEL_INPUT = f"""
       WITH words AS (SELECT source, doc_id, text, len(list_filter(string_split(text, ' '), lambda x: length(x) > 0)) AS cost
                      FROM documents),
@@ -237,7 +244,8 @@ ORACLE: dict[str, str] = {
         AS split, doc_id::VARCHAR AS doc_id, text, source AS summary FROM documents""",
     "save_cleaned": f"{CLEAN_PAGES} SELECT * FROM reviews",
     "write_pairs_csv": "SELECT text, source AS summary FROM documents",
-    "write_predictions": "SELECT trim(regexp_replace(text, '\\s*[\\r\\n]+\\s*', ' ', 'g')) AS value FROM documents",
+    "write_predictions": f"""SELECT {stripped("regexp_replace(text, '[ \\t\\x0B\\f]*[\\r\\n][ \\t\\x0B\\f\\r\\n]*', ' ', 'g')")} AS value
+        FROM documents""",
     "write_metrics": METRICS,
     "project_reviews": f"SELECT product_id, review_headline, review_body FROM ({PAGES})",
     "to_pairs": f"SELECT review_body AS text, review_headline AS summary FROM ({PAGES})",
@@ -259,7 +267,9 @@ ORACLE: dict[str, str] = {
         {cleaned("SELECT (conv_id, turn) AS id, text FROM conversations", "id", "text", 20, "t")}
         SELECT k[1] AS conv_id, k[2] AS turn, text FROM t""",
     "clean_reviews": f"{CLEAN_PAGES} SELECT * FROM reviews",
-    "random_split": "SELECT doc_id, source FROM documents",
+    "preview": "SELECT 10::BIGINT AS n, 10::BIGINT AS known, 10::BIGINT AS distinct_rows",
+    "sample_rows": "SELECT count(*) AS n, TRUE AS repeats, TRUE AS about_a_tenth FROM documents",
+    "random_split": "SELECT count(*) AS n, count(*) AS distinct_rows, TRUE AS about_four_fifths FROM documents",
     "hash_sample": f"SELECT doc_id, source FROM documents WHERE {HASH.format('doc_id')} < 0.1 * 4294967296",
     "hash_split": f"""SELECT doc_id, CASE WHEN {HASH.format("doc_id")} < 0.8 * 4294967296 THEN 'train'
         ELSE 'validation' END AS split FROM documents""",
@@ -276,22 +286,22 @@ ORACLE: dict[str, str] = {
     "build_vocab": f"WITH {vocab('documents', 2000)} SELECT token, id, count FROM vocab",
     "encode": f"""WITH {vocab("documents", 2000)}, {ids("SELECT * FROM documents", "doc_id", "text", 1024, "e")}
         SELECT k AS doc_id, {joined("ids")} AS input_ids FROM e""",
-    "encode_pairs": f"""WITH {vocab("documents", 2000)}, {ids(FIRST_NINE, "doc_id", "text", 64, "e")},
-        {ids(FIRST_NINE, "doc_id", "summary", 8, "l")}
-        SELECT e.k AS doc_id, {joined(padded("e.ids", "64", 0))} AS input_ids,
-        {joined(padded("l.ids", "8", -100))} AS labels FROM e JOIN l ON l.k = e.k""",
-    "pad_to_length": f"SELECT doc_id, {joined(PADDED_FEW)} AS ids FROM documents",
-    "mask_labels": f"SELECT doc_id, {joined(padded(FEW, '30', -100))} AS ids FROM documents",
-    "generated_length": f"SELECT doc_id, len({FEW})::INTEGER AS n FROM documents",
-    "pad_batches": f"""WITH {vocab("documents", 2000)}, {ids(FIRST_NINE, "doc_id", "text", 64, "e")},
-        {ids(FIRST_NINE, "doc_id", "summary", 8, "l")},
-        both_ids AS (SELECT e.k AS doc_id, ({HASH.format("e.k")} % 4)::INTEGER AS bucket, e.ids AS a, l.ids AS b
+    "encode_whole_vocabulary": f"""WITH {vocab("documents", 10_000_000)},
+        {ids("SELECT * FROM documents", "doc_id", "text", 1024, "e")}
+        SELECT k AS doc_id, {joined("ids")} AS input_ids FROM e""",
+    "encode_pairs": f"""WITH {TALK_IDS} SELECT e.k AS id, {joined(padded("e.ids", "64", 0))} AS input_ids,
+        {joined(padded("l.ids", "32", -100))} AS labels FROM e JOIN l ON l.k = e.k""",
+    "pad_to_length": f"""{ENCODED} SELECT k AS doc_id, {joined(padded("ids", "1024", 0))} AS ids FROM e""",
+    "mask_labels": f"""{ENCODED} SELECT k AS doc_id, {joined(padded("ids", "1024", -100))} AS ids FROM e""",
+    "generated_length": f"{ENCODED} SELECT k AS doc_id, len(ids)::INTEGER AS n FROM e",
+    "pad_batches": f"""WITH {TALK_IDS},
+        both_ids AS (SELECT e.k AS id, ({HASH.format("e.k")} % 4)::INTEGER AS bucket, e.ids AS a, l.ids AS b
                  FROM e JOIN l ON l.k = e.k),
-        numbered AS (SELECT *, ((row_number() OVER (PARTITION BY bucket ORDER BY doc_id) - 1) // 8)::INTEGER AS batch
+        numbered AS (SELECT *, ((row_number() OVER (PARTITION BY bucket ORDER BY id) - 1) // 8)::INTEGER AS batch
                      FROM both_ids),
         sized AS (SELECT *, (max(len(a)) OVER w + 7) // 8 * 8 AS la, (max(len(b)) OVER w + 7) // 8 * 8 AS lb
                   FROM numbered WINDOW w AS (PARTITION BY bucket, batch))
-        SELECT doc_id, bucket, batch, {joined(padded("a", "la", 0))} AS input_ids,
+        SELECT id, bucket, batch, {joined(padded("a", "la", 0))} AS input_ids,
         {joined(padded("b", "lb", -100))} AS labels FROM sized""",
     "decode": f"""WITH {vocab("documents", 2000)},
         t AS (SELECT doc_id, {TOKENS.format("text")}[1:63] AS t FROM documents),
@@ -322,23 +332,38 @@ ORACLE: dict[str, str] = {
         GROUP BY ALL""",
     "fit_word_stats": f"""WITH {word_stats("documents")}
         SELECT token, count, count / (SELECT sum(count)::BIGINT FROM stats) AS p FROM stats""",
-    "summarize": f"SELECT doc_id, {lead('text')} AS summary FROM documents",
+    "summarize": f"SELECT doc_id, {longest('text')} AS summary FROM documents",
     "summarize_extractive": f"""WITH {word_stats("documents")}, {summaries("documents", "doc_id", "0", "best")}
-        SELECT k AS doc_id, summary FROM best""",
+        SELECT doc_id, coalesce(summary, '') AS summary FROM documents LEFT JOIN best ON k = doc_id""",
     "summarize_groups": summarized_groups(32 * 1024 * 1024),
     "summarize_groups_in_parts": summarized_groups(5_000),
-    "summarize_groups_by_model": f"""{MODEL_INPUT}
-        SELECT source, n, {lead("coalesce(reviews, '')")} AS summary FROM groups LEFT JOIN taken USING (source)""",
-    "predict": f"""WITH split AS (SELECT doc_id, text, {SPLIT.format("doc_id")} AS split FROM documents),
+    "summarize_groups_by_model": f"""{MODEL_INPUT}, {parts("documents", 32 * 1024 * 1024)}
+        SELECT source, part, parted.n, parted.reviews, {longest("coalesce(taken.reviews, '')")} AS summary
+        FROM parted LEFT JOIN taken USING (source)""",
+    "predict": f"""WITH talk AS ({TALK}), split AS (SELECT id, text, {SPLIT.format("id")} AS split FROM talk),
         train AS (SELECT * FROM split WHERE split = 'train'), test AS (SELECT * FROM split WHERE split = 'test'),
-        {word_stats("train")}, {summaries("test", "doc_id", "0", "best")}
-        SELECT trim(summary) AS value FROM best""",
+        {word_stats("train")}, {summaries("test", "id", "0", "best")}
+        SELECT {stripped("coalesce(summary, '')")} AS value FROM test LEFT JOIN best ON k = id""",
+    "export_training_data": f"""WITH talk AS (SELECT id, {SPLIT.format("id")} AS split, 'summarize: ' || text AS text, summary FROM ({TALK})
+            WHERE length(text) > 0 AND length(summary) > 0),
+        train_texts AS (SELECT text FROM talk WHERE split = 'train' UNION ALL SELECT summary FROM talk WHERE split = 'train'),
+        {vocab("train_texts", 2000)}, {ids("SELECT * FROM talk", "id", "text", 64, "e")},
+        {ids("SELECT * FROM talk WHERE split = 'train'", "id", "summary", 32, "l")},
+        {ids("SELECT * FROM talk WHERE split <> 'train'", "id", "summary", 16, "v")},
+        both_ids AS (SELECT id, split, ({HASH.format("id")} % 4)::INTEGER AS bucket, e.ids AS a, s.ids AS b FROM talk
+                 JOIN e ON e.k = id JOIN (SELECT * FROM l UNION ALL SELECT * FROM v) s ON s.k = id),
+        numbered AS (SELECT *, ((row_number() OVER (PARTITION BY split, bucket ORDER BY id) - 1) // 8)::INTEGER AS batch
+                     FROM both_ids),
+        sized AS (SELECT *, (max(len(a)) OVER w + 7) // 8 * 8 AS la, (max(len(b)) OVER w + 7) // 8 * 8 AS lb
+                  FROM numbered WINDOW w AS (PARTITION BY split, bucket, batch))
+        SELECT id, split, bucket, batch, {joined(padded("a", "la", 0))} AS input_ids,
+        {joined(padded("b", "lb", -100))} AS labels FROM sized""",
     "prepare_reviews": f"{RAW_PAGES} SELECT review_body AS text, review_headline AS summary FROM reviews",
     "prepare_reviews_by_key": f"""{RAW_PAGES}
         SELECT CASE WHEN {HASH.format("page_id").replace("42:", "43:")} < 0.8 * 4294967296 THEN 'train'
         ELSE 'validation' END AS split, review_body AS text, review_headline AS summary FROM reviews
         WHERE {HASH.format("page_id")} < 0.5 * 4294967296""",
-    "summarize_stream": f"SELECT doc_id, {lead('text')} AS summary FROM documents",
+    "summarize_stream": f"SELECT doc_id, {longest('text')} AS summary FROM documents",
     "map_batches": """SELECT doc_id, len(string_split(text, ' '))::BIGINT AS words FROM documents
         WHERE length(text) >= 500""",
 }

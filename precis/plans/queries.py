@@ -62,9 +62,16 @@ def flat(ids: Column) -> Column:
     return F.concat_ws(",", F.transform(ids, lambda i: i.cast("string")))
 
 
-def lead_words(texts: list[str]) -> list[str]:
-    """A model that is easy to state in SQL as well: the first twelve words."""
-    return [" ".join(text.split(" ")[:12]) for text in texts]
+def longest_word(texts: list[str]) -> list[str]:
+    """A model that reads whole texts and is easy to state in SQL as well: how many words, and the longest of them."""
+    words = [[word for word in text.split(" ") if word] for text in texts]
+    return [f"{len(each)} {max(each, key=lambda w: (len(w), w), default='')}" for each in words]
+
+
+def talk(spark: SparkSession, sf: str) -> DataFrame:
+    """`(id, text, summary)`: what an assistant says, and the turn before it as the second text of the pair."""
+    row = (F.col("conv_id") * 1000 + F.col("turn")).alias("id")
+    return answers(spark, sf).select(row, F.col("prediction").alias("text"), F.col("reference").alias("summary"))
 
 
 # Files
@@ -153,7 +160,11 @@ def head_samples(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def preview(spark: SparkSession, sf: str) -> DataFrame:
-    return rows.preview(documents(spark, sf), "doc_id", "text")
+    """How many rows a preview has, how many of them are rows of the table, and how many differ."""
+    docs = documents(spark, sf).select("doc_id", "text")
+    known = docs.withColumn("known", F.lit(1))
+    found = rows.preview(docs, "doc_id", "text").join(known, ["doc_id", "text"], "left")
+    return found.agg(F.count("*").alias("n"), F.count("known").alias("known"), F.count_distinct("doc_id").alias("distinct_rows"))
 
 
 def split_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -188,13 +199,30 @@ def clean_reviews(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sample_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return sampling.sample_rows(documents(spark, sf)).select("doc_id")
+    """Whether a sample of a tenth repeats, is part of the table, and has about that share (five deviations)."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id")
+    once, again = (sampling.sample_rows(docs).withColumn(name, F.lit(1)) for name in ("once", "again"))
+    both = docs.join(once, "doc_id", "full").join(again, "doc_id", "full")
+    taken, every = F.count("once"), F.count("*")
+    return both.agg(
+        every.alias("n"),
+        (F.count(F.when(F.col("once").eqNullSafe(F.col("again")), 1)) == every).alias("repeats"),
+        (F.abs(taken - 0.1 * every) <= 5 * F.sqrt(0.09 * every)).alias("about_a_tenth"),
+    )
 
 
 def random_split(spark: SparkSession, sf: str) -> DataFrame:
-    """The two parts put together again are the table: no row lost, none twice."""
-    train, validation = sampling.random_split(documents(spark, sf).select("doc_id", "source"))
-    return train.unionByName(validation)
+    """The two parts put together again are the table, no row lost or twice, and the first has its share."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "source")
+    train, validation = sampling.random_split(docs)
+    both = train.withColumn("first", F.lit(1)).unionByName(validation.withColumn("first", F.lit(0)))
+    known = both.join(docs, ["doc_id", "source"])
+    every = F.count("*")
+    return known.agg(
+        every.alias("n"),
+        F.count_distinct("doc_id").alias("distinct_rows"),
+        (F.abs(F.sum("first") - 0.8 * every) <= 5 * F.sqrt(0.16 * every)).alias("about_four_fifths"),
+    )
 
 
 def hash_sample(spark: SparkSession, sf: str) -> DataFrame:
@@ -250,63 +278,62 @@ def _vocab(docs: DataFrame, size: int = 2000) -> DataFrame:
     return vocabulary.build_vocab(docs, "text", size)
 
 
-def _saved_vocab(docs: DataFrame) -> DataFrame:
-    return stored(_vocab(docs), "vocab")
-
-
 def build_vocab(spark: SparkSession, sf: str) -> DataFrame:
     return _vocab(documents(spark, sf))
 
 
+def _encoded(spark: SparkSession, sf: str, length: int) -> DataFrame:
+    docs = documents(spark, sf).select("doc_id", "text")
+    return vocabulary.encode(docs, _vocab(docs), {"ids": ("text", length)})
+
+
 def encode(spark: SparkSession, sf: str) -> DataFrame:
-    docs = documents(spark, sf)
-    ids = vocabulary.encode(docs, _saved_vocab(docs), "doc_id", {"input_ids": ("text", 1024)}, 2000)
-    return ids.select("doc_id", flat(F.col("input_ids")).alias("input_ids"))
+    return _encoded(spark, sf, 1024).select("doc_id", flat(F.col("ids")).alias("input_ids"))
+
+
+def encode_whole_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
+    """With every token of the corpus in the vocabulary, joined by a shuffle: the branch of rare tokens."""
+    docs = documents(spark, sf).select("doc_id", "text")
+    vocab = vocabulary.build_vocab(docs, "text", 10_000_000)
+    ids = vocabulary.encode(docs, vocab.hint("shuffle_merge"), {"ids": ("text", 1024)})
+    return ids.select("doc_id", flat(F.col("ids")).alias("input_ids"))
 
 
 def encode_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    docs = documents(spark, sf)
-    pairs = docs.select("doc_id", "text", txt.first_words(F.col("text"), 9).alias("summary"))
-    ids = vocabulary.encode_pairs(pairs, _saved_vocab(docs), "doc_id", 64, 8, pad_to_max_length=True, vocab_size=2000)
-    return ids.select("doc_id", flat(F.col("input_ids")).alias("input_ids"), flat(F.col("labels")).alias("labels"))
+    pairs = talk(spark, sf)
+    ids = vocabulary.encode_pairs(pairs, _vocab(pairs), 64, 32, pad_to_max_length=True)
+    return ids.select("id", flat(F.col("input_ids")).alias("input_ids"), flat(F.col("labels")).alias("labels"))
 
 
 def pad_to_length(spark: SparkSession, sf: str) -> DataFrame:
-    return documents(spark, sf).select(
-        "doc_id", flat(tok.pad_to_length(F.transform(_few_words(), F.length), 30)).alias("ids")
-    )
+    return _encoded(spark, sf, 1024).select("doc_id", flat(tok.pad_to_length(F.col("ids"), 1024)).alias("ids"))
 
 
 def mask_labels(spark: SparkSession, sf: str) -> DataFrame:
-    padded = tok.pad_to_length(F.transform(_few_words(), F.length), 30)
-    return documents(spark, sf).select("doc_id", flat(tok.mask_labels(padded)).alias("ids"))
+    padded = tok.pad_to_length(F.col("ids"), 1024)
+    return _encoded(spark, sf, 1024).select("doc_id", flat(tok.mask_labels(padded)).alias("ids"))
 
 
 def generated_length(spark: SparkSession, sf: str) -> DataFrame:
-    padded = tok.mask_labels(tok.pad_to_length(F.transform(_few_words(), F.length), 30))
-    return documents(spark, sf).select("doc_id", tok.generated_length(padded).alias("n"))
-
-
-def _few_words() -> Column:
-    return F.slice(tok.word_tokens(F.col("text")), 1, 20)
+    padded = tok.mask_labels(tok.pad_to_length(F.col("ids"), 1024))
+    return _encoded(spark, sf, 1024).select("doc_id", tok.generated_length(padded).alias("n"))
 
 
 def pad_batches(spark: SparkSession, sf: str) -> DataFrame:
-    docs = documents(spark, sf)
-    pairs = docs.select("doc_id", "text", txt.first_words(F.col("text"), 9).alias("summary"))
-    ids = vocabulary.encode_pairs(pairs, _saved_vocab(docs), "doc_id", 64, 8, vocab_size=2000)
-    padded = batches.pad_batches(ids, "doc_id", 8, multiple_of=8, buckets=4)
+    pairs = talk(spark, sf)
+    ids = vocabulary.encode_pairs(pairs, _vocab(pairs), 64, 32)
+    padded = batches.pad_batches(ids, "id", 8, multiple_of=8, buckets=4)
     return padded.select(
-        "doc_id", "bucket", "batch", flat(F.col("input_ids")).alias("input_ids"), flat(F.col("labels")).alias("labels")
+        "id", "bucket", "batch", flat(F.col("input_ids")).alias("input_ids"), flat(F.col("labels")).alias("labels")
     )
 
 
 def decode(spark: SparkSession, sf: str) -> DataFrame:
-    docs = documents(spark, sf)
-    vocab = _saved_vocab(docs)
-    ids = vocabulary.encode(docs, vocab, "doc_id", {"input_ids": ("text", 64)}, 2000)
-    padded = ids.select("doc_id", tok.mask_labels(tok.pad_to_length(F.col("input_ids"), 64)).alias("input_ids"))
-    return vocabulary.decode(padded, vocab, "doc_id", ["input_ids"], 2000).withColumnRenamed("input_ids", "text")
+    docs = documents(spark, sf).select("doc_id", "text")
+    vocab = _vocab(docs)
+    ids = vocabulary.encode(docs, vocab, {"ids": ("text", 64)})
+    padded = ids.select("doc_id", tok.mask_labels(tok.pad_to_length(F.col("ids"), 64)).alias("text"))
+    return vocabulary.decode(padded, vocab, ["text"])
 
 
 # Scores
@@ -343,13 +370,12 @@ def rouge_lsum(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def evaluate(spark: SparkSession, sf: str) -> DataFrame:
-    """Answers scored from ids: encoded, padded, masked, decoded, scored, averaged per kind of conversation."""
-    pairs = answers(spark, sf).withColumn("id", F.concat_ws("-", "conv_id", "turn"))
-    vocab = _saved_vocab(table(spark, sf, "conversations"))
+    """Answers scored from ids: encoded, decoded, scored, averaged per kind of conversation."""
+    vocab = _vocab(table(spark, sf, "conversations"))
     sides = {"prediction_ids": ("prediction", 128), "labels": ("reference", 128)}
-    ids = vocabulary.encode(pairs, vocab, "id", sides, 2000)
-    split = F.when(F.substring_index("id", "-", -1) == "1", "first").otherwise("later")
-    return evaluation.evaluate_ids(ids.withColumn("split", split), vocab, "id", vocab_size=2000)
+    ids = vocabulary.encode(answers(spark, sf), vocab, sides)
+    split = F.when(F.col("turn") == 1, "first").otherwise("later")
+    return evaluation.evaluate_ids(ids.withColumn("split", split), vocab, tokenize=tok.word_tokens)
 
 
 # Summaries
@@ -360,13 +386,12 @@ def fit_word_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def summarize(spark: SparkSession, sf: str) -> DataFrame:
-    return models.summarize(documents(spark, sf), "text", lead_words).select("doc_id", "summary")
+    return models.summarize(documents(spark, sf), "text", longest_word).select("doc_id", "summary")
 
 
 def summarize_extractive(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
-    stats = stored(extractive.fit_word_stats(docs, "text"), "word_stats")
-    return extractive.summarize_extractive(docs, stats, "doc_id", "text")
+    return extractive.summarize_extractive(docs, extractive.fit_word_stats(docs, "text"), "doc_id", "text")
 
 
 def summarize_groups(spark: SparkSession, sf: str) -> DataFrame:
@@ -387,17 +412,28 @@ def summarize_groups_in_parts(spark: SparkSession, sf: str) -> DataFrame:
 
 def summarize_groups_by_model(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
-    return flows.model_summaries_by_group(docs, lead_words, "source", "text", "doc_id").select("source", "n", "summary")
+    return flows.model_summaries_by_group(docs, longest_word, "source", "text", "doc_id")
 
 
 def predict(spark: SparkSession, sf: str) -> DataFrame:
     """The whole second flow; the result is the lines of the predictions file."""
-    docs = documents(spark, sf).withColumn("summary", txt.first_words(F.col("text"), 20))
-    data = three_way(docs.select("doc_id", "text", "summary"), "doc_id")
-    paths = flows.train_evaluate_predict(data, scratch_folder(spark, "predict"), "doc_id")
+    data = three_way(talk(spark, sf), "id")
+    paths = flows.train_evaluate_predict(data, scratch_folder(spark, "predict"), "id")
     return spark.read.text(paths["predictions"]).select("value")
 
 
+def export_training_data(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of conversations as padded batches per split, read back."""
+    data = three_way(talk(spark, sf), "id")
+    paths = flows.export_training_data(
+        data, scratch_folder(spark, "export"), "id", 2000, max_source_length=64, max_target_length=32, val_max_target_length=16, multiple_of=8, buckets=4
+    )
+    back = spark.read.parquet(paths["batches"])
+    return back.select(
+        "id", "split", "bucket", "batch", flat(F.col("input_ids")).alias("input_ids"), flat(F.col("labels")).alias("labels")
+    )
+
+
 def _raw_reviews(spark: SparkSession, sf: str, path: str) -> str:
     """The page reviews as gzipped tab-separated files."""
     plain = F.regexp_replace("review_body", "[\t\r\n]+", " ").alias("review_body")
@@ -431,7 +467,7 @@ def summarize_stream(spark: SparkSession, sf: str) -> DataFrame:
     path = f"{sf}/document[s].parquet"  # a pattern: a stream takes a single file by no other path
     stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
     query = streaming.summarize_stream(
-        stream.select("doc_id", "text"), "text", lead_words, f"{out}/sink", f"{out}/checkpoint", available_now=True
+        stream.select("doc_id", "text"), "text", longest_word, f"{out}/sink", f"{out}/checkpoint", available_now=True
     )
     query.awaitTermination()
     return spark.read.parquet(f"{out}/sink").select("doc_id", "summary")
@@ -482,6 +518,7 @@ QUERIES: dict[str, Query] = {
         mean_metrics,
         build_vocab,
         encode,
+        encode_whole_vocabulary,
         encode_pairs,
         pad_to_length,
         mask_labels,
@@ -502,6 +539,7 @@ QUERIES: dict[str, Query] = {
         summarize_groups_in_parts,
         summarize_groups_by_model,
         predict,
+        export_training_data,
         prepare_reviews,
         prepare_reviews_by_key,
         summarize_stream,

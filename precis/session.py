@@ -18,6 +18,13 @@ SETTINGS = {
     "spark.sql.optimizer.windowGroupLimitThreshold": "4096",
 }
 
+# What a session says when nobody has set these.
+DEFAULTS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
+    "spark.sql.execution.arrow.pyspark.enabled": "false",
+}
+
 
 def local_session(cores: int = 8, shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A single-machine session for tests and the bench; on a cluster the submitter gives the session."""
@@ -35,6 +42,14 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, memory: str = "8g
     return spark
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Puts `SETTINGS` into a session that a cluster's submitter has given; a setting of its own stays as it is."""
+    for name, value in SETTINGS.items():
+        if spark.conf.get(name, None) in (None, DEFAULTS.get(name)):
+            spark.conf.set(name, value)
+    return spark
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the cluster's shared checkpoint folder; a temporary one only on a single machine."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -59,4 +74,4 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """The table written to the shared folder and read back, for results that several steps read."""
     path = scratch_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

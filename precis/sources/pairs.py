@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from precis.functions.text import strip
+
 # Quotes doubled inside quoted fields and spaces kept: what other CSV readers and writers expect.
 CSV_OPTIONS = {
     "header": True,
@@ -21,27 +23,28 @@ def read_pairs(
     train: str | None = None,
     validation: str | None = None,
     test: str | None = None,
-    multiline: bool = True,
+    multiline: bool = False,
     formats: dict[str, str] | None = None,
 ) -> DataFrame:
     """The given splits as one table with a `split` column. Each path ends in `.csv` or `.json` (JSON lines).
 
+    All columns are strings, JSON values in their JSON spelling, so splits of different formats fit together.
     `formats` names the format of a split whose path has no such ending, such as a folder of part files. `multiline`
-    lets quoted CSV fields hold line breaks, at the price of one task per file.
+    lets quoted CSV fields hold line breaks, at the price of one task per file; cleaned texts have none.
     """
     paths = {"train": train, "validation": validation, "test": test}
     paths = {split: path for split, path in paths.items() if path is not None}
     if not paths:
-        raise ValueError("need a training, validation or test file")
+        raise ValueError("no path given for any split")
     tables = []
     for split, path in paths.items():
         fmt = (formats or {}).get(split, path.rstrip("/").split(".")[-1])
         if fmt not in ("csv", "json"):
-            raise ValueError(f"the {split} file should be a csv or a json file: {path}")
+            raise ValueError(f"cannot tell the format of split {split!r} from {path!r}; pass it in `formats`")
         if fmt == "csv":
             df = spark.read.options(**CSV_OPTIONS, multiLine=multiline).csv(path)
         else:
-            df = spark.read.json(path)
+            df = spark.read.json(path, primitivesAsString=True)
         tables.append(df.withColumn("split", F.lit(split)))
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), tables)
 
@@ -56,7 +59,7 @@ def write_pairs_csv(df: DataFrame, path: str) -> None:
 
 def write_predictions(df: DataFrame, path: str, prediction: str, key: str) -> None:
     """One prediction per line in order of `key`, over part files in name order; line breaks become spaces."""
-    line = F.trim(F.regexp_replace(F.coalesce(F.col(prediction), F.lit("")), r"\s*[\r\n]+\s*", " "))
+    line = strip(F.regexp_replace(F.coalesce(F.col(prediction), F.lit("")), r"\s*[\r\n]+\s*", " "))
     df.select(key, line.alias("value")).orderBy(key).select("value").write.mode("overwrite").text(path)
 
 

@@ -47,6 +47,20 @@ def test_a_large_group_keeps_every_text_over_its_parts(hot):
         assert texts == sorted(w.text for w in want[key] if w.text is not None)
 
 
+@pytest.mark.parametrize("limit", [1, 50, 400, 10**6])
+def test_parts_put_together_are_the_group(spark, hot, limit):
+    """At any limit, also with equal and null orders."""
+    odd = spark.createDataFrame([("odd", i % 3 or None, f"text {i}") for i in range(40)], "key string, row long, text string")
+    both = hot.select("key", "row", "text").unionByName(odd)
+    whole = {r.key: r.reviews for r in groups.review_by_group(both, "key", "text", "row", min_n=1).collect()}
+    parts = defaultdict(list)
+    for r in groups.review_by_group(both, "key", "text", "row", min_n=1, max_part_chars=limit).collect():
+        parts[r.key].append((r.part, r.reviews))
+    assert {k: " ".join(t for _, t in sorted(v) if t) for k, v in parts.items()} == whole
+    if limit <= 400:
+        assert len(parts["hot"]) > 5 and all(len(t) <= limit + 20 for _, t in parts["hot"])
+
+
 def test_minimum_counts_rows_with_null_texts(spark):
     df = spark.createDataFrame([("a", i, None if i else "x") for i in range(10)] + [("b", 0, "y")], "key string, row int, text string")
     assert [tuple(r) for r in groups.review_by_group(df, "key", "text", "row").collect()] == [("a", 0, 10, "x")]

@@ -33,20 +33,38 @@ def by_hand(texts, counts, min_tokens, max_tokens):
     return " ".join(kept[i] for i in sorted(kept))
 
 
-@pytest.mark.parametrize("common", [1_000_000, 4])
+@pytest.mark.parametrize("hint", ["broadcast", "shuffle_merge"])
 @pytest.mark.parametrize("limits", [(5, 8), (2, 3), (100, 200)])
-def test_extractive_by_hand(spark, monkeypatch, common, limits):
-    """Also with most words taking the way by shuffle."""
-    monkeypatch.setattr(extractive, "COMMON_WORDS", common)
+def test_extractive_by_hand(spark, hint, limits):
+    """Also with the words' counts joined by a shuffle."""
     rows = [(g, i, f"w{i % 5} w{(i + g) % 3}. Tail w{i} x{g}. w1 w1") for g in range(4) for i in range(6 + 10 * (g == 2))]
     df = spark.createDataFrame(rows, "grp int, row int, text string").repartition(5)
-    stats = extractive.fit_word_stats(df, "text")
+    stats = extractive.fit_word_stats(df, "text").hint(hint)
     counts = Counter(w for _, _, t in rows for w in t.lower().replace(".", "").split())
     groups = defaultdict(list)
     for g, _, t in rows:
         groups[g].append(t)
     got = extractive.summarize_extractive(df, stats, "grp", "text", "row", *limits).collect()
     assert {r.grp: r.summary for r in got} == {g: by_hand(t, counts, *limits) for g, t in groups.items()}
+    single = extractive.add_summaries(df, stats, "text", "best", *limits).collect()
+    assert len(single) == len(rows)
+    assert all(r.best == by_hand([r.text], counts, *limits) for r in single)
+
+
+def test_every_row_has_a_summary(spark):
+    rows = [(1, "One two. One."), (1, None), (None, ""), (None, " \n "), (2, "?"), (2, "?")]
+    df = spark.createDataFrame(rows, "key int, text string")
+    stats = extractive.fit_word_stats(df, "text")
+    got = extractive.summarize_extractive(df, stats, "key", "text").collect()
+    assert sorted((r.key or 0, r.summary) for r in got) == [(0, ""), (0, ""), (1, ""), (1, "One two. One."), (2, "?"), (2, "?")]
+
+
+def test_texts_of_equal_order_stay_apart(spark):
+    rows = [("g", 1, "Red lens."), ("g", 1, "Blue lens."), ("g", None, "Old lens."), ("h", 1, None)]
+    df = spark.createDataFrame(rows, "key string, row int, text string")
+    stats = extractive.fit_word_stats(df, "text")
+    got = {r.key: r.summary for r in extractive.summarize_extractive(df, stats, "key", "text", "row").collect()}
+    assert sorted(got["g"].split(". ")) == sorted(["Old lens", *got["g"].split(". ")[1:]]) and len(got["g"].split()) == 6
 
 
 def test_model_gets_prefixed_batches_and_nulls_stay_null(spark):
@@ -89,7 +107,8 @@ def test_group_summaries_reach_every_part(spark):
 def test_group_summaries_by_model(spark):
     df = spark.createDataFrame([("a", i, f"text {i}") for i in range(12)], "key string, row int, text string")
     out = flows.model_summaries_by_group(df, lambda texts: [str(len(t.split())) for t in texts], "key", "text", "row", max_tokens=6)
-    assert tuple(out.first()) == ("a", 12, "text 0 text 1 text 2", "7")
+    # The model was given three texts; the group's text is whole.
+    assert tuple(out.first()) == ("a", 0, 12, " ".join(f"text {i}" for i in range(12)), "7")
 
 
 def test_train_evaluate_predict(spark, tmp_path):
@@ -98,12 +117,25 @@ def test_train_evaluate_predict(spark, tmp_path):
     data = spark.createDataFrame(rows, "row int, split string, body string, headline string")
     paths = flows.train_evaluate_predict(data, str(tmp_path), "row", max_samples={"test": 3})
     metrics = {r.split: r for r in spark.read.json(paths["metrics"]).collect()}
-    assert metrics["validation"].samples == 3 and metrics["test"].samples == 3
+    assert metrics["validation"].samples == 3 and metrics["test"].samples == 3 and metrics["train"].samples == 6
+    with pytest.raises(ValueError, match="no rows of split 'train'"):
+        flows.train_evaluate_predict(data.filter("split <> 'train'"), str(tmp_path / "none"), "row")
     assert math.isclose(metrics["test"].rouge1, 57.1429)
     lines = [r.value for r in spark.read.text(paths["predictions"]).collect()]
     assert lines == [f"Common words here. Odd{i} thing{i}." for i in (9, 10, 11)]
 
 
+def test_training_data_is_exported_per_split(spark, tmp_path):
+    rows = [(i, "train" if i < 10 else "validation", f"a b c{i}", "a") for i in range(14)] + [(20, "train", "x", None)]
+    data = spark.createDataFrame(rows, "row int, split string, text string, summary string")
+    paths = flows.export_training_data(data, str(tmp_path), "row", max_source_length=4, batch_size=4, buckets=1, max_samples={"train": 8})
+    vocab = {r.token: r.id for r in spark.read.parquet(paths["vocab"]).collect()}
+    got = {r.row: r for r in spark.read.parquet(paths["batches"]).collect()}
+    assert sorted(got) == [*range(8), *range(10, 14)] and got[10].split == "validation"
+    assert all(r.input_ids == [vocab["summarize"], vocab["a"], vocab["b"], 1] and r.labels == [vocab["a"], 1] for r in got.values())
+    assert {r.batch for r in got.values() if r.split == "train"} == {0, 1}
+
+
 def test_from_raw_files_to_group_summaries(spark, tmp_path):
     """The flows one after the other, on columns with awkward names."""
     lines = [f"{i}\t{'hot' if i % 3 else 'p' + str(i % 4)}\tHead {i}\tGood <b>lens</b> {i}. Rest.\n" for i in range(120)]

@@ -18,26 +18,49 @@ def test_vocabulary_ids_follow_frequency_then_token(docs):
     assert got == [("b", 3, 3), ("a", 4, 2), ("c", 5, 1)]
 
 
-@pytest.mark.parametrize("broadcast", [1_000_000, 1])
-def test_encode_and_decode(docs, monkeypatch, broadcast):
-    """Also with all but one token beyond what is broadcast."""
-    monkeypatch.setattr(vocabulary, "BROADCAST_TOKENS", broadcast)
-    vocab = vocabulary.build_vocab(docs, "text", 3)
-    ids = vocabulary.encode(docs, vocab, "id", {"x": ("text", 4), "y": ("summary", 8)}, 3).orderBy("id")
-    assert [(r.id, r.x, r.y) for r in ids.collect()] == [
-        (1, [3, 4, 3, 1], [4, 3, 1]),
-        (2, [4, 3, 2, 1], [1]),
-        (3, [1], [5, 1]),
-        (4, [1], [1]),
-    ]
-    texts = vocabulary.decode(ids, vocab, "id", ["x", "y"], 3).orderBy("id")
-    assert [(r.x, r.y) for r in texts.collect()] == [("b a b", "a b"), ("a b", ""), ("", "c"), ("", "")]
-
-
-def test_ids_beyond_the_size_are_unknown(docs):
-    vocab = vocabulary.build_vocab(docs, "text", 3)
-    ids = vocabulary.encode(docs, vocab, "id", {"x": ("text", 9)}, 1).filter("id = 1").first().x
-    assert ids == [3, 2, 3, 2, 1]
+@pytest.mark.parametrize("broadcast", ["-1", "100m"])
+def test_encode_and_decode(spark, docs, broadcast):
+    """The same rows whether the planner sends the vocabulary or shuffles it."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        vocab = vocabulary.build_vocab(docs, "text", 3)
+        ids = vocabulary.encode(docs, vocab, {"x": ("text", 4), "y": ("summary", 8)})
+        assert ids.columns == [*docs.columns, "x", "y"]
+        assert [(r.id, r.x, r.y) for r in ids.orderBy("id").collect()] == [
+            (1, [3, 4, 3, 1], [4, 3, 1]),
+            (2, [4, 3, 2, 1], [1]),
+            (3, [1], [5, 1]),
+            (4, [1], [1]),
+        ]
+        texts = vocabulary.decode(ids, vocab, ["x", "y"], {"x": "n"}).orderBy("id")
+        assert [(r.x, r.y, r.n) for r in texts.collect()] == [("b a b", "a b", 4), ("a b", "", 4), ("", "c", 1), ("", "", 1)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("broadcast", ["1", "100m"])
+def test_every_row_and_token_counts(spark, broadcast):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        vocab = spark.range(40_000).select(F.concat(F.lit("w"), "id").alias("token"), (F.col("id") + 3).cast("int").alias("id"))
+        rows = [(1, "w0 w31999 w32000 w39999"), (1, "w1"), (None, "w2"), (None, "w2"), (2, "zz")]
+        ids = vocabulary.encode(spark.createDataFrame(rows, "id int, text string"), vocab, {"ids": ("text", 9)})
+        assert sorted((r.id or 0, r.ids) for r in ids.collect()) == [
+            (0, [5, 1]), (0, [5, 1]), (1, [3, 32002, 32003, 40002, 1]), (1, [4, 1]), (2, [2, 1])
+        ]
+        back = vocabulary.decode(ids, vocab, ["ids"])
+        assert sorted((r.id or 0, r.ids) for r in back.collect()) == [(0, "w2"), (0, "w2"), (1, rows[0][1]), (1, "w1"), (2, "")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_vocabulary_cuts_ties_by_name(spark):
+    df = spark.createDataFrame([("c c b b a a d e f",)], "text string")
+    for size in range(1, 8):
+        got = [r.token for r in vocabulary.build_vocab(df, "text", size).orderBy("id").collect()]
+        assert got == list("abcdef")[:size]
 
 
 def test_validation_targets_have_a_limit_of_their_own(docs):
@@ -45,7 +68,7 @@ def test_validation_targets_have_a_limit_of_their_own(docs):
     first = docs.filter("id = 1")
 
     def labels(**options):
-        return vocabulary.encode_pairs(first, vocab, "id", max_target_length=3, vocab_size=3, **options).first().labels
+        return vocabulary.encode_pairs(first, vocab, max_target_length=3, **options).first().labels
 
     assert labels() == [4, 3, 1]
     assert labels(validation=True) == [4, 3, 1]
