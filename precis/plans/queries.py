@@ -93,7 +93,7 @@ def read_pairs(spark: SparkSession, sf: str) -> DataFrame:
     one = {name: both.filter(F.col("split") == name).drop("split") for name in ("train", "validation")}
     pair_files.write_pairs_csv(one["train"], f"{path}/train.csv")
     one["validation"].write.json(f"{path}/validation.json")
-    back = pair_files.read_pairs(spark, f"{path}/train.csv", f"{path}/validation.json")
+    back = pair_files.read_pairs(spark, f"{path}/train.csv", f"{path}/validation.json", multiline=True)  # raw texts
     return back.select("split", "doc_id", "text", "summary")
 
 
