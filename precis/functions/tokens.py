@@ -18,6 +18,11 @@ def word_tokens(col: Column) -> Column:
     return F.regexp_extract_all(F.lower(col), F.lit("[a-z0-9]+"), F.lit(0))
 
 
+def sentence_tokens(col: Column) -> Column:
+    """Words as in `word_tokens`, and the marks that end sentences as tokens of their own."""
+    return F.regexp_extract_all(F.lower(col), F.lit("[a-z0-9]+|[.!?]"), F.lit(0))
+
+
 def ngrams(tokens: Column, n: int) -> Column:
     """All runs of `n` tokens, each joined by a space."""
     if n == 1:

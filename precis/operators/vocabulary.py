@@ -134,6 +134,8 @@ def encode_pairs(
 def decode(df: DataFrame, vocab: DataFrame, cols: list[str], lengths: dict[str, str] | None = None) -> DataFrame:
     """`df` with the text of each id array in its place: special ids dropped, tokens joined by a space.
 
+    No space stands before a sentence's end mark, for ids that were made with `sentence_tokens`.
+
     `lengths` maps id columns to new columns with their number of ids that are neither padding nor skipped.
     """
     for name, length in (lengths or {}).items():
@@ -147,5 +149,5 @@ def decode(df: DataFrame, vocab: DataFrame, cols: list[str], lengths: dict[str,
     }
     found = looked_up(df, vocab, arrays, "id", "token")
     for name in cols:
-        found = found.withColumn(name, F.concat_ws(" ", F.col(name)))
+        found = found.withColumn(name, F.regexp_replace(F.concat_ws(" ", F.col(name)), " (?=[.!?])", ""))
     return found

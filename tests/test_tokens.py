@@ -56,6 +56,21 @@ def test_every_row_and_token_counts(spark, broadcast):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_sentence_ends_survive_ids(spark):
+    """So the score per sentence of decoded ids is not that of the whole."""
+    from precis.operators import evaluation
+
+    rows = [("Red lens. Blue strap! Good.", "Blue strap. Red lens.")]
+    df = spark.createDataFrame(rows, "said string, wanted string").withColumn("split", F.lit("test"))
+    both = df.select(F.concat_ws(" ", "said", "wanted").alias("text"))
+    vocab = vocabulary.build_vocab(both, "text", 50, tok.sentence_tokens)
+    ids = vocabulary.encode(df, vocab, {"prediction_ids": ("said", 50), "labels": ("wanted", 50)}, tok.sentence_tokens)
+    back = vocabulary.decode(ids, vocab, ["prediction_ids"]).first().prediction_ids
+    assert back == "red lens. blue strap! good."
+    metrics = evaluation.evaluate_ids(ids, vocab).first()
+    assert metrics.rougeL < metrics.rougeLsum and metrics.samples == 1
+
+
 def test_vocabulary_cuts_ties_by_name(spark):
     df = spark.createDataFrame([("c c b b a a d e f",)], "text string")
     for size in range(1, 8):
