@@ -16,74 +16,92 @@ import numpy as np
 
 BLOCK = 2048
 _SLOTS = 1024
-_TOP, _BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
-_MASK = np.uint64((1 << 32) - 1)
+# Code words of 16 bits leave at the top of 64; no range is coded from that is below the bottom.
+_TOP, _BOTTOM = np.uint64(1 << 48), np.uint64(1 << 40)
+_MASK = np.uint64((1 << 40) - 1)
 _S16, _S48 = np.uint64(16), np.uint64(48)
-_CHANCE_BITS = 12
-_S12 = np.uint64(_CHANCE_BITS)
+_S12 = np.uint64(12)  # chances are twelve-bit numbers
 _TOTAL_BITS = 14
 _S22 = np.uint64(_TOTAL_BITS + 8)
-_REBUILD = 64
+_REBUILD = 256
 _ONE = np.uint64(1)
+# Chances move towards these; so none gets to no or yes.
+_NO, _YES = 31, 4064
 
 
 class _Model:
-    """What the encoder and the decoder both know of each block after every id."""
+    """What the encoder and the decoder both know of each block after every id.
+
+    Looking up and storing cost most, so what is looked up together is packed into one number: both chances of a
+    context, the start and the width of an upper byte's part.
+    """
 
     def __init__(self, lanes: int):
         lane = np.arange(lanes)
         self.slots, self.contexts, self.pasts = lane * _SLOTS, lane * 32, lane * 64
-        self.upper_base, self.cum_base = lane * 256, lane * 257
+        self.bytes = lane * 256
         self.by1 = np.zeros(lanes * _SLOTS, np.int32)  # id << 2 | trust
         self.by2 = np.zeros(lanes * _SLOTS, np.int32)
-        half = 1 << _CHANCE_BITS - 1
-        # Chances of a yes for order 2 and order 1: by trust and agreement of the predictions, by the past answers.
-        self.trust = [np.full(lanes * 32, half, np.int32) for _ in range(2)]
-        self.past = [np.full(lanes * 64, half, np.int32) for _ in range(2)]
+        # Chance of a yes for order 2 << 16 | for order 1: by trust and agreement, by the past answers.
+        self.trust = np.full(lanes * 32, 2048 << 16 | 2048, np.int32)
+        self.past = np.full(lanes * 64, 2048 << 16 | 2048, np.int32)
         self.upper = np.ones((lanes, 256), np.int32)
-        self.cum = np.zeros((lanes, 257), np.int32)
+        self.parts = np.empty((lanes, 256), np.int32)  # start << 16 | width
+        self.starts = np.empty((lanes, 256), np.int32)
         self.last = np.zeros(lanes, np.int32)
         self.at2 = self.slots
         self.answers = np.zeros(lanes, np.int64)
         self.step = 0
 
     def predict(self) -> None:
-        if self.step % _REBUILD == 0 or self.step in (8, 24):
+        if self.step % _REBUILD == 0 or self.step in (8, 24, 64, 128):
             sums = np.cumsum(self.upper, axis=1, dtype=np.int32)
             # Every upper byte keeps at least one part of the total.
             scale = ((1 << _TOTAL_BITS) - 256) / sums[:, -1:].astype(np.float64)
-            self.cum[:, 1:] = (sums * scale).astype(np.int32)
-            self.cum[:, -1] = (1 << _TOTAL_BITS) - 256
-            self.cum[:, 1:] += np.arange(1, 257, dtype=np.int32)
+            ends = (sums * scale).astype(np.int32)
+            ends[:, -1] = (1 << _TOTAL_BITS) - 256
+            ends += np.arange(1, 257, dtype=np.int32)
+            self.starts[:, 0] = 0
+            self.starts[:, 1:] = ends[:, :-1]
+            np.subtract(ends, self.starts, out=self.parts)
+            self.parts |= self.starts << 16
         self.step += 1
         self.at1 = self.slots + (self.last * 40503 >> 3 & _SLOTS - 1)
         self.entry1, self.entry2 = self.by1.take(self.at1), self.by2.take(self.at2)
         self.guess1, self.guess2 = self.entry1 >> 2, self.entry2 >> 2
-        self.trust1, self.trust2 = self.entry1 & 3, self.entry2 & 3
-        self.ctx = self.contexts + (self.trust1 * 8 + self.trust2 * 2 + (self.guess1 == self.guess2))
+        self.ctx = self.contexts + ((self.entry1 & 3) * 8 + (self.entry2 & 3) * 2 + (self.guess1 == self.guess2))
         self.ctx_past = self.pasts + self.answers
-        self.own = [(t.take(self.ctx), p.take(self.ctx_past)) for t, p in zip(self.trust, self.past, strict=True)]
-        # The mean of the two, never quite no or yes.
-        self.chances = [np.clip(a + b >> 1, 32, (1 << _CHANCE_BITS) - 32).astype(np.uint64) for a, b in self.own]
-
-    def update(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, new: np.ndarray, upper: np.ndarray) -> None:
-        """`new` are the blocks whose id was not predicted, `upper` these ids' upper bytes."""
-        for order, yes in enumerate((hit2, hit1)):
-            goal = yes.astype(np.int32) << _CHANCE_BITS
-            a, b = self.own[order]
-            first, second = a + (goal - a >> 4), b + (goal - b >> 4)
-            if order:  # the second question wasn't asked after a yes
-                first, second = np.where(hit2, a, first), np.where(hit2, b, second)
-            self.trust[order][self.ctx] = first
-            self.past[order][self.ctx_past] = second
-        self.upper.reshape(-1)[self.upper_base.take(new) + upper] += 24
+        self.own1, self.own2 = self.trust.take(self.ctx), self.past.take(self.ctx_past)
+        both = self.own1 + self.own2
+        # The mean of the two tables.
+        self.chance2 = (both >> 17).astype(np.uint64)
+        self.chance1 = ((both & 0xFFFF) >> 1).astype(np.uint64)
+
+    def part(self, upper: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and width of the upper bytes' parts."""
+        packed = self.parts.reshape(-1).take(self.bytes + upper)
+        return packed >> 16, packed & 0xFFFF
+
+    def find(self, value: np.ndarray) -> np.ndarray:
+        """The upper bytes whose parts hold the values, by halving."""
+        at, starts = self.bytes, self.starts.reshape(-1)
+        for step in (128, 64, 32, 16, 8, 4, 2, 1):
+            at = at + step * (starts.take(at + step) <= value)
+        return (at - self.bytes).astype(np.int32)
+
+    def update(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, new: np.ndarray) -> None:
+        goal2, goal1 = hit2 * np.int32(_YES - _NO) + np.int32(_NO), hit1 * np.int32(_YES - _NO) + np.int32(_NO)
+        for table, at, own in ((self.trust, self.ctx, self.own1), (self.past, self.ctx_past, self.own2)):
+            c2, c1 = own >> 16, own & 0xFFFF
+            c2 = c2 + (goal2 - c2 >> 4)
+            # The second question wasn't asked after a yes.
+            c1 = np.where(hit2, c1, c1 + (goal1 - c1 >> 4))
+            table[at] = c2 << 16 | c1
+        self.upper.reshape(-1)[self.bytes + (ids >> 8)] += new * np.int32(24)
         fresh = ids << 2
-        for table, at, entry, trust, right in (
-            (self.by1, self.at1, self.entry1, self.trust1, self.guess1 == ids),
-            (self.by2, self.at2, self.entry2, self.trust2, hit2),
-        ):
-            kept = np.where(right, entry + (trust < 3), entry - 1)
-            table[at] = np.where(right | (trust > 0), kept, fresh)
+        for table, at, entry, right in ((self.by1, self.at1, self.entry1, self.guess1 == ids), (self.by2, self.at2, self.entry2, hit2)):
+            wrong = np.where(entry & 3, entry - 1, fresh)
+            table[at] = np.where(right, np.minimum(entry + 1, entry | 3), wrong)
         self.at2 = self.slots + ((self.last * 9973 ^ ids * 40503) >> 4 & _SLOTS - 1)
         self.last = ids
         self.answers = (self.answers << 2 & 63) + (hit2 * 2 + hit1)
@@ -109,23 +127,15 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
             model.predict()
             hit2 = model.guess2 == x
             hit1 = (model.guess1 == x) & ~hit2
-            part = (span >> _S12) * model.chances[0]
-            low = np.where(hit2, low, low + part)
-            span = np.where(hit2, part, span - part)
-            part = (span >> _S12) * model.chances[1]
-            no = ~(hit2 | hit1)
-            low = np.where(no, low + part, low)
-            span = np.where(hit1, part, np.where(no, span - part, span))
-            new = np.flatnonzero(no)
-            ids_new = x.take(new)
-            upper = ids_new >> 8
-            cells = model.cum_base.take(new) + upper
-            a = model.cum.reshape(-1).take(cells)
-            wide = model.cum.reshape(-1).take(cells + 1) - a
-            unit = span.take(new) >> _S22
-            low[new] += unit * ((a << 8) + (ids_new & 255) * wide).astype(np.uint64)
-            span[new] = unit * wide.astype(np.uint64)
-            model.update(x, hit2, hit1, new, upper)
+            a, wide = model.part(x >> 8)
+            part2 = (span >> _S12) * model.chance2
+            low1, span1 = low + part2, span - part2
+            part1 = (span1 >> _S12) * model.chance1
+            unit = span1 - part1 >> _S22
+            low0 = low1 + part1 + unit * ((a << 8) + (x & 255) * wide).astype(np.uint64)
+            low = np.where(hit2, low, np.where(hit1, low1, low0))
+            span = np.where(hit2, part2, np.where(hit1, part1, unit * wide.astype(np.uint64)))
+            model.update(x, hit2, hit1, ~(hit2 | hit1))
             _shift(low, span, put)
         every = np.arange(lanes)
         for _ in range(4):
@@ -154,65 +164,48 @@ def decode_blocks(blocks: list[bytes], length: int) -> np.ndarray:
 
     every = np.arange(lanes)
     ids = np.empty((length, lanes), np.int32)
+    most = np.uint64((1 << _TOTAL_BITS + 8) - 1)
     with np.errstate(over="ignore"):
         for _ in range(4):
             pull(every, None)
         for step in range(length):
             model.predict()
-            part = (span >> _S12) * model.chances[0]
             ahead = code - low
-            hit2 = ahead < part
-            low = np.where(hit2, low, low + part)
-            span = np.where(hit2, part, span - part)
-            part = (span >> _S12) * model.chances[1]
-            yes = code - low < part
-            hit1 = yes & ~hit2
-            no = ~(hit2 | yes)
-            low = np.where(no, low + part, low)
-            span = np.where(hit1, part, np.where(no, span - part, span))
-            x = np.where(hit2, model.guess2, model.guess1)
-            new = np.flatnonzero(no)
-            unit = span.take(new) >> _S22
-            value = np.minimum((code.take(new) - low.take(new)) // unit, np.uint64((1 << _TOTAL_BITS + 8) - 1)).astype(np.int32)
-            base = model.cum_base.take(new)
-            cells = _find(model.cum.reshape(-1), base, value >> 8)
-            upper = (cells - base).astype(np.int32)
-            a = model.cum.reshape(-1).take(cells)
-            wide = model.cum.reshape(-1).take(cells + 1) - a
-            # A damaged block may lead anywhere; its checksum will tell.
+            part2 = (span >> _S12) * model.chance2
+            hit2 = ahead < part2
+            low1, span1 = low + part2, span - part2
+            ahead -= part2
+            part1 = (span1 >> _S12) * model.chance1
+            hit1 = (ahead < part1) & ~hit2
+            unit = span1 - part1 >> _S22
+            # Where an id was predicted this is off, and unused; a damaged block may lead anywhere, its checksum tells.
+            value = np.minimum((ahead - part1) // np.maximum(unit, _ONE), most).astype(np.int32)
+            upper = model.find(value >> 8)
+            a, wide = model.part(upper)
             lower = np.minimum((value - (a << 8)) // np.maximum(wide, 1), 255)
-            x[new] = upper << 8 | lower
-            low[new] += unit * ((a << 8) + lower * wide).astype(np.uint64)
-            span[new] = unit * wide.astype(np.uint64)
+            x = np.where(hit2, model.guess2, np.where(hit1, model.guess1, upper << 8 | lower))
+            low0 = low1 + part1 + unit * ((a << 8) + lower * wide).astype(np.uint64)
+            low = np.where(hit2, low, np.where(hit1, low1, low0))
+            span = np.where(hit2, part2, np.where(hit1, part1, unit * wide.astype(np.uint64)))
             ids[step] = x
-            model.update(x, hit2, hit1, new, upper)
+            model.update(x, hit2, hit1, ~(hit2 | hit1))
             _shift(low, span, pull)
     return ids.T
 
 
-def _find(cum: np.ndarray, base: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """Where the upper byte's part that holds the value begins in the row, by halving."""
-    at = base
-    for step in (128, 64, 32, 16, 8, 4, 2, 1):
-        at = at + step * (cum.take(at + step) <= value)
-    return at
-
-
 def _shift(low: np.ndarray, span: np.ndarray, move) -> None:
     """Moves out settled code words, for the blocks that have some; without carries."""
     rows = None
     while True:
         lows, spans = (low, span) if rows is None else (low.take(rows), span.take(rows))
         settled = (lows ^ (lows + spans)) < _TOP
-        short = spans < _BOTTOM
-        due = np.flatnonzero(settled | short)
+        due = np.flatnonzero(settled | (spans < _BOTTOM))
         if not len(due):
             return
-        cut = due[~settled.take(due)]
+        straddles = ~settled.take(due)
         rows = due if rows is None else rows.take(due)
         lows, spans = lows.take(due), spans.take(due)
-        if len(cut):
-            straddles = ~settled.take(due)
+        if straddles.any():
             spans = np.where(straddles, (~lows + _ONE) & _MASK, spans)
         move(rows, lows)
         low[rows] = lows << _S16
