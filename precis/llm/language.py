@@ -23,24 +23,33 @@ class Direction:
     state: np.ndarray  # (H, 3H)
 
     def run(self, steps: np.ndarray) -> Iterator[np.ndarray]:
-        """The state after each row of bytes (window positions by lanes)."""
-        hidden = self.state.shape[0]
-        h = np.zeros((steps.shape[1], hidden), np.float32)
+        """The state (units by lanes) after each row of bytes (window positions by lanes).
+
+        A gate 1 / (1 + exp(-v)) is (tanh(v / 2) + 1) / 2; the halves are put into the weights, so that a step is one
+        product, two tanh and a few sums over whole rows. The state yielded is changed by the next step.
+        """
+        hidden, lanes = self.state.shape[0], steps.shape[1]
+        half = np.full(3 * hidden, 0.5, np.float32)
+        state = np.ascontiguousarray((self.state * half).T)
+        half[2 * hidden :] = 1
+        table = np.ascontiguousarray((self.table * half).T)
+        h = np.zeros((hidden, lanes), np.float32)
+        x, u = np.empty((3 * hidden, lanes), np.float32), np.empty((3 * hidden, lanes), np.float32)
+        gates, c, uc = x[: 2 * hidden], x[2 * hidden :], u[2 * hidden :]
         for row in steps:
-            x = self.table[row]
-            u = h @ self.state
-            x[:, : 2 * hidden] += u[:, : 2 * hidden]
-            gates = x[:, : 2 * hidden]
-            gates *= 0.5
+            np.take(table, row, axis=1, out=x, mode="clip")
+            np.matmul(state, h, out=u)
+            gates += u[: 2 * hidden]
             np.tanh(gates, out=gates)
-            gates *= 0.5
-            gates += 0.5
-            c = x[:, 2 * hidden :]
-            c += gates[:, hidden:] * u[:, 2 * hidden :]
+            c += uc
+            uc *= gates[hidden:]
+            c += uc
             np.tanh(c, out=c)
             c -= h
-            c *= gates[:, :hidden]
-            h = h + c
+            c *= 0.5
+            h += c
+            c *= gates[:hidden]
+            h += c
             yield h
 
 
@@ -53,15 +62,20 @@ class Model:
     bias: np.ndarray
 
     def window_sums(self, windows: np.ndarray, inside: np.ndarray) -> np.ndarray:
-        """Per window (columns) the sum of the probabilities of its labelled positions, one column per language."""
-        hidden = self.forward.state.shape[0]
-        ahead = np.stack(list(self.forward.run(windows)))
-        total = np.zeros((windows.shape[1], len(self.languages)), np.float32)
+        """Per window (columns) the sum of the probabilities of its labelled positions, one row per language."""
+        hidden, kinds = self.forward.state.shape[0], len(self.languages)
+        left, right = np.ascontiguousarray(self.out[:hidden].T), np.ascontiguousarray(self.out[hidden:].T)
+        ahead = np.empty((len(windows), kinds, windows.shape[1]), np.float32)
+        for t, h in enumerate(self.forward.run(windows)):
+            np.matmul(left, h, out=ahead[t])
+        total = np.zeros((kinds, windows.shape[1]), np.float32)
         for t, h in zip(range(len(windows) - 1, -1, -1), self.backward.run(windows[::-1]), strict=True):
-            logits = ahead[t] @ self.out[:hidden] + h @ self.out[hidden:] + self.bias
-            logits -= logits.max(axis=1, keepdims=True)
+            logits = ahead[t]
+            logits += right @ h
+            logits += self.bias[:, None]
+            logits -= logits.max(axis=0)
             np.exp(logits, out=logits)
-            logits *= (inside[t] / logits.sum(axis=1))[:, None]
+            logits *= inside[t] / logits.sum(axis=0)
             total += logits
         return total
 
@@ -81,7 +95,7 @@ class Model:
             inside = at < end[a : a + _LANES][None, :]
             windows = np.where(inside, data[np.minimum(at, len(data) - 1)], np.uint8(32))
             found = self.window_sums(windows, (inside & (windows > 32)).astype(np.float32))
-            np.add.at(sums, text_of[a : a + _LANES], found)
+            np.add.at(sums, text_of[a : a + _LANES], found.T)
         return sums / np.maximum(sums.sum(axis=1, keepdims=True), 1e-9)
 
 
