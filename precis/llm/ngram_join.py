@@ -18,6 +18,8 @@ _DIRECT = 64  # up to this size a sketch has a cell for each shingle
 _BAND = 4
 _PARITY_WORDS = 8
 _FEW = 1_000_000
+_DENSE = 4
+_SLOW = 200
 
 
 def band_start(n: int) -> int:
@@ -120,9 +122,10 @@ def features(docs: DataFrame, key: str, text: str, shingle: int = SHINGLE, perce
 def _sets_of(docs: DataFrame, key: str, text: str, wanted: DataFrame, shingle: int) -> DataFrame:
     """`(id, set)` of the wanted sets, given as `(id, rep, h1, h2)` with one document each; shingles only those texts."""
     own = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"))
-    names = wanted.select("rep").distinct()
-    if wanted.count() <= _FEW:
-        names = F.broadcast(names)  # counted: a few megabytes
+    few = wanted.count() <= _FEW  # counted: some tens of megabytes
+    names, wanted = wanted.select("rep").distinct(), wanted.select("id", "h1", "h2")
+    if few:
+        names, wanted = F.broadcast(names), F.broadcast(wanted)
     near = own.join(names, own["_key"].eqNullSafe(names["rep"]), "left_semi")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +134,7 @@ def _sets_of(docs: DataFrame, key: str, text: str, wanted: DataFrame, shingle: i
             yield pa.RecordBatch.from_arrays([*_hashed(sets), _lists(sets)], names=["h1", "h2", "set"])
 
     found = near.mapInArrow(measure, "h1 bigint, h2 bigint, set array<bigint>")
-    return found.join(wanted.select("id", "h1", "h2"), ["h1", "h2"]).dropDuplicates(["id"]).select("id", "set")
+    return found.join(wanted, ["h1", "h2"]).select("id", "set").dropDuplicates(["id"])
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
@@ -150,6 +153,48 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(shared * 100 >= (F.size("sa") + F.size("sb") - shared) * percent).select("a", "b")
 
 
+def _sent_if_few(df: DataFrame) -> DataFrame:
+    """A stored table of few rows (counted: some tens of megabytes) goes to all executors; others are shuffled."""
+    return F.broadcast(df) if df.count() <= _FEW else df
+
+
+def _close(pairs: DataFrame, sides: DataFrame, percent: int) -> DataFrame:
+    """The distinct pairs `(a, b)`, the lesser number first, that sizes and parity bits leave possible."""
+    ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    sides = _sent_if_few(sides)
+    both = ordered.join(sides.select(F.col("id").alias("a"), F.col("s").alias("s1")), "a")
+    both = both.join(sides.select(F.col("id").alias("b"), F.col("s").alias("s2")), "b")
+    return both.filter(_may_link("s1", "s2", percent)).select("a", "b")
+
+
+def _across(own: DataFrame) -> tuple[float, int]:
+    """How many pairs of sets that share a key lie in different components (counted once per key), and the rows."""
+    parts = own.groupBy("k", "c").agg(F.count("*").alias("n")).groupBy("k").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
+    found = parts.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs"), F.sum("n").alias("rows")).first()
+    return found["pairs"] or 0.0, found["rows"] or 0
+
+
+def _pivot_pairs(own: DataFrame) -> DataFrame:
+    """Each key's sets paired with one of them, if in another component: that which shares its keys with the most sets
+    of other components, as the original among its edited copies does. A pair per member at most."""
+    in_key = own.groupBy("k").agg(F.count("*").alias("all"))
+    in_part = own.groupBy("k", "c").agg(F.count("*").alias("part"))
+    others = in_part.join(in_key, "k").select("k", "c", (F.col("all") - F.col("part")).alias("others"))
+    weights = saved(own.join(others, ["k", "c"]).groupBy("id").agg(F.sum("others").alias("weight")), "ngram-weights")
+    best = own.join(_sent_if_few(weights), "id").groupBy("k").agg(F.max(F.struct("weight", (-F.col("id")).alias("least"), "c")).alias("p"))
+    pivot = best.select("k", (-F.col("p.least")).alias("a"), F.col("p.c").alias("pc"))
+    return own.join(pivot, "k").filter(F.col("c") != F.col("pc")).select("a", F.col("id").alias("b"))
+
+
+def _all_pairs(own: DataFrame, sides: DataFrame, percent: int) -> DataFrame:
+    """Every pair of sets that share a key, lie in different components, and may be linked by sizes and parity bits."""
+    full = own.join(_sent_if_few(sides), "id")
+    x, y = full.alias("x"), full.alias("y")
+    apart = (F.col("x.k") == F.col("y.k")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.c") != F.col("y.c"))
+    rest = x.join(y, apart & _may_link("x.s", "y.s", percent)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    return rest.distinct()
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
@@ -160,7 +205,7 @@ def near_duplicates(
     linked when 100 * shared >= percent * union. Rows with equal sets are one node, so copies cost one row each. A
     group without any key has a null component.
 
-    Sets that share a key of `keys_of` are candidates. A key's sets are first held against its least set only, which
+    Sets that share a key of `keys_of` are candidates. A key's sets are first held against one of them only, which
     settles groups of copies with a row per member; pairs that are not connected by then are held against each
     other, after sizes and parity bits, until no two sets of a key are left unchecked in different components. Counts
     of a key come from partial sums and hot keys join as rows, so no task holds a key's members at once.
@@ -172,21 +217,21 @@ def near_duplicates(
     # Two sets with one h1 only add candidates: what leaves here is told apart by h1 and h2.
     shared = keyed.groupBy("k").agg(F.min("h1").alias("lead"), F.max("h1").alias("top")).filter("lead < top")
     members = saved(keyed.join(shared.select("k", "lead"), "k").distinct(), "ngram-members")
-    near = members.select("h1").distinct()
+    near = _sent_if_few(saved(members.select("h1").distinct(), "ngram-near"))
     known = filled.join(near, "h1", "left_semi").groupBy("h1", "h2").agg(
         F.min("n").alias("n"), F.min("_key").alias("rep"), F.first("parity").alias("parity")
     )
     nodes = saved(known.withColumn("id", F.monotonically_increasing_id()), "ngram-nodes")  # numbered once, then read
-    groups = saved(members.join(nodes.select("h1", "id"), "h1").select("k", "id"), "ngram-groups")
+    ids = _sent_if_few(nodes.select("h1", "id"))
+    sides = nodes.select("id", F.struct("n", "parity").alias("s"))
+    groups = saved(members.join(ids, "h1").select("k", "id"), "ngram-groups")
 
-    ids = nodes.select("h1", "id")
-    star = members.filter("lead <> h1").select("lead", "h1").distinct()
+    # Each set is held first against the one that leads most of its keys; what that leaves open comes up below.
+    led = members.filter("lead <> h1").groupBy("h1", "lead").agg(F.count("*").alias("times"))
+    star = led.groupBy("h1").agg(F.max(F.struct("times", "lead")).alias("most")).select("h1", "most.lead")
     star = star.join(ids.withColumnRenamed("id", "b"), "h1").join(ids.select(F.col("h1").alias("lead"), F.col("id").alias("a")), "lead")
-    sides = nodes.select("id", F.struct("n", "parity").alias("s"))
-    close = star.join(sides.withColumnRenamed("s", "s1"), F.col("a") == F.col("id")).drop("id")
-    close = close.join(sides.withColumnRenamed("s", "s2"), F.col("b") == F.col("id")).filter(_may_link("s1", "s2", percent))
-    pairs = saved(close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "ngram-pairs")
-    checked, links, sets = pairs, None, None
+    pairs = saved(_close(star, sides, percent), "ngram-pairs")
+    checked, links, sets, last = pairs, None, None, False
     while True:
         wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
         if sets is not None:
@@ -194,19 +239,21 @@ def near_duplicates(
         wanted = saved(nodes.join(wanted, "id", "left_semi").select("id", "rep", "h1", "h2"), "ngram-wanted")
         new = saved(_sets_of(docs, key, text, wanted, shingle), "ngram-sets")
         sets = new if sets is None else sets.union(new)
-        found = _verified(pairs, sets, percent)
-        links = saved(found if links is None else links.union(found), "ngram-links")
+        found = saved(_verified(pairs, sets, percent), "ngram-found")
+        links = found if links is None else links.union(found)
         labels = components(links)
-        own = groups.join(labels.withColumnRenamed("node", "id"), "id", "left").select("k", "id", F.coalesce("component", "id").alias("c"))
-        split = own.groupBy("k").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select("k")
-        own = saved(own.join(split, "k", "left_semi").join(sides, "id"), "ngram-split")
-        x, y = own.alias("x"), own.alias("y")
-        apart = (F.col("x.k") == F.col("y.k")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.c") != F.col("y.c"))
-        rest = x.join(y, apart & _may_link("x.s", "y.s", percent)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-        pairs = saved(rest.distinct().join(checked, ["a", "b"], "left_anti"), "ngram-pairs")
-        if not pairs.limit(1).count():
+        if last:  # every pair that was left is checked now
             break
-        checked = saved(checked.union(pairs), "ngram-checked")
+        own = groups.join(_sent_if_few(labels.withColumnRenamed("node", "id")), "id", "left")
+        own = own.select("k", "id", F.coalesce("component", "id").alias("c"))
+        split = own.groupBy("k").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select("k")
+        own = saved(own.join(split, "k", "left_semi"), "ngram-split")
+        across, size = _across(own)
+        # Many pairs are first held against one set a key, as long as that joins sets in numbers; then come the others.
+        last = across <= _DENSE * size or found.count() * _SLOW < size
+        pairs = _all_pairs(own, sides, percent) if last else _close(_pivot_pairs(own), sides, percent)
+        pairs = saved(pairs.join(checked, ["a", "b"], "left_anti"), "ngram-pairs")
+        checked = checked.union(pairs)
 
     # A set that shares no key, or links with none, is a group of its own.
     of_node = nodes.join(labels, nodes["id"] == labels["node"], "left").select("h1", "h2", F.coalesce("component", "id").alias("c"))
