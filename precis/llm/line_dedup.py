@@ -77,6 +77,14 @@ def _sums(names: np.ndarray, starts: np.ndarray, salt: int) -> pa.Array:
     return pa.array(np.add.reduceat(mixed, starts).view(np.int64))
 
 
+def _parity(names: np.ndarray, line: np.ndarray, rows: int) -> list[np.ndarray]:
+    """128 bits per line, each flipped by every word that hashes to it: two lines differ in no more bits than words."""
+    bit = mix(names ^ np.uint64(0xA24BAED4963EE407)) & np.uint64(127)
+    out = np.zeros(rows * 2, np.uint64)
+    np.bitwise_xor.at(out, line * 2 + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    return [out[half::2].view(np.int64) for half in (0, 1)]
+
+
 def _lines(docs: DataFrame, key: str, text: str, common, percent: int) -> DataFrame:
     """One row per line with a word: document, line number, set size, 128-bit set hash, prefix words. Texts are read whole."""
     own = docs.select(F.col(f"`{key}`").alias("_key"), *row_names(key, text), F.split(F.col(f"`{text}`"), "\n").alias("lines"))
@@ -97,11 +105,13 @@ def _lines(docs: DataFrame, key: str, text: str, common, percent: int) -> DataFr
             at = np.repeat(starts - (ends - wanted), wanted) + np.arange(int(ends[-1]) if len(ends) else 0)
             prefix = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(names[at].view(np.int64)))
             columns = [batch.column(c).take(pa.array(document[kept])) for c in ("_key", "_row", "_row2")]
-            columns += [pa.array(number[kept]), pa.array(n), _sums(names, starts, 0), _sums(names, starts, 0x5851F42D4C957F2D), prefix]
-            yield pa.RecordBatch.from_arrays(columns, names=["_key", "_row", "_row2", "line", "n", "h1", "h2", "prefix"])
+            p0, p1 = _parity(names, np.repeat(np.arange(len(n)), n), len(n))
+            columns += [pa.array(number[kept]), pa.array(n), _sums(names, starts, 0), _sums(names, starts, 0x5851F42D4C957F2D)]
+            columns += [pa.array(p0), pa.array(p1), prefix]
+            yield pa.RecordBatch.from_arrays(columns, names=["_key", "_row", "_row2", "line", "n", "h1", "h2", "p0", "p1", "prefix"])
 
     kind = own.schema["_key"].dataType.simpleString()
-    schema = f"_key {kind}, _row bigint, _row2 bigint, line bigint, n bigint, h1 bigint, h2 bigint, prefix array<bigint>"
+    schema = f"_key {kind}, _row bigint, _row2 bigint, line bigint, n bigint, h1 bigint, h2 bigint, p0 bigint, p1 bigint, prefix array<bigint>"
     return own.mapInArrow(measure, schema)
 
 
@@ -130,8 +140,12 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(shared * 100 >= (F.size("sa") + F.size("sb") - shared) * percent).select("b").distinct()
 
 
-def _least_overlap(n: Column, m: Column, percent: int) -> Column:
-    return F.ceil((n + m) * percent / (100 + percent))
+def _may_be_similar(x: str, y: str, percent: int) -> Column:
+    """Whether sizes and parity bits of two sets allow it: they differ in at most (1 - p) / (1 + p) of their words."""
+    n, m = F.col(f"{x}n"), F.col(f"{y}n")
+    bits = F.bit_count(F.col(f"{x}p0").bitwiseXOR(F.col(f"{y}p0"))) + F.bit_count(F.col(f"{x}p1").bitwiseXOR(F.col(f"{y}p1")))
+    near = F.least(n, m) * 100 >= F.greatest(n, m) * percent
+    return near & (bits * (100 + percent) <= (n + m) * (100 - percent))
 
 
 def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -142,43 +156,49 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", per
     Lines without a word are never removed. Rows that agree in key and text are one document.
 
     Equal sets are one node with the place of their first line. Each node is filed under the rare words at the start
-    of its order, by which any similar set meets it. Under each word all are first held against the earliest: that
-    settles groups of near copies with a pair per member. What isn't settled is held against every earlier set under
-    its words that size and positions allow, and the pairs are verified on whole sets.
+    of its order, by which any similar set meets it. Each is first held against the earliest of its size under most of
+    its words: that settles groups of near copies with a pair per member. What isn't settled is held against every
+    earlier set under its words that size, positions and parity bits allow, and the pairs are verified on whole sets.
     """
     spark = docs.sparkSession
     common = spark.sparkContext.broadcast(_common_words(docs, text))
     lines = saved(_lines(docs, key, text, common, percent), "line-features")
     first = F.min(F.struct(F.col("_key").isNull(), "_key", "_row", "_row2", "line")).alias("first")
-    nodes = lines.groupBy("h1", "h2").agg(first, F.min("n").alias("n"), F.first("prefix").alias("prefix"))
-    nodes = nodes.select("h1", "h2", "n", "prefix", "first.*", F.lit(1).cast("long").alias("one"))
+    some = [F.min(c).alias(c) for c in ("n", "p0", "p1")]  # the same in all of them
+    nodes = lines.groupBy("h1", "h2").agg(first, *some, F.first("prefix").alias("prefix"))
+    nodes = nodes.select("h1", "h2", "n", "p0", "p1", "prefix", "first.*", F.lit(1).cast("long").alias("one"))
     by = [F.col("_key").asc_nulls_last(), F.col("_row"), F.col("_row2"), F.col("line")]
     nodes = saved(with_totals_before(nodes, by, {"id": "one"}, "line-order").drop("one"), "line-nodes")
 
     # Of two similar sets the larger is at most 1.25 times as large for 80: they lie in one band or in two next to each other.
     step = float(np.log(100 / percent)) if percent < 100 else _BAND
-    band = F.floor(F.log(F.col("n").cast("double")) / step + 1e-9)
-    filed = nodes.select("id", "n", band.alias("band"), F.posexplode("prefix").alias("at", "word"))
-    filed = filed.select("id", "n", "word", "at", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
-    heads = filed.groupBy("word", "band").agg(F.min("id").alias("lead"), F.max("id").alias("last")).filter("lead < last")
-    members = saved(filed.join(heads.select("word", "band", "lead"), ["word", "band"]), "line-members")
-    sizes = nodes.select(F.col("id").alias("lead"), F.col("n").alias("m"))
-    star = members.filter("lead < id").select("lead", "id", "n").distinct().join(sizes, "lead")
-    star = star.filter(F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
-    pairs = saved(star.select(F.col("lead").alias("a"), F.col("id").alias("b")), "line-pairs")
+    band = F.floor(F.log(F.col("n").cast("double")) / step + 1e-9).cast("int")
+    filed = nodes.select("id", band.alias("band"), F.posexplode("prefix").alias("at", "word"))
+    heads = filed.groupBy("word").agg(F.min("id").alias("lead"), F.max("id").alias("last")).filter("lead < last").select("word")
+    members = saved(filed.join(heads, "word"), "line-members")
+    leads = members.groupBy("word", "band").agg(F.min("id").alias("lead"), F.max("id").alias("last")).filter("lead < last")
+    votes = members.join(leads.select("word", "band", "lead"), ["word", "band"]).filter("lead < id").groupBy("id", "lead").agg(F.count("*").alias("times"))
+    star = votes.groupBy("id").agg(F.max(F.struct("times", (-F.col("lead")).alias("lead"))).alias("most"))
+    star = star.select((-F.col("most.lead")).alias("a"), F.col("id").alias("b"))
+    sides = nodes.select("id", "n", "p0", "p1")
+    both = star.join(sides.select(*(F.col(c).alias(f"x{c}") for c in sides.columns)), F.col("a") == F.col("xid"))
+    both = both.join(sides.select(*(F.col(c).alias(f"y{c}") for c in sides.columns)), F.col("b") == F.col("yid"))
+    pairs = saved(both.filter(_may_be_similar("x", "y", percent)).select("a", "b"), "line-pairs")
     place = nodes.select("id", "_row", "_row2", "line")
     ends = lambda p: p.select(F.col("a").alias("id")).union(p.select("b")).distinct()
     sets = saved(_sets(docs, key, text, saved(place.join(ends(pairs), "id"), "line-wanted"), common), "line-sets")
     gone = saved(_similar(pairs, sets, percent), "line-gone")
 
-    open_ = members.join(gone, members["id"] == gone["b"], "left_anti").select("word", "band", "id", "n", "at")
-    y, x = open_.alias("y"), members.alias("x")
-    need = _least_overlap(F.col("x.n"), F.col("y.n"), percent)
-    left_over = 1 + F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at")) - 1
-    near = (F.col("x.id") < F.col("y.id")) & (F.col("x.id") != F.col("x.lead")) & (left_over >= need)
-    near = near & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
-    same = (F.col("x.word") == F.col("y.word")) & (F.col("x.band") == F.col("y.band"))
-    rest = saved(y.join(x, same & near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "line-rest")
+    open_ = members.join(gone, members["id"] == gone["b"], "left_anti").select("word", "band", "id", "at")
+    y = open_.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))).join(sides, "id").alias("y")
+    x = members.select("word", "band", "id", "at").join(sides, "id").alias("x")
+    least = F.ceil((F.col("x.n") + F.col("y.n")) * percent / (100 + percent))
+    # From the first word that both have at these places on, they can share no more than what either has left.
+    left_over = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at")) + F.least("x.at", "y.at")
+    same = (F.col("x.word") == F.col("y.word")) & (F.col("x.band") == F.col("y.band")) & (F.col("x.id") < F.col("y.id"))
+    near = same & (left_over >= least) & _may_be_similar("x.", "y.", percent)
+    rest = x.join(y, near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    rest = saved(rest.join(pairs, ["a", "b"], "left_anti"), "line-rest")
     more = saved(place.join(ends(rest).join(sets, "id", "left_anti"), "id"), "line-wanted")
     sets = sets.union(saved(_sets(docs, key, text, more, common), "line-sets"))
     gone = saved(gone.union(_similar(rest, sets, percent)).distinct(), "line-gone")
