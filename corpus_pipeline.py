@@ -7,16 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from precis.llm import decontamination, mixing, ngram_join, quality, token_files
 from precis.llm.common import saved, table
 from precis.llm.queries import tokenizer_path
-from precis.session import scratch_folder
+from precis.session import configure, scratch_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that break a rule go."""
+    configure(spark)
     return quality.keep_good(docs)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
+    configure(spark)
     return ngram_join.keep_one(docs)
 
 
@@ -32,6 +34,7 @@ def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def token_id_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token-id files of the mix; the result is their index: `doc_id, start, n_tokens, ids_crc32` per document."""
+    configure(spark)
     path = scratch_folder(spark, "corpus-token-ids")
     token_files.write(docs, path, tokenizer_path())
     return token_files.read_index(spark, path).withColumnRenamed("key", "doc_id")

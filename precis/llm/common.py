@@ -6,11 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from precis.functions.text import let
-from precis.session import scratch_folder
+from precis.operators.running import with_totals_before  # noqa: F401
+from precis.session import configure
+from precis.session import stored as saved  # noqa: F401
 
 # Fixed by the result contracts: what parts words.
 SPACES = " \t\n\x0b\f\r"
@@ -18,16 +20,11 @@ WORD_GAP = "[ \\x09-\\x0D]+"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One of the given tables; the session gets the library's settings, such as smaller Arrow batches for long texts."""
+    configure(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """The table written below the shared checkpoint folder and read back: cuts the lineage, survives lost executors."""
-    path = scratch_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def packed(docs: DataFrame) -> Column:
     """All columns of a row as one, so that no name of theirs meets one of ours."""
     return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_r")
@@ -50,26 +47,6 @@ def word_count(text: Column) -> Column:
     return F.size(words_of(text)).cast("long")
 
 
-def with_totals_before(df: DataFrame, order: list[Column], totals: dict[str, str], name: str) -> DataFrame:
-    """The table in order, with each of `totals` (new column: summed column) as the sum over all rows before.
-
-    The rows are range-partitioned and stored with the number of their part; one row per part is summed up alone, so
-    no task holds more than a part and none of the sums depends on where the parts were cut. Ties in the order may
-    fall either way between rows that differ elsewhere: pass an order that tells rows apart.
-    """
-    laid = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-    laid = saved(laid, name)
-    sums = laid.groupBy("_part").agg(*(F.sum(c).alias(f"_sum_{new}") for new, c in totals.items()))
-    # One row per part: bounded by the number of shuffle partitions, not by the rows.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select("_part", *(F.coalesce(F.sum(f"_sum_{new}").over(before), F.lit(0)).alias(f"_at_{new}") for new in totals))
-    here = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    out = laid.join(F.broadcast(starts), "_part")
-    for new, c in totals.items():
-        out = out.withColumn(new, F.col(f"_at_{new}") + F.coalesce(F.sum(c).over(here), F.lit(0)))
-    return out.drop("_part", *(f"_at_{new}" for new in totals))
-
-
 # Words and shingles as 64-bit numbers, for a batch of texts at a time
 
 _PIECE = 1 << 21
