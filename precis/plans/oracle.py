@@ -225,6 +225,8 @@ TALK = f"SELECT conv_id * 1000 + turn AS id, prediction AS text, reference AS su
 ENCODED = f"""WITH {vocab("documents", 2000)}, {ids("SELECT * FROM documents", "doc_id", "text", 1024, "e")}"""
 TALK_IDS = f"""talk AS ({TALK}), {vocab("talk", 2000)}, {ids("SELECT * FROM talk", "id", "text", 64, "e")},
         {ids("SELECT * FROM talk", "id", "summary", 32, "l")}"""
+TALK_IDS_AT_DEFAULTS = f"""talk AS ({TALK}), {vocab("talk", 32_000)}, {ids("SELECT * FROM talk", "id", "text", 1024, "e")},
+        {ids("SELECT * FROM talk", "id", "summary", 128, "l")}"""
 MODEL_INPUT = f"""
       WITH words AS (SELECT source, doc_id, text, len(list_filter(string_split(text, ' '), lambda x: length(x) > 0)) AS cost
                      FROM documents),
@@ -291,6 +293,8 @@ ORACLE: dict[str, str] = {
         SELECT k AS doc_id, {joined("ids")} AS input_ids FROM e""",
     "encode_pairs": f"""WITH {TALK_IDS} SELECT e.k AS id, {joined(padded("e.ids", "64", 0))} AS input_ids,
         {joined(padded("l.ids", "32", -100))} AS labels FROM e JOIN l ON l.k = e.k""",
+    "encode_pairs_at_defaults": f"""WITH {TALK_IDS_AT_DEFAULTS} SELECT e.k AS id, {joined(padded("e.ids", "1024", 0))} AS input_ids,
+        {joined(padded("l.ids", "128", -100))} AS labels FROM e JOIN l ON l.k = e.k""",
     "pad_to_length": f"""{ENCODED} SELECT k AS doc_id, {joined(padded("ids", "1024", 0))} AS ids FROM e""",
     "mask_labels": f"""{ENCODED} SELECT k AS doc_id, {joined(padded("ids", "1024", -100))} AS ids FROM e""",
     "generated_length": f"{ENCODED} SELECT k AS doc_id, len(ids)::INTEGER AS n FROM e",
@@ -303,11 +307,21 @@ ORACLE: dict[str, str] = {
                   FROM numbered WINDOW w AS (PARTITION BY bucket, batch))
         SELECT id, bucket, batch, {joined(padded("a", "la", 0))} AS input_ids,
         {joined(padded("b", "lb", -100))} AS labels FROM sized""",
+    "pad_batches_at_defaults": f"""WITH {TALK_IDS_AT_DEFAULTS},
+        both_ids AS (SELECT e.k AS id, ({HASH.format("e.k")} % 1024)::INTEGER AS bucket, e.ids AS a, l.ids AS b
+                 FROM e JOIN l ON l.k = e.k),
+        numbered AS (SELECT *, ((row_number() OVER (PARTITION BY bucket ORDER BY id) - 1) // 8)::INTEGER AS batch
+                     FROM both_ids),
+        sized AS (SELECT *, max(len(a)) OVER w AS la, max(len(b)) OVER w AS lb
+                  FROM numbered WINDOW w AS (PARTITION BY bucket, batch))
+        SELECT id, bucket, batch, {joined(padded("a", "la", 0))} AS input_ids,
+        {joined(padded("b", "lb", -100))} AS labels FROM sized""",
     "decode": f"""WITH {vocab("documents", 2000)},
         t AS (SELECT doc_id, {TOKENS.format("text")}[1:63] AS t FROM documents),
         u AS (SELECT doc_id, unnest(t) AS token, generate_subscripts(t, 1) AS i FROM t),
         g AS (SELECT doc_id, string_agg(token, ' ' ORDER BY i) AS text FROM u JOIN vocab USING (token) GROUP BY doc_id)
         SELECT t.doc_id, coalesce(g.text, '') AS text FROM t LEFT JOIN g ON g.doc_id = t.doc_id""",
+    "decode_whole_texts": f"SELECT doc_id, array_to_string({TOKENS.format('text')}, ' ') AS text FROM documents",
     "newline_sentences": f"SELECT doc_id, {LINES.format('text')} AS text FROM documents",
     "rouge_1": f"{rouge_n(1)} SELECT * FROM scored",
     "rouge_2": f"{rouge_n(2)} SELECT * FROM scored",
@@ -358,6 +372,19 @@ ORACLE: dict[str, str] = {
                   FROM numbered WINDOW w AS (PARTITION BY split, bucket, batch))
         SELECT id, split, bucket, batch, {joined(padded("a", "la", 0))} AS input_ids,
         {joined(padded("b", "lb", -100))} AS labels FROM sized""",
+    "export_training_data_at_defaults": f"""WITH talk AS (SELECT id, {SPLIT.format("id")} AS split, 'summarize: ' || text AS text, summary FROM ({TALK})
+            WHERE length(text) > 0 AND length(summary) > 0),
+        train_texts AS (SELECT text FROM talk WHERE split = 'train' UNION ALL SELECT summary FROM talk WHERE split = 'train'),
+        {vocab("train_texts", 32_000)}, {ids("SELECT * FROM talk", "id", "text", 1024, "e")},
+        {ids("SELECT * FROM talk", "id", "summary", 128, "l")},
+        both_ids AS (SELECT id, split, ({HASH.format("id")} % 1024)::INTEGER AS bucket, e.ids AS a, l.ids AS b FROM talk
+                 JOIN e ON e.k = id JOIN l ON l.k = id),
+        numbered AS (SELECT *, ((row_number() OVER (PARTITION BY split, bucket ORDER BY id) - 1) // 8)::INTEGER AS batch
+                     FROM both_ids),
+        sized AS (SELECT *, max(len(a)) OVER w AS la, max(len(b)) OVER w AS lb
+                  FROM numbered WINDOW w AS (PARTITION BY split, bucket, batch))
+        SELECT id, split, bucket, batch, {joined(padded("a", "la", 0))} AS input_ids,
+        {joined(padded("b", "lb", -100))} AS labels FROM sized""",
     "prepare_reviews": f"{RAW_PAGES} SELECT review_body AS text, review_headline AS summary FROM reviews",
     "prepare_reviews_by_key": f"""{RAW_PAGES}
         SELECT CASE WHEN {HASH.format("page_id").replace("42:", "43:")} < 0.8 * 4294967296 THEN 'train'

@@ -22,6 +22,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 KEYS = {"documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id", "turn"]}
 # Joins the pieces of arrays for output; occurs in no text.
 UNIT = "\x1f"
+# The largest length and number of tokens that ids and arrays can count.
+NO_LIMIT = 2**31 - 16
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -305,6 +307,13 @@ def encode_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return ids.select("id", flat(F.col("input_ids")).alias("input_ids"), flat(F.col("labels")).alias("labels"))
 
 
+def encode_pairs_at_defaults(spark: SparkSession, sf: str) -> DataFrame:
+    """With the library's vocabulary size and lengths."""
+    pairs = talk(spark, sf)
+    ids = vocabulary.encode_pairs(pairs, vocabulary.build_vocab(pairs, "text"), pad_to_max_length=True)
+    return ids.select("id", flat(F.col("input_ids")).alias("input_ids"), flat(F.col("labels")).alias("labels"))
+
+
 def pad_to_length(spark: SparkSession, sf: str) -> DataFrame:
     return _encoded(spark, sf, 1024).select("doc_id", flat(tok.pad_to_length(F.col("ids"), 1024)).alias("ids"))
 
@@ -328,6 +337,15 @@ def pad_batches(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def pad_batches_at_defaults(spark: SparkSession, sf: str) -> DataFrame:
+    """With the library's vocabulary size, lengths and buckets."""
+    pairs = talk(spark, sf)
+    padded = batches.pad_batches(vocabulary.encode_pairs(pairs, vocabulary.build_vocab(pairs, "text")), "id")
+    return padded.select(
+        "id", "bucket", "batch", flat(F.col("input_ids")).alias("input_ids"), flat(F.col("labels")).alias("labels")
+    )
+
+
 def decode(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf).select("doc_id", "text")
     vocab = _vocab(docs)
@@ -336,6 +354,14 @@ def decode(spark: SparkSession, sf: str) -> DataFrame:
     return vocabulary.decode(padded, vocab, ["text"])
 
 
+def decode_whole_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids of whole texts with every token of the corpus in the vocabulary; all words come back."""
+    docs = documents(spark, sf).select("doc_id", "text")
+    vocab = stored(_vocab(docs, NO_LIMIT), "vocab")
+    ids = vocabulary.encode(docs, vocab, {"ids": ("text", NO_LIMIT)})
+    return vocabulary.decode(ids.select("doc_id", F.col("ids").alias("text")), vocab, ["text"])
+
+
 # Scores
 
 
@@ -434,6 +460,16 @@ def export_training_data(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def export_training_data_at_defaults(spark: SparkSession, sf: str) -> DataFrame:
+    """With the library's vocabulary size, lengths and buckets."""
+    data = three_way(talk(spark, sf), "id")
+    paths = flows.export_training_data(data, scratch_folder(spark, "export"), "id")
+    back = spark.read.parquet(paths["batches"])
+    return back.select(
+        "id", "split", "bucket", "batch", flat(F.col("input_ids")).alias("input_ids"), flat(F.col("labels")).alias("labels")
+    )
+
+
 def _raw_reviews(spark: SparkSession, sf: str, path: str) -> str:
     """The page reviews as gzipped tab-separated files."""
     plain = F.regexp_replace("review_body", "[\t\r\n]+", " ").alias("review_body")
@@ -520,11 +556,14 @@ QUERIES: dict[str, Query] = {
         encode,
         encode_whole_vocabulary,
         encode_pairs,
+        encode_pairs_at_defaults,
         pad_to_length,
         mask_labels,
         generated_length,
         pad_batches,
+        pad_batches_at_defaults,
         decode,
+        decode_whole_texts,
         newline_sentences,
         rouge_1,
         rouge_2,
@@ -540,6 +579,7 @@ QUERIES: dict[str, Query] = {
         summarize_groups_by_model,
         predict,
         export_training_data,
+        export_training_data_at_defaults,
         prepare_reviews,
         prepare_reviews_by_key,
         summarize_stream,
