@@ -8,13 +8,16 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from precis.llm.common import saved, with_totals_before
 
 # Strings that chat models take for control tokens. None ends as another begins.
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|")
+# Tokens of a block, one turn more or less.
+BLOCK_CHARS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -57,37 +60,42 @@ class Template:
         return [(plain(r), self.unescape(t)) for r, t in found]
 
 
-def _paths(turns: DataFrame, template: Template, conv: str, turn: str, role: str, text: str) -> DataFrame:
-    """Per conversation its turns as written and its path: two 64-bit numbers per turn that name it with all before."""
+def _named(turns: DataFrame, template: Template, conv: str, turn: str, role: str, text: str) -> DataFrame:
+    """Every turn as written, with a number `c` of its conversation, its `depth` there, and two names.
+
+    `n1, n2` name it with all before it, `p1, p2` the turn before (0, 0 if none). A conversation's rows come sorted and
+    are read one by one with the name so far carried over batches, so it needs no more memory than a batch.
+    """
     own = turns.select(
         F.col(f"`{conv}`").alias("conv"),
-        F.struct(
-            F.col(f"`{turn}`").alias("turn"),
-            F.coalesce(F.col(f"`{role}`"), F.lit("")).alias("role"),
-            F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
-        ).alias("t"),
+        F.col(f"`{turn}`").alias("turn"),
+        F.coalesce(F.col(f"`{role}`"), F.lit("")).alias("role"),
+        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
     )
-    lists = own.groupBy("conv").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+    sorted_turns = own.repartition("conv").sortWithinPartitions("conv", "turn", "role", "text")
     kind = own.schema["conv"].dataType.simpleString()
+    schema = f"conv {kind}, c bigint, depth int, n1 bigint, n2 bigint, p1 bigint, p2 bigint, text string, size bigint, loss_from bigint, loss_to bigint"
+    number = lambda half: int.from_bytes(half, "little", signed=True)
 
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c, depth, name, names, now = TaskContext.get().partitionId() << 40, -1, b"", (0, 0), None
         for batch in batches:
-            paths, parts = [], []
-            for turns_of in batch.column("turns").to_pylist():
-                name, path, written = b"", [], []
-                for t in turns_of:
-                    part, start, end = template.turn(t["role"], t["text"])
-                    name = hashlib.blake2b(name + part.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-                    path += [int.from_bytes(name[:8], "little", signed=True), int.from_bytes(name[8:], "little", signed=True)]
-                    written.append({"text": part, "size": len(part), "loss_from": start, "loss_to": end})
-                paths.append(path)
-                parts.append(written)
-            struct = pa.struct([("text", pa.string()), ("size", pa.int64()), ("loss_from", pa.int64()), ("loss_to", pa.int64())])
-            held = [batch.column("conv"), pa.array(paths, pa.list_(pa.int64())), pa.array(parts, pa.list_(struct))]
-            yield pa.RecordBatch.from_arrays(held, names=["conv", "path", "parts"])
-
-    part = "array<struct<text:string,size:bigint,loss_from:bigint,loss_to:bigint>>"
-    return lists.mapInArrow(chain, f"conv {kind}, path array<bigint>, parts {part}")
+            rows = []
+            for key, r, t in zip(*(batch.column(x).to_pylist() for x in ("conv", "role", "text")), strict=True):
+                if depth < 0 or not (key == now or (key != key and now != now)):
+                    c, depth, name, names, now = c + 1, -1, b"", (0, 0), key
+                part, start, end = template.turn(r, t)
+                before, depth = names, depth + 1
+                name = hashlib.blake2b(name + part.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                names = number(name[:8]), number(name[8:])
+                rows.append((c, depth, *names, *before, part, len(part), start, end))
+            columns = zip(*rows, strict=True) if rows else [[]] * 10
+            kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.string(), *[pa.int64()] * 3]
+            made = [pa.array(list(values), kind) for values, kind in zip(columns, kinds, strict=True)]
+            fields = ["conv", "c", "depth", "n1", "n2", "p1", "p2", "text", "size", "loss_from", "loss_to"]
+            yield pa.RecordBatch.from_arrays([batch.column("conv"), *made], names=fields)
+
+    return sorted_turns.mapInArrow(chain, schema)
 
 
 def write(
@@ -102,88 +110,86 @@ def write(
     """Writes `path/blocks` and `path/conversations`.
 
     Conversations that begin with the same turns share them: the turns form a tree, which is written depth first, each
-    turn once. A block holds the turns that one conversation adds to those before it in that order:
+    turn once. A run of turns between two forks is a segment; a segment is cut into blocks of about `BLOCK_CHARS`
+    tokens, never inside a turn:
 
-    - `block`, its number; `start`, where its first token stands in the whole output (a token is a code point);
+    - `block`, its number, and `start`, where its first token stands in the whole output (a token is a code point);
+      numbers go up as starts do and are the same;
+    - `first`, the first block of its segment;
     - `text`; `turns`, where each turn ends and from where to where it is under the loss mask, counted in the block;
     - `position`, the position id of its first token; the others follow one by one;
-    - `attends`, the spans of ancestors that its tokens see besides those before them in the block: block, start in
-      the output, length. Tokens of other branches are not in them.
+    - `attends`, the spans of ancestors that its tokens see besides those before them in the block: first block, start
+      in the output, length, one span per segment. Tokens of other branches are not in them;
+    - `turns_before`, how many turns these spans hold.
 
     `conversations` holds `conv` and `block`: a conversation is its block's ancestors and the block's turns up to
     `n_turns` in all. Rows of a conversation go by turn, ties by role and text; null roles and texts are empty; a null
-    id is a conversation. One conversation must fit in a task, as one text must; copies and shared turns are counted
-    and joined as rows, so neither a hot first turn nor a hot conversation meets in one task.
+    id is a conversation. A conversation is never one row: its turns are rows from end to end, sorted and read as a
+    stream, so one that holds a third of the table takes one task long but no more memory. Copies and shared turns
+    are counted and joined as rows. Only the forks on a path come together in one row.
     """
     template = template or Template()
-    all_paths = saved(_paths(turns, template, conv, turn, role, text), "chat-paths")
-    # The last pair of numbers names the whole path, so equal conversations are one leaf.
-    leaf = [F.element_at("path", -2).alias("l1"), F.element_at("path", -1).alias("l2")]
-    leaves = all_paths.select(*leaf, "path", "parts").dropDuplicates(["l1", "l2"])
-    leaves = saved(leaves, "chat-leaves")
-    # Lexicographic order of paths is depth-first order.
-    order = leaves.select("l1", "l2", "path", F.lit(1).cast("long").alias("one"))
-    ranked = saved(with_totals_before(order, [F.col("path")], {"rank": "one"}, "chat-order").drop("one"), "chat-ranks")
-    depths = F.sequence(F.lit(0), (F.size("path") / 2).cast("int") - 1)
-    on_path = ranked.select("rank", "path", F.explode(depths).alias("depth")).select(
-        "rank", "depth", F.get("path", 2 * F.col("depth")).alias("n1"), F.get("path", 2 * F.col("depth") + 1).alias("n2")
-    )
-    # A turn belongs to the first path that comes through it; counted by task before the shuffle.
-    owners = on_path.groupBy("n1", "n2").agg(F.min("rank").alias("owner"))
-    owned = on_path.join(owners, ["n1", "n2"]).groupBy("rank").agg(F.sort_array(F.collect_list(F.struct("depth", "owner"))).alias("owned"))
-    tree = ranked.select("rank", "l1", "l2").join(leaves.select("l1", "l2", "parts"), ["l1", "l2"]).join(owned, "rank")
-    sizes = F.transform("parts", lambda p: p["size"])
-    tree = tree.select("rank", "l1", "l2", "parts", F.transform("owned", lambda o: o["owner"]).alias("owners"), sizes.alias("sizes"))
-    tree = tree.withColumn("own_from", F.array_position("owners", F.col("rank")).cast("int") - 1)  # -1: adds nothing
-    tree = saved(tree, "chat-tree")
-
-    adds = tree.filter("own_from >= 0")
-    add = lambda total, x: total + x
-    zero = F.lit(0).cast("long")
-    own_sizes = F.slice("sizes", F.col("own_from") + 1, F.size("sizes"))
-    starts = adds.select("rank", F.aggregate(own_sizes, zero, add).alias("size"))
-    starts = saved(with_totals_before(starts, [F.col("rank")], {"start": "size"}, "chat-starts"), "chat-starts")
-    spans = tree.select("rank", F.explode(_runs(F.col("owners"), F.col("sizes"))).alias("s")).select("rank", "s.*")
-    placed = spans.join(starts.select(F.col("rank").alias("block"), "start"), "block")
-    attends = placed.filter("block <> rank").groupBy("rank").agg(F.sort_array(F.collect_list(F.struct("block", "start", "size"))).alias("attends"))
+    every = saved(_named(turns, template, conv, turn, role, text), "chat-turns")
+    last = [F.max_by(n, "depth").alias(n) for n in ("n1", "n2")]
+    ends = saved(every.groupBy("c").agg(F.first("conv").alias("conv"), F.max("depth").alias("depth"), *last), "chat-ends")
+    # Equal conversations have one path; the last turn's name names it.
+    one = ends.groupBy("n1", "n2").agg(F.min("c").alias("c")).select("c")
+    kept = saved(every.drop("conv", "text").join(one, "c", "left_semi"), "chat-paths")
+
+    # A segment begins where a tree does or after a turn that is followed by different ones.
+    nodes = kept.groupBy("n1", "n2").agg(*(F.min(x).alias(x) for x in ("depth", "p1", "p2")))
+    forks = nodes.groupBy("p1", "p2").agg(F.count("*").alias("ways")).filter("ways > 1")
+    heads = nodes.join(forks, ["p1", "p2"], "left").filter("depth = 0 OR ways > 1")
+    heads = saved(heads.select("n1", "n2", F.struct("n1", "n2").alias("head")), "chat-heads")
+    along = Window.partitionBy("c").orderBy("depth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    marked = saved(kept.drop("p1", "p2").join(heads, ["n1", "n2"], "left"), "chat-marked")
+    # Lexicographic order of the segments on a path is depth-first order.
+    forked = marked.filter("head IS NOT NULL").select("n1", "n2", F.collect_list("head").over(along).alias("path"))
+    order = forked.dropDuplicates(["n1", "n2"]).withColumn("one", F.lit(1).cast("long"))
+    segments = saved(with_totals_before(order, [F.col("path")], {"rank": "one"}, "chat-order").drop("one"), "chat-segments")
+    ranks = segments.select(F.col("n1").alias("h1"), F.col("n2").alias("h2"), "rank")
+    within = marked.withColumn("head", F.last("head", ignorenulls=True).over(along))
+    within = within.withColumn("h1", F.col("head.n1")).withColumn("h2", F.col("head.n2"))
+    # A turn has the same depth, size and segment on every path through it.
+    facts = [F.min(x).alias(x) for x in ("c", "depth", "size", "loss_from", "loss_to", "h1", "h2")]
+    tree = within.groupBy("n1", "n2").agg(*facts).join(ranks, ["h1", "h2"]).drop("h1", "h2")
+    placed = with_totals_before(tree, [F.col("rank"), F.col("depth")], {"start": "size"}, "chat-starts")
+    cell = Window.partitionBy("rank", F.floor(F.col("start") / BLOCK_CHARS))
+    placed = saved(placed.withColumn("block", F.min("start").over(cell)), "chat-tree")
+
+    spans = placed.groupBy("rank").agg(F.min("start").alias("first"), F.sum("size").alias("size"))
+    spans = saved(spans.join(ranks, "rank"), "chat-spans")
+    above = segments.select("rank", F.explode(F.slice("path", F.lit(1), F.size("path") - 1)).alias("h"))
+    above = above.select(F.col("rank").alias("below"), F.col("h.n1").alias("h1"), F.col("h.n2").alias("h2")).join(spans, ["h1", "h2"])
+    span = F.struct(F.col("first").alias("block"), F.col("first").alias("start"), "size")
+    attends = above.groupBy("below").agg(F.sort_array(F.collect_list(span)).alias("attends"), F.sum("size").alias("before"))
+
+    texts = placed.join(every.select("c", "depth", "text"), ["c", "depth"])
+    parts = F.struct("start", "depth", "size", "loss_from", "loss_to", "text")
+    # One group is one block.
+    blocks = texts.groupBy("rank", "block").agg(F.sort_array(F.collect_list(parts)).alias("parts"))
+    blocks = blocks.join(spans.select("rank", "first"), "rank").join(attends.withColumnRenamed("below", "rank"), "rank", "left")
     none = F.array().cast("array<struct<block:bigint,start:bigint,size:bigint>>")
-    blocks = adds.join(starts.select("rank", "start"), "rank").join(attends, "rank", "left")
-    own_parts = F.slice("parts", F.col("own_from") + 1, F.size("parts"))
+    earlier = F.array(F.struct(F.col("first").alias("block"), F.col("first").alias("start"), (F.col("block") - F.col("first")).alias("size")))
+
+    def in_block(p: Column) -> Column:
+        at = p["start"] - F.col("block")
+        return F.struct((at + p["size"]).alias("end"), (at + p["loss_from"]).alias("loss_from"), (at + p["loss_to"]).alias("loss_to"))
+
     blocks = blocks.select(
-        F.col("rank").alias("block"),
-        "start",
-        F.array_join(F.transform(own_parts, lambda p: p["text"]), "").alias("text"),
-        _ends(own_parts).alias("turns"),
-        F.aggregate(F.slice("sizes", F.lit(1), F.col("own_from")), zero, add).alias("position"),
-        F.col("own_from").alias("turns_before"),
-        F.coalesce("attends", none).alias("attends"),
+        "block",
+        "first",
+        F.col("block").alias("start"),
+        F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"),
+        F.transform("parts", in_block).alias("turns"),
+        (F.coalesce("before", F.lit(0)) + F.col("block") - F.col("first")).alias("position"),
+        F.get("parts", F.lit(0))["depth"].alias("turns_before"),
+        F.concat(F.coalesce("attends", none), F.when(F.col("block") > F.col("first"), earlier).otherwise(none)).alias("attends"),
     )
     blocks.repartitionByRange("block").sortWithinPartitions("block").write.parquet(f"{path}/blocks")
-    # A path that ends inside another one adds no block: it is the first turns of its last turn's owner.
-    ends = tree.select("l1", "l2", F.element_at("owners", -1).alias("block"), F.size("owners").alias("n_turns"))
-    named = all_paths.select("conv", *leaf).join(ends, ["l1", "l2"]).select("conv", "block", "n_turns")
-    named.write.parquet(f"{path}/conversations")
-
-
-def _runs(owners: Column, sizes: Column) -> Column:
-    """`(block, size)` of each run of turns that one block owns, in order of depth."""
-    each = F.array_distinct(owners)
-    add = lambda total, x: total + x
-    own = lambda block: F.filter(F.arrays_zip(owners.alias("o"), sizes.alias("z")), lambda t: t["o"] == block)
-    size = lambda block: F.aggregate(F.transform(own(block), lambda t: t["z"]), F.lit(0).cast("long"), add)
-    return F.transform(each, lambda block: F.struct(block.alias("block"), size(block).alias("size")))
-
-
-def _ends(parts: Column) -> Column:
-    """Per turn of a block: where it ends and its loss span, from the block's start."""
-    empty = F.array().cast("array<struct<end:bigint,loss_from:bigint,loss_to:bigint>>")
-
-    def more(done: Column, p: Column) -> Column:
-        at = F.coalesce(F.try_element_at(done, F.lit(-1))["end"], F.lit(0).cast("long"))
-        here = F.struct((at + p["size"]).alias("end"), (at + p["loss_from"]).alias("loss_from"), (at + p["loss_to"]).alias("loss_to"))
-        return F.concat(done, F.array(here))
-
-    return F.aggregate(parts, empty, more)
+    # A path that ends inside another one adds no block: it is the first turns up to its last turn's block.
+    named = ends.join(placed.select("n1", "n2", "block"), ["n1", "n2"])
+    named.select("conv", "block", (F.col("depth") + 1).alias("n_turns")).write.parquet(f"{path}/conversations")
 
 
 def token_columns(blocks: DataFrame) -> DataFrame:
@@ -195,32 +201,29 @@ def token_columns(blocks: DataFrame) -> DataFrame:
     return blocks.withColumn("position_ids", ids).withColumn("loss_mask", mask)
 
 
+def _pieces(spark: SparkSession, path: str) -> DataFrame:
+    """`(leaf, n_turns, place, text, turns)`: the blocks of each path that a conversation has, cut to its turns."""
+    blocks = spark.read.parquet(f"{path}/blocks")
+    ends = spark.read.parquet(f"{path}/conversations").select("block", "n_turns").distinct()
+    firsts = F.array_distinct(F.concat(F.transform("attends", lambda a: a["block"]), F.array("first")))
+    on_path = ends.join(blocks.select("block", "first", "attends"), "block").select(F.col("block").alias("leaf"), "n_turns", F.explode(firsts).alias("first"))
+    found = saved(on_path, "chat-ends").join(blocks.select("first", "block", "text", "turns", "turns_before"), "first")
+    found = found.filter("block <= leaf").withColumn("turns", F.slice("turns", F.lit(1), F.col("n_turns") - F.col("turns_before")))
+    text = F.substring("text", F.lit(1), F.element_at("turns", -1)["end"].cast("int"))
+    return found.select("leaf", "n_turns", F.col("block").alias("place"), text.alias("text"), "turns")
+
+
 def read(spark: SparkSession, path: str, template: Template | None = None) -> DataFrame:
     """`(conv, n_turns, turns, formatted, learned)`: every conversation put together again from the blocks.
 
     `turns` are roles and texts as they were, `formatted` is the conversation as a model sees it, `learned` the text
-    under the loss mask, unescaped.
+    under the loss mask, unescaped. A conversation is one row here and must fit in it; `digests` has no such limit.
     """
     template = template or Template()
-    blocks = spark.read.parquet(f"{path}/blocks")
     conversations = spark.read.parquet(f"{path}/conversations")
-    ends = conversations.select("block", "n_turns").distinct()
-    last = ends.join(blocks, "block").withColumn("cut", F.get("turns", F.col("n_turns") - F.col("turns_before") - 1)["end"])
-    last = saved(last.select("block", "n_turns", "attends", "cut"), "chat-ends")
-    one = F.array(F.struct(F.col("block"), F.lit(None).cast("long").alias("start"), F.col("cut").alias("size")))
-    spans = last.select(F.col("block").alias("leaf"), "n_turns", F.posexplode(F.concat("attends", one)).alias("place", "s"))
-    pieces = spans.select("leaf", "n_turns", "place", F.col("s.block").alias("block"), F.col("s.size").alias("size"))
-    found = pieces.join(blocks.select("block", "text", "turns"), "block").select(
-        "leaf",
-        "n_turns",
-        F.struct(
-            "place",
-            F.substring("text", F.lit(1), F.col("size").cast("int")).alias("text"),
-            F.filter("turns", lambda t: t["end"] <= F.col("size")).alias("turns"),
-        ).alias("piece"),
-    )
     # One group is one path.
-    whole = found.groupBy("leaf", "n_turns").agg(F.sort_array(F.collect_list("piece")).alias("pieces"))
+    piece = F.struct("place", "text", "turns").alias("piece")
+    whole = _pieces(spark, path).select("leaf", "n_turns", piece).groupBy("leaf", "n_turns").agg(F.sort_array(F.collect_list("piece")).alias("pieces"))
 
     def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         struct = pa.struct([("role", pa.string()), ("text", pa.string())])
@@ -238,3 +241,47 @@ def read(spark: SparkSession, path: str, template: Template | None = None) -> Da
     schema = "leaf bigint, n_turns int, turns array<struct<role:string,text:string>>, formatted string, learned string"
     paths = saved(whole.mapInArrow(put_together, schema), "chat-read").withColumnRenamed("leaf", "block")
     return conversations.join(paths, ["block", "n_turns"]).select("conv", "n_turns", "turns", "formatted", "learned")
+
+
+def digests(spark: SparkSession, path: str, template: Template | None = None) -> DataFrame:
+    """`(conv, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars)` of every conversation in the blocks.
+
+    What `read` gives as a row is read as a stream of sorted blocks here and hashed as it comes: a role, a line break,
+    the text and a line break per turn; the text under the loss mask. A long conversation takes one task long but is
+    never held.
+    """
+    template = template or Template()
+    laid = _pieces(spark, path).repartition("leaf", "n_turns").sortWithinPartitions("leaf", "n_turns", "place")
+    fields = ["leaf", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    kinds = [pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, done = None, []
+
+        def finished() -> pa.RecordBatch:
+            rows, done[:] = list(done), []
+            columns = zip(*rows, strict=True) if rows else [[]] * len(fields)
+            return pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(columns, kinds, strict=True)], names=fields)
+
+        for batch in batches:
+            for leaf, n, text, turns in zip(*(batch.column(x).to_pylist() for x in ("leaf", "n_turns", "text", "turns")), strict=True):
+                if now != (leaf, n):
+                    if now:
+                        done.append((*now, said.hexdigest(), chars, loss.hexdigest(), size))
+                    now, said, loss, chars, size = (leaf, n), hashlib.sha256(), hashlib.sha256(), 0, 0
+                for r, t in template.turns(text):
+                    said.update(f"{r}\n{t}\n".encode("utf-8", "surrogatepass"))
+                for t in turns:
+                    masked = template.unescape(text[t["loss_from"] : t["loss_to"]])
+                    loss.update(masked.encode("utf-8", "surrogatepass"))
+                    chars += len(masked)
+                size += len(text)
+            yield finished()
+        if now:
+            done.append((*now, said.hexdigest(), chars, loss.hexdigest(), size))
+            yield finished()
+
+    schema = "leaf bigint, n_turns int, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
+    found = saved(laid.mapInArrow(stream, schema), "chat-digests").withColumnRenamed("leaf", "block")
+    conversations = spark.read.parquet(f"{path}/conversations")
+    return conversations.join(found, ["block", "n_turns"]).select("conv", *fields[1:])

@@ -78,15 +78,9 @@ def op6_chat(spark: SparkSession, sf: str) -> DataFrame:
         said.alias("text"),
     )
     chat.write(turns.unionByName(tricky), path)
-    back = chat.read(spark, path)
-    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    return back.select(
-        F.col("conv").alias("conv_id"),
-        F.size("turns").cast("long").alias("n_turns"),
-        F.sha2(lines, 256).alias("turns_sha256"),
-        F.length("learned").cast("long").alias("loss_chars"),
-        F.sha2("learned", 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"),
+    found = chat.digests(spark, path)
+    return found.select(
+        F.col("conv").alias("conv_id"), F.col("n_turns").cast("long").alias("n_turns"), "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"
     )
 
 
