@@ -13,7 +13,7 @@ from precis.session import configure, scratch_folder
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that break a rule go."""
     configure(spark)
-    return quality.keep_good(docs)
+    return quality.keep_good(docs, lang="lang")
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,7 +26,10 @@ STOP_WORDS = {
 
 @dataclass(frozen=True)
 class Rule:
-    """Keeps a text when `low <= part / whole <= high`; texts of fewer than `least` words pass."""
+    """Keeps a text when `low <= part / whole <= high`; texts of fewer than `least` words pass.
+
+    With `listed`, so do texts in a language that has no list of words.
+    """
 
     name: str
     part: str
@@ -34,13 +37,14 @@ class Rule:
     low: float | None
     high: float | None
     least: int = 0
+    listed: bool = False
 
 
 #: Part and whole name counts of `counts`.
 RULES = (
     Rule("word_length", "word_chars", "n_words", 2.0, 15.0),
     Rule("symbols", "n_symbols", "n_words", None, 0.1),
-    Rule("stop_words", "n_stop_words", "n_words", 0.02, None, least=50),
+    Rule("stop_words", "n_stop_words", "n_words", 0.02, None, least=50, listed=True),
     Rule("capitals", "n_capitals", "n_letters", None, 0.6),
     Rule("shouting", "n_shouts", "n_words", None, 0.2),
     Rule("bullets", "n_bullet_lines", "n_lines", None, 0.9),
@@ -80,9 +84,15 @@ def _repeat_words(words: Column) -> Column:
     return let(words, lambda w: F.when(F.size(w) < WINDOW, F.lit(0).cast("long")).otherwise(let(hashed(w), covered)))
 
 
-def counts(text: Column, stop_words: dict[str, list[str]] | None = None) -> Column:
-    """The counts that rules are made of, as one struct of longs; a null text counts like an empty one."""
-    every = sorted({w for words in (stop_words or STOP_WORDS).values() for w in words})
+def counts(text: Column, stop_words: dict[str, list[str]] | None = None, lang: Column | None = None) -> Column:
+    """The counts that rules are made of, as one struct of longs; a null text counts like an empty one.
+
+    `listed` is 1 if the text's language has a list of stop words. Without a language, that is a text of which at least
+    half the letters are Latin.
+    """
+    lists = stop_words or STOP_WORDS
+    every = sorted({w for words in lists.values() for w in words})
+    known = F.lit(None).cast("boolean") if lang is None else F.lower(F.substring_index(lang, "-", 1)).isin(*lists)
 
     def removed(t: Column, pattern: str) -> Column:
         return F.length(t) - F.length(F.regexp_replace(t, pattern, ""))
@@ -101,6 +111,7 @@ def counts(text: Column, stop_words: dict[str, list[str]] | None = None) -> Colu
                     "n_repeat_words": _repeat_words(w),
                     "n_lines": F.size(ls),
                     "n_stop_words": F.size(F.filter(w, lambda x: F.lower(x).isin(every))),
+                    "listed": F.coalesce(known, 2 * removed(t, r"\p{IsLatin}+") >= removed(t, r"\p{L}+")),
                     "n_letters": removed(t, r"\p{L}+"),
                     "n_capitals": removed(t, r"\p{Lu}+"),
                     "n_shouts": F.length(t) - F.length(F.translate(t, "!", "")),
@@ -130,23 +141,28 @@ def broken_rules(found: Column, rules: tuple[Rule, ...] = RULES) -> Column:
             out = out | (part < F.lit(rule.low) * whole)
         if rule.high is not None:
             out = out | (part > F.lit(rule.high) * whole)
-        return out & (found["n_words"] >= rule.least)
+        out = out & (found["n_words"] >= rule.least)
+        return out & (found["listed"] == 1) if rule.listed else out
 
     names = [F.when(base_failed(found), F.lit("base")), *(F.when(broken(r), F.lit(r.name)) for r in rules)]
     return F.filter(F.array(*names), lambda x: x.isNotNull())
 
 
-def assess(docs: DataFrame, text: str = "text", into: str = "quality", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def _column(name: str | None) -> Column | None:
+    return None if name is None else F.col(f"`{name}`")
+
+
+def assess(docs: DataFrame, text: str = "text", into: str = "quality", rules: tuple[Rule, ...] = RULES, lang: str | None = None) -> DataFrame:
     """The rows with a struct column `into` (replaced if there): the counts, `broken` and `kept`.
 
     One projection without user functions or shuffles, so a hot source or repeated rows cost what others do. Null and
-    empty texts have no words and break the base rule. Texts are read whole.
+    empty texts have no words and break the base rule. Texts are read whole. `lang` names the column of their language.
     """
     verdict = lambda c: let(broken_rules(c, rules), lambda b: F.struct(c.alias("counts"), b.alias("broken"), (F.size(b) == 0).alias("kept")))
-    return docs.withColumn(into, let(counts(F.col(f"`{text}`")), verdict))
+    return docs.withColumn(into, let(counts(F.col(f"`{text}`"), lang=_column(lang)), verdict))
 
 
-def keep_good(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def keep_good(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, lang: str | None = None) -> DataFrame:
     """The rows that break no rule, with their own columns."""
-    good = let(counts(F.col(f"`{text}`")), lambda c: F.size(broken_rules(c, rules)) == 0)
+    good = let(counts(F.col(f"`{text}`"), lang=_column(lang)), lambda c: F.size(broken_rules(c, rules)) == 0)
     return docs.filter(good)

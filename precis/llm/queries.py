@@ -55,7 +55,7 @@ def op4_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
-    rated = quality.assess(table(spark, sf, "documents").select("doc_id", "text"))
+    rated = quality.assess(table(spark, sf, "documents").select("doc_id", "text", "lang"), lang="lang")
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return rated.select(
         "doc_id",
