@@ -23,7 +23,7 @@ _S16, _S48 = np.uint64(16), np.uint64(48)
 _S12 = np.uint64(12)  # chances are twelve-bit numbers
 _TOTAL_BITS = 14
 _S22 = np.uint64(_TOTAL_BITS + 8)
-_REBUILD = 256
+_REBUILD = 64
 _ONE = np.uint64(1)
 # Chances move towards these; so none gets to no or yes.
 _NO, _YES = 31, 4064
