@@ -175,6 +175,19 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM written GROUP BY conv_id
 """
 
+NEAREST = """
+WITH whole AS (
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c::DOUBLE))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, q.x AS qx, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+    FROM whole q JOIN whole c ON c.vec_id IS DISTINCT FROM q.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+    SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id, qx ORDER BY score DESC, vec_id NULLS LAST)::INT AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 ORACLE = {
     "op1_mix": MIX,
     "op2_line_dedup": LINE_DEDUP,
@@ -183,4 +196,5 @@ ORACLE = {
     "op5_quality": QUALITY,
     "op6_chat": CHAT,
     "op7_leaks": LEAKS,
+    "op11_nearest": NEAREST,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precis.llm import chat, decontamination, language, line_dedup, mixing, ngram_join, quality, token_counts, token_files, warc
+from precis.llm import alignment, chat, decontamination, language, line_dedup, mixing, mtree, ngram_join, quality, token_counts, token_files, warc, whitening
 from precis.llm.common import saved, table
 from precis.session import scratch_folder
 
@@ -16,6 +16,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_mix(spark: SparkSession, sf: str) -> DataFrame:
     """Documents in training order by the middle of their first pass, those that are never taken last."""
     planned = mixing.plan(table(spark, sf, "documents"))
@@ -111,6 +117,19 @@ def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.answers(lengths)
 
 
+def op11_nearest(spark: SparkSession, sf: str) -> DataFrame:
+    return mtree.nearest(table(spark, sf, "embeddings"))
+
+
+def op12_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf, "embeddings")).withColumnRenamed("_key", "vec_id")
+
+
+def op13_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    found = alignment.align_corpus(table(spark, sf, "documents"), tokenizer_path(), piece_tokenizer_path())
+    return found.withColumnRenamed("_key", "doc_id")
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -124,5 +143,8 @@ QUERIES = {
         op8_language,
         op9_token_files,
         op10_token_counts,
+        op11_nearest,
+        op12_whitening,
+        op13_alignment,
     )
 }
