@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from precis.functions.text import first_words, let, sentences, word_count
 from precis.functions.tokens import word_tokens
 from precis.operators.groups import first_rows
-from precis.operators.vocabulary import Tokenizer, count_tokens, looked_up
+from precis.operators.lookups import looked_up
+from precis.operators.vocabulary import Tokenizer, count_tokens
 
 MIN_TOKENS = 50
 MAX_TOKENS = 128
@@ -24,8 +25,8 @@ def fit_word_stats(train: DataFrame, text: str, tokenize: Tokenizer = word_token
 def score_sentences(df: DataFrame, stats: DataFrame, text: str, into: str, tokenize: Tokenizer = word_tokens) -> DataFrame:
     """`df` with an array `into` of its sentences: `pos`, `sentence`, `score` and `cost`, its number of words.
 
-    A score is the mean training count of the sentence's words. Words are looked up as rows without text and come
-    back to their row as one array, so texts are moved once and no sentence is a key. Every row stays, whatever its
+    A score is the mean training count of the sentence's words. Each block of rows asks
+    once for each of its distinct words, so texts are moved once and no sentence is a key. Every row stays, whatever its
     columns hold; null and blank texts have no sentences.
     """
     text_or_none = F.coalesce(F.col(text), F.lit(""))

@@ -16,8 +16,8 @@ from precis.operators.running import with_totals_before
 from precis.session import stored
 
 MAX_PART_CHARS = 32 * 1024 * 1024
-# A group is cut down by this many tasks before one task sees it.
-SALTS = 256
+# A group is cut down in so many slices first, then in fewer, so that the last task sees few rows of it.
+SLICES = (256, 16, 1)
 
 
 def large_groups(df: DataFrame, key: str, text: str, max_part_chars: int = MAX_PART_CHARS) -> DataFrame:
@@ -105,20 +105,19 @@ def review_by_group(
 def first_rows(df: DataFrame, key: list[str], by: list[Column], n: int) -> DataFrame:
     """The first `n` rows per group in the order `by`.
 
-    A rank over a hot group would pass it through one task. Ranking inside `SALTS` slices first leaves `n` rows per
-    slice; Spark cuts each map task to `n` rows per slice before the shuffle. A row among the first `n` of its group
-    is among the first `n` of any slice, so the slices may follow from where the row lies.
+    A rank over a hot group would pass it through one task. Ranking inside slices first leaves `n` rows per slice;
+    slices are put together sixteen at a time and ranked again, so no task sees more than 16 * `n` rows of a group
+    beyond its own map task's. Spark cuts each map task to `n` rows per slice before every shuffle. A row among the first
+    `n` of its group is among the first `n` of any slice, so the slices may follow from where the row lies. Rows that
+    `by` doesn't tell apart may stand for each other.
     """
-    inner = Window.partitionBy(*key, "_salt").orderBy(*by)
-    outer = Window.partitionBy(*key).orderBy(*by)
-    return (
-        df.withColumn("_salt", F.spark_partition_id() % SALTS)
-        .withColumn("_rank", F.row_number().over(inner))
-        .filter(F.col("_rank") <= n)
-        .withColumn("_rank", F.row_number().over(outer))
-        .filter(F.col("_rank") <= n)
-        .drop("_salt", "_rank")
-    )
+    df = df.withColumn("_slice", F.spark_partition_id() % SLICES[0])
+    for slices in SLICES:
+        # Each level puts together slices of the level before.
+        df = df.withColumn("_slice", F.floor(F.col("_slice") * slices / SLICES[0]).cast("int") * F.lit(SLICES[0] // slices))
+        within = Window.partitionBy(*key, "_slice").orderBy(*by)
+        df = df.withColumn("_rank", F.row_number().over(within)).filter(F.col("_rank") <= n)
+    return df.drop("_slice", "_rank")
 
 
 def model_input_by_group(
@@ -126,16 +125,17 @@ def model_input_by_group(
 ) -> DataFrame:
     """`(key, n, reviews)` with no more of each group's text than a model of `max_tokens` input tokens reads.
 
-    Texts are taken by `order` until their words cover the budget; `n` still counts all rows. A text without a word
+    Texts are taken by `order`, nulls first, equal ones by the text, until their words cover the budget; `n` still counts all rows. A text without a word
     is passed over and any other costs at least one, so the first `max_tokens` texts are enough, and no task holds
     more of a group.
     """
     rows = df.select(F.col(key).alias("_key"), F.col(order).alias("at"), F.col(text).alias("text"))
-    before = Window.partitionBy("_key").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    by = [F.col("at").asc_nulls_first(), F.col("text").asc_nulls_first()]
+    before = Window.partitionBy("_key").orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     cost = F.size(F.filter(words(F.col("text")), lambda word: F.length(word) > 0))
     filled = rows.filter(F.trim("text") != "").withColumn("cost", cost)
     taken = (
-        first_rows(filled, ["_key"], [F.col("at")], max_tokens)
+        first_rows(filled, ["_key"], by, max_tokens)
         .withColumn("before", F.coalesce(F.sum("cost").over(before), F.lit(0)))
         .filter(F.col("before") < max_tokens)
         .select("_key", "at", "text")

@@ -17,10 +17,19 @@ Model = Callable[[list[str]], list[str]]
 BATCH_SIZE = 8
 
 
-def model_function(spark: SparkSession, model: Model, batch_size: int = BATCH_SIZE) -> Callable[[Column], Column]:
+def in_batches(texts: list[str], batch_size: int) -> list[list[int]]:
+    """The places of the texts in batches of similar length: longest first, so a batch's texts need little padding."""
+    order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
+    return [order[at : at + batch_size] for at in range(0, len(order), batch_size)]
+
+
+def model_function(spark: SparkSession, model: Model, batch_size: int = BATCH_SIZE, by_length: bool = True) -> Callable[[Column], Column]:
     """The model as a column function. It is sent to each executor once and unpacked once per task.
 
-    Nulls are passed by: they give null.
+    Nulls are passed by: they give null. A model pads a batch to its longest text, so with `by_length` the texts of an
+    Arrow batch (`spark.sql.execution.arrow.maxRecordsPerBatch` rows, the run that is in memory anyway) reach it in order
+    of their length; each summary comes out in its text's row. A model whose answers depend on what else is in a batch
+    wants `by_length=False`.
     """
     packed = spark.sparkContext.broadcast(cloudpickle.dumps(model))
 
@@ -29,14 +38,35 @@ def model_function(spark: SparkSession, model: Model, batch_size: int = BATCH_SI
         run = cloudpickle.loads(packed.value)
         for batch in batches:
             texts = batch.dropna()
-            out: list[str] = []
-            for start in range(0, len(texts), batch_size):
-                out.extend(run(texts.iloc[start : start + batch_size].tolist()))
+            given = texts.tolist()
+            out: list[str | None] = [None] * len(given)
+            places = in_batches(given, batch_size) if by_length else [list(range(at, min(at + batch_size, len(given)))) for at in range(0, len(given), batch_size)]
+            for some in places:
+                for place, summary in zip(some, run([given[i] for i in some]), strict=True):
+                    out[place] = summary
             yield pd.Series(out, index=texts.index, dtype=object).reindex(batch.index)
 
     return apply_model
 
 
+def padded_sizes(df: DataFrame, col: str, batch_size: int = BATCH_SIZE) -> DataFrame:
+    """One row `(texts, chars, as_they_come, by_length)`: what a model reads of the column's texts, in characters.
+
+    The texts alone, and padded to the longest of each batch, in the order of rows and in order of length.
+    """
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = batch["text"].dropna().tolist()
+            plain = [len(texts[i]) for i in range(len(texts))]
+            rows = [range(at, min(at + batch_size, len(texts))) for at in range(0, len(texts), batch_size)]
+            padded = [sum(len(some) * max(plain[i] for i in some) for some in order) for order in (rows, in_batches(texts, batch_size))]
+            yield pd.DataFrame({"texts": [len(texts)], "chars": [sum(plain)], "as_they_come": [padded[0]], "by_length": [padded[1]]})
+
+    sizes = df.select(F.col(col).alias("text")).mapInPandas(measure, "texts bigint, chars bigint, as_they_come bigint, by_length bigint")
+    return sizes.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sizes.columns))
+
+
 def summarize(
     df: DataFrame,
     col: str,

@@ -18,6 +18,9 @@ from precis.functions.tokens import (
     unmask_labels,
     word_tokens,
 )
+from precis.operators.lookups import looked_up, read_by_place
+from precis.operators.running import with_totals_before
+from precis.session import stored
 
 Tokenizer = Callable[[Column], Column]
 VOCAB_SIZE = 32_000
@@ -34,51 +37,17 @@ def build_vocab(df: DataFrame, text: str, size: int = VOCAB_SIZE, tokenize: Toke
     """`(token, id, count)` of the `size` most frequent tokens, ties in token order; ids follow the special ones.
 
     How many tokens occur how often says first which count the last of them has: that table has one row per count,
-    few even in a large corpus. Only tokens of that count or more are ranked then.
+    few even in a large corpus. Only tokens of that count or more are ranked then, all of them over all tasks: words that
+    occur once are a large part of a corpus's words.
     """
-    counts = count_tokens(df, text, tokenize)
+    counts = stored(count_tokens(df, text, tokenize), "token-counts")
     ties = counts.groupBy("count").agg(F.count("*").alias("tokens"))
     # Rows are distinct counts; tokens above a count are those of all larger ones.
     above = F.sum("tokens").over(Window.orderBy(F.desc("count")).rowsBetween(Window.unboundedPreceding, -1))
-    needed = ties.withColumn("above", F.coalesce(above, F.lit(0))).filter(F.col("above") < size).select("count", "above")
-    # A token's place is after all of larger counts, then by name among its equals.
-    place = F.row_number().over(Window.partitionBy("count").orderBy("token")) + F.col("above")
-    ranked = counts.join(needed, "count").withColumn("place", place).filter(F.col("place") <= size)
-    return ranked.select("token", (F.col("place") + (FIRST_TOKEN_ID - 1)).cast("int").alias("id"), "count")
-
-
-def looked_up(df: DataFrame, vocab: DataFrame, arrays: dict[str, Column], source: str, target: str) -> DataFrame:
-    """`df` with a column per array: its elements looked up in the vocabulary, null where unknown, in order.
-
-    Each element is a row of one join with the vocabulary, which the planner broadcasts if it is small and otherwise
-    shuffles, splitting elements that are frequent. Rows are told apart by a number given where they are read, so
-    keys may repeat or be null; the first row of each carries its other columns, so nothing is joined back.
-    """
-    names = [f"`{c}`" for c in df.columns]
-    given = df.select(F.struct(*names).alias("_rest"), *[array.alias(f"_{i}") for i, array in enumerate(arrays.values())])
-    given = given.withColumn("_id", F.monotonically_increasing_id())
-    head = F.array(F.struct(F.lit(-1).alias("side"), F.lit(0).alias("at"), F.lit(None).alias(source)))
-    # A null array has no elements; its row stays.
-    places = [F.coalesce(F.transform(F.col(f"_{side}"), _placed(side, source)), F.array()) for side in range(len(arrays))]
-    rows = given.select("_id", "_rest", F.inline(F.concat(head, *places)))
-    rows = rows.withColumn("_rest", F.when(F.col("side") == -1, F.col("_rest")))
-    # Elements without a match, heads among them, must not meet in one task of a shuffled join.
-    apart = F.when(F.col("side") >= 0, F.col(source))
-    known = vocab.select(F.col(source).alias("_known"), F.col(target).alias("_found"))
-    found = rows.withColumn("_element", apart).join(known, F.col("_element") == F.col("_known"), "left")
-    lists = [
-        F.sort_array(F.collect_list(F.when(F.col("side") == side, F.struct("at", F.col("_found").alias("found"))))).alias(f"_{side}")
-        for side in range(len(arrays))
-    ]
-    whole = found.groupBy("_id").agg(F.first("_rest", ignorenulls=True).alias("_rest"), *lists)
-    made = {name: F.col(f"_{side}.found").alias(name) for side, name in enumerate(arrays)}
-    kept = [F.col("_rest").getField(c).alias(c) for c in df.columns if c not in made]
-    return whole.select(*kept, *made.values())
-
-
-def _placed(side: int, name: str) -> Callable[[Column, Column], Column]:
-    """For `transform`: an element with the number of its array and its place in it."""
-    return lambda item, at: F.struct(F.lit(side).alias("side"), at.cast("int").alias("at"), item.alias(name))
+    needed = ties.withColumn("above", F.coalesce(above, F.lit(0))).filter(F.col("above") < size)
+    least = needed.agg(F.min("count")).scalar()
+    ranked = with_totals_before(counts.filter(F.col("count") >= least).withColumn("one", F.lit(1)), [F.desc("count"), F.col("token")], {"place": "one"}, "ranked-tokens")
+    return ranked.filter(F.col("place") < size).select("token", (F.col("place") + FIRST_TOKEN_ID).cast("int").alias("id"), "count")
 
 
 def encode(
@@ -134,7 +103,8 @@ def encode_pairs(
 def decode(df: DataFrame, vocab: DataFrame, cols: list[str], lengths: dict[str, str] | None = None) -> DataFrame:
     """`df` with the text of each id array in its place: special ids dropped, tokens joined by a space.
 
-    No space stands before a sentence's end mark, for ids that were made with `sentence_tokens`.
+    No space stands before a sentence's end mark, for ids that were made with `sentence_tokens`. Ids that the vocabulary
+    lacks are left out. Ids follow each other without gaps, so a token is read by its place, see `read_by_place`.
 
     `lengths` maps id columns to new columns with their number of ids that are neither padding nor skipped.
     """
@@ -147,7 +117,7 @@ def decode(df: DataFrame, vocab: DataFrame, cols: list[str], lengths: dict[str,
         )
         for name in cols
     }
-    found = looked_up(df, vocab, arrays, "id", "token")
+    found = read_by_place(df, vocab, arrays, "id", "token")
     for name in cols:
         found = found.withColumn(name, F.regexp_replace(F.concat_ws(" ", F.col(name)), " (?=[.!?])", ""))
     return found

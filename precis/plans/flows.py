@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precis.operators.batches import BUCKETS, pad_batches
+from precis.operators.batches import pad_batches
 from precis.operators.cleaning import clean_reviews
 from precis.operators.evaluation import evaluate_texts
 from precis.operators.extractive import MAX_TOKENS, MIN_TOKENS, add_summaries, fit_word_stats, summarize_extractive
@@ -136,7 +136,6 @@ def export_training_data(
     val_max_target_length: int | None = None,
     batch_size: int = 8,
     multiple_of: int | None = None,
-    buckets: int = BUCKETS,
     max_samples: dict[str, int] | None = None,
 ) -> dict[str, str]:
     """Splits of `(text, summary)` pairs to a vocabulary and padded batches of ids per split; gives the paths.
@@ -162,7 +161,7 @@ def export_training_data(
         ids = encode_pairs(
             part(split), vocab, max_source_length, max_target_length, val_max_target_length, validation=split != "train"
         )
-        padded = pad_batches(ids, "id", batch_size, multiple_of=multiple_of, buckets=buckets)
+        padded = pad_batches(ids, "id", batch_size, multiple_of=multiple_of)
         save_cleaned(padded.withColumnRenamed("id", key), f"{paths['batches']}/split={split}")
     return paths
 

@@ -170,6 +170,40 @@ ROUGE_LSUM = f"""WITH RECURSIVE pairs AS ({ANSWERS}),
       SELECT conv_id, turn, {SHARES} FROM summed"""
 
 
+# A piece between white space as in the sentence learner: opening marks, the word, a full stop.
+WORD = r"^[^\p{L}\p{N}]*([\p{L}\p{N}](?:[\p{L}\p{N}.''-]*[\p{L}\p{N}])?)(\.?)"
+WORD_TYPES = f"""
+      pieces AS (SELECT doc_id, unnest(l) AS p, generate_subscripts(l, 1) AS i FROM
+                 (SELECT doc_id, list_filter(regexp_split_to_array({stripped('text')}, '[{WHITESPACE}]+'), lambda x: x <> '') AS l FROM documents)),
+      pieces_w AS (SELECT regexp_extract(p, '{WORD}', 1) AS w, regexp_extract(p, '{WORD}', 2) = '.' AS stop,
+                   lag(p) OVER (PARTITION BY doc_id ORDER BY i) AS b FROM pieces),
+      types AS (SELECT lower(w) AS word, count(*) FILTER (WHERE stop) AS n_stop, count(*) FILTER (WHERE NOT stop) AS n_other,
+                count(*) FILTER (WHERE regexp_matches(w, '^\\p{{Ll}}')) AS n_small,
+                count(*) FILTER (WHERE regexp_matches(w, '^\\p{{Lu}}') AND NOT regexp_matches(b, '[.!?:][^\\p{{L}}\\p{{N}}]*$')) AS n_large
+                FROM pieces_w WHERE w <> '' GROUP BY ALL),
+      rate AS (SELECT sum(n_stop)::DOUBLE / sum(n_stop + n_other)::DOUBLE AS even FROM types),
+      measured AS (SELECT *, n_stop::DOUBLE AS own, n_other::DOUBLE AS rest, length(word) - length(replace(word, '.', '')) AS inner_stops FROM types),
+      rated AS (SELECT *, CASE WHEN n_stop > 0 AND regexp_matches(word, '\\p{{L}}') THEN
+                -2 * ((own * ln(even) + rest * ln(greatest(1 - even, 1e-12))) - (own * ln(0.99::DOUBLE) + rest * ln((1 - 0.99)::DOUBLE)))
+                * exp(-(length(word) - inner_stops)::DOUBLE) * (inner_stops + 1) * pow((length(word) - inner_stops)::DOUBLE, -rest)
+                ELSE 0 END AS score FROM measured, rate)"""
+SENTENCE_END = f"[.!?][{WHITESPACE}]+|[{WHITESPACE}]*[\r\n][{WHITESPACE}]*"
+LEARNED_SENTENCES = f"""WITH {WORD_TYPES},
+      ends AS (SELECT word, score >= 0.3 AS abbreviation, n_small > 0 AND n_large = 0 AS starts FROM rated),
+      cut AS (SELECT doc_id, regexp_split_to_array({stripped('text')}, '{SENTENCE_END}') AS l,
+              regexp_extract_all({stripped('text')}, '{SENTENCE_END}') AS d FROM documents),
+      breaks AS (SELECT doc_id, unnest(d) AS mark, generate_subscripts(d, 1) AS i, unnest(l[1:len(d)]) AS p, unnest(l[2:]) AS follows FROM cut),
+      asked AS (SELECT *, mark[1] = '.' AND NOT regexp_matches(mark, '[\r\n]') AS stop,
+                lower(regexp_extract(regexp_extract(p, '[^{WHITESPACE}]+$'), '{WORD}', 1)) AS w, regexp_extract(follows, '{WORD}', 1) AS f FROM breaks),
+      told AS (SELECT a.*, coalesce(x.abbreviation, FALSE) OR regexp_matches(w, '^\\p{{L}}$') AS short,
+               coalesce(y.starts, FALSE) AND regexp_matches(f, '^\\p{{Lu}}') AS opens,
+               regexp_matches(w, '^\\p{{N}}+$') AND regexp_matches(f, '^\\p{{Ll}}') AS number
+               FROM asked a LEFT JOIN ends x ON x.word = w LEFT JOIN ends y ON y.word = lower(f)),
+      lines AS (SELECT doc_id, string_agg(p || CASE WHEN stop AND ((short AND NOT opens) OR number) THEN mark
+                ELSE regexp_extract(mark, '^[.!?]') || chr(10) END, '' ORDER BY i) AS head FROM told GROUP BY doc_id)
+      SELECT cut.doc_id, coalesce(head, '') || l[len(l)] AS text FROM cut LEFT JOIN lines ON lines.doc_id = cut.doc_id"""
+
+
 def rouge_n(n: int) -> str:
     return f"WITH {PAIR_TOKENS}, {gram_scores(n, 'scored')}"
 
@@ -223,10 +257,34 @@ def longest(col: str) -> str:
 PLAIN = "regexp_replace(text, '[\\t\\r\\n]+', ' ', 'g')"
 TALK = f"SELECT conv_id * 1000 + turn AS id, prediction AS text, reference AS summary FROM ({ANSWERS})"
 ENCODED = f"""WITH {vocab("documents", 2000)}, {ids("SELECT * FROM documents", "doc_id", "text", 1024, "e")}"""
-TALK_IDS = f"""talk AS ({TALK}), {vocab("talk", 2000)}, {ids("SELECT * FROM talk", "id", "text", 64, "e")},
-        {ids("SELECT * FROM talk", "id", "summary", 32, "l")}"""
-TALK_IDS_AT_DEFAULTS = f"""talk AS ({TALK}), {vocab("talk", 32_000)}, {ids("SELECT * FROM talk", "id", "text", 1024, "e")},
-        {ids("SELECT * FROM talk", "id", "summary", 128, "l")}"""
+def talk_ids(target: int) -> str:
+    return f"""talk AS ({TALK}), {vocab("talk", 32_000)}, {ids("SELECT * FROM talk", "id", "text", 1024, "e")},
+        {ids("SELECT * FROM talk", "id", "summary", target, "l")}"""
+
+
+def batched(columns: str, within: str, multiple: int) -> str:
+    """The last steps of padded batches: rows of `both_ids` numbered by id, each batch as long as its longest."""
+    longest = "(max(len({0})) OVER w + {1}) // {2} * {2}".format
+    return f"""
+        numbered AS (SELECT *, ((row_number() OVER ({within}ORDER BY id) - 1) // 8)::BIGINT AS batch FROM both_ids),
+        sized AS (SELECT *, {longest("a", multiple - 1, multiple)} AS la, {longest("b", multiple - 1, multiple)} AS lb
+                  FROM numbered WINDOW w AS (PARTITION BY {columns}batch))
+        SELECT id, {columns}batch, {joined(padded("a", "la", 0))} AS input_ids, {joined(padded("b", "lb", -100))} AS labels FROM sized"""
+
+
+def exported(target: int, multiple: int) -> str:
+    return f"""WITH talk AS (SELECT id, {SPLIT.format("id")} AS split, 'summarize: ' || text AS text, summary FROM ({TALK})
+            WHERE length(text) > 0 AND length(summary) > 0),
+        train_texts AS (SELECT text FROM talk WHERE split = 'train' UNION ALL SELECT summary FROM talk WHERE split = 'train'),
+        {vocab("train_texts", 32_000)}, {ids("SELECT * FROM talk", "id", "text", 1024, "e")},
+        {ids("SELECT * FROM talk WHERE split = 'train'", "id", "summary", 128, "l")},
+        {ids("SELECT * FROM talk WHERE split <> 'train'", "id", "summary", target, "v")},
+        both_ids AS (SELECT id, split, e.ids AS a, s.ids AS b FROM talk
+                 JOIN e ON e.k = id JOIN (SELECT * FROM l UNION ALL SELECT * FROM v) s ON s.k = id),
+        {batched("split, ", "PARTITION BY split ", multiple)}"""
+
+
+BOTH_IDS = "both_ids AS (SELECT e.k AS id, e.ids AS a, l.ids AS b FROM e JOIN l ON l.k = e.k)"
 MODEL_INPUT = f"""
       WITH words AS (SELECT source, doc_id, text, len(list_filter(string_split(text, ' '), lambda x: length(x) > 0)) AS cost
                      FROM documents),
@@ -242,6 +300,14 @@ METRICS = f"""{rouge_n(1)}
 
 ORACLE: dict[str, str] = {
     "read_reviews": f"SELECT doc_id::VARCHAR AS doc_id, source, {PLAIN} AS text FROM documents",
+    "read_damaged_reviews": """WITH fields AS (SELECT doc_id, CASE WHEN doc_id % 7 = 3 THEN '"' || source ELSE source END AS source,
+            regexp_replace(text, '[\t\r\n"]+', ' ', 'g') AS text, doc_id % 11 = 5 AS short FROM documents)
+        SELECT CASE WHEN NOT short THEN doc_id::VARCHAR END AS doc_id, CASE WHEN NOT short THEN source END AS source,
+        CASE WHEN NOT short THEN nullif(text, '') END AS text,
+        CASE WHEN short THEN 'quarantined' WHEN doc_id % 7 = 3 THEN 'mended' ELSE 'good' END AS state,
+        CASE WHEN short THEN doc_id || chr(9) || source END AS raw FROM fields""",
+    "read_json_fields": """SELECT 'train' AS split, doc_id::VARCHAR AS doc_id, text, CASE WHEN doc_id % 4 = 2 THEN (doc_id % 100)::VARCHAR END AS place,
+        CASE WHEN doc_id % 4 <> 3 THEN source END AS summary FROM documents""",
     "read_pairs": f"""SELECT CASE WHEN {HASH.format("doc_id")} < 0.8 * 4294967296 THEN 'train' ELSE 'validation' END
         AS split, doc_id::VARCHAR AS doc_id, text, source AS summary FROM documents""",
     "save_cleaned": f"{CLEAN_PAGES} SELECT * FROM reviews",
@@ -291,38 +357,25 @@ ORACLE: dict[str, str] = {
     "encode_whole_vocabulary": f"""WITH {vocab("documents", 10_000_000)},
         {ids("SELECT * FROM documents", "doc_id", "text", 1024, "e")}
         SELECT k AS doc_id, {joined("ids")} AS input_ids FROM e""",
-    "encode_pairs": f"""WITH {TALK_IDS} SELECT e.k AS id, {joined(padded("e.ids", "64", 0))} AS input_ids,
-        {joined(padded("l.ids", "32", -100))} AS labels FROM e JOIN l ON l.k = e.k""",
-    "encode_pairs_at_defaults": f"""WITH {TALK_IDS_AT_DEFAULTS} SELECT e.k AS id, {joined(padded("e.ids", "1024", 0))} AS input_ids,
+    "encode_pairs": f"""WITH {talk_ids(64)} SELECT e.k AS id, {joined("e.ids")} AS input_ids, {joined("l.ids")} AS labels
+        FROM e JOIN l ON l.k = e.k""",
+    "encode_pairs_at_defaults": f"""WITH {talk_ids(128)} SELECT e.k AS id, {joined(padded("e.ids", "1024", 0))} AS input_ids,
         {joined(padded("l.ids", "128", -100))} AS labels FROM e JOIN l ON l.k = e.k""",
     "pad_to_length": f"""{ENCODED} SELECT k AS doc_id, {joined(padded("ids", "1024", 0))} AS ids FROM e""",
     "mask_labels": f"""{ENCODED} SELECT k AS doc_id, {joined(padded("ids", "1024", -100))} AS ids FROM e""",
     "generated_length": f"{ENCODED} SELECT k AS doc_id, len(ids)::INTEGER AS n FROM e",
-    "pad_batches": f"""WITH {TALK_IDS},
-        both_ids AS (SELECT e.k AS id, ({HASH.format("e.k")} % 4)::INTEGER AS bucket, e.ids AS a, l.ids AS b
-                 FROM e JOIN l ON l.k = e.k),
-        numbered AS (SELECT *, ((row_number() OVER (PARTITION BY bucket ORDER BY id) - 1) // 8)::INTEGER AS batch
-                     FROM both_ids),
-        sized AS (SELECT *, (max(len(a)) OVER w + 7) // 8 * 8 AS la, (max(len(b)) OVER w + 7) // 8 * 8 AS lb
-                  FROM numbered WINDOW w AS (PARTITION BY bucket, batch))
-        SELECT id, bucket, batch, {joined(padded("a", "la", 0))} AS input_ids,
-        {joined(padded("b", "lb", -100))} AS labels FROM sized""",
-    "pad_batches_at_defaults": f"""WITH {TALK_IDS_AT_DEFAULTS},
-        both_ids AS (SELECT e.k AS id, ({HASH.format("e.k")} % 1024)::INTEGER AS bucket, e.ids AS a, l.ids AS b
-                 FROM e JOIN l ON l.k = e.k),
-        numbered AS (SELECT *, ((row_number() OVER (PARTITION BY bucket ORDER BY id) - 1) // 8)::INTEGER AS batch
-                     FROM both_ids),
-        sized AS (SELECT *, max(len(a)) OVER w AS la, max(len(b)) OVER w AS lb
-                  FROM numbered WINDOW w AS (PARTITION BY bucket, batch))
-        SELECT id, bucket, batch, {joined(padded("a", "la", 0))} AS input_ids,
-        {joined(padded("b", "lb", -100))} AS labels FROM sized""",
-    "decode": f"""WITH {vocab("documents", 2000)},
-        t AS (SELECT doc_id, {TOKENS.format("text")}[1:63] AS t FROM documents),
+    "pad_batches": f"WITH {talk_ids(128)}, {BOTH_IDS}, {batched('', '', 8)}",
+    "pad_batches_at_defaults": f"WITH {talk_ids(128)}, {BOTH_IDS}, {batched('', '', 1)}",
+    "decode": f"""WITH {vocab("documents", 32_000)},
+        t AS (SELECT doc_id, {TOKENS.format("text")}[1:1023] AS t FROM documents),
         u AS (SELECT doc_id, unnest(t) AS token, generate_subscripts(t, 1) AS i FROM t),
         g AS (SELECT doc_id, string_agg(token, ' ' ORDER BY i) AS text FROM u JOIN vocab USING (token) GROUP BY doc_id)
         SELECT t.doc_id, coalesce(g.text, '') AS text FROM t LEFT JOIN g ON g.doc_id = t.doc_id""",
     "decode_whole_texts": f"SELECT doc_id, array_to_string({TOKENS.format('text')}, ' ') AS text FROM documents",
     "newline_sentences": f"SELECT doc_id, {LINES.format('text')} AS text FROM documents",
+    "learned_abbreviations": f"""WITH {WORD_TYPES} SELECT word, n_stop, n_other, round(score, 6) + 0.0 AS score, score >= 0.3 AS abbreviation
+        FROM rated WHERE n_stop > 0""",
+    "learned_sentences": LEARNED_SENTENCES,
     "rouge_1": f"{rouge_n(1)} SELECT * FROM scored",
     "rouge_2": f"{rouge_n(2)} SELECT * FROM scored",
     "rouge_l": f"WITH RECURSIVE {PAIR_TOKENS}, {LCS_SCORES} SELECT * FROM lcs",
@@ -347,6 +400,7 @@ ORACLE: dict[str, str] = {
     "fit_word_stats": f"""WITH {word_stats("documents")}
         SELECT token, count, count / (SELECT sum(count)::BIGINT FROM stats) AS p FROM stats""",
     "summarize": f"SELECT doc_id, {longest('text')} AS summary FROM documents",
+    "padded_sizes": "SELECT count(*) AS texts, sum(length(text))::BIGINT AS chars, TRUE AS spared, TRUE AS holds_all FROM documents",
     "summarize_extractive": f"""WITH {word_stats("documents")}, {summaries("documents", "doc_id", "0", "best")}
         SELECT doc_id, coalesce(summary, '') AS summary FROM documents LEFT JOIN best ON k = doc_id""",
     "summarize_groups": summarized_groups(32 * 1024 * 1024),
@@ -358,39 +412,16 @@ ORACLE: dict[str, str] = {
         train AS (SELECT * FROM split WHERE split = 'train'), test AS (SELECT * FROM split WHERE split = 'test'),
         {word_stats("train")}, {summaries("test", "id", "0", "best")}
         SELECT {stripped("coalesce(summary, '')")} AS value FROM test LEFT JOIN best ON k = id""",
-    "export_training_data": f"""WITH talk AS (SELECT id, {SPLIT.format("id")} AS split, 'summarize: ' || text AS text, summary FROM ({TALK})
-            WHERE length(text) > 0 AND length(summary) > 0),
-        train_texts AS (SELECT text FROM talk WHERE split = 'train' UNION ALL SELECT summary FROM talk WHERE split = 'train'),
-        {vocab("train_texts", 2000)}, {ids("SELECT * FROM talk", "id", "text", 64, "e")},
-        {ids("SELECT * FROM talk WHERE split = 'train'", "id", "summary", 32, "l")},
-        {ids("SELECT * FROM talk WHERE split <> 'train'", "id", "summary", 16, "v")},
-        both_ids AS (SELECT id, split, ({HASH.format("id")} % 4)::INTEGER AS bucket, e.ids AS a, s.ids AS b FROM talk
-                 JOIN e ON e.k = id JOIN (SELECT * FROM l UNION ALL SELECT * FROM v) s ON s.k = id),
-        numbered AS (SELECT *, ((row_number() OVER (PARTITION BY split, bucket ORDER BY id) - 1) // 8)::INTEGER AS batch
-                     FROM both_ids),
-        sized AS (SELECT *, (max(len(a)) OVER w + 7) // 8 * 8 AS la, (max(len(b)) OVER w + 7) // 8 * 8 AS lb
-                  FROM numbered WINDOW w AS (PARTITION BY split, bucket, batch))
-        SELECT id, split, bucket, batch, {joined(padded("a", "la", 0))} AS input_ids,
-        {joined(padded("b", "lb", -100))} AS labels FROM sized""",
-    "export_training_data_at_defaults": f"""WITH talk AS (SELECT id, {SPLIT.format("id")} AS split, 'summarize: ' || text AS text, summary FROM ({TALK})
-            WHERE length(text) > 0 AND length(summary) > 0),
-        train_texts AS (SELECT text FROM talk WHERE split = 'train' UNION ALL SELECT summary FROM talk WHERE split = 'train'),
-        {vocab("train_texts", 32_000)}, {ids("SELECT * FROM talk", "id", "text", 1024, "e")},
-        {ids("SELECT * FROM talk", "id", "summary", 128, "l")},
-        both_ids AS (SELECT id, split, ({HASH.format("id")} % 1024)::INTEGER AS bucket, e.ids AS a, l.ids AS b FROM talk
-                 JOIN e ON e.k = id JOIN l ON l.k = id),
-        numbered AS (SELECT *, ((row_number() OVER (PARTITION BY split, bucket ORDER BY id) - 1) // 8)::INTEGER AS batch
-                     FROM both_ids),
-        sized AS (SELECT *, max(len(a)) OVER w AS la, max(len(b)) OVER w AS lb
-                  FROM numbered WINDOW w AS (PARTITION BY split, bucket, batch))
-        SELECT id, split, bucket, batch, {joined(padded("a", "la", 0))} AS input_ids,
-        {joined(padded("b", "lb", -100))} AS labels FROM sized""",
+    "export_training_data": exported(64, 8),
+    "export_training_data_at_defaults": exported(128, 1),
     "prepare_reviews": f"{RAW_PAGES} SELECT review_body AS text, review_headline AS summary FROM reviews",
     "prepare_reviews_by_key": f"""{RAW_PAGES}
         SELECT CASE WHEN {HASH.format("page_id").replace("42:", "43:")} < 0.8 * 4294967296 THEN 'train'
         ELSE 'validation' END AS split, review_body AS text, review_headline AS summary FROM reviews
         WHERE {HASH.format("page_id")} < 0.5 * 4294967296""",
     "summarize_stream": f"SELECT doc_id, {longest('text')} AS summary FROM documents",
+    "summarize_stream_once": f"SELECT doc_id, {longest('text')} AS summary FROM documents",
     "map_batches": """SELECT doc_id, len(string_split(text, ' '))::BIGINT AS words FROM documents
         WHERE length(text) >= 500""",
 }
+ORACLE["summarize_stream_extractive"] = ORACLE["summarize_extractive"]

@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from precis.functions import stemming
 from precis.functions import text as txt
 from precis.functions import tokens as tok
-from precis.operators import batches, cleaning, evaluation, extractive, groups, models, rouge, rows, sampling, vocabulary
+from precis.operators import batches, cleaning, evaluation, extractive, groups, models, rouge, rows, sampling, sentences, vocabulary
 from precis.plans import flows
 from precis.session import scratch_folder, spread, stored
 from precis.sources import pairs as pair_files
@@ -88,6 +89,37 @@ def read_reviews(spark: SparkSession, sf: str) -> DataFrame:
     return review_files.read_reviews(spark, path, quote="")
 
 
+def read_damaged_reviews(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as tab-separated lines, some with an unclosed quote, some without their last field."""
+    path = scratch_folder(spark, "damaged")
+    plain = F.regexp_replace("text", "[\t\r\n\"]+", " ")
+    source = F.concat(F.when(F.col("doc_id") % 7 == 3, F.lit('"')).otherwise(F.lit("")), F.col("source"))
+    text = F.when(F.col("doc_id") % 11 != 5, F.concat(F.lit("\t"), plain)).otherwise(F.lit(""))
+    line = F.concat(F.col("doc_id").cast("string"), F.lit("\t"), source, text).alias("value")
+    documents(spark, sf).select(line).write.option("compression", "gzip").text(path)
+    schema = "doc_id string, source string, text string"
+    return review_files.read_damaged_reviews(spark, path, StructType.fromDDL(schema))
+
+
+def read_json_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as JSON lines of four shapes: text as a string, in a list, in an object, and without a summary."""
+    path = scratch_folder(spark, "lines")
+    row = F.col("doc_id").alias("doc_id"), F.col("source").alias("summary")
+    shapes = [
+        F.to_json(F.struct(*row, F.col("text").alias("text"))),
+        F.to_json(F.struct(*row, F.array(F.col("source"), F.col("text")).alias("text"))),
+        F.to_json(F.struct(*row, F.struct(F.col("text").alias("body"), (F.col("doc_id") % 100).alias("at")).alias("text"))),
+        F.to_json(F.struct(row[0], F.col("text").alias("text"))),
+    ]
+    shape = F.coalesce(*[F.when(F.col("doc_id") % 4 == i, made) for i, made in enumerate(shapes)])
+    documents(spark, sf).select(shape.alias("value")).write.text(path)
+    back = pair_files.read_pairs(spark, train=path, formats={"train": "json"}, fields=["doc_id", "text", "summary"])
+    # An object's or a list's spelling is its own: the query shows what is in it.
+    nested = F.when(F.col("doc_id").cast("long") % 4 == 1, F.get_json_object("text", "$[1]")).when(F.col("doc_id").cast("long") % 4 == 2, F.get_json_object("text", "$.body"))
+    at = F.when(F.col("doc_id").cast("long") % 4 == 2, F.get_json_object("text", "$.at"))
+    return back.select("split", "doc_id", F.coalesce(nested, F.col("text")).alias("text"), at.alias("place"), "summary")
+
+
 def read_pairs(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_folder(spark, "pairs")
     split = sampling.hash_split(documents(spark, sf).select("doc_id", "text", F.col("source").alias("summary")), "doc_id")
@@ -301,16 +333,20 @@ def encode_whole_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
     return ids.select("doc_id", flat(F.col("ids")).alias("input_ids"))
 
 
-def encode_pairs(spark: SparkSession, sf: str) -> DataFrame:
+def _pair_ids(spark: SparkSession, sf: str, **settings) -> DataFrame:
     pairs = talk(spark, sf)
-    ids = vocabulary.encode_pairs(pairs, _vocab(pairs), 64, 32, pad_to_max_length=True)
+    return vocabulary.encode_pairs(pairs, vocabulary.build_vocab(pairs, "text"), **settings)
+
+
+def encode_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """With the library's vocabulary size and lengths, targets by the limit of evaluation rows, nothing padded."""
+    ids = _pair_ids(spark, sf, validation=True, val_max_target_length=64)
     return ids.select("id", flat(F.col("input_ids")).alias("input_ids"), flat(F.col("labels")).alias("labels"))
 
 
 def encode_pairs_at_defaults(spark: SparkSession, sf: str) -> DataFrame:
-    """With the library's vocabulary size and lengths."""
-    pairs = talk(spark, sf)
-    ids = vocabulary.encode_pairs(pairs, vocabulary.build_vocab(pairs, "text"), pad_to_max_length=True)
+    """With the library's vocabulary size and lengths, padded to them."""
+    ids = _pair_ids(spark, sf, pad_to_max_length=True)
     return ids.select("id", flat(F.col("input_ids")).alias("input_ids"), flat(F.col("labels")).alias("labels"))
 
 
@@ -328,29 +364,25 @@ def generated_length(spark: SparkSession, sf: str) -> DataFrame:
     return _encoded(spark, sf, 1024).select("doc_id", tok.generated_length(padded).alias("n"))
 
 
+def _padded(padded: DataFrame, *more: str) -> DataFrame:
+    return padded.select("id", *more, "batch", flat(F.col("input_ids")).alias("input_ids"), flat(F.col("labels")).alias("labels"))
+
+
 def pad_batches(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = talk(spark, sf)
-    ids = vocabulary.encode_pairs(pairs, _vocab(pairs), 64, 32)
-    padded = batches.pad_batches(ids, "id", 8, multiple_of=8, buckets=4)
-    return padded.select(
-        "id", "bucket", "batch", flat(F.col("input_ids")).alias("input_ids"), flat(F.col("labels")).alias("labels")
-    )
+    """Batches over the whole table, lengths rounded up to eight."""
+    return _padded(batches.pad_batches(_pair_ids(spark, sf), "id", multiple_of=8))
 
 
 def pad_batches_at_defaults(spark: SparkSession, sf: str) -> DataFrame:
-    """With the library's vocabulary size, lengths and buckets."""
-    pairs = talk(spark, sf)
-    padded = batches.pad_batches(vocabulary.encode_pairs(pairs, vocabulary.build_vocab(pairs, "text")), "id")
-    return padded.select(
-        "id", "bucket", "batch", flat(F.col("input_ids")).alias("input_ids"), flat(F.col("labels")).alias("labels")
-    )
+    return _padded(batches.pad_batches(_pair_ids(spark, sf), "id"))
 
 
 def decode(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids of the library's vocabulary size and source length, padded and masked as a model would give them."""
     docs = documents(spark, sf).select("doc_id", "text")
-    vocab = _vocab(docs)
-    ids = vocabulary.encode(docs, vocab, {"ids": ("text", 64)})
-    padded = ids.select("doc_id", tok.mask_labels(tok.pad_to_length(F.col("ids"), 64)).alias("text"))
+    vocab = stored(vocabulary.build_vocab(docs, "text"), "vocab")
+    ids = vocabulary.encode(docs, vocab, {"ids": ("text", vocabulary.MAX_SOURCE_LENGTH)})
+    padded = ids.select("doc_id", tok.mask_labels(tok.pad_to_length(F.col("ids"), vocabulary.MAX_SOURCE_LENGTH)).alias("text"))
     return vocabulary.decode(padded, vocab, ["text"])
 
 
@@ -369,6 +401,17 @@ def newline_sentences(spark: SparkSession, sf: str) -> DataFrame:
     return documents(spark, sf).select("doc_id", txt.newline_sentences(F.col("text")).alias("text"))
 
 
+def learned_abbreviations(spark: SparkSession, sf: str) -> DataFrame:
+    """What the corpus says about each word that a full stop follows anywhere."""
+    rated = sentences.rate_abbreviations(stored(sentences.word_types(documents(spark, sf), "text"), "word-types"))
+    return rated.filter("n_stop > 0").select("word", "n_stop", "n_other", (F.round("score", 6) + 0.0).alias("score"), "abbreviation")
+
+
+def learned_sentences(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf).select("doc_id", "text")
+    return sentences.learned_sentences(docs, sentences.learn_sentence_ends(docs, "text"), "text", "text")
+
+
 def _scores(df: DataFrame, score: Column) -> DataFrame:
     return df.withColumn("_score", score).select("conv_id", "turn", "_score.precision", "_score.recall", "_score.f1")
 
@@ -415,6 +458,12 @@ def summarize(spark: SparkSession, sf: str) -> DataFrame:
     return models.summarize(documents(spark, sf), "text", longest_word).select("doc_id", "summary")
 
 
+def padded_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """What a model has to read, and whether batches by length spare it some padding."""
+    sizes = models.padded_sizes(documents(spark, sf), "text")
+    return sizes.select("texts", "chars", (F.col("by_length") < F.col("as_they_come")).alias("spared"), (F.col("by_length") >= F.col("chars")).alias("holds_all"))
+
+
 def summarize_extractive(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
     return extractive.summarize_extractive(docs, extractive.fit_word_stats(docs, "text"), "doc_id", "text")
@@ -449,25 +498,17 @@ def predict(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def export_training_data(spark: SparkSession, sf: str) -> DataFrame:
-    """Pairs of conversations as padded batches per split, read back."""
+    """Pairs of conversations as padded batches per split, read back; lengths rounded up, shorter targets in evaluation."""
     data = three_way(talk(spark, sf), "id")
-    paths = flows.export_training_data(
-        data, scratch_folder(spark, "export"), "id", 2000, max_source_length=64, max_target_length=32, val_max_target_length=16, multiple_of=8, buckets=4
-    )
-    back = spark.read.parquet(paths["batches"])
-    return back.select(
-        "id", "split", "bucket", "batch", flat(F.col("input_ids")).alias("input_ids"), flat(F.col("labels")).alias("labels")
-    )
+    paths = flows.export_training_data(data, scratch_folder(spark, "export"), "id", val_max_target_length=64, multiple_of=8)
+    return _padded(spark.read.parquet(paths["batches"]), "split")
 
 
 def export_training_data_at_defaults(spark: SparkSession, sf: str) -> DataFrame:
-    """With the library's vocabulary size, lengths and buckets."""
+    """With the library's vocabulary size and lengths."""
     data = three_way(talk(spark, sf), "id")
     paths = flows.export_training_data(data, scratch_folder(spark, "export"), "id")
-    back = spark.read.parquet(paths["batches"])
-    return back.select(
-        "id", "split", "bucket", "batch", flat(F.col("input_ids")).alias("input_ids"), flat(F.col("labels")).alias("labels")
-    )
+    return _padded(spark.read.parquet(paths["batches"]), "split")
 
 
 def _raw_reviews(spark: SparkSession, sf: str, path: str) -> str:
@@ -497,14 +538,36 @@ def prepare_reviews_by_key(spark: SparkSession, sf: str) -> DataFrame:
     return pair_files.read_pairs(spark, paths["train"], paths["validation"], formats=folders)
 
 
+def _document_stream(spark: SparkSession, path: str) -> DataFrame:
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path).select("doc_id", "text")
+
+
 def summarize_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as a stream of files through the model; the result is the sink's table."""
     out = scratch_folder(spark, "stream")
-    path = f"{sf}/document[s].parquet"  # a pattern: a stream takes a single file by no other path
-    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-    query = streaming.summarize_stream(
-        stream.select("doc_id", "text"), "text", longest_word, f"{out}/sink", f"{out}/checkpoint", available_now=True
-    )
+    stream = _document_stream(spark, f"{sf}/document[s].parquet")  # a pattern: a stream takes a single file by no other path
+    query = streaming.summarize_stream(stream, "text", longest_word, f"{out}/sink", f"{out}/checkpoint", available_now=True)
+    query.awaitTermination()
+    return spark.read.parquet(f"{out}/sink").select("doc_id", "summary")
+
+
+def summarize_stream_once(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents delivered as files, and after a restart once more: each has one summary."""
+    out = scratch_folder(spark, "stream")
+    for _ in range(2):
+        documents(spark, sf).select("doc_id", "text").write.mode("append").parquet(f"{out}/files")
+        stream = _document_stream(spark, f"{out}/files")
+        query = streaming.summarize_stream(stream, "text", longest_word, f"{out}/sink", f"{out}/checkpoint", available_now=True, key="doc_id")
+        query.awaitTermination()
+    return spark.read.parquet(f"{out}/sink").select("doc_id", "summary")
+
+
+def summarize_stream_extractive(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as a stream of files, summarized by extraction with the documents' own word counts."""
+    out = scratch_folder(spark, "stream")
+    stats = stored(extractive.fit_word_stats(documents(spark, sf), "text"), "word-stats")
+    stream = _document_stream(spark, f"{sf}/document[s].parquet")
+    query = streaming.summarize_stream_extractive(stream, stats, "doc_id", "text", f"{out}/sink", f"{out}/checkpoint", available_now=True)
     query.awaitTermination()
     return spark.read.parquet(f"{out}/sink").select("doc_id", "summary")
 
@@ -521,7 +584,9 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         read_reviews,
+        read_damaged_reviews,
         read_pairs,
+        read_json_fields,
         save_cleaned,
         write_pairs_csv,
         write_predictions,
@@ -565,6 +630,8 @@ QUERIES: dict[str, Query] = {
         decode,
         decode_whole_texts,
         newline_sentences,
+        learned_abbreviations,
+        learned_sentences,
         rouge_1,
         rouge_2,
         rouge_1_stemmed,
@@ -573,6 +640,7 @@ QUERIES: dict[str, Query] = {
         evaluate,
         fit_word_stats,
         summarize,
+        padded_sizes,
         summarize_extractive,
         summarize_groups,
         summarize_groups_in_parts,
@@ -583,6 +651,8 @@ QUERIES: dict[str, Query] = {
         prepare_reviews,
         prepare_reviews_by_key,
         summarize_stream,
+        summarize_stream_once,
+        summarize_stream_extractive,
         map_batches,
     )
 }

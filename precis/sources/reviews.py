@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 # Fixed values. Columns of the public customer review files, all of them text.
@@ -47,6 +48,39 @@ def read_reviews(
     return df if partitions is None else df.repartition(partitions)
 
 
+def read_damaged_reviews(spark: SparkSession, path: str | list[str], schema: StructType | None = None, header: str | None = None) -> DataFrame:
+    """Every line of tab-separated reviews as a row: the schema's columns, `state` and `raw`.
+
+    An unclosed quote at the start of a field swallows the tabs after it, so the line comes out with too few fields.
+    `state` is `good` for lines that have all fields when quotes are read as quotes; `mended` for lines that have them only
+    when quotes are plain characters, and those fields are given; `quarantined` for lines that have them neither way: their
+    columns are null and `raw` holds the line, which is null for the others. No line is lost but the headers.
+
+    Without a schema the first line of the first file names the columns. Lines equal to the header are headers, one per
+    file; `header` says how it reads where that differs from the column names. Line breaks inside fields end a line.
+    Files are read once.
+    """
+    if schema is None:
+        schema = StructType([StructField(name, StringType()) for name in spark.read.option("sep", "\t").option("header", True).csv(path).columns])
+    names = schema.fieldNames()
+    header = "\t".join(names) if header is None else header
+    lines = spark.read.text(path).filter((F.col("value") != header) & (F.col("value") != ""))
+    checked = StructType([*(StructField(f"_f{i}", StringType()) for i in range(len(names))), StructField("_damaged", StringType())])
+    options = {"sep": "\t", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_damaged"}
+    quoted = F.from_csv("value", checked.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)
+    plain = F.split("value", "\t", -1)
+    read = lines.select("value", quoted.alias("_q"), plain.alias("_p"))
+    state = F.when(F.col("_q._damaged").isNull(), "good").when(F.size("_p") == len(names), "mended").otherwise("quarantined")
+    read = read.withColumn("state", state)
+
+    def field(at: int) -> Column:
+        # An empty field is null, as it is when it is read by a CSV reader.
+        mended = F.when(F.get("_p", F.lit(at)) != "", F.get("_p", F.lit(at)))
+        return F.when(F.col("state") == "good", F.col(f"_q._f{at}")).when(F.col("state") == "mended", mended)
+
+    return read.select(*(field(i).alias(name) for i, name in enumerate(names)), "state", F.when(F.col("state") == "quarantined", F.col("value")).alias("raw"))
+
+
 def table_format(spark: SparkSession) -> str:
     """Delta where the session has it, else parquet."""
     extensions = spark.conf.get("spark.sql.extensions", None) or ""

@@ -107,16 +107,32 @@ def test_batches_are_padded_to_their_longest(spark):
         F.array_repeat(F.lit(9), (F.col("id") % 7 + 1).cast("int")).alias("input_ids"),
         F.array_repeat(F.lit(8), (F.col("id") % 3 + 1).cast("int")).alias("labels"),
     )
-    rows = batches.pad_batches(df, "id", batch_size=4, multiple_of=4, buckets=3).collect()
+    rows = batches.pad_batches(df.repartition(5), "id", batch_size=6, multiple_of=4).collect()
     assert len(rows) == 40
     by_batch = {}
     for r in rows:
         assert sum(i == 9 for i in r.input_ids) == r.id % 7 + 1
         assert sum(i == 8 for i in r.labels) == r.id % 3 + 1
-        by_batch.setdefault((r.bucket, r.batch), []).append(r)
+        by_batch.setdefault(r.batch, []).append(r)
+    assert {b: sorted(r.id for r in members) for b, members in by_batch.items()} == {b: list(range(6 * b + 1, min(6 * b + 7, 41))) for b in range(7)}
     for members in by_batch.values():
-        assert len(members) <= 4
-        for width, real in (({len(r.input_ids) for r in members}, 7), ({len(r.labels) for r in members}, 3)):
-            assert len(width) == 1 and max(width) % 4 == 0 and max(width) <= real + 3
-    short = [b for b, members in by_batch.items() if len(members) < 4]
-    assert len({bucket for bucket, _ in short}) == len(short)
+        for width, real in ((len(members[0].input_ids), max(r.id % 7 + 1 for r in members)), (len(members[0].labels), max(r.id % 3 + 1 for r in members))):
+            assert width == -(-real // 4) * 4
+        assert len({(len(r.input_ids), len(r.labels)) for r in members}) == 1
+
+
+def test_batches_go_through_null_and_repeated_keys(spark):
+    df = spark.range(90).select(
+        F.when(F.col("id") % 3 > 0, F.floor(F.col("id") / 9)).alias("key"),
+        F.array_repeat(F.col("id").cast("int"), (F.col("id") % 5).cast("int")).alias("input_ids"),
+        F.when(F.col("id") % 10 > 0, F.array(F.lit(1))).alias("labels"),
+    )
+    rows = batches.pad_batches(df.repartition(7), "key", batch_size=8).collect()
+    assert len(rows) == 90
+    held = {}
+    for r in rows:
+        held.setdefault(r.batch, []).append(r.key)
+    assert [len(held[b]) for b in range(12)] == [8] * 11 + [2]
+    in_order = [key for b in range(12) for key in sorted(held[b], key=lambda k: (k is not None, k or 0))]
+    assert in_order == [None] * 30 + sorted(k for k in in_order if k is not None)
+    assert batches.pad_batches(df.limit(0), "key").collect() == []
