@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Rows hold long texts and arrays: smaller batches keep an Arrow batch in tens of megabytes.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    # However long a row is: what a task holds of rows on their way to Python.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
     # First rows of a group are cut before the shuffle up to this many; the default is less than a model's input.
     "spark.sql.optimizer.windowGroupLimitThreshold": "4096",
 }
