@@ -25,7 +25,9 @@ from precis.llm.tokenizing import in_portions
 # A cut before a single space that follows anything but a space and precedes anything but white space.
 _CUT = re.compile(r"(?<=[^ ]) (?=\S)")
 _NOT_PLAIN = re.compile(r" \s|\A | \Z")
-_MOST_PIECES, _MOST_CHARS = 400_000, 32_000_000
+_MOST_PIECES, _MOST_CHARS = 200_000, 8_000_000
+# Characters of a block of texts; a dozen arrays with an entry per token are in memory for it.
+_BLOCK_CHARS = 1_000_000
 _BYTE_PIECE = re.compile(r"<0x([0-9A-Fa-f]{2})>\Z")
 _SPACE = "▁"
 
@@ -250,7 +252,7 @@ def groups(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text:
         codes = pair(a_path, b_path)
         for batch in batches:
             texts = batch.column("_text").to_pylist()
-            for low, high in in_portions(texts):
+            for low, high in in_portions(texts, _BLOCK_CHARS):
                 x = align(codes, texts[low:high])
                 n = int(x.a_group[-1]) + 1 if len(x.a_group) else 0
                 a_in, b_in = np.bincount(x.a_group, minlength=n), np.bincount(x.b_group, minlength=n)
@@ -267,7 +269,7 @@ def groups(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text:
 
 
 def _blocks(docs: DataFrame, a_path: str, b_path: str, key: str, text: str) -> DataFrame:
-    """Two kinds of rows per block of texts (about four million characters, or one longer text), stored once.
+    """Two kinds of rows per block of texts (about a million characters, or one longer text), stored once.
 
     One row holds the texts' keys and figures and, in order of id pair and text, how often each text holds each of its
     linked pairs. The others are the block's distinct pairs with the number of its texts that hold them: what the corpus
@@ -283,7 +285,7 @@ def _blocks(docs: DataFrame, a_path: str, b_path: str, key: str, text: str) -> D
         write = Written(len(codes.a.tokens), len(codes.b.tokens))
         for batch in batches:
             texts = batch.column("_text").to_pylist()
-            for low, high in in_portions(texts):
+            for low, high in in_portions(texts, _BLOCK_CHARS):
                 x = align(codes, texts[low:high])
                 name = f"{part}-{number}"
                 number += 1
