@@ -1,4 +1,7 @@
-"""ROUGE scores of predictions against references (Lin 2004), worked out row by row without a shuffle.
+"""ROUGE scores of predictions against references (Lin 2004).
+
+N-grams and the whole texts' common subsequence are scored in the row, without a shuffle; sentences against each other as
+rows of their own.
 
 Tokens are lower-cased words without stemming unless another tokenizer is given. Every score is a struct of
 `precision`, `recall` and `f1`; an empty side scores 0.
@@ -6,18 +9,18 @@ Tokens are lower-cased words without stemming unless another tokenizer is given.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from math import isqrt
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from precis.functions.text import let, newline_sentences
 from precis.functions.tokens import ngrams, word_tokens
 from precis.operators.vocabulary import Tokenizer
+from precis.session import stored
 
 
 def precision_recall_f1(n: Column) -> Column:
@@ -150,21 +153,6 @@ def lcs_places(reference: list[str], places: dict[str, int], prediction: list[st
     return covered
 
 
-def union_lcs_hits(predicted: list[list[str]], expected: list[list[str]]) -> int:
-    """Reference tokens that the prediction's sentences cover together, no token more often than predicted."""
-    available = Counter(token for sentence in predicted for token in sentence)
-    covered: Counter[str] = Counter()
-    for sentence in expected:
-        places = _places(sentence)
-        union = 0
-        for other in predicted:
-            if places.keys().isdisjoint(other):
-                continue
-            union |= lcs_places(sentence, places, other)
-        covered.update(token for i, token in enumerate(sentence) if union >> i & 1)
-    return sum(min(times, available[token]) for token, times in covered.items())
-
-
 SCORES = StructType([StructField(name, DoubleType()) for name in ("precision", "recall", "f1")])
 
 
@@ -188,15 +176,46 @@ def lcs_scores(predicted: pd.Series, expected: pd.Series) -> pd.DataFrame:
     return _shares([lcs_length(p, e) for p, e in pairs], [len(p) for p, _ in pairs], [len(e) for _, e in pairs])
 
 
-@F.pandas_udf(SCORES)
-def union_lcs_scores(predicted: pd.Series, expected: pd.Series) -> pd.DataFrame:
-    """Union of the longest common subsequences per reference sentence, of two arrays of token arrays."""
-    pairs = [([list(s) for s in p], [list(s) for s in e]) for p, e in zip(predicted, expected, strict=True)]
-    return _shares(
-        [union_lcs_hits(p, e) for p, e in pairs],
-        [sum(map(len, p)) for p, _ in pairs],
-        [sum(map(len, e)) for _, e in pairs],
+@F.pandas_udf(ArrayType(IntegerType()))
+def matched_places(expected: pd.Series, predicted: pd.Series) -> pd.Series:
+    """The places of one token array that its longest common subsequence with another covers, from 0."""
+
+    def places(reference: list[str], prediction: list[str]) -> list[int]:
+        covered = lcs_places(reference, _places(reference), prediction)
+        return [i for i in range(len(reference)) if covered >> i & 1]
+
+    return pd.Series([places(list(e), list(p)) for e, p in zip(expected, predicted, strict=True)], index=expected.index, dtype=object)
+
+
+def add_union_lcs(df: DataFrame, predicted: str, expected: str, into: str) -> DataFrame:
+    """`df` with a score of two columns of sentences, each an array of tokens: reference tokens that the prediction's
+    sentences cover together, no token more often than predicted.
+
+    A pair of a reference sentence and a predicted one that share a token is a row: its common subsequence is all that is
+    worked out outside Spark. The places that a reference sentence's pairs cover are put together per sentence, their
+    tokens per row of `df`, so no task holds all pairs of a row. Every row stays, whatever its columns hold.
+    """
+    rows = stored(df.withColumn("_row", F.monotonically_increasing_id()), "rows-to-score")
+    sentence = rows.select("_row", F.col(predicted).alias("_p"), F.posexplode(expected).alias("_at", "_e"))
+    pairs = sentence.select("_row", "_at", "_e", F.explode("_p").alias("_p")).filter(F.arrays_overlap("_e", "_p"))
+    found = pairs.select("_row", "_at", "_e", matched_places("_e", "_p").alias("_places"))
+    union = found.groupBy("_row", "_at").agg(F.first("_e").alias("_e"), F.array_distinct(F.flatten(F.collect_list("_places"))).alias("_places"))
+    tokens = union.select("_row", F.transform("_places", lambda i: F.get("_e", i)).alias("_tokens"))
+    covered = tokens.groupBy("_row").agg(F.flatten(F.collect_list("_tokens")).alias("_covered"))
+    none = F.array().cast("array<string>")
+
+    def count(bags: Column) -> Column:
+        return F.struct(
+            overlap(bags["covered"], bags["predicted"]).alias("hits"),
+            F.size(bags["predicted"]).alias("predicted"),
+            F.size(bags["expected"]).alias("expected"),
+        )
+
+    bags = F.struct(
+        F.coalesce("_covered", none).alias("covered"), F.coalesce(F.flatten(predicted), none).alias("predicted"), F.coalesce(F.flatten(expected), none).alias("expected")
     )
+    scored = rows.join(covered, "_row", "left").withColumn(into, let(let(bags, count), precision_recall_f1))
+    return scored.drop("_row", "_covered")
 
 
 def tokens_of(text: Column, tokenize: Tokenizer = word_tokens) -> Column:
@@ -220,9 +239,10 @@ def rouge_l(prediction: Column, reference: Column, tokenize: Tokenizer = word_to
     return lcs_scores(tokens_of(prediction, tokenize), tokens_of(reference, tokenize))
 
 
-def rouge_lsum(prediction: Column, reference: Column, tokenize: Tokenizer = word_tokens) -> Column:
-    """Union of the longest common subsequences per reference sentence; sentences stand on lines of their own."""
-    return union_lcs_scores(tokens_per_line(prediction, tokenize), tokens_per_line(reference, tokenize))
+def add_rouge_lsum(df: DataFrame, prediction: str, reference: str, into: str, tokenize: Tokenizer = word_tokens) -> DataFrame:
+    """`df` with the union of the longest common subsequences per reference sentence; sentences stand on lines of their own."""
+    lines = df.withColumn("_predicted", tokens_per_line(F.col(prediction), tokenize)).withColumn("_expected", tokens_per_line(F.col(reference), tokenize))
+    return add_union_lcs(lines, "_predicted", "_expected", into).drop("_predicted", "_expected")
 
 
 def score_texts(
@@ -240,10 +260,11 @@ def score_texts(
     for side in ("predicted", "expected"):
         df = df.withColumn(f"_{side}", F.flatten(f"_{side}_lines"))
     predicted, expected = F.col("_predicted"), F.col("_expected")
+    df = add_union_lcs(df, "_predicted_lines", "_expected_lines", "_sum")
     return df.select(
         *kept,
         ngram_scores(predicted, expected, 1)["f1"].alias("rouge1"),
         ngram_scores(predicted, expected, 2)["f1"].alias("rouge2"),
         lcs_scores(predicted, expected)["f1"].alias("rougeL"),
-        union_lcs_scores("_predicted_lines", "_expected_lines")["f1"].alias("rougeLsum"),
+        F.col("_sum.f1").alias("rougeLsum"),
     )

@@ -136,9 +136,7 @@ def sentence_tokens(col: str, number: str, name: str) -> str:
 
 
 # Each reference sentence r against each predicted one p: the table of lengths by rows, then the walk back through it.
-ROUGE_LSUM = f"""WITH RECURSIVE pairs AS ({ANSWERS}),
-      ps AS ({sentence_tokens("prediction", "pk", "p")}),
-      rs AS ({sentence_tokens("reference", "rk", "r")}),
+UNION_LCS = """
       duos AS (SELECT conv_id, turn, rk, pk, r, p FROM rs JOIN ps USING (conv_id, turn)),
       steps AS (SELECT conv_id, turn, rk, pk, 0 AS i, list_resize([]::INTEGER[], (len(p) + 1)::BIGINT, 0) AS t FROM duos
                 UNION ALL
@@ -163,13 +161,82 @@ ROUGE_LSUM = f"""WITH RECURSIVE pairs AS ({ANSWERS}),
       available AS (SELECT conv_id, turn, token, count(*) AS m FROM
                     (SELECT conv_id, turn, unnest(p) AS token FROM ps) GROUP BY ALL),
       hits AS (SELECT conv_id, turn, sum(least(n, m))::DOUBLE AS h
-               FROM covered JOIN available USING (conv_id, turn, token) GROUP BY ALL),
+               FROM covered JOIN available USING (conv_id, turn, token) GROUP BY ALL)"""
+ROUGE_LSUM = f"""WITH RECURSIVE pairs AS ({ANSWERS}),
+      ps AS ({sentence_tokens("prediction", "pk", "p")}),
+      rs AS ({sentence_tokens("reference", "rk", "r")}), {UNION_LCS},
       sizes AS (SELECT conv_id, turn, len({TOKENS.format("prediction")})::DOUBLE AS p,
                 len({TOKENS.format("reference")})::DOUBLE AS r FROM pairs),
       summed AS (SELECT conv_id, turn, coalesce(h, 0) AS h, p, r FROM sizes LEFT JOIN hits USING (conv_id, turn))
       SELECT conv_id, turn, {SHARES} FROM summed"""
 
 
+# Word stems over distinct words, a step after the other (Porter 1980 with the later changes). Words are taken as strings of
+# C and V first: `y` is V after a letter that is no vowel letter. The suffixes and words of the published rules.
+def shape(w: str) -> str:
+    y = f"regexp_replace(regexp_replace({w}, '^y', 'C'), '([aeiou])y', '\\1C', 'g')"
+    return f"regexp_replace(regexp_replace({y}, '[aeiouy]', 'V', 'g'), '[^CV]', 'C', 'g')"
+
+
+def without(w: str, n: int) -> str:
+    return f"{w}[1:len({w}) - {n}]"
+
+
+def closed(w: str) -> str:
+    return f"((regexp_matches({shape(w)}, 'CVC$') AND NOT regexp_matches({w}, '[wxy]$')) OR {shape(w)} = 'VC')"
+
+
+ONE, TWO, JUST_ONE = "VC", "VC+V+C", "^C*V+C+V*$"
+SUFFIXES_2 = """ational ate tional tion enci ence anci ance izer ize bli ble alli al entli ent eli e ousli ous ization ize ation ate ator ate
+    alism al iveness ive fulness ful ousness ous aliti al iviti ive biliti ble fulli ful logi log"""
+SUFFIXES_3 = "icate ic ative - alize al iciti ic ical ic ful - ness -"
+SUFFIXES_4 = "al - ance - ence - er - ic - able - ible - ant - ement - ment - ent - ion - ou - ism - ate - iti - ous - ive - ize -"
+OWN_STEMS = """sky sky skies sky dying die lying lie tying tie news news innings inning inning inning outings outing outing outing
+    cannings canning canning canning howe howe proceed proceed exceed exceed succeed succeed"""
+
+
+def suffix_step(w: str, rules: str, measure: str) -> str:
+    """The longest suffix that fits gives way if the stem before it is long enough."""
+    pairs = list(zip(rules.split()[::2], rules.split()[1::2], strict=True))
+    cases = ""
+    for suffix, news in sorted(pairs, key=lambda pair: -len(pair[0])):
+        stem = without(w, len(suffix))
+        long_enough = f"regexp_matches({shape(without(w, len(suffix) - 1) if suffix == 'logi' else stem)}, '{measure}')"
+        if suffix == "ion":
+            long_enough += f" AND regexp_matches({stem}, '[st]$')"
+        cases += f" WHEN ends_with({w}, '{suffix}') THEN CASE WHEN {long_enough} THEN {stem} || '{news.replace('-', '')}' ELSE {w} END"
+    return f"CASE{cases} ELSE {w} END"
+
+
+def stems(source: str) -> str:
+    """CTEs up to `stemmed`(token, stem): distinct tokens of `source`, those of more than three letters as stems."""
+    own = OWN_STEMS.split()
+    steps = [
+        f"CASE WHEN regexp_matches(w, '^.ies$') THEN {without('w', 1)} WHEN regexp_matches(w, '(sses|ies)$') THEN {without('w', 2)} "
+        f"WHEN regexp_matches(w, '[^s]s$|^s$') THEN {without('w', 1)} ELSE w END",
+        # What is left when a past or present ending goes is mended in the next step; an upper-case mark tells it.
+        f"CASE WHEN regexp_matches(w, '^.ied$') THEN {without('w', 1)} WHEN ends_with(w, 'ied') THEN {without('w', 2)} "
+        f"WHEN ends_with(w, 'eed') THEN CASE WHEN regexp_matches({shape(without('w', 3))}, '{ONE}') THEN {without('w', 1)} ELSE w END "
+        f"WHEN ends_with(w, 'ed') AND contains({shape(without('w', 2))}, 'V') THEN {without('w', 2)} || '!' "
+        f"WHEN ends_with(w, 'ing') AND contains({shape(without('w', 3))}, 'V') THEN {without('w', 3)} || '!' ELSE w END",
+        f"CASE WHEN NOT ends_with(w, '!') THEN w WHEN regexp_matches(w, '(at|bl|iz)!$') THEN {without('w', 1)} || 'e' "
+        f"WHEN w[-2:-2] = w[-3:-3] AND ends_with({shape(without('w', 2))}, 'C') THEN CASE WHEN regexp_matches(w, '[^lsz]!$') THEN {without('w', 2)} ELSE {without('w', 1)} END "
+        f"WHEN regexp_matches({shape(without('w', 1))}, '{JUST_ONE}') AND {closed(without('w', 1))} THEN {without('w', 1)} || 'e' ELSE {without('w', 1)} END",
+        f"CASE WHEN ends_with(w, 'y') AND regexp_matches({shape(without('w', 1))}, '.C$') THEN {without('w', 1)} || 'i' ELSE w END",
+        f"CASE WHEN ends_with(w, 'alli') AND regexp_matches({shape(without('w', 4))}, '{ONE}') THEN {without('w', 2)} ELSE w END",
+        suffix_step("w", SUFFIXES_2, ONE),
+        suffix_step("w", SUFFIXES_3, ONE),
+        suffix_step("w", SUFFIXES_4, TWO),
+        f"CASE WHEN ends_with(w, 'e') AND (regexp_matches({shape(without('w', 1))}, '{TWO}') OR (regexp_matches({shape(without('w', 1))}, '{JUST_ONE}') "
+        f"AND NOT {closed(without('w', 1))})) THEN {without('w', 1)} ELSE w END",
+        f"CASE WHEN ends_with(w, 'll') AND regexp_matches({shape(without('w', 1))}, '{TWO}') THEN {without('w', 1)} ELSE w END",
+    ]
+    ctes = [f"step0 AS (SELECT DISTINCT token, token AS w FROM ({source}))"]
+    ctes += [f"step{i + 1} AS (SELECT token, {step} AS w FROM step{i})" for i, step in enumerate(steps)]
+    listed = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in zip(own[::2], own[1::2], strict=True))
+    return ",\n".join([*ctes, f"stemmed AS (SELECT token, CASE WHEN length(token) <= 3 THEN token ELSE CASE token {listed} ELSE w END END AS stem FROM step{len(steps)})"])
+
+
 # A piece between white space as in the sentence learner: opening marks, the word, a full stop.
 WORD = r"^[^\p{L}\p{N}]*([\p{L}\p{N}](?:[\p{L}\p{N}.''-]*[\p{L}\p{N}])?)(\.?)"
 WORD_TYPES = f"""
@@ -298,6 +365,38 @@ METRICS = f"""{rouge_n(1)}
       round(avg(recall) * 100, 4) AS recall, round(avg(f1) * 100, 4) AS f1, avg(turn) AS gen_len, count(*) AS samples
       FROM scored GROUP BY ALL"""
 
+MARKED = "regexp_extract_all(lower({0}), '[a-z0-9]+|[.!?]')"
+# Ids with sentence ends, decoded, a sentence a line, scored on stems: every step of an evaluation by its default settings.
+EVALUATE = f"""WITH RECURSIVE pairs AS ({ANSWERS}),
+      counted AS (SELECT token, count(*) AS count FROM (SELECT unnest({MARKED.format("text")}) AS token FROM conversations) GROUP BY token),
+      vocab AS (SELECT token FROM counted QUALIFY row_number() OVER (ORDER BY count DESC, token) <= 32000),
+      sides AS (SELECT conv_id, turn, 0 AS side, {MARKED.format("prediction")}[1:127] AS t FROM pairs
+                UNION ALL SELECT conv_id, turn, 1, {MARKED.format("reference")}[1:127] FROM pairs),
+      known AS (SELECT conv_id, turn, side, list(token ORDER BY i) AS t FROM
+                (SELECT conv_id, turn, side, unnest(t) AS token, generate_subscripts(t, 1) AS i FROM sides) JOIN vocab USING (token) GROUP BY ALL),
+      said AS (SELECT conv_id, turn, side, len(s.t) + 1 AS n, regexp_replace(array_to_string(coalesce(k.t, []), ' '), ' ([.!?])', '\\1', 'g') AS text
+               FROM sides s LEFT JOIN known k USING (conv_id, turn, side)),
+      lines AS (SELECT conv_id, turn, side, generate_subscripts(l, 1) AS k, unnest(l) AS line
+                FROM (SELECT conv_id, turn, side, string_split({LINES.format("text")}, chr(10)) AS l FROM said)),
+      words AS (SELECT conv_id, turn, side, k, generate_subscripts(t, 1) AS i, unnest(t) AS token FROM (SELECT *, {TOKENS.format("line")} AS t FROM lines)),
+      {stems("SELECT token FROM words")},
+      cut AS (SELECT conv_id, turn, side, k, list(stem ORDER BY i) AS t FROM words JOIN stemmed USING (token) GROUP BY ALL),
+      ps AS (SELECT conv_id, turn, k AS pk, t AS p FROM cut WHERE side = 0),
+      rs AS (SELECT conv_id, turn, k AS rk, t AS r FROM cut WHERE side = 1),
+      whole AS (SELECT conv_id, turn, side, flatten(list(t ORDER BY k)) AS t FROM cut GROUP BY ALL),
+      tokens AS (SELECT p.conv_id, p.turn, coalesce(x.t, []) AS a, coalesce(y.t, []) AS b, s.n FROM pairs p
+                 JOIN said s ON s.conv_id = p.conv_id AND s.turn = p.turn AND s.side = 0
+                 LEFT JOIN whole x ON x.conv_id = p.conv_id AND x.turn = p.turn AND x.side = 0
+                 LEFT JOIN whole y ON y.conv_id = p.conv_id AND y.turn = p.turn AND y.side = 1),
+      {gram_scores(1, "one")}, {gram_scores(2, "two")}, {LCS_SCORES.replace("steps", "lcs_steps")}, {UNION_LCS},
+      summed AS (SELECT conv_id, turn, coalesce(h, 0) AS h, len(a)::DOUBLE AS p, len(b)::DOUBLE AS r FROM tokens LEFT JOIN hits USING (conv_id, turn)),
+      lsum AS (SELECT conv_id, turn, {SHARES} FROM summed)
+      SELECT CASE WHEN turn = 1 THEN 'first' ELSE 'later' END AS split, round(avg(one.f1) * 100, 4) AS rouge1,
+      round(avg(two.f1) * 100, 4) AS rouge2, round(avg(lcs.f1) * 100, 4) AS "rougeL",
+      round(avg(lsum.f1) * 100, 4) AS "rougeLsum", avg(n) AS gen_len, count(*) AS samples
+      FROM tokens JOIN one USING (conv_id, turn) JOIN two USING (conv_id, turn) JOIN lcs USING (conv_id, turn) JOIN lsum USING (conv_id, turn)
+      GROUP BY ALL"""
+
 ORACLE: dict[str, str] = {
     "read_reviews": f"SELECT doc_id::VARCHAR AS doc_id, source, {PLAIN} AS text FROM documents",
     "read_damaged_reviews": """WITH fields AS (SELECT doc_id, CASE WHEN doc_id % 7 = 3 THEN '"' || source ELSE source END AS source,
@@ -380,23 +479,15 @@ ORACLE: dict[str, str] = {
     "rouge_2": f"{rouge_n(2)} SELECT * FROM scored",
     "rouge_l": f"WITH RECURSIVE {PAIR_TOKENS}, {LCS_SCORES} SELECT * FROM lcs",
     "rouge_lsum": ROUGE_LSUM,
-    # Decoded texts have no sentence ends, so the score per sentence is the score of the whole.
-    "evaluate": f"""WITH RECURSIVE pairs AS ({ANSWERS}), {vocab("conversations", 2000)},
-        sides AS (SELECT conv_id, turn, 0 AS side, {TOKENS.format("prediction")}[1:127] AS t FROM pairs
-                  UNION ALL SELECT conv_id, turn, 1, {TOKENS.format("reference")}[1:127] FROM pairs),
-        places AS (SELECT conv_id, turn, side, unnest(t) AS token, generate_subscripts(t, 1) AS i FROM sides),
-        known AS (SELECT conv_id, turn, side, list(token ORDER BY i) AS t FROM places JOIN vocab USING (token)
-                  GROUP BY ALL),
-        tokens AS (SELECT p.conv_id, p.turn, coalesce(x.t, []) AS a, coalesce(y.t, []) AS b, len(s.t) + 1 AS n FROM pairs p
-                   JOIN sides s ON s.conv_id = p.conv_id AND s.turn = p.turn AND s.side = 0
-                   LEFT JOIN known x ON x.conv_id = p.conv_id AND x.turn = p.turn AND x.side = 0
-                   LEFT JOIN known y ON y.conv_id = p.conv_id AND y.turn = p.turn AND y.side = 1),
-        {gram_scores(1, "one")}, {gram_scores(2, "two")}, {LCS_SCORES}
-        SELECT CASE WHEN turn = 1 THEN 'first' ELSE 'later' END AS split, round(avg(one.f1) * 100, 4) AS rouge1,
-        round(avg(two.f1) * 100, 4) AS rouge2, round(avg(lcs.f1) * 100, 4) AS "rougeL",
-        round(avg(lcs.f1) * 100, 4) AS "rougeLsum", avg(n) AS gen_len, count(*) AS samples
-        FROM tokens JOIN one USING (conv_id, turn) JOIN two USING (conv_id, turn) JOIN lcs USING (conv_id, turn)
-        GROUP BY ALL""",
+    "rouge_1_stemmed": f"""WITH pairs AS ({ANSWERS}),
+        {stems(f"SELECT unnest({TOKENS.format('prediction')}) AS token FROM pairs UNION ALL SELECT unnest({TOKENS.format('reference')}) FROM pairs")},
+        placed AS (SELECT conv_id, turn, 0 AS side, unnest(t) AS token, generate_subscripts(t, 1) AS i FROM (SELECT *, {TOKENS.format("prediction")} AS t FROM pairs)
+                   UNION ALL SELECT conv_id, turn, 1, unnest(t), generate_subscripts(t, 1) FROM (SELECT *, {TOKENS.format("reference")} AS t FROM pairs)),
+        listed AS (SELECT conv_id, turn, coalesce(list(stem ORDER BY i) FILTER (WHERE side = 0), []) AS a,
+                   coalesce(list(stem ORDER BY i) FILTER (WHERE side = 1), []) AS b FROM placed JOIN stemmed USING (token) GROUP BY ALL),
+        tokens AS (SELECT conv_id, turn, coalesce(a, []) AS a, coalesce(b, []) AS b FROM pairs LEFT JOIN listed USING (conv_id, turn)),
+        {gram_scores(1, "scored")} SELECT * FROM scored""",
+    "evaluate": EVALUATE,
     "fit_word_stats": f"""WITH {word_stats("documents")}
         SELECT token, count, count / (SELECT sum(count)::BIGINT FROM stats) AS p FROM stats""",
     "summarize": f"SELECT doc_id, {longest('text')} AS summary FROM documents",

@@ -434,17 +434,20 @@ def rouge_l(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rouge_lsum(spark: SparkSession, sf: str) -> DataFrame:
-    lines = [txt.newline_sentences(F.col(side)) for side in ("prediction", "reference")]
-    return _scores(answers(spark, sf), rouge.rouge_lsum(*lines))
+    lines = {side: txt.newline_sentences(F.col(side)) for side in ("prediction", "reference")}
+    scored = rouge.add_rouge_lsum(answers(spark, sf).withColumns(lines), "prediction", "reference", "_score")
+    return scored.select("conv_id", "turn", "_score.precision", "_score.recall", "_score.f1")
 
 
 def evaluate(spark: SparkSession, sf: str) -> DataFrame:
-    """Answers scored from ids: encoded, decoded, scored, averaged per kind of conversation."""
-    vocab = _vocab(table(spark, sf, "conversations"))
-    sides = {"prediction_ids": ("prediction", 128), "labels": ("reference", 128)}
-    ids = vocabulary.encode(answers(spark, sf), vocab, sides)
+    """Answers scored from ids as evaluation does by default: ids with sentence ends, decoded, set in sentences, scored on
+    word stems, averaged per kind of conversation."""
+    vocab = stored(vocabulary.build_vocab(table(spark, sf, "conversations"), "text", tokenize=tok.sentence_tokens), "vocab")
+    longest = vocabulary.MAX_TARGET_LENGTH
+    sides = {"prediction_ids": ("prediction", longest), "labels": ("reference", longest)}
+    ids = vocabulary.encode(answers(spark, sf), vocab, sides, tok.sentence_tokens)
     split = F.when(F.col("turn") == 1, "first").otherwise("later")
-    return evaluation.evaluate_ids(ids.withColumn("split", split), vocab, tokenize=tok.word_tokens)
+    return evaluation.evaluate_ids(ids.withColumn("split", split), vocab)
 
 
 # Summaries

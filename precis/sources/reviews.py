@@ -70,7 +70,11 @@ def read_damaged_reviews(spark: SparkSession, path: str | list[str], schema: Str
     quoted = F.from_csv("value", checked.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)
     plain = F.split("value", "\t", -1)
     read = lines.select("value", quoted.alias("_q"), plain.alias("_p"))
-    state = F.when(F.col("_q._damaged").isNull(), "good").when(F.size("_p") == len(names), "mended").otherwise("quarantined")
+    # In the last field an unclosed quote has nothing to swallow, but the reader drops it.
+    last = F.element_at("_p", -1)
+    open_end = last.startswith('"') & ~(last.endswith('"') & (F.length(last) > 1))
+    whole = F.size("_p") == len(names)
+    state = F.when(F.col("_q._damaged").isNull() & ~(whole & open_end), "good").when(whole, "mended").otherwise("quarantined")
     read = read.withColumn("state", state)
 
     def field(at: int) -> Column:

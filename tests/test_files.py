@@ -126,3 +126,64 @@ def test_extractive_stream(spark, tmp_path):
         stream = spark.readStream.schema("id int, text string").parquet(source)
         streaming.summarize_stream_extractive(stream, stats, "id", "text", sink, state, min_tokens=2, available_now=True).awaitTermination()
     assert [(r.id, r.summary) for r in spark.read.parquet(sink).collect()] == [(1, "a a.")]
+
+
+def test_lines_that_a_quote_has_swallowed(spark, tmp_path):
+    lines = {
+        "a.tsv": ["id\ttitle\tbody", '1\tplain\tbody "quoted" inside', '2\t"open\tbody', '3\t"closed title"\tbody', '4\t"tab\tinside"\tbody'],
+        "b.tsv": ["id\ttitle\tbody", "5\tshort", "6\ttoo\tmany\tfields", '7\tlast\t"open', "8\t\t", '9\t"never', "", "\t\t", "10\té\t" + "x" * 40_000],
+    }
+    for name, text in lines.items():
+        (tmp_path / name).write_text("\n".join(text) + "\n")
+    rows = reviews.read_damaged_reviews(spark, str(tmp_path)).collect()
+    got = {r.id or r.raw or "": (r.state, r.title, r.body, r.raw) for r in rows}
+    assert len(rows) == 11  # every line that isn't a header or empty
+    assert got == {
+        "1": ("good", "plain", 'body "quoted" inside', None),
+        "2": ("mended", '"open', "body", None),
+        "3": ("good", "closed title", "body", None),
+        "4": ("good", "tab\tinside", "body", None),
+        "5\tshort": ("quarantined", None, None, "5\tshort"),
+        "6\ttoo\tmany\tfields": ("quarantined", None, None, "6\ttoo\tmany\tfields"),
+        "7": ("mended", "last", '"open', None),
+        "8": ("good", None, None, None),
+        '9\t"never': ("quarantined", None, None, '9\t"never'),
+        "": ("good", None, None, None),
+        "10": ("good", "é", "x" * 40_000, None),
+    }
+
+
+def test_json_lines_of_any_shape(spark, tmp_path):
+    lines = [
+        '{"text": "a \\"b\\"", "summary": 3}', '{"text": [1, "x", null], "summary": {"b": 1, "a": [true]}}', '{"text": null}', "[1]", "not json", "",
+        '{"summary": 1.50, "text": true, "other": {}}', '{"text": "", "summary": 12345678901234567890}', '{"it\'s": 1, "text": "t"}',
+    ]
+    (tmp_path / "x.json").write_text("\n".join(lines))
+    rows = pairs.read_pairs(spark, train=str(tmp_path / "x.json"), fields=["text", "summary", "it's"]).collect()
+    got = [(r.text, r.summary, r["it's"], r.split) for r in rows]
+    want = [
+        ('a "b"', "3", None), ('[1,"x",null]', '{"a":[true],"b":1}', None), (None, None, None), (None, None, None), (None, None, None),
+        ("true", "1.5", None), ("", "12345678901234567890", None), ("t", None, "1"),
+    ]
+    assert sorted(map(repr, got)) == sorted(repr((*w, "train")) for w in want)
+
+
+def test_a_text_that_is_delivered_again_has_one_summary(spark, tmp_path):
+    """The same file twice in a run, once more after a restart, then new rows with a null key among them."""
+    schema = "id int, text string"
+
+    def deliver(name, rows):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "in" / name))
+
+    def run():
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+        streaming.summarize_stream(stream, "text", lambda texts: [t.upper() for t in texts], str(tmp_path / "out"), str(tmp_path / "state"), available_now=True, key="id", prefix="").awaitTermination()
+        return sorted(map(repr, map(tuple, spark.read.parquet(str(tmp_path / "out")).select("id", "summary").collect())))
+
+    rows = [(1, "a"), (2, "b")]
+    deliver("first", rows)
+    deliver("again", rows)
+    assert run() == ["(1, 'A')", "(2, 'B')"]
+    deliver("later", [*rows, (None, "c")])
+    deliver("last", [(None, "c"), (3, None)])
+    assert run() == ["(1, 'A')", "(2, 'B')", "(3, None)", "(None, 'C')"]

@@ -87,3 +87,18 @@ def test_no_task_gets_a_hot_group_whole(hot):
     df = groups.first_rows(hot.select("key", "row"), ["key"], [F.asc("row")], 5)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") >= 2
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 7])
+def test_equal_order_values_go_by_text_whatever_the_partitions(spark, partitions):
+    df = spark.createDataFrame([("k", None if i < 3 else 5, f"t{i:02}") for i in range(40)], "key string, at int, text string")
+    row = groups.model_input_by_group(df.repartition(partitions), "key", "text", "at", max_tokens=6).first()
+    assert (row.n, row.reviews) == (40, "t00 t01 t02 t03 t04 t05")
+
+
+def test_first_rows_of_one_group_of_all_rows(spark):
+    df = spark.range(20_000).select(F.lit(1).alias("key"), (F.col("id") * 7919 % 20_000).alias("at")).repartition(40)
+    got = groups.first_rows(df, ["key"], [F.asc("at")], 50)
+    assert sorted(r["at"] for r in got.collect()) == list(range(50))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 4

@@ -78,13 +78,20 @@ def test_ties_step_back_in_the_reference():
         assert rouge.lcs_places(ref, rouge._places(ref), pred) == want
 
 
-def test_union_of_subsequences():
+def test_union_of_subsequences(spark):
     """Lin's example: of w1..w5 the two predictions cover w1 w2 and w1 w3 w5, four words together."""
     expected = [["w1", "w2", "w3", "w4", "w5"]]
     predicted = [["w1", "w2", "w6", "w7", "w8"], ["w1", "w3", "w8", "w9", "w5"]]
-    assert rouge.union_lcs_hits(predicted, expected) == 4
-    assert rouge.union_lcs_hits([["a"]], [["a"], ["a"]]) == 1  # predicted once, counts once
-    assert rouge.union_lcs_hits([], expected) == 0
+    rows = [
+        (predicted, expected, 4), ([["a"]], [["a"], ["a"]], 1),  # predicted once, counts once
+        ([], expected, 0), (None, expected, 0), (predicted, None, 0), ([["b"]], [["a"]], 0), (predicted, expected, 4),
+    ]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "row int, p array<array<string>>, e array<array<string>>, want int").repartition(3)
+    out = rouge.add_union_lcs(df, "p", "e", "score").orderBy("row").collect()
+    assert len(out) == len(rows) and out[0].asDict().keys() == {"row", "p", "e", "want", "score"}
+    for r in out:
+        assert r.score.recall == pytest.approx(r.want / sum(map(len, r.e)) if r.e and r.p else 0)
+        assert r.score.precision == pytest.approx(r.want / sum(map(len, r.p)) if r.e and r.p else 0)
 
 
 def test_repeats_are_clipped(values):

@@ -128,7 +128,7 @@ def test_train_evaluate_predict(spark, tmp_path):
 def test_training_data_is_exported_per_split(spark, tmp_path):
     rows = [(i, "train" if i < 10 else "validation", f"a b c{i}", "a") for i in range(14)] + [(20, "train", "x", None)]
     data = spark.createDataFrame(rows, "row int, split string, text string, summary string")
-    paths = flows.export_training_data(data, str(tmp_path), "row", max_source_length=4, batch_size=4, buckets=1, max_samples={"train": 8})
+    paths = flows.export_training_data(data, str(tmp_path), "row", max_source_length=4, batch_size=4, max_samples={"train": 8})
     vocab = {r.token: r.id for r in spark.read.parquet(paths["vocab"]).collect()}
     got = {r.row: r for r in spark.read.parquet(paths["batches"]).collect()}
     assert sorted(got) == [*range(8), *range(10, 14)] and got[10].split == "validation"
@@ -147,3 +147,22 @@ def test_from_raw_files_to_group_summaries(spark, tmp_path):
     rows = groups.collect()
     assert {r["product"]: r.n for r in rows} == {"hot": 80, "p0": 10, "p1": 10, "p2": 10, "p3": 10}
     assert all(r.summary and "<" not in r.reviews for r in rows)
+
+
+def test_batches_of_similar_length_give_each_row_its_own_summary(spark):
+    rows = [(i, "x" * (i * 37 % 101) if i % 9 else None) for i in range(200)]
+    df = spark.createDataFrame(rows, "row int, text string").repartition(3)
+
+    def same_lengths(texts):
+        assert len(texts) <= 4
+        return [f"{len(t)} of {max(map(len, texts))}" for t in texts]
+
+    got = {r.row: r.summary for r in models.summarize(df, "text", same_lengths, batch_size=4, prefix="").collect()}
+    assert {i: s and int(s.split()[0]) for i, s in got.items()} == {i: t if t is None else len(t) for i, t in rows}
+    wide = sum(int(s.split()[2]) for s in got.values() if s)
+    assert wide < 1.1 * sum(len(t) for _, t in rows if t)
+    sizes = models.padded_sizes(df, "text", 4).first()
+    assert (sizes.texts, sizes.chars) == (len([t for _, t in rows if t is not None]), sum(len(t) for _, t in rows if t))
+    assert sizes.chars <= sizes.by_length < 1.1 * sizes.chars
+    assert sizes.as_they_come > 1.3 * sizes.by_length
+    assert tuple(models.padded_sizes(df.limit(0), "text").first()) == (0, 0, 0, 0)
