@@ -14,20 +14,19 @@ from precis.llm.components import components
 
 SHINGLE = 5
 PERCENT = 80
-_DIRECT = 64  # up to this size a sketch has a cell for each shingle
-_BAND = 4
+_BAND = 2
 _PARITY_WORDS = 8
-_FEW = 1_000_000
+# A table is sent to all executors up to about this many bytes, counted before; a row of numbers takes about 64 bytes
+# there, one with its parity bits 192.
+_SENT = 32 * 1024 * 1024
+_NARROW, _WIDE = 64, 192
 _DENSE = 4
 _SLOW = 200
 
 
 def band_start(n: int) -> int:
-    """Sizes fall into bands [1, 4), [4, 16), ...: the first size of n's band."""
-    start = 1
-    while n >= start * _BAND:
-        start *= _BAND
-    return start
+    """Sizes fall into bands [1, 2), [2, 4), [4, 8), ...: the first size of n's band."""
+    return 1 << (n.bit_length() - 1)
 
 
 def most_apart(n: int, other: int, percent: int = PERCENT) -> int:
@@ -39,35 +38,31 @@ def most_apart(n: int, other: int, percent: int = PERCENT) -> int:
 
 
 def keys_of(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The keys under which a document is looked for, in every size band that a partner can be in.
+    """The keys under which a document is looked for, in every size band that a larger partner can be in.
 
     In a band each shingle belongs to one of m cells, and a cell holds the exclusive or of its shingles' hashes: a
     shingle that only one of two documents has changes one cell, so no more cells differ than shingles do (at most d).
-    Of the cells that hold something, at least (cells - d) agree with the partner's. Put in an order that depends on a
-    cell's content only, the first d + 1 cells of each document must then have one in common; those are the keys.
-    Cells with many shingles come first, as unrelated documents rarely share them.
+    Put in an order that depends on a cell's content only, the first d + 1 of the cells that hold something must have
+    one in common; those are the keys. There are a quarter more cells than may differ in the band, so a cell holds
+    several shingles, and those with many come first: a passage that many documents share is rarely a whole cell of them.
     """
     n, out = len(shingles), []
-    low = band_start(n) if n else 0
-    for start in (low, low * _BAND):
-        if not n or start > low and n * 100 < start * percent:
-            continue
+    start = band_start(n) if n else 0
+    while n and start * percent <= n * 100:
         most = min(start * _BAND - 1, n * 100 // percent)
         wanted = most_apart(n, most, percent) + 1
+        apart = most_apart(start * _BAND - 1, start * _BAND - 1, percent)
+        cells = np.uint64(apart + 1 + apart // 4)
         seed = mix(np.array([start], np.uint64))[0]
-        if start * _BAND <= _DIRECT:
-            found = np.sort(mix(shingles ^ seed))[:wanted]
-        else:
-            cells = np.uint64(start * _BAND // 3)
-            own = mix(shingles ^ seed)
-            cell = (own % cells).astype(np.int64)
-            order = np.argsort(cell, kind="stable")
-            at = np.flatnonzero(np.diff(cell[order], prepend=-1))
-            held = np.bitwise_xor.reduceat(own[order], at)
-            size = np.diff(np.append(at, n))
-            value = mix(held ^ mix(cell[order][at].astype(np.uint64) ^ seed))
-            found = value[np.lexsort((value, -size))[:wanted]]
-        out.append(found)
+        own = mix(shingles ^ seed)
+        cell = (own % cells).astype(np.int64)
+        order = np.argsort(cell, kind="stable")
+        at = np.flatnonzero(np.diff(cell[order], prepend=-1))
+        held = np.bitwise_xor.reduceat(own[order], at)
+        size = np.diff(np.append(at, n))
+        value = mix(held ^ mix(cell[order][at].astype(np.uint64) ^ seed))
+        out.append(value[np.lexsort((value, -size))[:wanted]])
+        start *= _BAND
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
@@ -122,7 +117,7 @@ def features(docs: DataFrame, key: str, text: str, shingle: int = SHINGLE, perce
 def _sets_of(docs: DataFrame, key: str, text: str, wanted: DataFrame, shingle: int) -> DataFrame:
     """`(id, set)` of the wanted sets, given as `(id, rep, h1, h2)` with one document each; shingles only those texts."""
     own = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"))
-    few = wanted.count() <= _FEW  # counted: some tens of megabytes
+    few = wanted.count() * _NARROW <= _SENT
     names, wanted = wanted.select("rep").distinct(), wanted.select("id", "h1", "h2")
     if few:
         names, wanted = F.broadcast(names), F.broadcast(wanted)
@@ -153,15 +148,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(shared * 100 >= (F.size("sa") + F.size("sb") - shared) * percent).select("a", "b")
 
 
-def _sent_if_few(df: DataFrame) -> DataFrame:
-    """A stored table of few rows (counted: some tens of megabytes) goes to all executors; others are shuffled."""
-    return F.broadcast(df) if df.count() <= _FEW else df
+def _sent_if_few(df: DataFrame, row_bytes: int = _NARROW) -> DataFrame:
+    """A stored table of few bytes (by a count of its rows) goes to all executors; others are shuffled."""
+    return F.broadcast(df) if df.count() * row_bytes <= _SENT else df
 
 
 def _close(pairs: DataFrame, sides: DataFrame, percent: int) -> DataFrame:
     """The distinct pairs `(a, b)`, the lesser number first, that sizes and parity bits leave possible."""
     ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    sides = _sent_if_few(sides)
+    sides = _sent_if_few(sides, _WIDE)
     both = ordered.join(sides.select(F.col("id").alias("a"), F.col("s").alias("s1")), "a")
     both = both.join(sides.select(F.col("id").alias("b"), F.col("s").alias("s2")), "b")
     return both.filter(_may_link("s1", "s2", percent)).select("a", "b")
@@ -188,7 +183,7 @@ def _pivot_pairs(own: DataFrame) -> DataFrame:
 
 def _all_pairs(own: DataFrame, sides: DataFrame, percent: int) -> DataFrame:
     """Every pair of sets that share a key, lie in different components, and may be linked by sizes and parity bits."""
-    full = own.join(_sent_if_few(sides), "id")
+    full = own.join(_sent_if_few(sides, _WIDE), "id")
     x, y = full.alias("x"), full.alias("y")
     apart = (F.col("x.k") == F.col("y.k")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.c") != F.col("y.c"))
     rest = x.join(y, apart & _may_link("x.s", "y.s", percent)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
