@@ -23,12 +23,13 @@ from precis.session import stored
 BLOCK_ELEMENTS = 500_000
 
 
-def in_blocks(df: DataFrame, arrays: dict[str, Column], block_elements: int = BLOCK_ELEMENTS) -> DataFrame:
+def in_blocks(df: DataFrame, arrays: dict[str, Column], block_elements: int = BLOCK_ELEMENTS, keep: list[str] | None = None) -> DataFrame:
     """Rows `(_block, _rest, _0, _1, ...)` with each array as places in the block's `_values`, which is one more row.
+    `_rest` are the columns of `keep`, all of them by default.
 
     The table is stored, so a row's block is the same for all that read it, also when a task has to be run again.
     """
-    names = [f"`{c}`" for c in df.columns]
+    names = [f"`{c}`" for c in (df.columns if keep is None else keep)]
     given = df.select(F.struct(*names).alias("_rest"), *[array.alias(f"_{i}") for i, array in enumerate(arrays.values())])
     kind = given.schema["_0"].dataType
     sides = [f"_{i}" for i in range(len(arrays))]
@@ -71,29 +72,31 @@ def _runs(batch: pa.RecordBatch, sides: list[str], most: int) -> Iterator[pa.Rec
         yield batch.slice(start)
 
 
-def answered(df: DataFrame, blocks: DataFrame, answers: DataFrame, arrays: dict[str, Column]) -> DataFrame:
-    """`df`'s rows out of `blocks`, each of `arrays` read by place from its block's row of `answers(_block, _answers)`.
+def answered(columns: list[str], blocks: DataFrame, answers: DataFrame, arrays: dict[str, Column]) -> DataFrame:
+    """The rows of `blocks` with their `columns`, each of `arrays` read by place from its block's row of `answers(_block, _answers)`.
 
     A column of an array's name is replaced. An array of null comes back empty, an element without an answer as null.
     """
     both = blocks.filter("_values is null").join(answers, "_block", "left")
     made = {name: F.transform(F.col(f"_{i}"), lambda place: F.get("_answers", place)).alias(name) for i, name in enumerate(arrays)}
-    kept = [F.col("_rest").getField(c).alias(c) for c in df.columns if c not in made]
+    kept = [F.col("_rest").getField(c).alias(c) for c in columns if c not in made]
     return both.select(*kept, *made.values())
 
 
-def looked_up(df: DataFrame, table: DataFrame, arrays: dict[str, Column], source: str, target: str, block_elements: int = BLOCK_ELEMENTS) -> DataFrame:
+def looked_up(df: DataFrame, table: DataFrame, arrays: dict[str, Column], source: str, target: str, block_elements: int = BLOCK_ELEMENTS, keep: list[str] | None = None) -> DataFrame:
     """`df` with a column per array: its elements looked up in the table's `source`, as its `target`, in order.
 
-    Elements that the table lacks, null ones among them, are null; a null array is empty. Every row stays, keys may repeat or be null. The
-    planner sends a small table to all tasks and shuffles a large one.
+    Elements that the table lacks, null ones among them, are null; a null array is empty. Every row stays, keys may repeat
+    or be null. The planner sends a small table to all tasks and shuffles a large one. With `keep` only these columns of
+    `df` come out beside the arrays, and only they are moved: rows are stored and joined, so a text that is no longer
+    wanted costs both.
     """
-    blocks = in_blocks(df, arrays, block_elements)
+    blocks = in_blocks(df, arrays, block_elements, keep)
     asked = blocks.filter("_values is not null").select("_block", F.posexplode("_values").alias("_place", "_value"))
     known = table.select(F.col(source).alias("_known"), F.col(target).alias("_found"))
     found = asked.join(known, F.col("_value") == F.col("_known"), "left")
     answers = found.groupBy("_block").agg(F.sort_array(F.collect_list(F.struct("_place", "_found"))).alias("_a"))
-    return answered(df, blocks, answers.select("_block", F.col("_a._found").alias("_answers")), arrays)
+    return answered(df.columns if keep is None else keep, blocks, answers.select("_block", F.col("_a._found").alias("_answers")), arrays)
 
 
 # Tables with dense ids, as arrays of consecutive ones
@@ -139,7 +142,7 @@ def read_by_place(df: DataFrame, table: DataFrame, arrays: dict[str, Column], nu
     as_map = F.map_from_entries(F.coalesce(F.col("_a"), F.array().cast(pairs.schema["_a"].dataType)))
     gaps = F.transform(F.when(F.col("_n") > 0, F.sequence(F.lit(0), F.col("_n") - 1)), lambda p: as_map[p])
     answers = whole.select("_block", F.when(complete, F.col("_a._found")).otherwise(gaps).alias("_answers"))
-    return answered(df, blocks, answers, arrays)
+    return answered(df.columns, blocks, answers, arrays)
 
 
 def _read_sent(df: DataFrame, table: DataFrame, arrays: dict[str, Column], number: str, value: str, last: int | None) -> DataFrame:

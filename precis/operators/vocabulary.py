@@ -55,17 +55,19 @@ def encode(
     vocab: DataFrame,
     cols: dict[str, tuple[str, int]],
     tokenize: Tokenizer = word_tokens,
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """`df` with an id array per entry of `cols`, which maps the new name to (text column, longest length).
 
     Each array ends in the end id and has no more than its length, that id included. A column of a new name is
-    replaced. Tokens that the vocabulary lacks are unknown; nulls are empty texts.
+    replaced. Tokens that the vocabulary lacks are unknown; nulls are empty texts. `keep` names the other columns that
+    are wanted, all by default: texts that have their ids need not be moved.
     """
     arrays = {
         name: F.slice(tokenize(F.coalesce(F.col(text), F.lit(""))), 1, length - 1)
         for name, (text, length) in cols.items()
     }
-    found = looked_up(df, vocab, arrays, "token", "id")
+    found = looked_up(df, vocab, arrays, "token", "id", keep=keep)
     for name in cols:
         known = F.transform(F.col(name), lambda i: F.coalesce(i, F.lit(UNKNOWN_ID)))
         found = found.withColumn(name, F.concat(known, F.array(F.lit(END_ID))))

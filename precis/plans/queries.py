@@ -318,7 +318,7 @@ def build_vocab(spark: SparkSession, sf: str) -> DataFrame:
 
 def _encoded(spark: SparkSession, sf: str, length: int) -> DataFrame:
     docs = documents(spark, sf).select("doc_id", "text")
-    return vocabulary.encode(docs, _vocab(docs), {"ids": ("text", length)})
+    return vocabulary.encode(docs, _vocab(docs), {"ids": ("text", length)}, keep=["doc_id"])
 
 
 def encode(spark: SparkSession, sf: str) -> DataFrame:
@@ -329,7 +329,7 @@ def encode_whole_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
     """With every token of the corpus in the vocabulary, joined by a shuffle: the branch of rare tokens."""
     docs = documents(spark, sf).select("doc_id", "text")
     vocab = vocabulary.build_vocab(docs, "text", 10_000_000)
-    ids = vocabulary.encode(docs, vocab.hint("shuffle_merge"), {"ids": ("text", 1024)})
+    ids = vocabulary.encode(docs, vocab.hint("shuffle_merge"), {"ids": ("text", 1024)}, keep=["doc_id"])
     return ids.select("doc_id", flat(F.col("ids")).alias("input_ids"))
 
 
@@ -381,7 +381,7 @@ def decode(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of the library's vocabulary size and source length, padded and masked as a model would give them."""
     docs = documents(spark, sf).select("doc_id", "text")
     vocab = stored(vocabulary.build_vocab(docs, "text"), "vocab")
-    ids = vocabulary.encode(docs, vocab, {"ids": ("text", vocabulary.MAX_SOURCE_LENGTH)})
+    ids = vocabulary.encode(docs, vocab, {"ids": ("text", vocabulary.MAX_SOURCE_LENGTH)}, keep=["doc_id"])
     padded = ids.select("doc_id", tok.mask_labels(tok.pad_to_length(F.col("ids"), vocabulary.MAX_SOURCE_LENGTH)).alias("text"))
     return vocabulary.decode(padded, vocab, ["text"])
 
@@ -390,7 +390,7 @@ def decode_whole_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of whole texts with every token of the corpus in the vocabulary; all words come back."""
     docs = documents(spark, sf).select("doc_id", "text")
     vocab = stored(_vocab(docs, NO_LIMIT), "vocab")
-    ids = vocabulary.encode(docs, vocab, {"ids": ("text", NO_LIMIT)})
+    ids = vocabulary.encode(docs, vocab, {"ids": ("text", NO_LIMIT)}, keep=["doc_id"])
     return vocabulary.decode(ids.select("doc_id", F.col("ids").alias("text")), vocab, ["text"])
 
 
