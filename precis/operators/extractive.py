@@ -22,32 +22,37 @@ def fit_word_stats(train: DataFrame, text: str, tokenize: Tokenizer = word_token
     return counts.select("token", "count", (F.col("count") / total).alias("p"))
 
 
-def score_sentences(df: DataFrame, stats: DataFrame, text: str, into: str, tokenize: Tokenizer = word_tokens) -> DataFrame:
+def score_sentences(
+    df: DataFrame, stats: DataFrame, text: str, into: str, tokenize: Tokenizer = word_tokens, keep: list[str] | None = None
+) -> DataFrame:
     """`df` with an array `into` of its sentences: `pos`, `sentence`, `score` and `cost`, its number of words.
 
-    A score is the mean training count of the sentence's words. Each block of rows asks
-    once for each of its distinct words, so texts are moved once and no sentence is a key. Every row stays, whatever its
-    columns hold; null and blank texts have no sentences.
+    A score is the mean training count of the sentence's words. A text is cut into sentences and words once. Each block of
+    rows asks once for each of its distinct words, so no sentence is a key; with `keep` only these columns of `df` are
+    moved along. Every row stays, whatever its columns hold; null and blank texts have no sentences.
     """
-    text_or_none = F.coalesce(F.col(text), F.lit(""))
-    words = F.flatten(F.transform(sentences(text_or_none), tokenize))
-    found = looked_up(df, stats, {"_counts": words}, "token", "count")
+    cut = df.withColumn("_sentences", sentences(F.coalesce(F.col(text), F.lit(""))))
+    cut = cut.withColumn("_words", F.transform("_sentences", tokenize))
+    cut = cut.withColumn("_sizes", F.transform("_words", lambda words: F.size(words)))
+    kept = df.columns if keep is None else keep
+    found = looked_up(cut, stats, {"_counts": F.flatten("_words")}, "token", "count", keep=[*kept, "_sentences", "_sizes"])
 
-    def scored(lines: Column) -> Column:
-        def of(sizes: Column) -> Column:
-            def one(line: Column, pos: Column) -> Column:
-                size = F.get(sizes, pos)
-                before = F.aggregate(F.slice(sizes, F.lit(1), pos), F.lit(0), lambda total, n: total + n)
-                own = F.slice("_counts", before + 1, size)
-                weight = F.aggregate(own, F.lit(0).cast("bigint"), lambda total, n: total + F.coalesce(n, F.lit(0)))
-                score = F.when(size > 0, weight / size).otherwise(F.lit(0.0))
-                return F.struct(pos.alias("pos"), line.alias("sentence"), score.alias("score"), word_count(line).alias("cost"))
+    # Where each sentence's words begin among all words of the text.
+    ends = F.aggregate("_sizes", F.array(F.lit(0)), lambda to, n: F.concat(to, F.array(F.element_at(to, -1) + n)))
 
-            return F.transform(lines, one)
+    def scored(bound: Column) -> Column:
+        def one(line: Column, pos: Column) -> Column:
+            size = F.get("_sizes", pos)
+            own = F.slice(bound["counts"], F.get(bound["starts"], pos) + 1, size)
+            weight = F.aggregate(own, F.lit(0).cast("bigint"), lambda total, n: total + F.coalesce(n, F.lit(0)))
+            score = F.when(size > 0, weight / size).otherwise(F.lit(0.0))
+            return F.struct(pos.alias("pos"), line.alias("sentence"), score.alias("score"), word_count(line).alias("cost"))
 
-        return let(F.transform(lines, lambda line: F.size(tokenize(line))), of)
+        return F.transform("_sentences", one)
 
-    return found.withColumn(into, let(sentences(text_or_none), scored)).drop("_counts")
+    # Bound outside the lambda, where they would be worked out anew for each sentence.
+    bound = F.struct(F.col("_counts").alias("counts"), ends.alias("starts"))
+    return found.select(*[F.col(f"`{c}`") for c in kept if c != into], let(bound, scored).alias(into))
 
 
 def add_summaries(
@@ -58,8 +63,9 @@ def add_summaries(
     min_tokens: int = MIN_TOKENS,
     max_tokens: int = MAX_TOKENS,
     tokenize: Tokenizer = word_tokens,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """`df` with a summary of each row's text: its best sentences in their order; empty for null and blank texts.
+    """`df` (or its columns `keep`) with a summary of each row's text: its best sentences in their order; empty for null and blank texts.
 
     Sentences are taken by score, ties by position, until `min_tokens` words are reached; the last one is cut where it
     would pass `max_tokens`.
@@ -77,7 +83,7 @@ def add_summaries(
         picked = F.sort_array(F.aggregate(ranked, start, more)["picked"])
         return F.concat_ws(" ", F.transform(picked, lambda p: first_words(F.get(lines, p["pos"])["sentence"], p["left"])))
 
-    scored = score_sentences(df, stats, text, "_lines", tokenize)
+    scored = score_sentences(df, stats, text, "_lines", tokenize, keep)
     return scored.withColumn(into, let(F.col("_lines"), best)).drop("_lines")
 
 
@@ -98,10 +104,10 @@ def summarize_extractive(
     """
     if order is None:
         one = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-        made = add_summaries(one, stats, "_text", "summary", min_tokens, max_tokens, tokenize)
+        made = add_summaries(one, stats, "_text", "summary", min_tokens, max_tokens, tokenize, keep=["_key"])
         return made.select(F.col("_key").alias(key), "summary")
     one = df.select(F.col(key).alias("_key"), F.col(order).alias("_order"), F.xxhash64(text).alias("_tie"), F.col(text).alias("_text"))
-    scored = score_sentences(one, stats, "_text", "_lines", tokenize)
+    scored = score_sentences(one, stats, "_text", "_lines", tokenize, keep=["_key", "_order", "_tie"])
     ranked = scored.select("_key", "_order", "_tie", F.inline("_lines"))
     by = [F.desc("score"), F.asc("_order"), F.asc("_tie"), F.asc("pos")]
     # Each sentence costs at least one word, so no more than `min_tokens` of them are taken.

@@ -107,17 +107,20 @@ def learned_sentences(df: DataFrame, ends: DataFrame, text: str, into: str) -> D
     table = ends.select("word", F.struct("abbreviation", "starts").alias("_known"))
     found = looked_up(one, table, asked, "word", "_known")
 
-    def holds(at: Column) -> Column:
+    def holds(told: Column, at: Column) -> Column:
         """Whether the full stop at this break ends no sentence."""
-        short = F.coalesce(F.get("_before", at)["abbreviation"], F.lit(False)) | last(at).rlike(r"^\p{L}$")
-        opens = F.coalesce(F.get("_after", at)["starts"], F.lit(False)) & first(at).rlike(r"^\p{Lu}")
+        short = F.coalesce(F.get(told["before"], at)["abbreviation"], F.lit(False)) | last(at).rlike(r"^\p{L}$")
+        opens = F.coalesce(F.get(told["after"], at)["starts"], F.lit(False)) & first(at).rlike(r"^\p{Lu}")
         number = last(at).rlike(r"^\p{N}+$") & first(at).rlike(r"^\p{Ll}")
         return stop(at) & ((short & ~opens) | number)
 
-    def shown(at: Column) -> Column:
+    def shown(told: Column, at: Column) -> Column:
         own = F.get("_breaks", at)
-        return F.concat(F.get("_pieces", at), F.when(holds(at), own).otherwise(F.concat(F.regexp_extract(own, "^[.!?]", 0), F.lit("\n"))))
+        return F.concat(F.get("_pieces", at), F.when(holds(told, at), own).otherwise(F.concat(F.regexp_extract(own, "^[.!?]", 0), F.lit("\n"))))
 
-    lines = F.concat(F.array_join(F.transform(places, shown), ""), F.element_at("_pieces", -1))
+    # Bound outside the lambda, where they would be looked up anew at each break.
+    told = F.struct(F.col("_before").alias("before"), F.col("_after").alias("after"))
+    heads = let(told, lambda bound: F.transform(places, lambda at: shown(bound, at)))
+    lines = F.concat(F.array_join(heads, ""), F.element_at("_pieces", -1))
     kept = [c for c in df.columns if c != into]
     return found.select(*[F.col(f"`{c}`") for c in kept], F.when(F.col("_text").isNotNull(), lines).alias(into))
