@@ -1,4 +1,8 @@
-"""The corpus pipeline: documents filtered, deduplicated, decontaminated, mixed and written as token ids."""
+"""The corpus pipeline: documents filtered, deduplicated, decontaminated, mixed and written as token ids.
+
+Every stage reads whole texts, takes an empty table (its result is empty), keeps columns it doesn't know, whatever their
+names, and treats rows of one doc_id, or of none, each for itself.
+"""
 
 from __future__ import annotations
 
@@ -11,29 +15,35 @@ from precis.session import configure, scratch_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that break a rule go."""
+    """Documents that break a rule go: null and empty texts have too few words, so they go here. Repeated rows fare alike."""
     configure(spark)
     return quality.keep_good(docs, lang="lang")
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
+    """Of each group of near-duplicates the document with the least doc_id stays, nulls last; of equal rows one. Texts without
+    words are in no group and stay."""
     configure(spark)
     return ngram_join.keep_one(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go, all rows of the same text alike; null texts and those without a word stay."""
     return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The training mix in its order: documents of favoured sources come twice, some of the others don't come."""
+    """The documents that the training mix takes: those of favoured sources twice, some of the others not at all.
+
+    A null source is a source of its own. Texts without words take up no room: they come once if their place is reached. Ties in
+    the order go by doc_id. The files of the next stage are in order of doc_id, so the mix's own order ends here."""
     return mixing.mix(docs, position=None)
 
 
 def token_id_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token-id files of the mix; the result is their index: `doc_id, start, n_tokens, ids_crc32` per document."""
+    """Token-id files of the mix; the result is their index: `doc_id, start, n_tokens, ids_crc32` per row.
+
+    In ascending order of doc_id, nulls first, rows of one doc_id by their text; a null text is an end id alone."""
     configure(spark)
     path = scratch_folder(spark, "corpus-token-ids")
     token_files.write(docs, path, tokenizer_path())
