@@ -90,10 +90,13 @@ LEAKS = r"""
 WITH both_tables AS (
     SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark
 ), words AS (
-    SELECT kind, id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM both_tables
+    SELECT kind, id, list_filter(regexp_split_to_array(regexp_replace(lower(coalesce(text, '')),
+        '([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])', ' \1 ', 'g'), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM both_tables
+), lengths AS (
+    SELECT DISTINCT least(len(w), 5) AS k FROM words WHERE kind = 'i' AND len(w) > 0
 ), grams AS (
-    SELECT DISTINCT kind, id, array_to_string(w[i : i + 4], ' ') AS g
-    FROM (SELECT kind, id, w, unnest(range(1, len(w) - 3)) AS i FROM words WHERE len(w) >= 5)
+    SELECT DISTINCT kind, id, array_to_string(w[i : i + k - 1], ' ') AS g
+    FROM (SELECT kind, id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words JOIN lengths ON kind = 'd' OR k = least(len(w), 5) WHERE len(w) >= k)
 ), sizes AS (
     SELECT id, count(*) AS n FROM grams WHERE kind = 'i' GROUP BY id
 )

@@ -96,3 +96,14 @@ def test_stages_keep_the_columns_of_documents(spark, folder):
         assert stage(spark, docs, folder[0]).columns == docs.columns
         assert stage(spark, docs.limit(0), folder[0]).count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), folder[0]).count() == 0
+
+
+def test_stages_take_odd_rows_and_clashing_columns(spark, folder, documents):
+    """The shared odd documents: nulls in every column, empty and very long texts, repeated rows, names that operators use."""
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, documents, folder[0])
+        assert kept.columns == documents.columns and kept.schema == documents.schema
+        rows = {repr(r) for r in documents.collect()}
+        assert all(repr(r) in rows for r in kept.collect())
+    ids = [r["doc_id"] for r in corpus_pipeline.STAGES[-1][1](spark, documents, folder[0]).collect()]
+    assert sorted(map(str, ids)) == sorted(str(r["doc_id"]) for r in documents.collect())
