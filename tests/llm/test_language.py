@@ -75,3 +75,42 @@ def test_reading_in_batches_is_the_same(model):
     together = model.probabilities(pa.array(texts))
     alone = np.concatenate([model.probabilities(pa.array([t])) for t in texts])
     assert np.allclose(together, alone, atol=1e-5)
+
+
+def plain_probabilities(model, text):
+    """One byte after the other: windows of 96 bytes that start anew, the last filled with spaces."""
+    data = (text or "").encode()
+    total = np.zeros(len(model.languages))
+
+    def states(way, row):
+        hidden, out = len(way.state), []
+        h = np.zeros(hidden)
+        for byte in row:
+            x, u = way.table[byte].astype(float), h @ way.state.astype(float)
+            z, r = (1 / (1 + np.exp(-(x[at : at + hidden] + u[at : at + hidden]))) for at in (0, hidden))
+            h = (1 - z) * h + z * np.tanh(x[2 * hidden :] + r * u[2 * hidden :])
+            out.append(h)
+        return out
+
+    for at in range(0, len(data), 96):
+        window = data[at : at + 96].ljust(96)
+        ahead, back = states(model.forward, window), states(model.backward, window[::-1])[::-1]
+        for place, byte in enumerate(data[at : at + 96]):
+            if byte > 32:
+                logits = np.concatenate([ahead[place], back[place]]) @ model.out + model.bias
+                p = np.exp(logits - logits.max())
+                total += p / p.sum()
+    return total / max(total.sum(), 1e-9)
+
+
+def test_query_equals_a_plain_forward_pass(spark, model, tmp_path):
+    docs = [tuple(r) for r in table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text", "lang").collect()]
+    docs = [d for d in docs if len(d[1]) < 1500][:60] + [(900, None, "en"), (901, " \n", "fr"), (902, "123 ..", "de"), (903, "é", None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(3)
+    got = {r["_key"]: (r["lang_pred"], r["score"]) for r in language.predict(df, model).collect()}
+    for key, text, _ in docs:
+        p = plain_probabilities(model, text)
+        if not any(c.isalpha() for c in text or ""):
+            assert got[key] == ("und", 0.0)
+        else:
+            assert got[key] == (model.languages[int(p.argmax())], pytest.approx(p.max(), abs=1e-4))
