@@ -471,6 +471,7 @@ ORACLE: dict[str, str] = {
         g AS (SELECT doc_id, string_agg(token, ' ' ORDER BY i) AS text FROM u JOIN vocab USING (token) GROUP BY doc_id)
         SELECT t.doc_id, coalesce(g.text, '') AS text FROM t LEFT JOIN g ON g.doc_id = t.doc_id""",
     "decode_whole_texts": f"SELECT doc_id, array_to_string({TOKENS.format('text')}, ' ') AS text FROM documents",
+    "subword_round_trip": "SELECT doc_id, TRUE AS ended, text FROM documents",
     "newline_sentences": f"SELECT doc_id, {LINES.format('text')} AS text FROM documents",
     "learned_abbreviations": f"""WITH {WORD_TYPES} SELECT word, n_stop, n_other, round(score, 6) + 0.0 AS score, score >= 0.3 AS abbreviation
         FROM rated WHERE n_stop > 0""",

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from precis.functions import stemming
 from precis.functions import text as txt
 from precis.functions import tokens as tok
-from precis.operators import batches, cleaning, evaluation, extractive, groups, models, rouge, rows, sampling, sentences, vocabulary
+from precis.operators import batches, cleaning, evaluation, extractive, groups, models, rouge, rows, sampling, sentences, subwords, vocabulary
 from precis.plans import flows
 from precis.session import scratch_folder, spread, stored
 from precis.sources import pairs as pair_files
@@ -25,6 +25,8 @@ KEYS = {"documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_i
 UNIT = "\x1f"
 # The largest length and number of tokens that ids and arrays can count.
 NO_LIMIT = 2**31 - 16
+# The published tokenizer's id for the end of a text.
+SUBWORD_END = 50_256
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -394,6 +396,16 @@ def decode_whole_texts(spark: SparkSession, sf: str) -> DataFrame:
     return vocabulary.decode(ids.select("doc_id", F.col("ids").alias("text")), vocab, ["text"])
 
 
+def subword_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole texts as ids of a published subword tokenizer, with its end id, and back."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    ids = subwords.encode_subwords(documents(spark, sf).select("doc_id", "text"), path, {"ids": ("text", None)}, SUBWORD_END)
+    ended = (F.element_at("ids", -1) == SUBWORD_END).alias("ended")
+    return subwords.decode_subwords(ids.select("doc_id", ended, F.col("ids").alias("text")), path, ["text"], (SUBWORD_END,))
+
+
 # Scores
 
 
@@ -632,6 +644,7 @@ QUERIES: dict[str, Query] = {
         pad_batches_at_defaults,
         decode,
         decode_whole_texts,
+        subword_round_trip,
         newline_sentences,
         learned_abbreviations,
         learned_sentences,
