@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from precis.functions.text import clean_text
-from precis.operators.rows import project_reviews
 
 
 def replace_non_empty(df: DataFrame, new: dict[str, Column]) -> DataFrame:
@@ -49,8 +48,3 @@ def clean_reviews(
             body: clean_text(F.col(body), body_tokens),
         },
     )
-
-
-def clean_review_table(df: DataFrame) -> DataFrame:
-    """The three review columns, cleaned."""
-    return clean_reviews(project_reviews(df))
