@@ -20,7 +20,7 @@ _PARITY_WORDS = 8
 # there, one with its parity bits 192.
 _SENT = 32 * 1024 * 1024
 _NARROW, _WIDE = 64, 192
-_DENSE = 64
+_DENSE = 4
 _SLOW = 200
 
 
