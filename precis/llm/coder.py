@@ -1,10 +1,11 @@
-"""An adaptive range coder for blocks of token ids, run over many blocks at once with numpy.
+"""An adaptive context-mixing range coder for blocks of token ids, run over many blocks at once with numpy.
 
-A block is coded on its own: its tables start empty, so any block can be read without the others. For each id the
-coder first says whether it is the one that followed the last two ids before (order 2), then whether it is the one
-that followed the last id (order 1). The chance of a yes is mixed from two adaptive tables: one for how well both
-predictions have done after these ids so far, one for what the last three answers were. An id that was not predicted
-is coded by the block's own frequencies of the ids' upper bytes (order 0) and its lower byte.
+A block is coded on its own: its tables start empty, so any block can be read without the others. Three orders foretell
+an id: the one that followed the last two ids before (order 2), the one that followed the last id (order 1), and how often
+each id came in this block (order 0), where only ids count that the higher orders didn't foretell. Whether an order is
+right is a question of its own. The chance of a yes is mixed in the logistic domain from two adaptive tables, one by
+what is known of the predictions, one by the last answers, with weights that each block learns as it goes. Ids that are
+new to a block are coded by the block's frequencies of their upper bits, 256 classes, and flat below.
 
 All blocks of a batch take their n-th id in the same step; no block sees another's tables. All arithmetic is on whole
 numbers, or on products of 53-bit floats, which every machine rounds alike.
@@ -15,6 +16,8 @@ from __future__ import annotations
 import numpy as np
 
 BLOCK = 2048
+# An id's lower bits, coded flat when it is new: 8 for ids of 16 bits, 24 for those of 32.
+LOWER_BITS = range(8, 25)
 _SLOTS = 1024
 # Code words of 16 bits leave at the top of 64; no range is coded from that is below the bottom.
 _TOP, _BOTTOM = np.uint64(1 << 48), np.uint64(1 << 40)
@@ -22,41 +25,116 @@ _MASK = np.uint64((1 << 40) - 1)
 _S16, _S48 = np.uint64(16), np.uint64(48)
 _S12 = np.uint64(12)  # chances are twelve-bit numbers
 _TOTAL_BITS = 14
-_S22 = np.uint64(_TOTAL_BITS + 8)
 _REBUILD = 64
 _ONE = np.uint64(1)
-# Chances move towards these; so none gets to no or yes.
+# No chance gets to no or yes.
 _NO, _YES = 31, 4064
+# The more often a table's entry was used, the less an answer moves it: 1 / 1.5, 1 / 2.5, ... of the way, in 1 / 2^14.
+_STEPS = (16384 / (np.arange(16) + 1.5)).astype(np.int32)
+_WEIGHT, _LEARN = 1 << 16, 11
+
+
+def _logistic() -> tuple[np.ndarray, np.ndarray]:
+    """ln(p / (1 - p)) of a twelve-bit chance in 1 / 256, and its inverse from -2047 on."""
+    p = (np.arange(4096) + 0.5) / 4096
+    z = np.arange(-2047, 2048) / 256
+    return np.rint(np.log(p / (1 - p)) * 256).astype(np.int32), np.clip(np.rint(4096 / (1 + np.exp(-z))), _NO, _YES).astype(np.int32)
+
+
+_STRETCH, _SQUASH = _logistic()
+
+
+class _Question:
+    """The chance of a yes in each block, from two tables with an entry per context: chance in 16 bits << 4 | uses."""
+
+    def __init__(self, lanes: int, *sizes: int):
+        self.tables = [np.full(lanes * n, 32768 << 4, np.int32) for n in sizes]
+        self.weights = [np.full(lanes, _WEIGHT // 2, np.int32) for _ in sizes]
+
+    def ask(self, at: tuple[np.ndarray, np.ndarray], lanes: np.ndarray | None = None) -> np.ndarray:
+        self.at, self.lanes = at, lanes
+        self.own = [table.take(a) for table, a in zip(self.tables, at, strict=True)]
+        self.inputs = [_STRETCH.take(e >> 8) for e in self.own]
+        self.used = self.weights if lanes is None else [w.take(lanes) for w in self.weights]
+        dot = self.used[0] * self.inputs[0] + self.used[1] * self.inputs[1] >> 16
+        self.chance = _SQUASH.take(np.clip(dot, -2047, 2047) + 2047)
+        return self.chance.astype(np.uint64)
+
+    def learn(self, yes: np.ndarray, asked: np.ndarray | None = None) -> None:
+        """Moves the tables and the weights by the answers, where the question was asked."""
+        missed = (yes * np.int32(4095)) - self.chance
+        goal = yes * np.int32(65535)
+        for i, (table, a, e) in enumerate(zip(self.tables, self.at, self.own, strict=True)):
+            uses = e & 15
+            p = e >> 4
+            p += (goal - p) * _STEPS.take(uses) >> 14
+            new = p << 4 | np.minimum(uses + 1, 15)
+            weight = self.used[i] + (missed * self.inputs[i] >> _LEARN)
+            # Bounds within which the sum above stays in 32 bits.
+            weight = np.clip(weight, -_WEIGHT * 4, _WEIGHT * 4)
+            if asked is not None:
+                new, weight = np.where(asked, new, e), np.where(asked, weight, self.used[i])
+            table[a] = new
+            if self.lanes is None:
+                self.weights[i] = weight
+            else:
+                self.weights[i][self.lanes] = weight
 
 
 class _Model:
     """What the encoder and the decoder both know of each block after every id.
 
-    Looking up and storing cost most, so what is looked up together is packed into one number: both chances of a
-    context, the start and the width of an upper byte's part.
+    Looking up and storing cost most, so what is looked up together is packed into one number: an id and how far it is
+    trusted, the start and the width of a class's part, the start and the end of an id's run among the sorted ids.
     """
 
-    def __init__(self, lanes: int):
+    def __init__(self, lanes: int, length: int, lower: int):
+        # Ids are shifted by two bits, and one number stands for none.
+        kind = np.int32 if lower < 21 else np.int64
+        self.none = np.iinfo(kind).max
         lane = np.arange(lanes)
+        self.lower, self.kind, self.room = lower, kind, length
         self.slots, self.contexts, self.pasts = lane * _SLOTS, lane * 32, lane * 64
-        self.bytes = lane * 256
-        self.by1 = np.zeros(lanes * _SLOTS, np.int32)  # id << 2 | trust
-        self.by2 = np.zeros(lanes * _SLOTS, np.int32)
-        # Chance of a yes for order 2 << 16 | for order 1: by trust and agreement, by the past answers.
-        self.trust = np.full(lanes * 32, 2048 << 16 | 2048, np.int32)
-        self.past = np.full(lanes * 64, 2048 << 16 | 2048, np.int32)
+        self.classes, self.runs_at = lane * 256, lane * length
+        self.by1 = np.zeros(lanes * _SLOTS, kind)  # id << 2 | trust
+        self.by2 = np.zeros(lanes * _SLOTS, kind)
+        self.order2, self.order1, self.order0 = (_Question(lanes, 32, 64) for _ in range(3))
         self.upper = np.ones((lanes, 256), np.int32)
         self.parts = np.empty((lanes, 256), np.int32)  # start << 16 | width
         self.starts = np.empty((lanes, 256), np.int32)
-        self.last = np.zeros(lanes, np.int32)
+        self.seen = np.full((lanes, length), self.none, kind)
+        self.ranked = np.full(lanes * length, self.none, kind)
+        self.runs = np.zeros(lanes * length, np.int32)  # start << 16 | end
+        self.ranked_to, self.halves = 0, [1]
+        self.ranked_n = np.zeros(lanes, np.int64)
+        self.last = np.zeros(lanes, kind)
         self.at2 = self.slots
-        self.answers = np.zeros(lanes, np.int64)
+        self.answers, self.answers0 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         self.step = 0
 
+    def _rank(self) -> None:
+        """Sorts the ids that order 0 knows; each is then a run as long as its count."""
+        n, lanes = self.step, len(self.last)
+        ranked = np.sort(self.seen[:, :n], axis=1)
+        place = np.arange(n, dtype=np.int32)
+        turn = ranked[:, 1:] != ranked[:, :-1]
+        first, final = np.zeros((lanes, n), np.int32), np.full((lanes, n), n, np.int32)
+        first[:, 1:] = turn * place[1:]
+        final[:, :-1] = np.where(turn, place[1:], n)
+        starts = np.maximum.accumulate(first, axis=1)
+        ends = np.minimum.accumulate(final[:, ::-1], axis=1)[:, ::-1]
+        self.ranked.reshape(lanes, self.room)[:, :n] = ranked
+        self.runs.reshape(lanes, self.room)[:, :n] = starts << 16 | ends
+        self.ranked_n = np.count_nonzero(ranked != self.none, axis=1)
+        self.ranked_to = n
+        self.halves = [1 << b for b in range((n - 1).bit_length() - 1, -1, -1)] or [1]
+
     def predict(self) -> None:
-        if self.step % _REBUILD == 0 or self.step in (8, 24, 64, 128):
+        if self.step >= 16 and self.step >= self.ranked_to * 5 // 4:
+            self._rank()
+        if self.step % _REBUILD == 0 or self.step in (8, 24):
             sums = np.cumsum(self.upper, axis=1, dtype=np.int32)
-            # Every upper byte keeps at least one part of the total.
+            # Every class keeps at least one part of the total.
             scale = ((1 << _TOTAL_BITS) - 256) / sums[:, -1:].astype(np.float64)
             ends = (sums * scale).astype(np.int32)
             ends[:, -1] = (1 << _TOTAL_BITS) - 256
@@ -69,35 +147,56 @@ class _Model:
         self.at1 = self.slots + (self.last * 40503 >> 3 & _SLOTS - 1)
         self.entry1, self.entry2 = self.by1.take(self.at1), self.by2.take(self.at2)
         self.guess1, self.guess2 = self.entry1 >> 2, self.entry2 >> 2
-        self.ctx = self.contexts + ((self.entry1 & 3) * 8 + (self.entry2 & 3) * 2 + (self.guess1 == self.guess2))
-        self.ctx_past = self.pasts + self.answers
-        self.own1, self.own2 = self.trust.take(self.ctx), self.past.take(self.ctx_past)
-        both = self.own1 + self.own2
-        # The mean of the two tables.
-        self.chance2 = (both >> 17).astype(np.uint64)
-        self.chance1 = ((both & 0xFFFF) >> 1).astype(np.uint64)
-
-    def part(self, upper: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and width of the upper bytes' parts."""
-        packed = self.parts.reshape(-1).take(self.bytes + upper)
+        context = self.contexts + ((self.entry1 & 3) * 8 + (self.entry2 & 3) * 2 + (self.guess1 == self.guess2))
+        both = (context, self.pasts + self.answers)
+        self.chance2, self.chance1 = self.order2.ask(both), self.order1.ask(both)
+
+    def known(self, lanes: np.ndarray) -> np.ndarray:
+        """The chance that the ids of these blocks are among the ranked ones."""
+        age = min(self.step.bit_length() // 2, 7)
+        at = self.contexts.take(lanes) + ((self.entry1.take(lanes) & 3) * 8 + age), (self.pasts + self.answers0).take(lanes)
+        return self.order0.ask(at, lanes)
+
+    def run(self, lanes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Whether the ids are ranked in these blocks, and the start and the end of their runs."""
+        begin = self.runs_at.take(lanes)
+        at, end = begin, begin + max(self.ranked_to, 1)
+        for half in self.halves:
+            ahead = at + half
+            at = np.where((ahead < end) & (self.ranked.take(np.minimum(ahead, end) - 1) < ids), ahead, at)
+        at = at + (self.ranked.take(at) < ids)
+        at = np.minimum(at, end - 1)
+        runs = self.runs.take(at)
+        return self.ranked.take(at) == ids, runs >> 16, runs & 0xFFFF
+
+    def ranked_at(self, lanes: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids at these places of the ranked ones, with the start and the end of their runs."""
+        at = self.runs_at.take(lanes) + place
+        runs = self.runs.take(at)
+        return self.ranked.take(at), runs >> 16, runs & 0xFFFF
+
+    def part(self, lanes: np.ndarray, upper: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and width of the classes' parts."""
+        packed = self.parts.reshape(-1).take(self.classes.take(lanes) + upper)
         return packed >> 16, packed & 0xFFFF
 
-    def find(self, value: np.ndarray) -> np.ndarray:
-        """The upper bytes whose parts hold the values, by halving."""
-        at, starts = self.bytes, self.starts.reshape(-1)
+    def find(self, lanes: np.ndarray, value: np.ndarray) -> np.ndarray:
+        """The classes whose parts hold the values, by halving."""
+        begin, starts = self.classes.take(lanes), self.starts.reshape(-1)
+        at = begin
         for step in (128, 64, 32, 16, 8, 4, 2, 1):
             at = at + step * (starts.take(at + step) <= value)
-        return (at - self.bytes).astype(np.int32)
-
-    def update(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, new: np.ndarray) -> None:
-        goal2, goal1 = hit2 * np.int32(_YES - _NO) + np.int32(_NO), hit1 * np.int32(_YES - _NO) + np.int32(_NO)
-        for table, at, own in ((self.trust, self.ctx, self.own1), (self.past, self.ctx_past, self.own2)):
-            c2, c1 = own >> 16, own & 0xFFFF
-            c2 = c2 + (goal2 - c2 >> 4)
-            # The second question wasn't asked after a yes.
-            c1 = np.where(hit2, c1, c1 + (goal1 - c1 >> 4))
-            table[at] = c2 << 16 | c1
-        self.upper.reshape(-1)[self.bytes + (ids >> 8)] += new * np.int32(24)
+        return at - begin
+
+    def update(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, rest: np.ndarray, hit0: np.ndarray) -> None:
+        """`rest` are the blocks whose ids orders 2 and 1 didn't foretell, `hit0` tells which of theirs were ranked."""
+        self.order2.learn(hit2)
+        self.order1.learn(hit1, ~hit2)
+        self.order0.learn(hit0)
+        self.answers0[rest] = (self.answers0.take(rest) << 1 & 63) + hit0
+        own = ids.take(rest)
+        self.seen[rest, self.step - 1] = own
+        self.upper.reshape(-1)[self.classes.take(rest) + (own >> self.lower)] += ~hit0 * np.int32(24)
         fresh = ids << 2
         for table, at, entry, right in ((self.by1, self.at1, self.entry1, self.guess1 == ids), (self.by2, self.at2, self.entry2, hit2)):
             wrong = np.where(entry & 3, entry - 1, fresh)
@@ -107,12 +206,12 @@ class _Model:
         self.answers = (self.answers << 2 & 63) + (hit2 * 2 + hit1)
 
 
-def encode_blocks(ids: np.ndarray) -> list[bytes]:
-    """Each row of a (blocks, length) array of ids below 65,536, as the bytes of one block."""
+def encode_blocks(ids: np.ndarray, lower: int = LOWER_BITS[0]) -> list[bytes]:
+    """Each row of a (blocks, length) array of ids below 2^(lower + 8), as the bytes of one block."""
     lanes, length = ids.shape
-    model = _Model(lanes)
+    model = _Model(lanes, length, lower)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    room = 4 * length + 8
+    room = 6 * length + 8
     out, begin = np.zeros(lanes * room, np.uint16), np.arange(lanes) * room
     at = begin.copy()
 
@@ -121,21 +220,34 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
         out[here] = value >> _S48
         at[rows] = here + 1
 
-    columns = np.ascontiguousarray(ids.T.astype(np.int32))
+    columns = np.ascontiguousarray(ids.T.astype(model.kind))
+    total, mask = np.uint64(_TOTAL_BITS + lower), (1 << lower) - 1
     with np.errstate(over="ignore"):
         for x in columns:
             model.predict()
             hit2 = model.guess2 == x
             hit1 = (model.guess1 == x) & ~hit2
-            a, wide = model.part(x >> 8)
             part2 = (span >> _S12) * model.chance2
             low1, span1 = low + part2, span - part2
             part1 = (span1 >> _S12) * model.chance1
-            unit = span1 - part1 >> _S22
-            low0 = low1 + part1 + unit * ((a << 8) + (x & 255) * wide).astype(np.uint64)
-            low = np.where(hit2, low, np.where(hit1, low1, low0))
-            span = np.where(hit2, part2, np.where(hit1, part1, unit * wide.astype(np.uint64)))
-            model.update(x, hit2, hit1, ~(hit2 | hit1))
+            low = np.where(hit2, low, np.where(hit1, low1, low1 + part1))
+            span = np.where(hit2, part2, np.where(hit1, part1, span1 - part1))
+            _shift(low, span, put)
+            rest = np.flatnonzero(~(hit2 | hit1))
+            own, lows, spans = x.take(rest), low.take(rest), span.take(rest)
+            part0 = (spans >> _S12) * model.known(rest)
+            hit0, first, end = model.run(rest, own)
+            unit = part0 // np.maximum(model.ranked_n.take(rest), 1).astype(np.uint64)
+            low[rest] = np.where(hit0, lows + unit * first.astype(np.uint64), lows + part0)
+            span[rest] = np.where(hit0, unit * (end - first).astype(np.uint64), spans - part0)
+            _shift(low, span, put)
+            new = np.flatnonzero(~hit0)
+            blocks, own = rest.take(new), own.take(new)
+            start, wide = model.part(blocks, own >> lower)
+            unit = span.take(blocks) >> total
+            low[blocks] += unit * ((start.astype(np.int64) << lower) + (own & mask) * wide.astype(np.int64)).astype(np.uint64)
+            span[blocks] = unit * wide.astype(np.uint64)
+            model.update(x, hit2, hit1, rest, hit0)
             _shift(low, span, put)
         every = np.arange(lanes)
         for _ in range(4):
@@ -144,10 +256,10 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
     return [out[b:e].tobytes() for b, e in zip(begin, at, strict=True)]
 
 
-def decode_blocks(blocks: list[bytes], length: int) -> np.ndarray:
+def decode_blocks(blocks: list[bytes], length: int, lower: int = LOWER_BITS[0]) -> np.ndarray:
     """The ids of blocks of one length."""
     lanes = len(blocks)
-    model = _Model(lanes)
+    model = _Model(lanes, length, lower)
     # Beyond its end a block reads as zeros.
     room = max((len(b) // 2 for b in blocks), default=0) + 8
     words = np.zeros((lanes, room), np.uint16)
@@ -163,8 +275,9 @@ def decode_blocks(blocks: list[bytes], length: int) -> np.ndarray:
         at[rows] = np.minimum(here + 1, last.take(rows))
 
     every = np.arange(lanes)
-    ids = np.empty((length, lanes), np.int32)
-    most = np.uint64((1 << _TOTAL_BITS + 8) - 1)
+    ids = np.empty((length, lanes), model.kind)
+    total, mask = np.uint64(_TOTAL_BITS + lower), (1 << lower) - 1
+    most = np.uint64((1 << _TOTAL_BITS + lower) - 1)
     with np.errstate(over="ignore"):
         for _ in range(4):
             pull(every, None)
@@ -174,21 +287,38 @@ def decode_blocks(blocks: list[bytes], length: int) -> np.ndarray:
             part2 = (span >> _S12) * model.chance2
             hit2 = ahead < part2
             low1, span1 = low + part2, span - part2
-            ahead -= part2
             part1 = (span1 >> _S12) * model.chance1
-            hit1 = (ahead < part1) & ~hit2
-            unit = span1 - part1 >> _S22
-            # Where an id was predicted this is off, and unused; a damaged block may lead anywhere, its checksum tells.
-            value = np.minimum((ahead - part1) // np.maximum(unit, _ONE), most).astype(np.int32)
-            upper = model.find(value >> 8)
-            a, wide = model.part(upper)
-            lower = np.minimum((value - (a << 8)) // np.maximum(wide, 1), 255)
-            x = np.where(hit2, model.guess2, np.where(hit1, model.guess1, upper << 8 | lower))
-            low0 = low1 + part1 + unit * ((a << 8) + lower * wide).astype(np.uint64)
-            low = np.where(hit2, low, np.where(hit1, low1, low0))
-            span = np.where(hit2, part2, np.where(hit1, part1, unit * wide.astype(np.uint64)))
+            hit1 = (ahead - part2 < part1) & ~hit2
+            low = np.where(hit2, low, np.where(hit1, low1, low1 + part1))
+            span = np.where(hit2, part2, np.where(hit1, part1, span1 - part1))
+            _shift(low, span, pull)
+            x = np.where(hit2, model.guess2, model.guess1)
+            rest = np.flatnonzero(~(hit2 | hit1))
+            lows, spans = low.take(rest), span.take(rest)
+            part0 = (spans >> _S12) * model.known(rest)
+            count = model.ranked_n.take(rest)
+            unit = part0 // np.maximum(count, 1).astype(np.uint64)
+            ahead = code.take(rest) - lows
+            # Nothing was coded where no id is ranked; a damaged block may lead anywhere, its checksum tells.
+            hit0 = (ahead < part0) & (count > 0)
+            place = np.minimum(ahead // np.maximum(unit, _ONE), np.maximum(count - 1, 0).astype(np.uint64)).astype(np.int64)
+            own, first, end = model.ranked_at(rest, place)
+            low[rest] = np.where(hit0, lows + unit * first.astype(np.uint64), lows + part0)
+            span[rest] = np.where(hit0, unit * (end - first).astype(np.uint64), spans - part0)
+            _shift(low, span, pull)
+            new = np.flatnonzero(~hit0)
+            rows = rest.take(new)
+            unit = span.take(rows) >> total
+            value = np.minimum((code.take(rows) - low.take(rows)) // np.maximum(unit, _ONE), most).astype(np.int64)
+            upper = model.find(rows, value >> lower)
+            start, wide = (v.astype(np.int64) for v in model.part(rows, upper))
+            below = np.minimum((value - (start << lower)) // np.maximum(wide, 1), mask)
+            low[rows] += unit * ((start << lower) + below * wide).astype(np.uint64)
+            span[rows] = unit * wide.astype(np.uint64)
+            own[new] = upper << lower | below
+            x[rest] = own
             ids[step] = x
-            model.update(x, hit2, hit1, ~(hit2 | hit1))
+            model.update(x, hit2, hit1, rest, hit0)
             _shift(low, span, pull)
     return ids.T
 

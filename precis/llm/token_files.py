@@ -12,32 +12,35 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precis.llm.coder import BLOCK, decode_blocks, encode_blocks
+from precis.llm.coder import BLOCK, LOWER_BITS, decode_blocks, encode_blocks
 from precis.llm.common import with_totals_before
 from precis.llm.tokenizing import encoder, in_portions
 
-MAGIC = b"PTID1\0"
+MAGIC = b"PTID2\0"
 END_ID = 0
 _SEGMENT_IDS = 2048 * BLOCK
 _AT_ONCE = 2048
 
 
 def pack(ids: np.ndarray) -> bytes:
-    """Magic, number of ids and of blocks; per block its length in bytes and the crc32 of its ids; then the blocks.
+    """Magic, number of ids and of blocks, lower bits of an id; per block its length in bytes and the crc32 of its ids; then the
+    blocks.
 
-    A block holds `BLOCK` ids, the last one what is left, little-endian 32-bit ids under the checksum.
+    A block holds `BLOCK` ids of up to 32 bits, the last one what is left, little-endian 32-bit ids under the checksum.
     """
-    if len(ids) and int(ids.max()) > 0xFFFF:
-        raise ValueError("ids must be below 65,536")
+    highest = int(ids.max()) if len(ids) else 0
+    if highest > 0xFFFFFFFF or (len(ids) and int(ids.min()) < 0):
+        raise ValueError("ids must be whole numbers of up to 32 bits")
+    lower = max(highest.bit_length() - 8, LOWER_BITS[0])
     full = len(ids) // BLOCK
     blocks: list[bytes] = []
     for at in range(0, full, _AT_ONCE):
-        blocks += encode_blocks(ids[at * BLOCK : min(full, at + _AT_ONCE) * BLOCK].reshape(-1, BLOCK))
+        blocks += encode_blocks(ids[at * BLOCK : min(full, at + _AT_ONCE) * BLOCK].reshape(-1, BLOCK), lower)
     if len(ids) > full * BLOCK:
-        blocks += encode_blocks(ids[full * BLOCK :].reshape(1, -1))
+        blocks += encode_blocks(ids[full * BLOCK :].reshape(1, -1), lower)
     plain = ids.astype("<u4")
     index = [struct.pack("<II", len(b), zlib.crc32(plain[i * BLOCK : (i + 1) * BLOCK].tobytes())) for i, b in enumerate(blocks)]
-    return b"".join([MAGIC, struct.pack("<QI", len(ids), len(blocks)), *index, *blocks])
+    return b"".join([MAGIC, struct.pack("<QIB", len(ids), len(blocks), lower), *index, *blocks])
 
 
 def unpack(data: bytes) -> np.ndarray:
@@ -45,14 +48,17 @@ def unpack(data: bytes) -> np.ndarray:
     head = len(MAGIC)
     if data[:head] != MAGIC:
         raise ValueError("not a segment of token ids")
-    total, count = struct.unpack_from("<QI", data, head)
-    index = np.frombuffer(data, "<u4", 2 * count, head + 12).reshape(count, 2)
-    ends = head + 12 + 8 * count + np.cumsum(index[:, 0].astype(np.int64))
+    total, count, lower = struct.unpack_from("<QIB", data, head)
+    if lower not in LOWER_BITS:
+        raise ValueError("not a segment of token ids")
+    head += struct.calcsize("<QIB")
+    index = np.frombuffer(data, "<u4", 2 * count, head).reshape(count, 2)
+    ends = head + 8 * count + np.cumsum(index[:, 0].astype(np.int64))
     blocks = [data[e - int(n) : e] for e, n in zip(ends, index[:, 0], strict=True)]
     full = total // BLOCK
-    parts = [decode_blocks(blocks[at : min(full, at + _AT_ONCE)], BLOCK).ravel() for at in range(0, full, _AT_ONCE)]
+    parts = [decode_blocks(blocks[at : min(full, at + _AT_ONCE)], BLOCK, lower).ravel() for at in range(0, full, _AT_ONCE)]
     if total > full * BLOCK:
-        parts.append(decode_blocks(blocks[full:], total - full * BLOCK).ravel())
+        parts.append(decode_blocks(blocks[full:], total - full * BLOCK, lower).ravel())
     ids = np.concatenate(parts).astype("<u4") if parts else np.empty(0, "<u4")
     for i, crc in enumerate(index[:, 1]):
         if zlib.crc32(ids[i * BLOCK : (i + 1) * BLOCK].tobytes()) != crc:

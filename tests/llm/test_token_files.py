@@ -69,8 +69,28 @@ def test_segments_are_checked():
     broken[-700] ^= 1
     with pytest.raises(ValueError):
         token_files.unpack(bytes(broken))
-    with pytest.raises(ValueError):
-        token_files.pack(np.array([70_000]))
+    for odd in (-1, 1 << 32):
+        with pytest.raises(ValueError):
+            token_files.pack(np.array([odd]))
+
+
+@pytest.mark.parametrize("bits", [16, 17, 18, 27, 28, 29, 32])
+def test_ids_of_up_to_32_bits(bits):
+    rng = np.random.default_rng(bits)
+    known = rng.integers(0, 1 << bits, 300)
+    ids = np.concatenate([[0, (1 << bits) - 1], rng.choice(known, 3000), rng.integers(0, 1 << bits, 2500)])
+    data = token_files.pack(ids)
+    assert (token_files.unpack(data) == ids).all()
+
+
+def test_ids_that_come_again_without_order_take_less_room():
+    """Order 0: no id is foretold by those before it, but half of them have come in the block already."""
+    rng = np.random.default_rng(5)
+    few = rng.integers(0, 1 << 16, (16, 40))
+    ids = np.take_along_axis(few, rng.integers(0, 40, (16, coder.BLOCK)), axis=1)
+    out = coder.encode_blocks(ids)
+    assert (coder.decode_blocks(out, coder.BLOCK) == ids).all()
+    assert sum(map(len, out)) / ids.size < 0.95
 
 
 def test_files_hold_all_ids_in_order(spark, tokenizer, documents, corpus, no_documents, tmp_path):
