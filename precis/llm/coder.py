@@ -29,56 +29,67 @@ _REBUILD = 64
 _ONE = np.uint64(1)
 # No chance gets to no or yes.
 _NO, _YES = 31, 4064
-# The more often a table's entry was used, the less an answer moves it: 1 / 1.5, 1 / 2.5, ... of the way, in 1 / 2^14.
-_STEPS = (16384 / (np.arange(16) + 1.5)).astype(np.int32)
+# The more often a table's entry was used, the less an answer moves it: by one part of so many.
+_PACES = (1.5, 2.5, 3.5, 5.0, 7.0, 9.0, 12.0, 16.0)
 _WEIGHT, _LEARN = 1 << 16, 11
+_STATES = 1 << 16
 
 
-def _logistic() -> tuple[np.ndarray, np.ndarray]:
-    """ln(p / (1 - p)) of a twelve-bit chance in 1 / 256, and its inverse from -2047 on."""
-    p = (np.arange(4096) + 0.5) / 4096
-    z = np.arange(-2047, 2048) / 256
-    return np.rint(np.log(p / (1 - p)) * 256).astype(np.int32), np.clip(np.rint(4096 / (1 + np.exp(-z))), _NO, _YES).astype(np.int32)
+def _states() -> tuple[np.ndarray, np.ndarray]:
+    """A table's entries, a chance in 13 bits << 3 | uses: what they are after a no, after a yes and unasked; and
+    ln(p / (1 - p)) of their chances in 1 / 256."""
+    state = np.arange(_STATES)
+    p, uses = (state >> 3) + 0.5, state & 7
+    more = np.minimum(uses + 1, 7)
+    pace = np.array(_PACES)[uses]
+    after = [(np.clip(np.rint(p + (goal - p) / pace - 0.5), 0, 8191).astype(np.int32) << 3) | more for goal in (0, 8192)]
+    share = p / 8192
+    return np.concatenate([*after, state]).astype(np.int32), np.rint(np.log(share / (1 - share)) * 256).astype(np.int32)
 
 
-_STRETCH, _SQUASH = _logistic()
+_AFTER, _STRETCH = _states()
+_START = 4096 << 3
+# The inverse: the chance in twelve bits of a logarithm from -2047 / 256 on.
+_SQUASH = np.clip(np.rint(4096 / (1 + np.exp(-np.arange(-2047, 2048) / 256))), _NO, _YES).astype(np.int32)
 
 
-class _Question:
-    """The chance of a yes in each block, from two tables with an entry per context: chance in 16 bits << 4 | uses."""
+class _Questions:
+    """The chances of a yes to some questions in each block, from two tables with an entry per context, question and block.
 
-    def __init__(self, lanes: int, *sizes: int):
-        self.tables = [np.full(lanes * n, 32768 << 4, np.int32) for n in sizes]
-        self.weights = [np.full(lanes, _WEIGHT // 2, np.int32) for _ in sizes]
+    `at` of `ask` has a row of places for each table and question: first tables first.
+    """
 
-    def ask(self, at: tuple[np.ndarray, np.ndarray], lanes: np.ndarray | None = None) -> np.ndarray:
-        self.at, self.lanes = at, lanes
-        self.own = [table.take(a) for table, a in zip(self.tables, at, strict=True)]
-        self.inputs = [_STRETCH.take(e >> 8) for e in self.own]
-        self.used = self.weights if lanes is None else [w.take(lanes) for w in self.weights]
-        dot = self.used[0] * self.inputs[0] + self.used[1] * self.inputs[1] >> 16
-        self.chance = _SQUASH.take(np.clip(dot, -2047, 2047) + 2047)
+    def __init__(self, lanes: int, questions: int, contexts: int):
+        self.n = questions
+        # Where a question's tables begin.
+        self.begin = np.arange(2 * questions)[:, None] * (lanes * contexts)
+        self.table = np.full(2 * questions * lanes * contexts, _START, np.int32)
+        self.weights = np.full((2 * questions, lanes), _WEIGHT // 2, np.int32)
+
+    def ask(self, at: list[np.ndarray], lanes: np.ndarray | None = None) -> np.ndarray:
+        self.at, self.lanes = np.array(at) + self.begin, lanes
+        self.own = self.table.take(self.at)
+        self.inputs = _STRETCH.take(self.own)
+        self.used = self.weights if lanes is None else self.weights.take(lanes, axis=1)
+        # Weights beyond all measure would wrap alike on both sides.
+        each = self.used * self.inputs
+        dot = (each[: self.n] + each[self.n :] >> 16) + np.int32(2047)
+        self.chance = _SQUASH.take(dot, mode="clip")
         return self.chance.astype(np.uint64)
 
     def learn(self, yes: np.ndarray, asked: np.ndarray | None = None) -> None:
-        """Moves the tables and the weights by the answers, where the question was asked."""
-        missed = (yes * np.int32(4095)) - self.chance
-        goal = yes * np.int32(65535)
-        for i, (table, a, e) in enumerate(zip(self.tables, self.at, self.own, strict=True)):
-            uses = e & 15
-            p = e >> 4
-            p += (goal - p) * _STEPS.take(uses) >> 14
-            new = p << 4 | np.minimum(uses + 1, 15)
-            weight = self.used[i] + (missed * self.inputs[i] >> _LEARN)
-            # Bounds within which the sum above stays in 32 bits.
-            weight = np.clip(weight, -_WEIGHT * 4, _WEIGHT * 4)
-            if asked is not None:
-                new, weight = np.where(asked, new, e), np.where(asked, weight, self.used[i])
-            table[a] = new
-            if self.lanes is None:
-                self.weights[i] = weight
-            else:
-                self.weights[i][self.lanes] = weight
+        """Moves the tables and the weights by the answers to each question, where it was asked."""
+        missed = yes * np.int32(4095) - self.chance
+        plane = yes * np.int32(_STATES)
+        if asked is not None:
+            missed *= asked
+            plane = np.where(asked, plane, np.int32(2 * _STATES))
+        self.table[self.at] = _AFTER.take(np.concatenate([plane, plane]) + self.own)
+        weights = self.used + (np.concatenate([missed, missed]) * self.inputs >> _LEARN)
+        if self.lanes is None:
+            self.weights = weights
+        else:
+            self.weights[:, self.lanes] = weights
 
 
 class _Model:
@@ -94,18 +105,19 @@ class _Model:
         self.none = np.iinfo(kind).max
         lane = np.arange(lanes)
         self.lower, self.kind, self.room = lower, kind, length
-        self.slots, self.contexts, self.pasts = lane * _SLOTS, lane * 32, lane * 64
+        self.slots, self.contexts = lane * _SLOTS, lane * 64
         self.classes, self.runs_at = lane * 256, lane * length
         self.by1 = np.zeros(lanes * _SLOTS, kind)  # id << 2 | trust
         self.by2 = np.zeros(lanes * _SLOTS, kind)
-        self.order2, self.order1, self.order0 = (_Question(lanes, 32, 64) for _ in range(3))
+        self.higher, self.order0 = _Questions(lanes, 2, 64), _Questions(lanes, 1, 64)
+        self.asked = np.ones((2, lanes), bool)
         self.upper = np.ones((lanes, 256), np.int32)
         self.parts = np.empty((lanes, 256), np.int32)  # start << 16 | width
         self.starts = np.empty((lanes, 256), np.int32)
-        self.seen = np.full((lanes, length), self.none, kind)
+        self.seen = np.full((length, lanes), self.none, kind)
         self.ranked = np.full(lanes * length, self.none, kind)
         self.runs = np.zeros(lanes * length, np.int32)  # start << 16 | end
-        self.ranked_to, self.halves = 0, [1]
+        self.ranked_to, self.next_rank = 0, 16
         self.ranked_n = np.zeros(lanes, np.int64)
         self.last = np.zeros(lanes, kind)
         self.at2 = self.slots
@@ -115,7 +127,7 @@ class _Model:
     def _rank(self) -> None:
         """Sorts the ids that order 0 knows; each is then a run as long as its count."""
         n, lanes = self.step, len(self.last)
-        ranked = np.sort(self.seen[:, :n], axis=1)
+        ranked = np.sort(np.ascontiguousarray(self.seen[:n].T), axis=1)
         place = np.arange(n, dtype=np.int32)
         turn = ranked[:, 1:] != ranked[:, :-1]
         first, final = np.zeros((lanes, n), np.int32), np.full((lanes, n), n, np.int32)
@@ -126,11 +138,10 @@ class _Model:
         self.ranked.reshape(lanes, self.room)[:, :n] = ranked
         self.runs.reshape(lanes, self.room)[:, :n] = starts << 16 | ends
         self.ranked_n = np.count_nonzero(ranked != self.none, axis=1)
-        self.ranked_to = n
-        self.halves = [1 << b for b in range((n - 1).bit_length() - 1, -1, -1)] or [1]
+        self.ranked_to, self.next_rank = n, n * 5 // 4
 
     def predict(self) -> None:
-        if self.step >= 16 and self.step >= self.ranked_to * 5 // 4:
+        if self.step == self.next_rank:
             self._rank()
         if self.step % _REBUILD == 0 or self.step in (8, 24):
             sums = np.cumsum(self.upper, axis=1, dtype=np.int32)
@@ -148,26 +159,28 @@ class _Model:
         self.entry1, self.entry2 = self.by1.take(self.at1), self.by2.take(self.at2)
         self.guess1, self.guess2 = self.entry1 >> 2, self.entry2 >> 2
         context = self.contexts + ((self.entry1 & 3) * 8 + (self.entry2 & 3) * 2 + (self.guess1 == self.guess2))
-        both = (context, self.pasts + self.answers)
-        self.chance2, self.chance1 = self.order2.ask(both), self.order1.ask(both)
+        past = self.contexts + self.answers
+        self.chance2, self.chance1 = self.higher.ask([context, context, past, past])
 
     def known(self, lanes: np.ndarray) -> np.ndarray:
         """The chance that the ids of these blocks are among the ranked ones."""
         age = min(self.step.bit_length() // 2, 7)
-        at = self.contexts.take(lanes) + ((self.entry1.take(lanes) & 3) * 8 + age), (self.pasts + self.answers0).take(lanes)
-        return self.order0.ask(at, lanes)
-
-    def run(self, lanes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Whether the ids are ranked in these blocks, and the start and the end of their runs."""
-        begin = self.runs_at.take(lanes)
-        at, end = begin, begin + max(self.ranked_to, 1)
-        for half in self.halves:
-            ahead = at + half
-            at = np.where((ahead < end) & (self.ranked.take(np.minimum(ahead, end) - 1) < ids), ahead, at)
-        at = at + (self.ranked.take(at) < ids)
-        at = np.minimum(at, end - 1)
-        runs = self.runs.take(at)
-        return self.ranked.take(at) == ids, runs >> 16, runs & 0xFFFF
+        context = self.contexts + ((self.entry1 & 3) * 8 + age)
+        return self.order0.ask([context.take(lanes), (self.contexts + self.answers0).take(lanes)], lanes)[0]
+
+    def runs_of(self, ids: np.ndarray) -> np.ndarray:
+        """The runs of (steps, blocks) ids among the ranked ones, as start << 16 | end; 0 for ids that aren't ranked."""
+        lanes, n = len(self.last), self.ranked_to
+        if n == 0:
+            return np.zeros(ids.shape, np.int32)
+        # All blocks' ranked ids in one ascending row; what stands for none is above every id.
+        lane = np.arange(lanes, dtype=np.int64) << 33
+        rows = np.minimum(self.ranked.reshape(lanes, self.room)[:, :n], self.none if self.kind is np.int32 else 1 << 32)
+        keys = (rows + lane[:, None]).reshape(-1)
+        asked = ids.T + lane[:, None]
+        at = np.minimum(np.searchsorted(keys, asked.reshape(-1)), len(keys) - 1)
+        runs = self.runs.reshape(lanes, self.room)[:, :n].reshape(-1).take(at)
+        return np.ascontiguousarray(np.where(keys.take(at) == asked.reshape(-1), runs, 0).reshape(asked.shape).T)
 
     def ranked_at(self, lanes: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The ids at these places of the ranked ones, with the start and the end of their runs."""
@@ -190,13 +203,14 @@ class _Model:
 
     def update(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, rest: np.ndarray, hit0: np.ndarray) -> None:
         """`rest` are the blocks whose ids orders 2 and 1 didn't foretell, `hit0` tells which of theirs were ranked."""
-        self.order2.learn(hit2)
-        self.order1.learn(hit1, ~hit2)
-        self.order0.learn(hit0)
+        np.logical_not(hit2, out=self.asked[1])
+        self.higher.learn(np.array([hit2, hit1]), self.asked)
+        self.order0.learn(hit0[None])
         self.answers0[rest] = (self.answers0.take(rest) << 1 & 63) + hit0
         own = ids.take(rest)
-        self.seen[rest, self.step - 1] = own
-        self.upper.reshape(-1)[self.classes.take(rest) + (own >> self.lower)] += ~hit0 * np.int32(24)
+        self.seen[self.step - 1][rest] = own
+        new = np.flatnonzero(~hit0)
+        self.upper.reshape(-1)[self.classes.take(rest.take(new)) + (own.take(new) >> self.lower)] += np.int32(24)
         fresh = ids << 2
         for table, at, entry, right in ((self.by1, self.at1, self.entry1, self.guess1 == ids), (self.by2, self.at2, self.entry2, hit2)):
             wrong = np.where(entry & 3, entry - 1, fresh)
@@ -223,8 +237,10 @@ def encode_blocks(ids: np.ndarray, lower: int = LOWER_BITS[0]) -> list[bytes]:
     columns = np.ascontiguousarray(ids.T.astype(model.kind))
     total, mask = np.uint64(_TOTAL_BITS + lower), (1 << lower) - 1
     with np.errstate(over="ignore"):
-        for x in columns:
+        for step, x in enumerate(columns):
             model.predict()
+            if step == model.ranked_to or step == 0:
+                begun, runs = step, model.runs_of(columns[step : model.next_rank])
             hit2 = model.guess2 == x
             hit1 = (model.guess1 == x) & ~hit2
             part2 = (span >> _S12) * model.chance2
@@ -232,11 +248,11 @@ def encode_blocks(ids: np.ndarray, lower: int = LOWER_BITS[0]) -> list[bytes]:
             part1 = (span1 >> _S12) * model.chance1
             low = np.where(hit2, low, np.where(hit1, low1, low1 + part1))
             span = np.where(hit2, part2, np.where(hit1, part1, span1 - part1))
-            _shift(low, span, put)
             rest = np.flatnonzero(~(hit2 | hit1))
             own, lows, spans = x.take(rest), low.take(rest), span.take(rest)
             part0 = (spans >> _S12) * model.known(rest)
-            hit0, first, end = model.run(rest, own)
+            run = runs[step - begun].take(rest)
+            hit0, first, end = run > 0, run >> 16, run & 0xFFFF
             unit = part0 // np.maximum(model.ranked_n.take(rest), 1).astype(np.uint64)
             low[rest] = np.where(hit0, lows + unit * first.astype(np.uint64), lows + part0)
             span[rest] = np.where(hit0, unit * (end - first).astype(np.uint64), spans - part0)
@@ -291,7 +307,6 @@ def decode_blocks(blocks: list[bytes], length: int, lower: int = LOWER_BITS[0])
             hit1 = (ahead - part2 < part1) & ~hit2
             low = np.where(hit2, low, np.where(hit1, low1, low1 + part1))
             span = np.where(hit2, part2, np.where(hit1, part1, span1 - part1))
-            _shift(low, span, pull)
             x = np.where(hit2, model.guess2, model.guess1)
             rest = np.flatnonzero(~(hit2 | hit1))
             lows, spans = low.take(rest), span.take(rest)
