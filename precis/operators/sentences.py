@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from precis.functions.text import WHITESPACE, let, strip
+from precis.functions.text import let, strip
 from precis.operators.lookups import looked_up
 from precis.session import stored
 
@@ -19,9 +19,16 @@ SHARE = 0.99
 ENOUGH = 0.3
 # A piece between white space: marks that open it, its word (letters, digits, and what may stand between them), a full stop.
 WORD = r"^[^\p{L}\p{N}]*([\p{L}\p{N}](?:[\p{L}\p{N}.'-]*[\p{L}\p{N}])?)(\.?)"
-_GAP = f"[{WHITESPACE}]+"
-_BREAK = f"[.!?][{WHITESPACE}]+|[{WHITESPACE}]*[\r\n][{WHITESPACE}]*"
-_LAST = f"[^{WHITESPACE}]+$"
+# `WHITESPACE` as ranges, which the matcher tests in few steps.
+_SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_GAP = f"[{_SPACE}]+"
+# The end of a piece that closes with one of `.!?:` and marks, and the space after it. Looked for from where its marks
+# begin, so that a long run of them is passed over once.
+_CLOSED = r"(?=[^\p{L}\p{N} ])(?<![^\p{L}\p{N} ])([^\p{L}\p{N} .!?:]*+[.!?:][^\p{L}\p{N} ]*+) "
+# White space is looked through from its first character only, which is where a break in it begins.
+_BREAK = rf"[.!?][{_SPACE}]+|(?=[{_SPACE}])(?<![{_SPACE}])[{_SPACE}]*[\r\n][{_SPACE}]*"
+# What follows the last white space; the matcher goes there from the end, so a long word costs no more than its length.
+_LAST = rf"(?s)^(?:.*[{_SPACE}])?+(.+)$"
 
 
 def word_types(df: DataFrame, text: str) -> DataFrame:
@@ -30,28 +37,20 @@ def word_types(df: DataFrame, text: str) -> DataFrame:
     With a full stop after it and without; begun with a small letter; begun with a capital where no sentence begins,
     that is after a piece that ends in none of `.!?:`. Counts are combined before the shuffle.
     """
-    pieces = F.filter(F.split(strip(F.coalesce(F.col(text), F.lit(""))), _GAP), lambda p: p != "")
-
-    def measured(own: Column) -> Column:
-        def one(piece: Column, at: Column) -> Column:
-            before = F.when(at > 0, F.get(own, at - 1))
-            word = F.regexp_extract(piece, WORD, 1)
-            return F.struct(
-                F.lower(word).alias("word"),
-                (F.regexp_extract(piece, WORD, 2) == ".").alias("stop"),
-                word.rlike(r"^\p{Ll}").alias("small"),
-                (word.rlike(r"^\p{Lu}") & F.coalesce(~before.rlike(r"[.!?:][^\p{L}\p{N}]*$"), F.lit(False))).alias("inside"),
-            )
-
-        return F.transform(own, one)
-
-    each = df.select(F.inline(let(pieces, measured))).filter("word != ''")
-    count = lambda condition: F.sum(F.when(condition, 1).otherwise(0))
-    return each.groupBy("word").agg(
+    spaced = F.regexp_replace(strip(F.coalesce(F.col(text), F.lit(""))), _GAP, " ")
+    # A piece with which a sentence may begin is marked by a line break, which no piece holds by now.
+    marked = F.concat(F.lit("\n"), F.regexp_replace(spaced, _CLOSED, "$1 \n"))
+    # A piece is looked into once for all its occurrences.
+    each = df.select(F.explode(F.split(marked, " ", -1)).alias("piece")).groupBy("piece").agg(F.count("*").alias("n"))
+    inside = (~F.col("piece").startswith("\n")).alias("inside")
+    word = F.regexp_extract("piece", WORD, 1).alias("_word")
+    parted = each.select(word, (F.regexp_extract("piece", WORD, 2) == ".").alias("stop"), inside, "n").filter("_word != ''")
+    count = lambda condition: F.sum(F.when(condition, F.col("n")).otherwise(0))
+    return parted.groupBy(F.lower("_word").alias("word")).agg(
         count(F.col("stop")).alias("n_stop"),
         count(~F.col("stop")).alias("n_other"),
-        count(F.col("small")).alias("n_small"),
-        count(F.col("inside")).alias("n_large_inside"),
+        count(F.col("_word").rlike(r"^\p{Ll}")).alias("n_small"),
+        count(F.col("_word").rlike(r"^\p{Lu}") & F.col("inside")).alias("n_large_inside"),
     )
 
 
@@ -92,35 +91,48 @@ def learned_sentences(df: DataFrame, ends: DataFrame, text: str, into: str) -> D
     letter stands before it and no word that starts sentences follows with a capital, or a number stands before it and
     a small letter follows. White space after an end becomes the line break, any other stays.
     """
-    one = df.withColumn("_text", strip(F.col(text)))
-    body = F.coalesce(F.col("_text"), F.lit(""))
+    given = strip(F.col(text))
+    body = F.coalesce(given, F.lit(""))
+    one = df.withColumn("_there", F.col(text).isNotNull())
     one = one.withColumn("_pieces", F.split(body, _BREAK, -1)).withColumn("_breaks", F.regexp_extract_all(body, F.lit(f"({_BREAK})"), F.lit(1)))
-    stop = lambda at: F.get("_breaks", at).startswith(".") & ~F.get("_breaks", at).rlike("[\\r\\n]")
-    last = lambda at: F.lower(F.regexp_extract(F.regexp_extract(F.get("_pieces", at), _LAST, 0), WORD, 1))
-    first = lambda at: F.regexp_extract(F.get("_pieces", at + 1), WORD, 1)
-    places = F.when(F.size("_breaks") > 0, F.sequence(F.lit(0), F.size("_breaks") - 1)).otherwise(F.array().cast("array<int>"))
-    # Only a full stop's neighbours are looked up; places of other breaks stay, without a word.
-    asked = {
-        "_before": F.transform(places, lambda at: F.when(stop(at), last(at))),
-        "_after": F.transform(places, lambda at: F.when(stop(at), F.lower(first(at)))),
-    }
-    table = ends.select("word", F.struct("abbreviation", "starts").alias("_known"))
-    found = looked_up(one, table, asked, "word", "_known")
 
-    def holds(told: Column, at: Column) -> Column:
-        """Whether the full stop at this break ends no sentence."""
-        short = F.coalesce(F.get(told["before"], at)["abbreviation"], F.lit(False)) | last(at).rlike(r"^\p{L}$")
-        opens = F.coalesce(F.get(told["after"], at)["starts"], F.lit(False)) & first(at).rlike(r"^\p{Lu}")
-        number = last(at).rlike(r"^\p{N}+$") & first(at).rlike(r"^\p{Ll}")
-        return stop(at) & ((short & ~opens) | number)
+    def sides(own: Column, at: Column) -> Column:
+        """Of a full stop, the words beside it: what is looked up, and what their own letters say."""
+        stop = own.startswith(".") & ~own.rlike("[\\r\\n]")
+        last = F.regexp_extract(F.regexp_extract(F.get("_pieces", at), _LAST, 1), WORD, 1)
+        first = F.regexp_extract(F.get("_pieces", at + 1), WORD, 1)
+
+        def told(words: Column) -> Column:
+            before, after = words["last"], words["first"]
+            return F.struct(
+                before.alias("before"),
+                F.lower(after).alias("after"),
+                before.rlike(r"^\p{L}$").alias("single"),
+                after.rlike(r"^\p{Lu}").alias("capital"),
+                (before.rlike(r"^\p{N}+$") & after.rlike(r"^\p{Ll}")).alias("number"),
+            )
 
-    def shown(told: Column, at: Column) -> Column:
-        own = F.get("_breaks", at)
-        return F.concat(F.get("_pieces", at), F.when(holds(told, at), own).otherwise(F.concat(F.regexp_extract(own, "^[.!?]", 0), F.lit("\n"))))
+        return F.when(stop, let(F.struct(F.lower(last).alias("last"), first.alias("first")), told))
+
+    # Worked out once per break. Only a full stop's neighbours are looked up; places of other breaks stay, without a word.
+    one = one.withColumn("_sides", F.transform("_breaks", sides))
+    flags = F.transform("_sides", lambda s: F.when(s.isNotNull(), F.struct(s["single"].alias("single"), s["capital"].alias("capital"), s["number"].alias("number"))))
+    one = one.withColumn("_flags", flags)
+    asked = {"_before": F.col("_sides.before"), "_after": F.col("_sides.after")}
+    table = ends.select("word", F.struct("abbreviation", "starts").alias("_known"))
+    kept = [c for c in df.columns if c != into]
+    found = looked_up(one, table, asked, "word", "_known", keep=[*kept, "_there", "_pieces", "_breaks", "_flags"])
+
+    def shown(bound: Column, own: Column, at: Column) -> Column:
+        flag = F.get(bound["flags"], at)
+        short = F.coalesce(F.get(bound["before"], at)["abbreviation"], F.lit(False)) | flag["single"]
+        opens = F.coalesce(F.get(bound["after"], at)["starts"], F.lit(False)) & flag["capital"]
+        # Whether the full stop at this break ends no sentence.
+        holds = flag.isNotNull() & ((short & ~opens) | flag["number"])
+        return F.concat(F.get(bound["pieces"], at), F.when(holds, own).otherwise(F.concat(F.regexp_extract(own, "^[.!?]", 0), F.lit("\n"))))
 
     # Bound outside the lambda, where they would be looked up anew at each break.
-    told = F.struct(F.col("_before").alias("before"), F.col("_after").alias("after"))
-    heads = let(told, lambda bound: F.transform(places, lambda at: shown(bound, at)))
+    told = F.struct(F.col("_before").alias("before"), F.col("_after").alias("after"), F.col("_flags").alias("flags"), F.col("_pieces").alias("pieces"), F.col("_breaks").alias("breaks"))
+    heads = let(told, lambda bound: F.transform(bound["breaks"], lambda own, at: shown(bound, own, at)))
     lines = F.concat(F.array_join(heads, ""), F.element_at("_pieces", -1))
-    kept = [c for c in df.columns if c != into]
-    return found.select(*[F.col(f"`{c}`") for c in kept], F.when(F.col("_text").isNotNull(), lines).alias(into))
+    return found.select(*[F.col(f"`{c}`") for c in kept], F.when(F.col("_there"), lines).alias(into))

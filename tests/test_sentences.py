@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -67,3 +68,17 @@ def test_long_texts_and_no_rows(spark, ends):
     assert sentences.learn_sentence_ends(none, "text").collect() == []
     assert split(spark, sentences.learn_sentence_ends(none, "text"), "An oak. The elm.") == ["An oak.\nThe elm."]
     assert sentences.learned_sentences(none.withColumn("n", F.lit(1)), ends, "text", "text").columns == ["n", "text"]
+
+
+def test_long_words_and_white_space_cost_no_more_than_their_length(spark, ends):
+    """A word of 200,000 letters, as many full stops and as much white space: each is passed over once."""
+    size = 200_000
+    for text, want in (
+        ("It was. " + "q" * size + ". It was" + " " * size + "cold.", "It was.\n" + "q" * size + ".\nIt was" + " " * size + "cold."),
+        ("." * size + "x. They said", "." * size + "x.\nThey said"),
+    ):
+        started = time.monotonic()
+        assert split(spark, ends, text) == [want]
+        df = spark.createDataFrame([(text,)], "text string")
+        assert sentences.word_types(df, "text").count() > 1
+        assert time.monotonic() - started < 20
