@@ -16,6 +16,8 @@ from precis.operators.running import with_totals_before
 from precis.session import stored
 
 MAX_PART_CHARS = 32 * 1024 * 1024
+# Characters of a text that say to which range of equal orders it goes.
+RANGE_CHARS = 64
 # A group is cut down in so many slices first, then in fewer, so that the last task sees few rows of it.
 SLICES = (256, 16, 1)
 
@@ -49,7 +51,9 @@ def lay_out(
     usual = rows.join(large, same, "left_anti").select("group", F.lit(0).alias("part"), F.lit(None).cast("bigint").alias("total"), "at", "text")
     big = rows.join(large, same).drop("_key").withColumn("chars", _chars(F.col("text")).cast("bigint"))
     by = [F.col("group").asc_nulls_first(), F.col("at").asc_nulls_first(), F.col("text").asc_nulls_first()]
-    summed = with_totals_before(big, by, {"before": "chars"}, "large-group-rows")
+    # Texts are told apart by their first characters where rows are dealt out: whole ones would pass through the driver.
+    ranges = [*by[:2], F.left(F.col("text"), F.lit(RANGE_CHARS)).asc_nulls_first()]
+    summed = with_totals_before(big, by, {"before": "chars"}, "large-group-rows", ranges)
     firsts = summed.groupBy("group").agg(F.min("before").alias("first")).withColumnRenamed("group", "_key")
     part = F.floor((F.col("before") - F.col("first")) / max_part_chars).cast("int")
     return usual.unionByName(summed.join(firsts, same).select("group", part.alias("part"), "total", "at", "text"))

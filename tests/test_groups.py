@@ -1,11 +1,12 @@
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
-from precis.operators import groups
+from precis.operators import groups, running
 
 
 @pytest.fixture(scope="module")
@@ -102,3 +103,19 @@ def test_first_rows_of_one_group_of_all_rows(spark):
     assert sorted(r["at"] for r in got.collect()) == list(range(50))
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") >= 4
+
+
+def test_whole_texts_are_not_sampled_through_the_driver(hot, monkeypatch):
+    """Spark samples what it ranges by: rows of large groups are dealt out by the beginnings of their texts."""
+    plans, kept = [], running.stored
+    monkeypatch.setattr(running, "stored", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or kept(df, name))
+    groups.collect_texts(hot, "key", "text", "row", max_part_chars=400)
+    ranged = [line for plan in plans for line in plan.splitlines() if "rangepartitioning" in line]
+    assert ranged and not any(re.search(r"text#\d+ ASC", line) for line in ranged)
+
+
+def test_equal_beginnings_still_go_by_the_whole_text(spark):
+    texts = [f"{'same ' * 40}{i:03}" for i in range(60)]
+    df = spark.createDataFrame([("k", 1, t) for t in reversed(texts)], "key string, at int, text string").repartition(5)
+    rows = groups.collect_texts(df, "key", "text", "at", max_part_chars=1000).orderBy("part").collect()
+    assert len(rows) > 5 and [t for r in rows for t in r.texts] == texts
