@@ -5,15 +5,18 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from precis.functions.tokens import IGNORE_ID
 
-# The library holds some hundred bytes for each token of the texts that it is given at once.
-_CHARS_AT_ONCE = 1_000_000
+# The library holds some hundred bytes for each token of the texts that it is given at once, and a Python list of ids 36 for
+# each: both are held for so many characters or ids only, whatever a batch holds.
+_CHARS_AT_ONCE = 250_000
 
 
 def _opened(text: str):
@@ -46,14 +49,18 @@ def subword_ids(spark: SparkSession, path: str, max_length: int | None = None, e
     end = [] if end_id is None else [end_id]
     most = None if max_length is None else max(0, max_length - len(end))
 
-    @F.pandas_udf(ArrayType(IntegerType()))
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(ArrayType(IntegerType()))
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokenizer = _opened(sent.value)
         for batch in batches:
-            texts, out = batch.fillna("").tolist(), []
-            for some in _portions([len(t) for t in texts]):
-                out += [e.ids[:most] + end for e in tokenizer.encode_batch_fast(texts[some], add_special_tokens=False)]
-            yield pd.Series(out, index=batch.index, dtype=object)
+            sizes = np.asarray(pc.fill_null(pc.utf8_length(batch), 0)).tolist()
+            ids, lengths = [np.empty(0, np.int32)], [0]
+            for some in _portions(sizes):
+                texts = [t or "" for t in batch[some.start : some.stop].to_pylist()]
+                for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+                    ids.append(np.asarray(e.ids[:most] + end, np.int32))
+                    lengths.append(len(ids[-1]))
+            yield pa.ListArray.from_arrays(pa.array(np.cumsum(lengths), pa.int32()), pa.array(np.concatenate(ids)))
 
     return encode
 
@@ -64,16 +71,18 @@ def subword_texts(spark: SparkSession, path: str, skip: tuple[int, ...] = ()) ->
         sent = spark.sparkContext.broadcast(file.read())
     dropped = {IGNORE_ID, *skip}
 
-    @F.pandas_udf(StringType())
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(StringType())
+    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokenizer = _opened(sent.value)
         for batch in batches:
-            there = batch.dropna()
-            rows = [[int(i) for i in ids if i is not None and i == i and int(i) not in dropped] for ids in there]
-            out: list[str] = []
-            for some in _portions([len(r) for r in rows]):
-                out += tokenizer.decode_batch(rows[some], skip_special_tokens=False)
-            yield pd.Series(out, index=there.index, dtype=object).reindex(batch.index)
+            sizes = np.asarray(pc.fill_null(pc.list_value_length(batch), 0)).tolist()
+            out = [pa.array([], pa.string())]
+            for some in _portions(sizes):
+                part = batch[some.start : some.stop]
+                rows = [None if ids is None else [i for i in ids if i is not None and i not in dropped] for ids in part.to_pylist()]
+                texts = iter(tokenizer.decode_batch([r for r in rows if r is not None], skip_special_tokens=False))
+                out.append(pa.array([None if r is None else next(texts) for r in rows], pa.string()))
+            yield pa.concat_arrays(out)
 
     return decode
 

@@ -37,3 +37,22 @@ def test_texts_come_back_from_padded_and_masked_ids(spark, monkeypatch):
     none = spark.createDataFrame([(None,), ([],), ([None, -100],)], "ids array<int>")
     assert sorted(map(str, (r.ids for r in subwords.decode_subwords(none, PATH, ["ids"]).collect()))) == ["", "", "None"]
     assert subwords.encode_subwords(df.limit(0), PATH, {"ids": ("text", None)}).count() == 0
+
+
+def test_a_batch_of_ids_is_not_held_as_python_numbers(spark):
+    """Two million ids there and back: lists of numbers, which took 72 MB and more at once, are made for a portion."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = pa.array(["one two three four " * 500] * 1000)
+    encode, decode = (made.func for made in (subwords.subword_ids(spark, PATH), subwords.subword_texts(spark, PATH)))
+    tracemalloc.start()
+    (ids,) = encode(iter([texts]))
+    there = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    (back,) = decode(iter([ids]))
+    again = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(ids.values) > 1_900_000 and back.equals(texts)
+    assert max(there, again) < 60_000_000
