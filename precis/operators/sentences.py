@@ -23,8 +23,8 @@ WORD = r"^[^\p{L}\p{N}]*([\p{L}\p{N}](?:[\p{L}\p{N}.'-]*[\p{L}\p{N}])?)(\.?)"
 _SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _GAP = f"[{_SPACE}]+"
 # The end of a piece that closes with one of `.!?:` and marks, and the space after it. Looked for from where its marks
-# begin, so that a long run of them is passed over once.
-_CLOSED = r"(?=[^\p{L}\p{N} ])(?<![^\p{L}\p{N} ])([^\p{L}\p{N} .!?:]*+[.!?:][^\p{L}\p{N} ]*+) "
+# begin, so that a long run of them is passed over once; looking back, the matcher sees half of a character beyond U+FFFF.
+_CLOSED = r"(?=[^\p{L}\p{N} ])(?<![^\p{L}\p{N}\p{Cs} ])([^\p{L}\p{N} .!?:]*+[.!?:][^\p{L}\p{N} ]*+) "
 # White space is looked through from its first character only, which is where a break in it begins.
 _BREAK = rf"[.!?][{_SPACE}]+|(?=[{_SPACE}])(?<![{_SPACE}])[{_SPACE}]*[\r\n][{_SPACE}]*"
 # What follows the last white space; the matcher goes there from the end, so a long word costs no more than its length.

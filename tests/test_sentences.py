@@ -1,7 +1,10 @@
 from __future__ import annotations
 
 import math
+import random
 import time
+import unicodedata
+from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,3 +85,32 @@ def test_long_words_and_white_space_cost_no_more_than_their_length(spark, ends):
         df = spark.createDataFrame([(text,)], "text string")
         assert sentences.word_types(df, "text").count() > 1
         assert time.monotonic() - started < 20
+
+
+def test_word_counts_against_a_plain_pass_over_odd_marks(spark):
+    """Marks of every kind at the ends of pieces: which words stand inside a sentence follows from the piece before."""
+    rng = random.Random(9)
+    signs = [".", "!", "?", ":", ")", "\"", "-", "'", "$", "a", "B", "é", "Ж", "7", "日", "\U0001d400", "🙂", " ", " ", "\n", " ", "　"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(60))) for _ in range(400)] + [None, "", " \n "]
+    want = defaultdict(lambda: [0, 0, 0, 0])
+    letter = lambda c: unicodedata.category(c)[0] in "LN"
+    for text in texts:
+        before = None
+        for piece in (text or "").split():
+            tail = next((piece[at + 1 :] for at in range(len(piece) - 1, -1, -1) if letter(piece[at])), piece)
+            closed, start = any(c in ".!?:" for c in tail), next((at for at, c in enumerate(piece) if letter(c)), None)
+            if start is not None:
+                run = start
+                while run < len(piece) and (letter(piece[run]) or piece[run] in ".'-"):
+                    run += 1
+                while not letter(piece[run - 1]):
+                    run -= 1
+                word, kind = piece[start:run], unicodedata.category(piece[start])
+                one = want[word.lower()]
+                one[0 if piece[run : run + 1] == "." else 1] += 1
+                one[2] += kind == "Ll"
+                one[3] += kind == "Lu" and before is False
+            before = closed
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    got = {r.word: [r.n_stop, r.n_other, r.n_small, r.n_large_inside] for r in sentences.word_types(df, "text").collect()}
+    assert {w: (c, want.get(w)) for w, c in got.items() if c != want.get(w)} == {} and len(got) == len(want)
