@@ -234,7 +234,8 @@ def read(spark: SparkSession, path: str, payload: bool = False) -> DataFrame:
 
     spans = saved(kept.filter("not whole").select("file", "at", "after"), "warc-open")
     over = (F.col("base") < F.col("after")) & (F.col("base") + F.col("length") > F.col("at"))
-    parts = spans.join(splits, "file").filter(over).select("file", "split", "base", "at", "after")
+    # Records don't overlap, so at most two of them are open in a split: few rows are sent, and only their pieces are moved.
+    parts = F.broadcast(spans.join(splits, "file").filter(over).select("file", "split", "base", "at", "after"))
     marked = _numbered(_pieces(spark, path)).join(parts, ["file", "split"]).withColumn("where", F.col("base") + F.col("place"))
     inside = (F.col("where") < F.col("after")) & (F.col("where") + F.octet_length("piece") + len(GAP) > F.col("at"))
     # One group is one record.

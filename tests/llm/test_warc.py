@@ -92,3 +92,16 @@ def test_digest_in_sql(spark):
     texts = ["", "a", "é" * 100]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select(warc.payload_digest(F.encode("t", "UTF-8")).alias("d"))
     assert [r["d"] for r in df.collect()] == [digest(t) for t in texts]
+
+
+def test_pieces_of_whole_records_are_not_shuffled(spark, tmp_path, capsys):
+    """Only the few spans of open records are sent to the pieces, however large Spark takes them to be."""
+    df = spark.createDataFrame([(i, "u", "x" * 2000) for i in range(40)], "page_id long, url string, html string")
+    warc.write(df, f"{tmp_path}/w")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        warc.read(spark, f"{tmp_path}/w").explain()
+        assert "BroadcastHashJoin [file" in capsys.readouterr().out
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
