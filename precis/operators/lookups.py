@@ -7,7 +7,7 @@ columns ride along with their row and never meet the table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,15 +23,21 @@ from precis.session import stored
 BLOCK_ELEMENTS = 500_000
 
 
-def in_blocks(df: DataFrame, arrays: dict[str, Column], block_elements: int = BLOCK_ELEMENTS, keep: list[str] | None = None) -> DataFrame:
+# What makes a batch of texts one of arrays of strings.
+Cut = Callable[[pa.Array], pa.ListArray]
+
+
+def in_blocks(df: DataFrame, arrays: dict[str, Column], block_elements: int = BLOCK_ELEMENTS, keep: list[str] | None = None, cuts: dict[str, Cut] | None = None) -> DataFrame:
     """Rows `(_block, _rest, _0, _1, ...)` with each array as places in the block's `_values`, which is one more row.
-    `_rest` are the columns of `keep`, all of them by default.
+    `_rest` are the columns of `keep`, all of them by default. With `cuts`, one for each array, the arrays are given as
+    texts and cut here, by batch.
 
     The table is stored, so a row's block is the same for all that read it, also when a task has to be run again.
     """
     names = [f"`{c}`" for c in (df.columns if keep is None else keep)]
     given = df.select(F.struct(*names).alias("_rest"), *[array.alias(f"_{i}") for i, array in enumerate(arrays.values())])
-    kind = given.schema["_0"].dataType
+    kind = T.ArrayType(T.StringType()) if cuts else given.schema["_0"].dataType
+    makers = [cuts[name] for name in arrays] if cuts else []
     sides = [f"_{i}" for i in range(len(arrays))]
     fields = [T.StructField("_block", T.StringType()), given.schema["_rest"], *(T.StructField(s, T.ArrayType(T.IntegerType())) for s in sides), T.StructField("_values", kind)]
     fields[1] = T.StructField("_rest", given.schema["_rest"].dataType)  # null in a block's own row
@@ -39,6 +45,9 @@ def in_blocks(df: DataFrame, arrays: dict[str, Column], block_elements: int = BL
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
         for whole in batches:
+            if makers:
+                made = [make(whole.column(s)) for s, make in zip(sides, makers, strict=True)]
+                whole = pa.RecordBatch.from_arrays([whole.column("_rest"), *made], names=["_rest", *sides])
             for batch in _runs(whole, sides, block_elements):
                 columns = [batch.column(s) for s in sides]
                 lengths = [np.asarray(pc.fill_null(pc.list_value_length(c), 0)) for c in columns]
@@ -83,15 +92,15 @@ def answered(columns: list[str], blocks: DataFrame, answers: DataFrame, arrays:
     return both.select(*kept, *made.values())
 
 
-def looked_up(df: DataFrame, table: DataFrame, arrays: dict[str, Column], source: str, target: str, block_elements: int = BLOCK_ELEMENTS, keep: list[str] | None = None) -> DataFrame:
+def looked_up(df: DataFrame, table: DataFrame, arrays: dict[str, Column], source: str, target: str, block_elements: int = BLOCK_ELEMENTS, keep: list[str] | None = None, cuts: dict[str, Cut] | None = None) -> DataFrame:
     """`df` with a column per array: its elements looked up in the table's `source`, as its `target`, in order.
 
     Elements that the table lacks, null ones among them, are null; a null array is empty. Every row stays, keys may repeat
     or be null. The planner sends a small table to all tasks and shuffles a large one. With `keep` only these columns of
     `df` come out beside the arrays, and only they are moved: rows are stored and joined, so a text that is no longer
-    wanted costs both.
+    wanted costs both. For `cuts` see `in_blocks`.
     """
-    blocks = in_blocks(df, arrays, block_elements, keep)
+    blocks = in_blocks(df, arrays, block_elements, keep, cuts)
     asked = blocks.filter("_values is not null").select("_block", F.posexplode("_values").alias("_place", "_value"))
     known = table.select(F.col(source).alias("_known"), F.col(target).alias("_found"))
     found = asked.join(known, F.col("_value") == F.col("_known"), "left")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import partial
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +16,7 @@ from precis.functions.tokens import (
     PAD_ID,
     UNKNOWN_ID,
     generated_length,
+    lowered_words,
     mask_labels,
     pad_to_length,
     unmask_labels,
@@ -29,10 +33,22 @@ MAX_TARGET_LENGTH = 128
 
 
 def count_tokens(df: DataFrame, text: str, tokenize: Tokenizer = word_tokens) -> DataFrame:
-    """`(token, count)`. Counts are combined before the shuffle, so a frequent token costs one row per input task."""
+    """`(token, count)`. Counts are combined before the shuffle, so a frequent token costs one row per input task.
+
+    Plain words are cut and counted by Arrow batch, which costs less than a pattern and a row for each of them.
+    """
+    if tokenize is word_tokens:
+        counted = df.select(F.lower(F.col(text)).alias("text")).mapInArrow(_count_words, "token string, n bigint")
+        return counted.groupBy("token").agg(F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("count"))
     return df.select(F.explode(tokenize(F.col(text))).alias("token")).groupBy("token").agg(F.count("*").alias("count"))
 
 
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        counted = pc.value_counts(lowered_words(batch.column(0)).values)
+        yield pa.RecordBatch.from_arrays([counted.field(0), counted.field(1)], names=["token", "n"])
+
+
 def build_vocab(df: DataFrame, text: str, size: int = VOCAB_SIZE, tokenize: Tokenizer = word_tokens) -> DataFrame:
     """`(token, id, count)` of the `size` most frequent tokens, ties in token order; ids follow the special ones.
 
@@ -63,11 +79,14 @@ def encode(
     replaced. Tokens that the vocabulary lacks are unknown; nulls are empty texts. `keep` names the other columns that
     are wanted, all by default: texts that have their ids need not be moved.
     """
-    arrays = {
-        name: F.slice(tokenize(F.coalesce(F.col(text), F.lit(""))), 1, length - 1)
-        for name, (text, length) in cols.items()
-    }
-    found = looked_up(df, vocab, arrays, "token", "id", keep=keep)
+    texts = {name: F.coalesce(F.col(text), F.lit("")) for name, (text, _) in cols.items()}
+    if tokenize is word_tokens:  # cut by Arrow batch
+        arrays = {name: F.lower(text) for name, text in texts.items()}
+        cuts = {name: partial(lowered_words, most=length - 1) for name, (_, length) in cols.items()}
+    else:
+        arrays = {name: F.slice(tokenize(text), 1, cols[name][1] - 1) for name, text in texts.items()}
+        cuts = None
+    found = looked_up(df, vocab, arrays, "token", "id", keep=keep, cuts=cuts)
     for name in cols:
         known = F.transform(F.col(name), lambda i: F.coalesce(i, F.lit(UNKNOWN_ID)))
         found = found.withColumn(name, F.concat(known, F.array(F.lit(END_ID))))

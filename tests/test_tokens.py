@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,3 +137,32 @@ def test_batches_go_through_null_and_repeated_keys(spark):
     in_order = [key for b in range(12) for key in sorted(held[b], key=lambda k: (k is not None, k or 0))]
     assert in_order == [None] * 30 + sorted(k for k in in_order if k is not None)
     assert batches.pad_batches(df.limit(0), "key").collect() == []
+
+
+ODD_TEXTS = ["a b", "", "c", None, "x1-é日y\nz", "\n", "q ", "Ünï ÇA va", "İKK2", "end", "é", "1" * 300, " one two  three "]
+
+
+def test_words_cut_by_batch_are_those_of_the_pattern(spark):
+    """Every text's words, also at the borders of texts, in slices of a batch, and with the first ones only."""
+    df = spark.createDataFrame(list(enumerate(ODD_TEXTS)), "id int, t string")
+    rows = df.select("id", F.lower("t").alias("low"), F.coalesce(tok.word_tokens(F.col("t")), F.array().cast("array<string>")).alias("w")).orderBy("id").collect()
+    low, want = pa.array([r["low"] for r in rows], pa.string()), [r["w"] for r in rows]
+    for most in (None, 0, 1, 2, 100):
+        assert tok.lowered_words(low, most).to_pylist() == [w[:most] for w in want]
+        assert tok.lowered_words(low.slice(2, 6), most).to_pylist() == [w[:most] for w in want[2:8]]
+    assert tok.lowered_words(pa.array([], pa.string())).to_pylist() == []
+
+
+def test_plain_words_are_counted_and_encoded_by_batch(spark, capsys):
+    """No pattern is matched and no row made for each word; counts and ids are those of the pattern."""
+    df = spark.createDataFrame(list(enumerate(ODD_TEXTS)), "id int, t string")
+    plain = lambda col: tok.word_tokens(col)  # noqa: E731  another tokenizer, as far as the operators know
+    counts = vocabulary.count_tokens(df, "t")
+    counts.explain()
+    plan = capsys.readouterr().out
+    assert "MapInArrow" in plan and "regexp_extract_all" not in plan
+    assert sorted(counts.collect()) == sorted(vocabulary.count_tokens(df, "t", plain).collect())
+    vocab = vocabulary.build_vocab(df, "t", 6)
+    for length in (1, 2, 50):
+        made, same = (vocabulary.encode(df, vocab, {"ids": ("t", length)}, tokenize, keep=["id"]) for tokenize in (tok.word_tokens, plain))
+        assert sorted(made.collect()) == sorted(same.collect())
