@@ -20,8 +20,6 @@ _PARITY_WORDS = 8
 # there, one with its parity bits 192.
 _SENT = 32 * 1024 * 1024
 _NARROW, _WIDE = 64, 192
-_DENSE = 4
-_SLOW = 200
 
 
 def band_start(n: int) -> int:
@@ -115,7 +113,9 @@ def features(docs: DataFrame, key: str, text: str, shingle: int = SHINGLE, perce
 
 
 def _sets_of(docs: DataFrame, key: str, text: str, wanted: DataFrame, shingle: int) -> DataFrame:
-    """`(id, set)` of the wanted sets, given as `(id, rep, h1, h2)` with one document each; shingles only those texts."""
+    """`(id, set)` of the wanted sets, given as `(id, rep, h1, h2)` with one document each; shingles only those texts.
+
+    A set comes once for each row of that document's key with such a text."""
     own = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"))
     few = wanted.count() * _NARROW <= _SENT
     names, wanted = wanted.select("rep").distinct(), wanted.select("id", "h1", "h2")
@@ -129,7 +129,7 @@ def _sets_of(docs: DataFrame, key: str, text: str, wanted: DataFrame, shingle: i
             yield pa.RecordBatch.from_arrays([*_hashed(sets), _lists(sets)], names=["h1", "h2", "set"])
 
     found = near.mapInArrow(measure, "h1 bigint, h2 bigint, set array<bigint>")
-    return found.join(wanted, ["h1", "h2"]).select("id", "set").dropDuplicates(["id"])
+    return found.join(wanted, ["h1", "h2"]).select("id", "set")
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
@@ -140,10 +140,15 @@ def _may_link(a: str, b: str, percent: int) -> Column:
     return near & (bits * (100 + percent) <= (n + m) * (100 - percent))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs `(a, b)` of set numbers whose shingle sets are similar enough, counted exactly."""
-    left = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
-    both = left.join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
+def _verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The stored pairs `(a, b)` of set numbers whose shingle sets are similar enough, counted exactly.
+
+    Sets are made from their texts, and both of a pair's go straight to the pair: no set is stored or moved before."""
+    ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("id"))
+    wanted = saved(nodes.join(_sent_if_few(ends.select("id").distinct()), "id", "left_semi").select("id", "rep", "h1", "h2"), "ngram-wanted")
+    own = _sets_of(docs, key, text, wanted, shingle).join(_sent_if_few(ends), "id")
+    one = [F.first(F.when(F.col("id") == F.col(c), F.col("set")), ignorenulls=True).alias(f"s{c}") for c in ("a", "b")]
+    both = own.groupBy("a", "b").agg(*one)
     shared = F.size(F.array_intersect("sa", "sb"))
     return both.filter(shared * 100 >= (F.size("sa") + F.size("sb") - shared) * percent).select("a", "b")
 
@@ -162,23 +167,16 @@ def _close(pairs: DataFrame, sides: DataFrame, percent: int) -> DataFrame:
     return both.filter(_may_link("s1", "s2", percent)).select("a", "b")
 
 
-def _across(own: DataFrame) -> tuple[float, int]:
-    """How many pairs of sets that share a key lie in different components (counted once per key), and the rows."""
-    parts = own.groupBy("k", "c").agg(F.count("*").alias("n")).groupBy("k").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
-    found = parts.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs"), F.sum("n").alias("rows")).first()
-    return found["pairs"] or 0.0, found["rows"] or 0
-
+def _leaders(members: DataFrame) -> DataFrame:
+    """`(h1, lead)`: each set with one that it shares keys with, other than itself.
 
-def _pivot_pairs(own: DataFrame) -> DataFrame:
-    """Each key's sets paired with one of them, if in another component: that which shares its keys with the most sets
-    of other components, as the original among its edited copies does. A pair per member at most."""
-    in_key = own.groupBy("k").agg(F.count("*").alias("all"))
-    in_part = own.groupBy("k", "c").agg(F.count("*").alias("part"))
-    others = in_part.join(in_key, "k").select("k", "c", (F.col("all") - F.col("part")).alias("others"))
-    weights = saved(own.join(others, ["k", "c"]).groupBy("id").agg(F.sum("others").alias("weight")), "ngram-weights")
-    best = own.join(_sent_if_few(weights), "id").groupBy("k").agg(F.max(F.struct("weight", (-F.col("id")).alias("least"), "c")).alias("p"))
-    pivot = best.select("k", (-F.col("p.least")).alias("a"), F.col("p.c").alias("pc"))
-    return own.join(pivot, "k").filter(F.col("c") != F.col("pc")).select("a", F.col("id").alias("b"))
+    A key is led by that of its sets which shares its keys with the most others, as the original among its edited copies
+    does; a set goes to the one that leads most of its keys."""
+    weights = members.groupBy("h1").agg(F.sum("times").alias("weight"))
+    weighed = members.select("k", "h1").join(_sent_if_few(saved(weights, "ngram-weights")), "h1")
+    best = weighed.groupBy("k").agg(F.max(F.struct("weight", "h1")).alias("best")).select("k", F.col("best.h1").alias("lead"), "best.weight")
+    led = members.select("k", "h1").join(best, "k").filter("lead <> h1").groupBy("h1", "lead").agg(F.count("*").alias("own"), F.first("weight").alias("weight"))
+    return led.groupBy("h1").agg(F.max(F.struct("own", "weight", "lead")).alias("most")).select("h1", "most.lead")
 
 
 def _all_pairs(own: DataFrame, sides: DataFrame, percent: int) -> DataFrame:
@@ -200,18 +198,20 @@ def near_duplicates(
     linked when 100 * shared >= percent * union. Rows with equal sets are one node, so copies cost one row each. A
     group without any key has a null component.
 
-    Sets that share a key of `keys_of` are candidates. A key's sets are first held against one of them only, which
-    settles groups of copies with a row per member; pairs that are not connected by then are held against each
-    other, after sizes and parity bits, until no two sets of a key are left unchecked in different components. Counts
-    of a key come from partial sums and hot keys join as rows, so no task holds a key's members at once.
+    Sets that share a key of `keys_of` are candidates. Each is first held against the one that leads most of its keys,
+    which settles a group of copies with a row per member; then all pairs of a key that lie in different components, so
+    far as sizes and parity bits allow a link. That is two rounds, whatever the size. Hot keys join as rows, so no task
+    holds a key's members in memory at once. Within a key the second round's comparisons go with the square of its sets
+    that are still apart, but only the pairs that may be linked leave the join.
     Shingles are told apart by 64-bit hashes, sets by 128-bit hashes.
     """
     rows = saved(features(docs, key, text, shingle, percent), "ngram-features")
     filled = rows.filter("n > 0")
-    keyed = filled.select(F.explode("keys").alias("k"), "h1")
-    # Two sets with one h1 only add candidates: what leaves here is told apart by h1 and h2.
-    shared = keyed.groupBy("k").agg(F.min("h1").alias("lead"), F.max("h1").alias("top")).filter("lead < top")
-    members = saved(keyed.join(shared.select("k", "lead"), "k").distinct(), "ngram-members")
+    # Dealt out by key once, for the counts and for the rows of shared keys. Two sets with one h1 only add candidates:
+    # what leaves here is told apart by h1 and h2.
+    keyed = filled.select(F.explode("keys").alias("k"), "h1").repartition("k")
+    shared = keyed.groupBy("k").agg(F.min("h1").alias("low"), F.max("h1").alias("top"), F.count("*").alias("times")).filter("low < top")
+    members = saved(keyed.join(shared.select("k", "times"), "k").distinct(), "ngram-members")
     near = _sent_if_few(saved(members.select("h1").distinct(), "ngram-near"))
     known = filled.join(near, "h1", "left_semi").groupBy("h1", "h2").agg(
         F.min("n").alias("n"), F.min("_key").alias("rep"), F.first("parity").alias("parity")
@@ -219,36 +219,21 @@ def near_duplicates(
     nodes = saved(known.withColumn("id", F.monotonically_increasing_id()), "ngram-nodes")  # numbered once, then read
     ids = _sent_if_few(nodes.select("h1", "id"))
     sides = nodes.select("id", F.struct("n", "parity").alias("s"))
-    groups = saved(members.join(ids, "h1").select("k", "id"), "ngram-groups")
 
-    # Each set is held first against the one that leads most of its keys; what that leaves open comes up below.
-    led = members.filter("lead <> h1").groupBy("h1", "lead").agg(F.count("*").alias("times"))
-    star = led.groupBy("h1").agg(F.max(F.struct("times", "lead")).alias("most")).select("h1", "most.lead")
-    star = star.join(ids.withColumnRenamed("id", "b"), "h1").join(ids.select(F.col("h1").alias("lead"), F.col("id").alias("a")), "lead")
+    # Each set is held first against the one that leads most of its keys; what that leaves open comes next.
+    star = _leaders(members).join(ids.withColumnRenamed("id", "b"), "h1")
+    star = star.join(ids.select(F.col("h1").alias("lead"), F.col("id").alias("a")), "lead")
     pairs = saved(_close(star, sides, percent), "ngram-pairs")
-    checked, links, sets, last = pairs, None, None, False
-    while True:
-        wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        if sets is not None:
-            wanted = wanted.join(sets, "id", "left_anti")
-        wanted = saved(nodes.join(wanted, "id", "left_semi").select("id", "rep", "h1", "h2"), "ngram-wanted")
-        new = saved(_sets_of(docs, key, text, wanted, shingle), "ngram-sets")
-        sets = new if sets is None else sets.union(new)
-        found = saved(_verified(pairs, sets, percent), "ngram-found")
-        links = found if links is None else links.union(found)
-        labels = components(links)
-        if last:  # every pair that was left is checked now
-            break
-        own = groups.join(_sent_if_few(labels.withColumnRenamed("node", "id")), "id", "left")
-        own = own.select("k", "id", F.coalesce("component", "id").alias("c"))
-        split = own.groupBy("k").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select("k")
-        own = saved(own.join(split, "k", "left_semi"), "ngram-split")
-        across, size = _across(own)
-        # Many pairs are first held against one set a key, as long as that joins sets in numbers; then come the others.
-        last = across <= _DENSE * size or found.count() * _SLOW < size
-        pairs = _all_pairs(own, sides, percent) if last else _close(_pivot_pairs(own), sides, percent)
-        pairs = saved(pairs.join(checked, ["a", "b"], "left_anti"), "ngram-pairs")
-        checked = checked.union(pairs)
+    links = saved(_verified(pairs, docs, key, text, nodes, shingle, percent), "ngram-found")
+    labels = components(links)
+    own = members.select("k", "h1").join(ids, "h1").join(_sent_if_few(labels.withColumnRenamed("node", "id")), "id", "left")
+    own = own.select("k", "id", F.coalesce("component", "id").alias("c"))
+    split = own.groupBy("k").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select("k")
+    own = saved(own.join(split, "k", "left_semi"), "ngram-split")
+    rest = saved(_all_pairs(own, sides, percent).join(_sent_if_few(pairs), ["a", "b"], "left_anti"), "ngram-pairs")
+    more = saved(_verified(rest, docs, key, text, nodes, shingle, percent), "ngram-found")
+    if more.limit(1).count():
+        labels = components(links.union(more))
 
     # A set that shares no key, or links with none, is a group of its own.
     of_node = nodes.join(labels, nodes["id"] == labels["node"], "left").select("h1", "h2", F.coalesce("component", "id").alias("c"))

@@ -98,6 +98,37 @@ def test_repeated_rows_nulls_and_names(spark, documents, no_documents):
     assert ngram_join.near_duplicates(no_documents).count() == 0 == ngram_join.keep_one(no_documents).count()
 
 
+def test_originals_lead_their_copies_in_two_rounds(spark, prose, monkeypatch):
+    """Copies too far apart to be linked used to take a round more the larger their group was."""
+    base = [prose(300, 5000 + b) for b in range(3)]
+    rows = base + [edited(t, 0.004 * (1 + i % 20), 77 * b + i) for b, t in enumerate(base) for i in range(120)]
+    seen = []
+    plain = ngram_join.saved
+
+    def watched(df, name):
+        out = plain(df, name)
+        seen.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(ngram_join, "saved", watched)
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(5)
+    got = {r["_key"]: r["component"] for r in ngram_join.near_duplicates(df).collect()}
+    assert got == dict(enumerate(groups(rows)[1]))
+    assert [name for name, _ in seen].count("ngram-found") == 2
+    # The first round has a pair per set at most, and links nearly all that is linked.
+    first, second = (n for name, n in seen if name == "ngram-found")
+    assert first <= len(rows) and second <= first / 10
+
+
+def test_leaders_share_keys_with_the_most(spark):
+    keys = {1: [10, 11, 12, 13], 5: [10, 11], 6: [11, 12], 7: [12, 13, 14], 9: [14]}
+    counts = {k: sum(k in v for v in keys.values()) for k in range(10, 15)}
+    rows = [(k, h, counts[k]) for h, own in keys.items() for k in own]
+    members = spark.createDataFrame(rows, "k long, h1 long, times long")
+    got = {r["h1"]: r["lead"] for r in ngram_join._leaders(members).collect()}
+    assert got == {5: 1, 6: 1, 7: 1, 9: 7}
+
+
 def test_keys_of_similar_sets_meet():
     rng = np.random.default_rng(3)
     for n in (1, 4, 5, 17, 63, 64, 200, 255, 256, 900, 1024, 4000):
