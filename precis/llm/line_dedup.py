@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from precis.llm.common import mix, packed, saved, unpacked, with_totals_before, word_hashes
@@ -115,6 +115,11 @@ def _lines(docs: DataFrame, key: str, text: str, common, percent: int) -> DataFr
     return own.mapInArrow(measure, schema)
 
 
+def _sent_if_few(df: DataFrame) -> DataFrame:
+    """A stored table of few rows, by their count, goes to all executors: some tens of megabytes."""
+    return F.broadcast(df) if df.count() <= _FEW else df
+
+
 def _sets(docs: DataFrame, key: str, text: str, wanted: DataFrame, common) -> DataFrame:
     """`(id, set)` of the wanted lines `(id, _row, _row2, line)`, from their texts."""
     names = [c.alias(f"{n}_") for c, n in zip(row_names(key, text), ("_row", "_row2"), strict=True)]
@@ -173,11 +178,12 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", per
     # Of two similar sets the larger is at most 1.25 times as large for 80: they lie in one band or in two next to each other.
     step = float(np.log(100 / percent)) if percent < 100 else _BAND
     band = F.floor(F.log(F.col("n").cast("double")) / step + 1e-9).cast("int")
-    filed = nodes.select("id", band.alias("band"), F.posexplode("prefix").alias("at", "word"))
-    heads = filed.groupBy("word").agg(F.min("id").alias("lead"), F.max("id").alias("last")).filter("lead < last").select("word")
-    members = saved(filed.join(heads, "word"), "line-members")
-    leads = members.groupBy("word", "band").agg(F.min("id").alias("lead"), F.max("id").alias("last")).filter("lead < last")
-    votes = members.join(leads.select("word", "band", "lead"), ["word", "band"]).filter("lead < id").groupBy("id", "lead").agg(F.count("*").alias("times"))
+    # Dealt out by word once, with what tells whether two sets may be similar, for the counts and for all rows that share a word.
+    filed = nodes.select("id", band.alias("band"), "n", "p0", "p1", F.posexplode("prefix").alias("at", "word")).repartition("word")
+    heads = filed.groupBy("word").agg(F.min("id").alias("low"), F.max("id").alias("last")).filter("low < last").select("word")
+    lead = F.min("id").over(Window.partitionBy("word", "band")).alias("lead")
+    members = saved(filed.join(heads, "word").select("word", "band", "id", "at", "n", "p0", "p1", lead), "line-members")
+    votes = members.filter("lead < id").groupBy("id", "lead").agg(F.count("*").alias("times"))
     star = votes.groupBy("id").agg(F.max(F.struct("times", (-F.col("lead")).alias("lead"))).alias("most"))
     star = star.select((-F.col("most.lead")).alias("a"), F.col("id").alias("b"))
     sides = nodes.select("id", "n", "p0", "p1")
@@ -189,13 +195,13 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", per
     sets = saved(_sets(docs, key, text, saved(place.join(ends(pairs), "id"), "line-wanted"), common), "line-sets")
     gone = saved(_similar(pairs, sets, percent), "line-gone")
 
-    open_ = members.join(gone, members["id"] == gone["b"], "left_anti").select("word", "band", "id", "at")
-    y = open_.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))).join(sides, "id").alias("y")
-    x = members.select("word", "band", "id", "at").join(sides, "id").alias("x")
+    open_ = members.join(_sent_if_few(gone), members["id"] == gone["b"], "left_anti")
+    x, y = members.alias("x"), open_.alias("y")
     least = F.ceil((F.col("x.n") + F.col("y.n")) * percent / (100 + percent))
     # From the first word that both have at these places on, they can share no more than what either has left.
     left_over = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at")) + F.least("x.at", "y.at")
-    same = (F.col("x.word") == F.col("y.word")) & (F.col("x.band") == F.col("y.band")) & (F.col("x.id") < F.col("y.id"))
+    # Rows aren't filed under their neighbours' bands: sizes are compared in the join, and a row is dealt out once.
+    same = (F.col("x.word") == F.col("y.word")) & (F.abs(F.col("x.band") - F.col("y.band")) <= 1) & (F.col("x.id") < F.col("y.id"))
     near = same & (left_over >= least) & _may_be_similar("x.", "y.", percent)
     rest = x.join(y, near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     rest = saved(rest.join(pairs, ["a", "b"], "left_anti"), "line-rest")

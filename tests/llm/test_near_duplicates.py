@@ -228,3 +228,21 @@ def test_words_go_from_rare_to_common():
     order = np.argsort(common)
     names = line_dedup.ordered(words, common[order], place[order])
     assert np.argsort(names).tolist() == [2, 0, 3, 1]
+
+
+def test_lines_are_dealt_out_once(spark, prose, monkeypatch):
+    """Rows of unsettled lines used to be filed under three size bands each, which took most of the disk."""
+    lines = [prose(n, 700 + n) for n in range(8, 30)]
+    rows = [(i, "\n".join([t, edited(t, 0.05, i), edited(t, 0.3, 90 + i)])) for i, t in enumerate(lines)]
+    plans = {}
+    plain = line_dedup.saved
+
+    def watched(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return plain(df, name)
+
+    monkeypatch.setattr(line_dedup, "saved", watched)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["_key"], r["line"]) for r in line_dedup.repeated_lines(df).collect()}
+    assert got == {(k, i) for k, own in removed(rows).items() for i in own}
+    assert "Generate" not in plans["line-rest"]
