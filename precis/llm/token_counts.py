@@ -21,9 +21,8 @@ def encoded_lengths(docs: DataFrame, tokenizer: str, text: str = "text", key: st
         codes = encoder(tokenizer)
         for batch in batches:
             texts = batch.column("_text")
-            for a, b in in_portions(texts.to_pylist()):
-                part = texts.slice(a, b - a).to_pylist()
-                lengths = pa.array(codes.lengths(part), pa.int64())
+            for a, b in in_portions(texts):
+                lengths = pa.array(codes.lengths(texts.slice(a, b - a)), pa.int64())
                 own = [batch.column(c).slice(a, b - a) for c in batch.schema.names[:-1]]
                 yield pa.RecordBatch.from_arrays([*own, lengths], names=[*batch.schema.names[:-1], "n_tokens"])
 

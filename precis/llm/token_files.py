@@ -91,9 +91,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text:
         kinds = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary()]
         names = ["part", "number", "keys", "lengths", "n_ids", "data"]
         for batch in batches:
-            bodies, own_keys = batch.column("body").to_pylist(), batch.column("key").to_pylist()
+            bodies, own_keys = batch.column("body"), batch.column("key").to_pylist()
             for a, b in in_portions(bodies):
-                ids, counts = codes.encode(bodies[a:b])
+                ids, counts = codes.encode(bodies.slice(a, b - a))
                 # An end id after each document.
                 ids = np.insert(ids, np.cumsum(counts), np.uint32(end_id))
                 keys += own_keys[a:b]

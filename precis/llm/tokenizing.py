@@ -3,15 +3,37 @@
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-_CUT = re.compile(r" (?=\S)")
-_NOT_PLAIN = re.compile(r" \s| \Z")
 _MOST_WORDS = 700_000
+# White space in UTF-8: by one byte, and what begins with one of four others by two or three.
+_WHITE = np.zeros(256, bool)
+_WHITE[[*range(9, 14), *range(28, 33)]] = True
+_MAYBE = np.zeros(256, bool)
+_MAYBE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+_WHITE_2 = np.array([0xC285, 0xC2A0])
+_WHITE_3 = np.array([0xE19A80, *range(0xE28080, 0xE2808B), 0xE280A8, 0xE280A9, 0xE280AF, 0xE2819F, 0xE38080])
+
+
+def _piece_starts(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Where pieces of texts in UTF-8 begin: with each text, and at each space before a character that is no white space."""
+    cut = np.zeros(len(data) + 1, bool)
+    # A text's last byte has nothing behind it.
+    cut[:-2] = (data[:-1] == 32) & ~_WHITE[data[1:]]
+    cut[begins[begins > 0] - 1] = False
+    odd = np.flatnonzero(cut[:-2] & _MAYBE[data[1:]])
+    if len(odd):
+        # A character that begins with such a byte has at least one more; those of two bytes may end the data.
+        two = data[odd + 1].astype(np.int64) << 8 | data[odd + 2]
+        three = two << 8 | data[np.minimum(odd + 3, len(data) - 1)]
+        cut[odd[np.isin(two, _WHITE_2) | np.isin(three, _WHITE_3)]] = False
+    cut[begins] = True
+    return np.flatnonzero(cut[:-1])
 
 
 class _Numbers(dict):
@@ -46,36 +68,38 @@ class Encoder:
         self.ids = np.empty(0, np.uint32)
         self.starts = np.zeros(1, np.int64)
 
-    def _pieces(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of all pieces and how many each text has."""
+    def _pieces(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of all pieces and how many each text has. They are told apart by batch, each distinct one is looked up once."""
         if len(self.number) > _MOST_WORDS:
             self._reset()
-        find, numbers, counts = self.number.__getitem__, [], np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            if text:
-                parts = _CUT.split(text) if _NOT_PLAIN.search(text) else text.split(" ")
-                head = parts[0]
-                counts[i] = len(parts)
-                parts[0] = (head,)  # the first piece has no space before it
-                numbers.extend(map(find, parts))
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        texts = texts.fill_null("") if texts.null_count else texts
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+        low, high = int(offsets[0]), int(offsets[-1])
+        if high == low:
+            return np.empty(0, np.int64), np.zeros(len(texts), np.int64)
+        data = np.frombuffer(texts.buffers()[2], np.uint8)[low:high]
+        bounds = offsets - low
+        starts = _piece_starts(data, bounds[:-1])
+        pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(data)])
+        coded = pieces.dictionary_encode()
+        known = np.array([self.number[piece] for piece in coded.dictionary.to_pylist()], np.int64)
         self._learn()
-        return np.array(numbers, np.int64), counts
+        return known[np.asarray(coded.indices)], np.diff(np.searchsorted(starts, bounds))
 
     def _learn(self) -> None:
         known = len(self.starts) - 1
         if len(self.number) == known:
             return
-        keys = list(self.number)[known:]
-        # Pieces without a space inside are encoded as one text, in which a token with a leading space starts a piece.
-        joined = np.array([type(key) is str and " " not in key for key in keys])
+        keys = [key.decode() for key in list(self.number)[known:]]
+        # Pieces with one space, before them, are encoded as one text, in which a token with a leading space starts a piece.
+        joined = np.array([key.startswith(" ") and " " not in key[1:] for key in keys])
         lengths = np.zeros(len(keys), np.int64)
-        together = self.tokenizer.encode_batch_fast(
-            ["".join([" " + key for key, ok in zip(keys, joined, strict=True) if ok])], add_special_tokens=False
-        )[0].ids
+        together = self.tokenizer.encode_batch_fast(["".join([key for key, ok in zip(keys, joined, strict=True) if ok])], add_special_tokens=False)[0].ids
         together = np.array(together, np.uint32)
         starts = np.flatnonzero(self.leads[together])
         lengths[joined] = np.diff(np.append(starts, len(together)))
-        alone = [key[0] if type(key) is tuple else " " + key for key, ok in zip(keys, joined, strict=True) if not ok]
+        alone = [key for key, ok in zip(keys, joined, strict=True) if not ok]
         found = [e.ids for e in self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)]
         lengths[~joined] = [len(ids) for ids in found]
         ends = np.cumsum(lengths)
@@ -86,13 +110,13 @@ class Encoder:
         self.starts = np.concatenate([self.starts, self.starts[-1] + ends])
         self.ids = np.concatenate([self.ids, flat])
 
-    def lengths(self, texts: list[str | None]) -> np.ndarray:
+    def lengths(self, texts: pa.Array | list[str | None]) -> np.ndarray:
         numbers, counts = self._pieces(texts)
         total = np.concatenate([[0], np.cumsum(np.diff(self.starts)[numbers])])
         ends = np.cumsum(counts)
         return total[ends] - total[ends - counts]
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after the other, and how many each text has."""
         numbers, counts = self._pieces(texts)
         sizes = np.diff(self.starts)[numbers]
@@ -111,11 +135,11 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def in_portions(texts: list[str | None], most_chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def in_portions(texts: pa.Array | list[str | None], most_chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
     """Runs of texts of about `most_chars` characters, a longer text alone."""
     start, chars = 0, 0
-    for i, text in enumerate(texts):
-        size = len(text) if text else 0
+    sizes = pc.fill_null(pc.utf8_length(texts), 0).to_pylist() if isinstance(texts, pa.Array) else [len(t or "") for t in texts]
+    for i, size in enumerate(sizes):
         if i > start and chars + size > most_chars:
             yield start, i
             start, chars = i, 0
