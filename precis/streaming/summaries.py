@@ -8,6 +8,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from precis.operators.extractive import MAX_TOKENS, MIN_TOKENS, summarize_extractive
 from precis.operators.models import BATCH_SIZE, Model, summarize
+from precis.session import configure
 
 
 def once_per_key(stream: DataFrame, key: str, expiry: str) -> DataFrame:
@@ -33,7 +34,10 @@ def summarize_stream(
     With a `key`, a row that is delivered again within `expiry` of its first arrival is not summarized again, in this run
     or a later one from the same checkpoint: the keys that have been seen are the stream's state, spread over tasks by
     key, and leave it after that time. Null is a key like any other.
+
+    The session gets the library's settings, if it has none of its own: the size of Arrow batches bounds a task's memory.
     """
+    configure(stream.sparkSession)
     if key is not None:
         stream = once_per_key(stream, key, expiry)
     out = summarize(stream, col, model, batch_size, prefix)

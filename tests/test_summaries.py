@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from precis.operators import extractive, models
 from precis.plans import flows
+from precis.streaming import summaries as streaming
 
 
 def test_word_stats(spark):
@@ -166,3 +167,17 @@ def test_batches_of_similar_length_give_each_row_its_own_summary(spark):
     assert sizes.chars <= sizes.by_length < 1.1 * sizes.chars
     assert sizes.as_they_come > 1.3 * sizes.by_length
     assert tuple(models.padded_sizes(df.limit(0), "text").first()) == (0, 0, 0, 0)
+
+
+def test_a_stream_reaches_the_model_in_small_arrow_batches(spark, tmp_path):
+    session = spark.newSession()
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")  # what a session says that nobody has set up
+    session.range(3000).selectExpr("id", "'a text' AS text").coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = session.readStream.schema("id long, text string").parquet(f"{tmp_path}/in")
+    # A call gets no more than one Arrow batch.
+    out = streaming.summarize_stream(
+        stream, "text", lambda texts: [str(len(texts))] * len(texts), f"{tmp_path}/out", f"{tmp_path}/checkpoint", batch_size=3000, available_now=True
+    )
+    out.awaitTermination()
+    sizes = session.read.parquet(f"{tmp_path}/out").groupBy("summary").count().collect()
+    assert {r["summary"]: r["count"] for r in sizes} == {"2000": 2000, "1000": 1000}
