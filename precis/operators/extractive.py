@@ -43,8 +43,10 @@ def score_sentences(
     def scored(bound: Column) -> Column:
         def one(line: Column, pos: Column) -> Column:
             size = F.get("_sizes", pos)
-            own = F.slice(bound["counts"], F.get(bound["starts"], pos) + 1, size)
-            weight = F.aggregate(own, F.lit(0).cast("bigint"), lambda total, n: total + F.coalesce(n, F.lit(0)))
+            # Read by place: a slice would go through all words of the text for each sentence.
+            start = F.get(bound["starts"], pos)
+            own = F.sequence(start, start + size - 1)
+            weight = F.aggregate(own, F.lit(0).cast("bigint"), lambda total, at: total + F.coalesce(F.get(bound["counts"], at), F.lit(0)))
             score = F.when(size > 0, weight / size).otherwise(F.lit(0.0))
             return F.struct(pos.alias("pos"), line.alias("sentence"), score.alias("score"), word_count(line).alias("cost"))
 

@@ -181,3 +181,13 @@ def test_a_stream_reaches_the_model_in_small_arrow_batches(spark, tmp_path):
     out.awaitTermination()
     sizes = session.read.parquet(f"{tmp_path}/out").groupBy("summary").count().collect()
     assert {r["summary"]: r["count"] for r in sizes} == {"2000": 2000, "1000": 1000}
+
+
+def test_sentences_read_their_counts_by_place(spark):
+    """A slice goes through all words of the text, once for each sentence."""
+    docs = spark.createDataFrame([(1, "One two. Three one! ..."), (2, None)], "k long, text string")
+    stats = extractive.fit_word_stats(docs, "text")
+    scored = extractive.score_sentences(docs, stats, "text", "lines")
+    assert "slice(" not in scored._jdf.queryExecution().analyzed().toString()
+    found = {r["k"]: [(x["sentence"], x["score"]) for x in r["lines"]] for r in scored.collect()}
+    assert found == {1: [("One two.", 1.5), ("Three one!", 1.5), ("...", 0.0)], 2: []}
