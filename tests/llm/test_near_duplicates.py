@@ -246,3 +246,60 @@ def test_lines_are_dealt_out_once(spark, prose, monkeypatch):
     got = {(r["_key"], r["line"]) for r in line_dedup.repeated_lines(df).collect()}
     assert got == {(k, i) for k, own in removed(rows).items() for i in own}
     assert "Generate" not in plans["line-rest"]
+
+
+@pytest.mark.parametrize("percent", [80, 60])
+def test_similar_sets_share_a_key(percent):
+    rng = np.random.default_rng(8)
+    often = np.concatenate([np.zeros(4000), rng.integers(8, 120, 400)]).astype(np.uint8)
+    sets, once = [], 0
+    for n in (3, 4, 5, 7, 8, 9, 15, 16, 17, 20, 31, 33, 64, 80, 130, 300):
+        base = rng.choice(np.arange(4000, 4400), n, replace=False)
+        for _ in range(12):
+            new = int(rng.integers(0, n // 9 + 2))
+            some = rng.choice(np.arange(4000, 4400), rng.integers(0, n // 9 + 2))
+            sets.append(np.unique(np.concatenate([base[rng.random(n) > rng.random() / 6], np.arange(once, once + new), some])))
+            once += new
+    sets = [s for s in sets if len(s)]
+    hashes = rng.integers(0, 1 << 63, 4400).astype(np.uint64)
+    n = np.array([len(s) for s in sets])
+    line, word = np.repeat(np.arange(len(sets)), n), np.concatenate(sets)
+    of, keys, at = line_dedup.signatures(line, hashes[word], often[word], n, 100_000, percent)
+    own = [{} for _ in sets]
+    for i, k, a in zip(of.tolist(), keys.tolist(), at.tolist(), strict=True):
+        own[i][k] = a
+    found = 0
+    for i, x in enumerate(sets):
+        for j in range(i):
+            shared = len(np.intersect1d(x, sets[j]))
+            if 100 * shared >= percent * (len(x) + len(sets[j]) - shared) and shared < max(len(x), len(sets[j])):
+                most = (len(x) + len(sets[j])) * (100 - percent) // (100 + percent)
+                assert any(own[i][k] <= most and own[j][k] <= most for k in own[i].keys() & own[j].keys())
+                found += 1
+    assert found > 20
+
+
+def test_lines_that_share_common_words_only_are_not_filed_together(spark, prose, monkeypatch):
+    """A row per rare word of a line used to be stored: words that many lines have brought all of them together."""
+    rows = [(i, "\n".join(prose(40, 5000 + 20 * i + k) for k in range(20))) for i in range(30)]
+    rows.append((40, rows[3][1].split("\n")[5] + " more"))
+    sizes = {}
+    plain = line_dedup.saved
+
+    def watched(df, name):
+        out = plain(df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(line_dedup, "saved", watched)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(r["_key"], r["line"]) for r in line_dedup.repeated_lines(df).collect()}
+    assert got == {(k, i) for k, own in removed(rows).items() for i in own} == {(40, 0)}
+    assert sizes["line-nodes"] == 601 and sizes["line-members"] < 601
+
+
+def test_lines_are_split_as_by_spark(spark):
+    texts = [None, "", "a", "\n", "a\n", "\na\n\nb", "é\n日本\n", None, "x y"]
+    lines, text, number = line_dedup.split_lines(pa.array(["0", *texts, "1\n2"], pa.string()).slice(1, len(texts)))
+    want = [(i, k, x) for i, t in enumerate(texts) if t is not None for k, x in enumerate(t.split("\n"))]
+    assert [(i, k, x.removesuffix("\n")) for i, k, x in zip(text.tolist(), number.tolist(), lines.to_pylist(), strict=True)] == want
